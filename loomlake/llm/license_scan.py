@@ -80,7 +80,7 @@ def license_spans(docs: DataFrame) -> DataFrame:
     """(row, doc_id, label, template, first_word, last_word, cover): verified spans of templates in texts."""
     grams = F.broadcast(_template_grams(docs.sparkSession))
     words = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.expr(f"transform({_WORDS}, w -> lower(w))").alias("words"))
-    hashed = words.select("doc_id", "row", "words", F.expr(f"transform(array(words), v -> {_hashes_of('v')})[0]").alias("hashes"))
+    hashed = words.select("doc_id", "row", "words", shingle_hashes("words", K).alias("hashes"))
     hits = (
         hashed.select("doc_id", "row", "words", F.posexplode_outer("hashes").alias("p", "hash"))
         .join(grams, "hash")
@@ -104,11 +104,6 @@ def license_spans(docs: DataFrame) -> DataFrame:
     return spans.filter(cover >= COVER).select("row", "doc_id", "label", "template", "first_word", "last_word", cover.alias("cover"))
 
 
-def _hashes_of(words: str) -> str:
-    parts = ", ".join(f"xxhash64(get(w, i + {j}))" for j in range(K))
-    return f"transform(array({words}), w -> if(size(w) < {K}, array(), transform(sequence(0, size(w) - {K}), i -> xxhash64({parts}))))[0]"
-
-
 def _base_places(docs: DataFrame) -> DataFrame:
     """doc_id, row, n_words and the places of base phrases; places are sought only in texts that hold a phrase's words."""
     low = F.lower(F.coalesce("text", F.lit("")))

@@ -1,14 +1,16 @@
 """The queries of this subpackage, by name, and the SQL that checks them."""
 
-from loomlake.llm import decontamination, exact_dedup, license_scan
+from loomlake.llm import decontamination, exact_dedup, license_scan, warc
 
 QUERIES = {
+    "op3_warc": warc.op3_warc,
     "op4_decontamination": decontamination.op4_decontamination,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
 }
 
 ORACLE_SQL = {
+    "op3_warc": warc.OP3_SQL,
     "op4_decontamination": decontamination.OP4_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
 }

@@ -46,12 +46,12 @@ def word_array(text: str = "text", outside: str = r"[^\\p{L}\\p{N}]+") -> str:
 def shingle_hashes(words: str, k: int) -> Column:
     """array<bigint>: xxhash64 of each k consecutive words, in order; empty below k words.
 
-    The words are bound once by transform(array(..)), else Catalyst would inline the split into the inner lambda.
+    The words are bound once by transform(array(..)). The column can't be null: a filter for that would compute it twice.
     """
     parts = ", ".join(f"get(w, i + {j})" for j in range(k))
     return F.expr(
-        f"transform(array(transform({words}, x -> xxhash64(x))), w -> if(size(w) < {k}, array(), "
-        f"transform(sequence(0, size(w) - {k}), i -> xxhash64({parts}))))[0]"
+        f"coalesce(transform(array(transform({words}, x -> xxhash64(x))), w -> if(size(w) < {k}, array(), "
+        f"transform(sequence(0, size(w) - {k}), i -> xxhash64({parts}))))[0], cast(array() as array<bigint>))"
     )
 
 
