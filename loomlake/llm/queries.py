@@ -1,8 +1,9 @@
 """The queries of this subpackage, by name, and the SQL that checks them."""
 
-from loomlake.llm import decontamination, exact_dedup, license_scan, warc
+from loomlake.llm import decontamination, exact_dedup, language_id, license_scan, warc
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
     "op3_warc": warc.op3_warc,
     "op4_decontamination": decontamination.op4_decontamination,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
