@@ -1,11 +1,12 @@
 """The queries of this subpackage, by name, and the SQL that checks them."""
 
-from loomlake.llm import decontamination, exact_dedup, language_id, license_scan, token_files, warc
+from loomlake.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, token_files, warc
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
     "op3_warc": warc.op3_warc,
     "op4_decontamination": decontamination.op4_decontamination,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_token_files": token_files.op6_token_files,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
