@@ -1,8 +1,9 @@
 """The queries of this subpackage, by name, and the SQL that checks them."""
 
-from loomlake.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, token_files, warc
+from loomlake.llm import decontamination, exact_dedup, language_id, license_scan, mixing, near_dedup, token_files, warc
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op2_language_id": language_id.op2_language_id,
     "op3_warc": warc.op3_warc,
     "op4_decontamination": decontamination.op4_decontamination,
