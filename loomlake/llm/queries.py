@@ -1,6 +1,6 @@
 """The queries of this subpackage, by name, and the SQL that checks them."""
 
-from loomlake.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, token_files, warc
+from loomlake.llm import decontamination, exact_dedup, html_text, language_id, license_scan, line_dedup, mixing, near_dedup, token_files, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_token_files": token_files.op6_token_files,
+    "op7_html_text": html_text.op7_html_text,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
