@@ -29,11 +29,11 @@ BLOCK, LANES, CHECKPOINT = 1 << 18, 1024, 64
 MAGIC = b"LLTOK1\n"
 END_ID = 2
 #: Chunks whose ids a task remembers.
-REMEMBER = 400_000
+REMEMBER = 250_000
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
-#: White space besides single spaces between other characters: such texts aren't cut into chunks.
-_ODD = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0                　"
+#: White space besides spaces and line feeds: texts with it aren't cut into chunks.
+_ODD = frozenset("\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0                　")
 
 
 class Table(NamedTuple):
@@ -174,9 +174,10 @@ def decode_file(data: bytes, table: Table, slots: np.ndarray | None = None) -> I
 
 
 class Encoder:
-    """A tokenizer that remembers chunks. A single space between two characters that aren't white space always
-    starts a token, so texts are cut there and each different chunk is encoded once, many chunks in one call with a
-    special token between them; other texts are encoded whole."""
+    """A tokenizer that remembers chunks. A single space or line feed between two characters that aren't white space
+    always starts a token, so texts are cut there and each different chunk is encoded once, many in one call with a
+    special token between them. A comma or full stop that ends a chunk after a letter is a token too: such chunks are
+    put together. Other texts are encoded whole."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -185,37 +186,48 @@ class Encoder:
         self.whole.encode_special_tokens = True
         specials = [(i, t.content) for i, t in self.whole.get_added_tokens_decoder().items() if t.special]
         self.between = specials[0] if specials else None
+        self.tails = {c: self._alone(c) for c in ".,"}
         self.known: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        mark, sign = self.between
-        ids = np.array(self.joined.encode_batch_fast([sign.join([" " + c for c in chunks])], add_special_tokens=False)[0].ids, np.uint32)
-        raw, at = ids.tobytes(), 0
-        for chunk, end in zip(chunks, [*(4 * np.flatnonzero(ids == mark)).tolist(), len(raw)], strict=True):
-            self.known[chunk] = raw[at:end]
-            at = end + 4
+        known, tails = self.known, self.tails
+        ended = [c for c in chunks if c[-1] in tails and c[-2:-1].isalpha()]
+        stems = list({c[:-1] for c in ended}.difference(known).union(set(chunks).difference(ended)))
+        if stems:
+            mark, sign = self.between
+            text = sign.join([c if c[0] == "\n" else " " + c for c in stems])
+            ids = np.array(self.joined.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            raw, at = ids.tobytes(), 0
+            for stem, end in zip(stems, [*(4 * np.flatnonzero(ids == mark)).tolist(), len(raw)], strict=True):
+                known[stem] = raw[at:end]
+                at = end + 4
+        for c in ended:
+            known[c] = known[c[:-1]] + tails[c[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text the ids as little-endian unsigned 32-bit integers."""
         cut: list[list[str] | None] = []
         fresh: set[str] = set()
         for text in texts:
-            chunks = text.split(" ") if self.between else [""]
-            if "" in chunks or " \n" in text or "\n " in text or any(c in text for c in _ODD) or self.between[1] in text:
+            if not self.between or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or self.between[1] in text:
                 cut.append(None)
-            else:
-                cut.append(chunks)
-                fresh.update(chunks[1:])
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-        if new := [c for c in fresh if c not in self.known]:
+                continue
+            chunks = text.replace("\n", " \n").split(" ")
+            if not chunks[0] or chunks[-1] in ("", "\n") or not _ODD.isdisjoint(text):
+                cut.append(None)
+                continue
+            cut.append(chunks)
+            fresh.update(chunks[1:])
+        if len(self.known) > REMEMBER:  # what is in use stays
+            self.known = {c: self.known[c] for c in fresh if c in self.known}
+        if new := list(fresh.difference(self.known)):
             self._learn(new)
-        known = self.known
+        get = self.known.__getitem__
         return [
-            self._alone(text) if chunks is None else self._alone(chunks[0]) + b"".join([known[c] for c in chunks[1:]])
+            self._alone(text) if chunks is None else self._alone(chunks[0]) + b"".join(map(get, chunks[1:]))
             for text, chunks in zip(texts, cut, strict=True)
         ]
 
@@ -307,7 +319,7 @@ def write_token_files(docs: DataFrame, path: str, spec: str, vocabulary: int) ->
             for doc, size, packed in zip(batch["doc_id"], batch["n_tokens"], batch["packed"], strict=True):
                 held.append((None if pd.isna(doc) else int(doc), _unpacked(packed, size)))
                 n += size
-                if n >= 16 * BLOCK:
+                if n >= 8 * BLOCK:
                     yield save(held)
                     held, n = [], 0
         if held:
