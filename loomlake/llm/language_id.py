@@ -159,8 +159,8 @@ def score_texts(m: Models, texts: list[str | None]) -> tuple[np.ndarray, np.ndar
     for i, text in enumerate(texts):
         tail = pad
         for first in range(0, len(text or ""), WINDOW):
-            points = normalise(text[first : first + WINDOW])
-            if first and len(points) and tail[-1] == _SPACE and points[0] == _SPACE:
+            points = normalise("a" + text[first : first + WINDOW])[1:] if first else normalise(text[:WINDOW])
+            if len(points) and tail[-1] == _SPACE and points[0] == _SPACE:
                 points = points[1:]
             if not len(points) or not (points != _SPACE).any():
                 continue

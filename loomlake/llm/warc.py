@@ -29,6 +29,7 @@ _STEP = 1 << 16
 _VERSION, _DATE, _GZIP = b"WARC/1.1\r\n", "2000-01-01T00:00:00Z", b"\x1f\x8b\x08"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_FIELD = re.compile(r"[!#-'*+.^-`|~\w-]+:|[ \t]", re.A)
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
@@ -59,7 +60,7 @@ def _plain(data, at: int) -> tuple[dict[str, str], bytes, int] | None:
         return None
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    if not headers.get("content-length", "").isdigit():
+    if not all(_FIELD.match(x) for x in lines) or not headers.get("content-length", "").isdigit():
         return None
     first, last = end + 4, end + 4 + int(headers["content-length"])
     block = data[first:last]
@@ -164,7 +165,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row per salvaged record or gap of the archives below ``path``.
 
     (file, offset, length, kind: record or gap, page_id, url, record_type, payload_bytes, payload_digest, refers_to,
-    payload). A response whose payload does not have its stated digest is reported as a gap. Archives without
+    payload). A record whose payload does not have the SHA-256 it
+    states is reported as a gap; where none is stated, or another kind, it is computed. Archives without
     records give only gaps, empty ones nothing. An archive is read by one task: keep files below about 1 GB.
     """
 
@@ -177,12 +179,17 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         if isinstance(x, Gap):
             return gap
         h = x.headers
-        kind, digest, page = h.get("warc-type"), h.get("warc-payload-digest", "").removeprefix("sha256:"), number(h.get("warc-record-id"))
-        body = x.block.partition(b"\r\n\r\n")[2]
-        if kind == "response":
-            if hashlib.sha256(body).hexdigest() != digest:
+        kind, page = h.get("warc-type"), number(h.get("warc-record-id"))
+        algorithm, _, digest = h.get("warc-payload-digest", "").partition(":")
+        http = x.block.startswith(b"HTTP/")
+        body = x.block.partition(b"\r\n\r\n")[2] if http else x.block
+        if kind != "revisit":
+            own = hashlib.sha256(body).hexdigest()
+            if algorithm == "sha256" and own != digest:
                 return gap
+            digest = own
             return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, len(body), digest, None, body
+        digest = digest if algorithm == "sha256" else None
         size = int(h.get("x-payload-length") or 0)
         return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, size, digest, number(h.get("warc-refers-to")), None
 
