@@ -10,6 +10,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
+from py4j.java_gateway import is_instance_of
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,26 +45,25 @@ def _children(node) -> list:
     return [seq.apply(i) for i in range(seq.size())]
 
 
-def _nodes(plan):
+def _nodes(plan, gateway):
     """All nodes of a plan, and of the plans inside its expressions and its WITH clauses."""
     yield plan
-    name = plan.nodeName()
-    if name == "UnresolvedWith":
+    if plan.nodeName().endswith("UnresolvedWith"):
         relations = plan.cteRelations()
         for i in range(relations.size()):
-            yield from _nodes(relations.apply(i)._2())
+            yield from _nodes(relations.apply(i)._2(), gateway)
     for child in _children(plan):
-        yield from _nodes(child)
+        yield from _nodes(child, gateway)
     expressions = plan.expressions()
     for i in range(expressions.size()):
-        yield from _subplans(expressions.apply(i))
+        yield from _subplans(expressions.apply(i), gateway)
 
 
-def _subplans(expression):
-    if hasattr(expression, "plan") and "Subquery" in expression.getClass().getSimpleName() or expression.getClass().getSimpleName() in ("Exists", "ListQuery"):
-        yield from _nodes(expression.plan())
+def _subplans(expression, gateway):
+    if is_instance_of(gateway, expression, "org.apache.spark.sql.catalyst.expressions.PlanExpression"):
+        yield from _nodes(expression.plan(), gateway)
     for child in _children(expression):
-        yield from _subplans(child)
+        yield from _subplans(child, gateway)
 
 
 def _functions(plan):
@@ -106,7 +106,7 @@ def check_sql(spark: SparkSession, sql: str, allowed: set[str], role: str = "adm
     finally:
         conf.set("spark.sql.ansi.doubleQuotedIdentifiers", before)
     relations, joins, ctes = [], 0, set()
-    for node in _nodes(plan):
+    for node in _nodes(plan, spark.sparkContext._gateway):
         name = node.nodeName()
         if name.lstrip("'") not in ALLOWED_NODES:
             raise Refused(f"not allowed in a read-only query: {name.lstrip(chr(39))}")
