@@ -95,7 +95,7 @@ def merged_discovery(metadata: DataFrame, physical: DataFrame) -> DataFrame:
 def folder_stats(spark: SparkSession, root: str) -> DataFrame:
     """Per table: objects, data files and bytes below it; the listing is Spark's own, distributed beyond a few folders."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
-    rest = F.substring_index(F.col("path"), F.lit(root.rstrip("/").split(":")[-1].replace("//", "")), -1)
+    rest = F.substring_index("path", root.rstrip("/").split(":")[-1].replace("//", ""), -1)
     parts = F.split(F.ltrim(rest, F.lit("/")), "/")
     return files.select(parts[0].alias("database"), parts[1].alias("collection"), F.col("path").rlike(r"\.(parquet|gz|json|txt)$").alias("data"), "length").groupBy("database", "collection").agg(
         F.count(F.lit(1)).alias("objects"), F.count_if("data").alias("data_files"), F.sum("length").alias("bytes")
