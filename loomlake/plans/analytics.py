@@ -26,7 +26,7 @@ VIEWS = {f"shop__{n}_analytics" for n in ("orders", "customer", "lineitem", "par
 
 
 @query("""
-SELECT o_orderstatus, o_orderpriority, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price
+SELECT o_orderstatus, o_orderpriority, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS price
 FROM (SELECT lower(o_orderstatus) AS o_orderstatus, o_orderpriority, o_totalprice FROM orders) GROUP BY 1, 2
 """)
 def gated_sql(spark, sf_dir):
@@ -37,7 +37,7 @@ def gated_sql(spark, sf_dir):
 
 
 @query(f"""
-SELECT {_HASH.format('n_name')} AS nation, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price
+SELECT {_HASH.format('n_name')} AS nation, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS price
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name
 """)
 def gated_join(spark, sf_dir):
@@ -50,7 +50,7 @@ def gated_join(spark, sf_dir):
 
 
 @query("""
-SELECT l_returnflag, lower(l_linestatus) AS l_linestatus, sum(CAST(l_quantity AS DECIMAL(18,2))) AS sum_qty, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sum_price, count(*) AS n FROM lineitem GROUP BY 1, 2
+SELECT l_returnflag, lower(l_linestatus) AS l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sum_qty, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sum_price, count(*) AS n FROM lineitem GROUP BY 1, 2
 """)
 def gated_pricing_summary(spark, sf_dir):
     register(spark, sf_dir)
@@ -110,7 +110,7 @@ def daily_trend(spark, sf_dir):
     return charts.daily_trend(table(spark, sf_dir, "events"), "ts", F.count("event_id").alias("records"))
 
 
-@query("SELECT sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total_value FROM orders")
+@query("SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_value FROM orders")
 def measure_total(spark, sf_dir):
     clean = FL.flatten(table(spark, sf_dir, "orders"))
     return charts.chart_data(clean, next(c for c in charts.plan_charts("shop__orders_analytics", clean.schema) if c.kind == "total"))

@@ -177,7 +177,7 @@ def intersect_ids(spark, sf_dir):
 
 @query("""
 SELECT o_orderpriority, count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS final, count(*) FILTER (WHERE o_orderstatus = 'O') AS open,
-  count(*) FILTER (WHERE o_orderstatus = 'P') AS partial, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price FROM orders GROUP BY 1
+  count(*) FILTER (WHERE o_orderstatus = 'P') AS partial, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS price FROM orders GROUP BY 1
 """)
 def filter_pivot_counts(spark, sf_dir):
     of = lambda s: F.count_if(F.col("o_orderstatus") == s)
