@@ -64,6 +64,7 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _GAP = re.compile(r"\s+")
+_HEADING = re.compile(r"/(?:article|main)\b.*/h[1-6]\b[^/]*/#$")
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
@@ -172,18 +173,20 @@ def walk(page: str, to: Visitor) -> None:
         pop()
 
 
-# Wrappers: a node is [symbol, pages, repeated, kids, text, characters, characters in links]; text slots have the
-# symbol "#" and as text the one they always have, or None. A node is optional if it has fewer pages than its parent.
-S, N, REP, KIDS, TEXT, CHARS, LINK = range(7)
+# Wrappers: a node is [symbol, pages, repeated, kids, text, characters, characters in links, stories]; text slots have
+# the symbol "#" and as text the one they always have, or None. A node is optional if it has fewer pages than its parent.
+# stories tells pages apart that aren't copies of one another: hashes of the longest texts of up to MIN_PAGES of them.
+S, N, REP, KIDS, TEXT, CHARS, LINK, STORIES = range(8)
 
 
 class _Tree(Visitor):
     def __init__(self) -> None:
-        self.root = ["", 1, False, [], None, 0, 0]
+        self.root = ["", 1, False, [], None, 0, 0, []]
         self.stack = [self.root]
+        self.longest = ""
 
     def enter(self, sym: str, name: str, bad: bool) -> None:
-        node = [sym, 1, False, [], None, 0, 0]
+        node = [sym, 1, False, [], None, 0, 0, []]
         self.stack[-1][KIDS].append(node)
         self.stack.append(node)
 
@@ -194,12 +197,13 @@ class _Tree(Visitor):
     def text(self, text: str, linked: bool) -> None:
         text = _GAP.sub(" ", text).strip()
         if text:
+            self.longest = max(self.longest, text, key=len)
             kids = self.stack[-1][KIDS]
             if kids and kids[-1][S] == "#":
                 slot = kids[-1]
                 slot[TEXT] = _short(slot[TEXT] + " " + text)
             else:
-                slot = ["#", 1, False, [], _short(text), 0, 0]
+                slot = ["#", 1, False, [], _short(text), 0, 0, []]
                 kids.append(slot)
             slot[CHARS] += len(text)
             slot[LINK] += len(text) * linked
@@ -221,6 +225,11 @@ def tree_of(page: str) -> list:
     t = _Tree()
     walk(page, t)
     t.root[KIDS] = fold(t.root[KIDS])
+    story, todo = [hash_text(t.longest)], [t.root]
+    while todo:
+        node = todo.pop()
+        node[STORIES] = story
+        todo += node[KIDS]
     return t.root
 
 
@@ -228,7 +237,8 @@ def _merge(a: list, b: list, again: bool = False) -> list:
     """Two nodes of a symbol in one. again: both stand in the same page, so pages aren't added up."""
     kids = _align(a[KIDS], b[KIDS], again)
     text = a[TEXT] if a[TEXT] == b[TEXT] else None
-    return [a[S], max(a[N], b[N]) if again else a[N] + b[N], a[REP] or b[REP] or again, kids, text, a[CHARS] + b[CHARS], a[LINK] + b[LINK]]
+    stories = a[STORIES] if again or a[STORIES] == b[STORIES] else sorted({*a[STORIES], *b[STORIES]})[:MIN_PAGES]
+    return [a[S], max(a[N], b[N]) if again else a[N] + b[N], a[REP] or b[REP] or again, kids, text, a[CHARS] + b[CHARS], a[LINK] + b[LINK], stories]
 
 
 def fold(kids: list[list]) -> list[list]:
@@ -286,21 +296,22 @@ def align_pages(wrapper: list | None, other: list) -> list:
 
 def furniture(wrapper: list) -> list[str]:
     """Paths of the host's furniture: slots with the same text on all of MIN_PAGES or more pages while others differ,
-    and elements that are made of links."""
+    and elements that are made of links. Pages with the same longest text count once. Headings of an article stay."""
     found: list[str] = []
     varies = False
 
     def visit(node: list, path: str) -> tuple[int, int]:
         nonlocal varies
+        enough = len(node[STORIES]) >= MIN_PAGES
         chars, link = node[CHARS], node[LINK]
         for kid in node[KIDS]:
             c, k = visit(kid, f"{path}/{kid[S]}")
             chars, link = chars + c, link + k
         if node[S] == "#":
             varies = varies or node[TEXT] is None
-            if node[TEXT] is not None and not node[REP] and node[N] >= MIN_PAGES:
+            if node[TEXT] is not None and not node[REP] and enough and not _HEADING.search(path):
                 found.append(path)
-        elif node[N] >= MIN_PAGES and chars and link >= LINKS * chars and node[S].split(".")[0] in ("ul", "ol", "div", "table", "dl"):
+        elif enough and chars and link >= LINKS * chars and node[S].split(".")[0] in ("ul", "ol", "div", "table", "dl"):
             found.append(path)
         return chars, link
 

@@ -95,4 +95,4 @@ def test_damaged_files_report_gaps(spark, tmp_path):
     rows = warc.read_archives(spark, f"file://{tmp_path}").collect()
     gaps = [(r["offset"], r["length"]) for r in rows if r["kind"] == "gap" and r["length"] == len(parts[4])]
     assert gaps == [(at, len(parts[4]))]
-    assert read_files(spark, f"file://{tmp_path}", "*.warc*").count() == 2
+    assert read_files(spark, f"file://{tmp_path}", "*.warc*").count() == 1  # Spark leaves empty files out
