@@ -5,9 +5,10 @@ register with a probability equal to their weighted Jaccard similarity sum(min)
 of ROWS registers give candidates: a pair of similarity 0.8 or more misses all bands with a probability below 4e-5.
 
 In each bucket every member is paired with one representative, the member with the largest buckets over all bands
-(the centre of its surroundings), pairs are verified by exact multiset overlap, and components are formed. Buckets
-whose members then are still in different components are paired whole, across components only: what is left are few
-small buckets, and no link between different texts that share a bucket is lost. Copies are one text throughout.
+(the centre of its surroundings), pairs are verified by exact multiset overlap, and components are formed. In buckets
+whose members then are still in different components, what is left is compared across components: small buckets are
+paired whole, in larger ones the texts outside the largest component are compared with all others, in blocks that give
+links only. No link between different texts that share a bucket is lost. Copies are one text throughout.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ BANDS, ROWS = 26, 5
 REGISTERS = BANDS * ROWS
 #: A pair is verified if so many registers agree: 0.8 is 4 standard deviations above.
 AGREE = int(REGISTERS * (THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5))
+#: Buckets of up to so many texts are paired whole where their texts are in several components.
+PAIRED = 32
+#: Texts, and bytes of shingle hashes, that a block holds when the texts of a larger bucket are compared.
+BLOCK_TEXTS, BLOCK_BYTES = 2000, 8 << 20
 #: Texts to be read for verification whose ids may be broadcast.
 MAX_BROADCAST = 500_000
 _WORD = re.compile(r"[^\W_]+")
@@ -176,31 +181,86 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def elements(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A multiset as a sorted set: the k-th occurrence of a shingle is an element of its own. The Jaccard similarity of
+    such sets is sum(min) / sum(max) of the counts."""
+    if not (counts > 1).any():
+        return hashes
+    every = np.repeat(hashes, counts)
+    k = np.arange(len(every)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.sort(np.where(k > 0, _mix(every + k.astype(_U) * _U(0x9E3779B97F4A7C15)), every))
+
+
+def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """The pairs (a, b) of text keys whose texts have a multiset overlap of THRESHOLD or more.
 
-    texts: (text_key, text) of at least all texts in ``pairs``, each once.
+    bags: (text_key, elements) of at least all texts in ``pairs``, each once.
     """
-    left = pairs.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("_x")), "a")
-    both = left.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("_y")), "b")
+    left = pairs.join(bags.select(F.col("text_key").alias("a"), F.col("elements").alias("_x")), "a")
+    both = left.join(bags.select(F.col("text_key").alias("b"), F.col("elements").alias("_y")), "b")
 
     @F.pandas_udf("boolean")
-    def near(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for x, y in batches:
-            seen: dict[str, tuple] = {}
+    def near(x: pd.Series, y: pd.Series) -> pd.Series:
+        def alike(p: bytes, q: bytes) -> bool:
+            one, two = np.frombuffer(p, _U), np.frombuffer(q, _U)
+            shared = len(np.intersect1d(one, two, assume_unique=True))
+            return shared > 0 and shared >= THRESHOLD * (len(one) + len(two) - shared) - 1e-9
 
-            def of(text: str) -> tuple:
-                if text not in seen:
-                    if len(seen) > 50:
-                        seen.clear()
-                    seen[text] = shingle_multiset(text)[:2]
-                return seen[text]
-
-            yield pd.Series([overlap(of(p), of(q)) >= THRESHOLD - 1e-12 for p, q in zip(x, y, strict=True)], dtype=bool)
+        return pd.Series([alike(p, q) for p, q in zip(x, y, strict=True)], dtype=bool)
 
     return both.filter(near("_x", "_y")).select("a", "b")
 
 
+def compare_all(keys: list[bytes], groups: list[bytes], bags: list[bytes], query: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """Links from queries to rows of other groups, exact; for each query one link to each group that it resembles.
+
+    A product of incidence matrices, some columns at a time; elements that one row alone has are left out.
+    """
+    sets = [np.frombuffer(b, _U) for b in bags]
+    size = np.array([len(x) for x in sets])
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, kept = np.repeat(np.arange(len(sets)), size), times[code] > 1
+    row, code = row[kept], np.unique(code[kept], return_inverse=True)[1]
+    q, m = np.flatnonzero(query), np.flatnonzero(~query)
+    shared = np.zeros((len(q), len(m)), np.float32)
+    step = max(1, (1 << 23) // len(sets))
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    for first in range(0, int(code[-1]) + 1 if len(code) else 0, step):
+        lo, hi = np.searchsorted(code, [first, first + step])
+        grid = np.zeros((len(sets), step), np.float32)
+        grid[row[lo:hi], code[lo:hi] - first] = 1
+        shared += grid[q] @ grid[m].T
+    _, group = np.unique(np.array(groups, dtype=object), return_inverse=True)
+    hit = (shared > 0) & (shared >= THRESHOLD * (size[q][:, None] + size[m][None] - shared) - 1e-4) & (group[q][:, None] != group[m][None])
+    i, j = np.nonzero(hit)
+    _, one = np.unique(np.stack([i, group[m][j]]), axis=1, return_index=True)
+    return [(keys[q[i[x]]], keys[m[j[x]]]) for x in one]
+
+
+def links_across(split: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links (a, b) between components within buckets of more than PAIRED texts.
+
+    split: (band, text_key, component). Texts that aren't in a bucket's largest component are compared with all its
+    texts, in blocks that bound what a task holds; only links come out, at most one for each text and component.
+    """
+    rows = split.join(bags, "text_key").withColumn("_bytes", F.octet_length("elements"))
+    parts = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_c"), F.sum("_bytes").alias("_b"))
+    whole = parts.groupBy("band").agg(F.max_by("component", F.struct("_c", "component")).alias("_main"), F.sum("_c").alias("_c"), F.sum("_b").alias("_b"))
+    blocks = F.ceil(F.greatest(F.col("_c") / BLOCK_TEXTS, F.col("_b") / BLOCK_BYTES)).cast("int")
+    dealt = rows.join(whole.select("band", "_main", blocks.alias("_k")), "band")
+    own, every = F.pmod(F.xxhash64("text_key"), F.col("_k")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("_k") - 1))
+    asked = dealt.filter(F.col("component") != F.col("_main")).select("band", own.alias("i"), every.alias("j"), F.lit(True).alias("query"), "text_key", "component", "elements")
+    given = dealt.select("band", every.alias("i"), own.alias("j"), F.lit(False).alias("query"), "text_key", "component", "elements")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        query = pdf["query"].to_numpy(bool)
+        found = compare_all(list(pdf["text_key"]), list(pdf["component"]), list(pdf["elements"]), query) if query.any() and not query.all() else []
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return asked.union(given).groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+
+
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """One row per input row: (doc_id, class_id, class_size, kept).
 
@@ -221,19 +281,21 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     pairs = stars.select(F.col("text_key").alias("a"), F.col("_best.text_key").alias("b")).filter("a <> b").distinct()
     candidates = alike(pairs, once)
 
-    links = stored(verified(candidates, _texts(docs, once, candidates)), "links")
+    links = stored(verified(candidates, _bags(docs, once, _both(candidates))), "links")
     labels = components(links)
     of = crowded.join(labels.withColumnRenamed("node", "text_key"), "text_key", "left")
-    of = of.select("band", "text_key", F.coalesce("component", "text_key").alias("component"))
+    of = of.select("band", "text_key", "_n", F.coalesce("component", "text_key").alias("component"))
     spread = {"_low": (F.min("component"), F.min("_low")), "_high": (F.max("component"), F.max("_high"))}
     split = with_group(of, ["band"], ["text_key"], spread, F.col("_low") != F.col("_high")).filter("_low IS NOT NULL")
-    split = stored(split.select("band", "text_key", "component"), "split")
-    x, y = (split.select("band", F.col("text_key").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
+    split = stored(split.select("band", "text_key", "component", "_n"), "split")
+    small, large = split.filter(F.col("_n") <= PAIRED), split.filter(F.col("_n") > PAIRED).drop("_n")
+    x, y = (small.select("band", F.col("text_key").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
     across = x.join(y, "band").filter("ca < cb").select("a", "b").distinct()
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     fresh = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = alike(fresh, once)
-    links = stored(links.union(verified(more, _texts(docs, once, more))), "links")
+    bags = _bags(docs, once, _both(more).union(large.select("text_key")))
+    links = stored(links.union(verified(more, bags)).union(links_across(large, bags)), "links")
 
     labels = components(links).withColumnRenamed("node", "text_key")
     rows = signed.select("doc_id", "text_key").join(labels, "text_key", "left").select("doc_id", F.coalesce("component", "text_key").alias("class"))
@@ -258,20 +320,28 @@ def alike(pairs: DataFrame, once: DataFrame) -> DataFrame:
     return stored(joined.filter(agree("_x", "_y")).select("a", "b"), "candidates")
 
 
-def _texts(docs: DataFrame, once: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(text_key, text) of the texts in ``pairs``, each once: of copies only that with the smallest doc_id is read."""
-    keys = pairs.select(F.col("a").alias("text_key")).union(pairs.select("b")).distinct()
-    wanted = stored(once.select("text_key", F.col("doc_id").alias("_doc")).join(keys, "text_key"), "wanted")
+def _both(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("text_key")).union(pairs.select("b"))
+
+
+def _bags(docs: DataFrame, once: DataFrame, keys: DataFrame) -> DataFrame:
+    """(text_key, elements) of the texts in ``keys``, each once: of copies only that with the smallest doc_id is read."""
+    wanted = stored(once.select("text_key", F.col("doc_id").alias("_doc")).join(keys.distinct(), "text_key"), "wanted")
     if wanted.count() <= MAX_BROADCAST:  # else the texts are shuffled to their ids
         wanted = F.broadcast(wanted)
     found = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")))
 
-    @F.pandas_udf("binary")
-    def key_of(x: pd.Series) -> pd.Series:
-        return pd.Series([shingle_multiset(t)[2] for t in x], dtype=object)
+    def bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch["text_key"], batch["text"], strict=True):
+                h, c, digest = shingle_multiset(text)
+                if digest == key:  # a doc_id that is null or repeated may bring other texts
+                    rows.append((key, elements(h, c).tobytes()))
+            yield pd.DataFrame(rows, columns=["text_key", "elements"])
 
-    # A doc_id that is null or repeated may bring other texts: the key tells.
-    return stored(found.filter(key_of("text") == F.col("text_key")).select("text_key", "text").dropDuplicates(["text_key"]), "candidate-texts")
+    bags = found.select("text_key", "text").mapInPandas(bag, "text_key binary, elements binary")
+    return stored(bags.dropDuplicates(["text_key"]), "bags")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:

@@ -173,3 +173,36 @@ def test_line_dedup(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "same line"), (1, "same line")]])
 def test_line_dedup_edges(spark, rows):
     assert line_dedup.line_report(table(spark, rows)).select(F.sum("n_removed")).head()[0] in (None, 0)
+
+
+def test_block_comparison_is_exact():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 2**63, 400).astype(np.uint64)
+    sets = [np.sort(rng.choice(pool[: rng.integers(30, 34)], rng.integers(26, 30), replace=False)) for _ in range(60)]
+    groups = [bytes([g]) for g in rng.integers(0, 20, 60)]
+    query = np.arange(60) % 3 == 0
+    found = near_dedup.compare_all([bytes([i]) for i in range(60)], groups, [x.tobytes() for x in sets], query)
+    want = set()
+    for i in np.flatnonzero(query):
+        for j in np.flatnonzero(~query):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            if groups[i] != groups[j] and shared / (len(sets[i]) + len(sets[j]) - shared) >= 0.8:
+                want.add((i, groups[j]))
+    assert want and {(a[0], groups[b[0]]) for a, b in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize("block", [2000, 7])
+def test_crowded_buckets(spark, monkeypatch, block):
+    """A crowd of near copies whose members resemble some others only: the same classes as by force."""
+    monkeypatch.setattr(near_dedup, "PAIRED", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(70)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.choice((1, 2, 3, 4))):
+            words[rng.randrange(70)] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    got = [tuple(r)[:3] for r in near_dedup.near_duplicate_classes(table(spark, rows)).collect()]
+    assert sorted(got) == sorted(near_by_force(rows)) and len({g[1] for g in got}) > 1
