@@ -10,6 +10,7 @@ start there too. Table, blocks and the documents' ids carry CRC-32 values, and e
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,11 +30,11 @@ BLOCK, LANES, CHECKPOINT = 1 << 18, 1024, 64
 MAGIC = b"LLTOK1\n"
 END_ID = 2
 #: Chunks whose ids a task remembers.
-REMEMBER = 250_000
+REMEMBER = 500_000
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
 #: White space besides spaces and line feeds: texts with it aren't cut into chunks.
-_ODD = frozenset("\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0                　")
+_ODD = re.compile("[\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0                　]")
 
 
 class Table(NamedTuple):
@@ -175,35 +176,41 @@ def decode_file(data: bytes, table: Table, slots: np.ndarray | None = None) -> I
 
 class Encoder:
     """A tokenizer that remembers chunks. A single space or line feed between two characters that aren't white space
-    always starts a token, so texts are cut there and each different chunk is encoded once, many in one call with a
-    special token between them. A comma or full stop that ends a chunk after a letter is a token too: such chunks are
-    put together. Other texts are encoded whole."""
+    always starts a token, so texts are cut there and each different chunk is encoded once, many in one call: a line
+    feed before a space is a token of its own, and so is one before a word. A comma or full stop that ends a chunk after
+    a letter is a token too: such chunks are put together. Other texts are encoded whole."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
-        self.whole, self.joined = Tokenizer.from_str(spec), Tokenizer.from_str(spec)
+        self.whole = Tokenizer.from_str(spec)
         self.whole.encode_special_tokens = True
-        specials = [(i, t.content) for i, t in self.whole.get_added_tokens_decoder().items() if t.special]
-        self.between = specials[0] if specials else None
+        self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        feed = self._ids("\n")
+        parts = [self._ids(x) for x in ("a", " b", "c")]
+        joined = np.concatenate([parts[0], feed, parts[1], feed, parts[2]])
+        self.feed = int(feed[0]) if len(feed) == 1 and np.array_equal(self._ids("a\n b\nc"), joined) else None
         self.tails = {c: self._alone(c) for c in ".,"}
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()  # chunks of which a later batch had use
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _alone(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return self._ids(text).tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
         known, tails = self.known, self.tails
         ended = [c for c in chunks if c[-1] in tails and c[-2:-1].isalpha()]
-        stems = list({c[:-1] for c in ended}.difference(known).union(set(chunks).difference(ended)))
-        if stems:
-            mark, sign = self.between
-            text = sign.join([c if c[0] == "\n" else " " + c for c in stems])
-            ids = np.array(self.joined.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            raw, at = ids.tobytes(), 0
-            for stem, end in zip(stems, [*(4 * np.flatnonzero(ids == mark)).tolist(), len(raw)], strict=True):
-                known[stem] = raw[at:end]
-                at = end + 4
+        stems = {c[:-1] for c in ended}.difference(known).union(set(chunks).difference(ended))
+        first = [c for c in stems if c[0] == "\n"]
+        words = [c for c in stems if c[0] != "\n"]
+        for some, text, skip in ((words, "\n " + "\n ".join(words), 4), (first, "".join(first), 0)):
+            if some:
+                ids = self._ids(text)
+                raw, cuts = ids.tobytes(), [*(4 * np.flatnonzero(ids == self.feed)).tolist(), 4 * len(ids)]
+                known.update(zip(some, [raw[i + skip : j] for i, j in zip(cuts, cuts[1:], strict=False)], strict=True))
         for c in ended:
             known[c] = known[c[:-1]] + tails[c[-1]]
 
@@ -212,19 +219,22 @@ class Encoder:
         cut: list[list[str] | None] = []
         fresh: set[str] = set()
         for text in texts:
-            if not self.between or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or self.between[1] in text:
+            if self.feed is None or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or any(x in text for x in self.specials):
                 cut.append(None)
                 continue
             chunks = text.replace("\n", " \n").split(" ")
-            if not chunks[0] or chunks[-1] in ("", "\n") or not _ODD.isdisjoint(text):
+            if not chunks[0] or chunks[-1] in ("", "\n") or _ODD.search(text):
                 cut.append(None)
                 continue
             cut.append(chunks)
             fresh.update(chunks[1:])
-        if len(self.known) > REMEMBER:  # what is in use stays
-            self.known = {c: self.known[c] for c in fresh if c in self.known}
-        if new := list(fresh.difference(self.known)):
-            self._learn(new)
+        new = fresh.difference(self.known)
+        if len(self.known) > REMEMBER:  # most chunks are seen once: those that were of use again stay
+            self.known = {c: self.known[c] for c in self.again.union(fresh.difference(new))}
+            self.again = set()
+        self.again.update(fresh.difference(new))
+        if new:
+            self._learn(list(new))
         get = self.known.__getitem__
         return [
             self._alone(text) if chunks is None else self._alone(chunks[0]) + b"".join(map(get, chunks[1:]))
