@@ -30,7 +30,7 @@ BLOCK, LANES, CHECKPOINT = 1 << 18, 1024, 64
 MAGIC = b"LLTOK1\n"
 END_ID = 2
 #: Chunks whose ids a task remembers.
-REMEMBER = 500_000
+REMEMBER = 800_000
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
 #: White space besides spaces and line feeds: texts with it aren't cut into chunks.
@@ -193,6 +193,7 @@ class Encoder:
         self.tails = {c: self._alone(c) for c in ".,"}
         self.known: dict[str, bytes] = {}
         self.again: set[str] = set()  # chunks of which a later batch had use
+        self.starts: dict[str, bytes] = {}  # of chunks that begin a text
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -236,8 +237,12 @@ class Encoder:
         if new:
             self._learn(list(new))
         get = self.known.__getitem__
+        if len(self.starts) > REMEMBER // 8:
+            self.starts.clear()
+        for start in {chunks[0] for chunks in cut if chunks}.difference(self.starts):
+            self.starts[start] = self._alone(start)
         return [
-            self._alone(text) if chunks is None else self._alone(chunks[0]) + b"".join(map(get, chunks[1:]))
+            self._alone(text) if chunks is None else self.starts[chunks[0]] + b"".join(map(get, chunks[1:]))
             for text, chunks in zip(texts, cut, strict=True)
         ]
 
