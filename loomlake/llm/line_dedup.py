@@ -2,9 +2,13 @@
 
 A line is the set of its words. A line goes if an earlier line (by doc_id, then line number) has a Jaccard similarity
 of THRESHOLD or more. Words are ordered by rarity (their number in a fixed count of hash buckets, then their hash; any
-fixed order gives the same result, rare words first makes it fast). Two such lines share a word among the first
-n - ceil(THRESHOLD * n) + 1 of each, so lines are joined on those words only; length and position bounds are applied
-in the join, and each pair that is left is verified with all words. Lines with equal word sets are one line throughout.
+fixed order gives the same result, rare words first makes it fast). Two such lines share a word among the first words
+of each (prefix filter: fewer for the shorter line), so lines are joined on those words only. Length and position
+bounds, and the bound that the parities of both word sets give for their difference, are applied in the join; each
+pair that is left is verified with all words. Lines with equal word sets are one line throughout.
+
+Where many lines share one of their rarest words (near copies of a passage), they are first compared with the earliest
+of them only. A line that goes by that isn't compared as the later one again: a crowd costs its size, not its square.
 """
 
 from __future__ import annotations
@@ -16,11 +20,14 @@ from loomlake.llm.shared import stored, with_group, word_array
 
 THRESHOLD = 0.8
 #: Hash buckets in which words are counted; the counts travel as one array of so many small numbers.
-BUCKETS = 1 << 14
+BUCKETS = 1 << 18
 #: Candidate lines whose places may be broadcast.
 MAX_BROADCAST = 300_000
-#: A word is a 64-bit code: its rarity class in the upper 6 bits (sign unused), its hash below.
+#: A word is a 64-bit code: its rarity class in the upper 6 bits (sign unused), its hash below. Lines are joined on the
+#: upper half of codes.
 _HASH_BITS = 57
+#: So many lines with a word among their FIRST rarest are a crowd.
+CROWD, FIRST = 32, 3
 
 
 def _text_lines(docs: DataFrame) -> DataFrame:
@@ -29,29 +36,48 @@ def _text_lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), lines)
 
 
-def _word_hashes(words: str) -> str:
-    return f"transform({words}, w -> xxhash64(w))"
+def _split(text: str) -> str:
+    """Words, and empty texts where a text begins or ends with other characters."""
+    return f"split(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+')"
 
 
 def rarity_classes(docs: DataFrame, buckets: int = BUCKETS) -> str:
-    """For each hash bucket of words the binary logarithm of its number of words, as JSON."""
-    words = docs.select(F.explode_outer(F.expr(word_array())).alias("w")).filter("w IS NOT NULL")
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    """For each hash bucket of words (a power of two of them) the binary logarithm of its number of words, as JSON."""
+    words = docs.select(F.explode_outer(F.expr(_split("text"))).alias("w")).filter("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
     classes = [0] * buckets
     for b, n in counts:
         classes[b] = n.bit_length()
-    return str(classes)
+    return "[" + ",".join(map(str, classes)) + "]"
+
+
+def _codes(classes: str, buckets: int) -> str:
+    """SQL for the distinct words of a line as codes in order of rarity."""
+    code = f"(shiftleft(cast(get(r, cast(h & {buckets - 1}L as int)) as bigint), {_HASH_BITS}) | (h & {(1 << _HASH_BITS) - 1}L))"
+    rank = f"from_json('{classes}', 'array<tinyint>')"
+    hashes = f"transform({_split('line')}, w -> xxhash64(w))"
+    return f"sort_array(array_distinct(transform(array({rank}), r -> transform(array_remove({hashes}, xxhash64('')), h -> {code}))[0]))"
 
 
-def _codes(classes: str, buckets: int) -> Column:
-    """The distinct words of a line as codes in order of rarity."""
-    code = f"shiftleft(cast(get(r, cast(pmod(h, {buckets}L) as int)) as bigint), {_HASH_BITS}) | (h & {(1 << _HASH_BITS) - 1}L)"
-    rank = f"from_json('{classes}', 'array<int>')"
-    return F.expr(f"array_sort(array_distinct(transform(array({rank}), r -> transform({_word_hashes(word_array('line'))}, h -> {code}))[0]))")
+def _needed(n: str, share: float) -> str:
+    return f"cast(ceil({n} * {share}D - 1e-9) as int)"
 
 
-def _needed(n: str, threshold: float) -> str:
-    return f"cast(ceil({n} * {threshold}D - 1e-9) as int)"
+def word_sets(docs: DataFrame, threshold: float, buckets: int) -> DataFrame:
+    """(doc_id, row, line_no, set_key, n, parity, prefix) of the lines with a word.
+
+    parity has a bit for each value of a word's hash mod 64: whether an odd number of words has it. A set of fewer
+    than threshold / (1 - threshold) words resembles only its equals: its prefix is empty.
+    """
+    most = f"size(c) - {_needed('size(c)', threshold)} + 1" if threshold < 1 else "0"
+    least = f"{threshold / (1 - threshold)}D" if threshold < 1 else "1D"
+    described = (
+        f"transform(array({_codes(rarity_classes(docs, buckets), buckets)}), c -> named_struct('set_key', xxhash64(c), 'n', size(c), "
+        "'parity', aggregate(c, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63L as int))), "
+        f"'prefix', transform(slice(c, 1, if(size(c) + 1e-9D >= {least}, {most}, 0)), x -> cast(shiftright(x, 32) as int))))"
+    )
+    # Generated in one go: a filter on the size of the codes would be pushed down and compute them twice.
+    return _text_lines(docs).select("doc_id", "row", "line_no", F.expr(f"inline_outer(filter({described}, s -> s.n > 0))")).filter("n IS NOT NULL")
 
 
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
@@ -60,53 +86,83 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, buckets: int =
     Lines are parted by \\n. Lines without a word are never removed. A null text has no lines with words. A null
     doc_id comes first. Rows that repeat both id and text are one document: they lose the same lines.
     """
-    codes = _codes(rarity_classes(docs, buckets), buckets)
-    lines = _text_lines(docs).select("doc_id", "row", "line_no", codes.alias("codes")).filter(F.size("codes") > 0)
-    n = F.size("codes")
-    prefix = F.slice("codes", 1, n - F.expr(_needed("size(codes)", threshold)) + 1)
-    placed = stored(lines.select("doc_id", "row", "line_no", F.xxhash64("codes").alias("set_key"), n.alias("n"), prefix.alias("prefix")), "lines")
-    places = placed.select("set_key", "doc_id", "row", "line_no")
-    at = F.struct("doc_id", "row", "line_no")
+    placed = stored(word_sets(docs, threshold, buckets).withColumn("tie", F.monotonically_increasing_id()), "lines")
+    at, whole = F.struct("doc_id", "row", "line_no"), F.struct("doc_id", "row", "line_no", "tie")
 
     # Within equal sets: all but the first place goes.
-    first = {"_at": (F.min(at), F.min("_at")), "_n": (F.count(F.lit(1)), F.sum("_n"))}
-    equal = with_group(places, ["set_key"], ["row", "line_no"], first, F.col("_n") > 1)
-    copies = equal.filter((F.col("_n") > 1) & (F.col("_at") < at)).select("doc_id", "row", "line_no")
+    first = {"_at": (F.min(whole), F.min("_at")), "_n": (F.count(F.lit(1)), F.sum("_n"))}
+    equal = stored(with_group(placed, ["set_key"], ["row", "line_no"], first, F.col("_n") > 1), "sets")
+    early = F.struct("_at.doc_id", "_at.row", "_at.line_no")
+    copies = equal.filter((F.col("_n") > 1) & (early < at)).select("doc_id", "row", "line_no")
+    firsts = equal.filter(F.col("_n").isNull() | (F.col("_at") == whole)).select("set_key", at.alias("at"), "n", "parity", "prefix")
 
     # Between different sets: the later one goes, with all its places.
-    sets = placed.groupBy("set_key").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
-    index = sets.select("set_key", "n", F.posexplode("prefix").alias("p", "code"))
-    least = f"cast(ceil({threshold}D / (1 + {threshold}D) * (n + n2) - 1e-9) as int)"
+    crowds = later_sets(docs, firsts, _crowd_pairs(firsts, threshold), threshold)
+    found = later_sets(docs, firsts, _close_pairs(firsts, crowds, threshold), threshold)
+    later = crowds.union(found).distinct()
+    gone = equal.select("doc_id", "row", "line_no", "set_key").join(later, "set_key", "left_semi").drop("set_key")
+    return copies.union(gone).distinct()
+
+
+def _crowd_pairs(firsts: DataFrame, threshold: float) -> DataFrame:
+    """Each set in a crowd with the earliest set of that crowd."""
+    rows = firsts.select("set_key", "at", "n", "parity", F.explode(F.slice("prefix", 1, FIRST)).alias("code"))
+    crowds = rows.groupBy("code").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") >= CROWD).select("code")
+    lead = {"_lead": (F.min(F.struct("at", "set_key", "n", "parity")), F.min("_lead"))}
+    members = with_group(rows.join(crowds, "code", "left_semi"), ["code"], ["set_key"], lead, F.lit(True))
+    pairs = members.select("set_key", "n", "parity", *[F.col(f"_lead.{c}").alias(f"{c}2") for c in ("set_key", "n", "parity")])
+    possible = f"set_key <> set_key2 AND least(n, n2) >= {threshold}D * greatest(n, n2) - 1e-9 AND {_parity_bound(threshold)}"
+    return pairs.filter(possible).select("set_key", "set_key2").distinct()
+
+
+def _parity_bound(threshold: float) -> str:
+    """The words that two sets can share at most, by their parities, are as many as they need."""
+    return f"(n + n2 - bit_count(parity ^ parity2)) * 0.5D >= {threshold / (1 + threshold)}D * (n + n2) - 1e-9"
+
+
+def _close_pairs(firsts: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of sets that all filters leave, the larger set first; pairs of two sets in ``gone`` are left out."""
+    marked = firsts.join(gone.withColumn("_gone", F.lit(True)), "set_key", "left").withColumn("open", F.col("_gone").isNull())
+    index = marked.select("set_key", "n", "parity", "open", F.posexplode("prefix").alias("p", "code"))
+    index = index.filter(F.shiftright("code", _HASH_BITS - 32) > 1)  # a bucket with one word: no other line has it
+    lead = f"(p2 < n2 - {_needed('n2', 2 * threshold / (1 + threshold))} + 1)"
+    both = f"{threshold / (1 + threshold)}D * (n + n2) - 1e-9"
     close = (
-        ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("set_key") < F.col("set_key2"))))
-        & (F.col("n") >= F.expr(_needed("n2", threshold)))
-        & (F.least("p", "p2") + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2")) >= F.expr(least))
+        f"(n > n2 OR (n = n2 AND set_key > set_key2)) AND (open OR open2) AND n2 >= {threshold}D * n - 1e-9 AND {lead} "
+        f"AND {_parity_bound(threshold)} AND least(p, p2) + least(n - p, n2 - p2) >= {both}"
     )
-    pairs = index.join(index.toDF("set_key2", "n2", "p2", "code2"), (F.col("code") == F.col("code2")) & close)
-    pairs = stored(pairs.select("set_key", "set_key2").distinct(), "line-pairs")
-    whole = _whole_lines(docs, places, pairs)
-    both = pairs.join(whole, "set_key").join(whole.toDF("set_key2", "at2", "words2"), "set_key2")
+    other = index.select(*[F.col(c).alias(f"{c}2") for c in index.columns])
+    return index.join(other, F.expr(f"code = code2 AND {close}")).select("set_key", "set_key2").distinct()
+
+
+def later_sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(set_key): of each pair whose words have the similarity, the set that comes later."""
+    pairs = stored(pairs, "line-pairs")
+    lines = _whole_lines(docs, firsts, pairs)
+    both = pairs.join(lines, "set_key").join(lines.toDF("set_key2", "at2", "line2"), "set_key2")
+    both = both.select("set_key", "set_key2", "at", "at2", _distinct_words("line").alias("words"), _distinct_words("line2").alias("words2"))
     common = F.size(F.array_intersect("words", "words2"))
     alike = both.filter(common >= F.lit(threshold) * (F.size("words") + F.size("words2") - common) - 1e-9)
-    later = alike.select(F.when(F.col("at") < F.col("at2"), F.col("set_key2")).otherwise(F.col("set_key")).alias("set_key")).distinct()
-    gone = places.join(later, "set_key", "left_semi").select("doc_id", "row", "line_no")
-    return copies.union(gone).distinct()
+    return stored(alike.select(F.when(F.col("at") < F.col("at2"), F.col("set_key2")).otherwise(F.col("set_key")).alias("set_key")).distinct(), "later")
+
+
+def _distinct_words(line: str) -> Column:
+    return F.array_distinct(F.expr(word_array(line)))
 
 
-def _whole_lines(docs: DataFrame, places: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(set_key, at, words): the first place of each set in ``pairs`` and its distinct words, read from the text there."""
+def _whole_lines(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(set_key, at, line): the first place of each set in ``pairs`` and the line there."""
     keys = pairs.select("set_key").union(pairs.select("set_key2")).distinct()
-    firsts = places.join(keys, "set_key").groupBy("set_key").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("at"))
-    wanted = firsts.groupBy(F.col("at.row").alias("_row"), F.col("at.doc_id").alias("_doc")).agg(F.collect_list(F.struct("set_key", "at")).alias("_sets"))
+    found = firsts.select("set_key", "at").join(keys, "set_key")
+    wanted = found.groupBy(F.col("at.row").alias("_row"), F.col("at.doc_id").alias("_doc")).agg(F.collect_list(F.struct("set_key", "at")).alias("_sets"))
     wanted = stored(wanted, "line-places")
     if wanted.agg(F.coalesce(F.sum(F.size("_sets")), F.lit(0))).head()[0] <= MAX_BROADCAST:  # else the texts are shuffled to them
         wanted = F.broadcast(wanted)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
-    found = rows.join(wanted, (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-    lines = found.select(F.split("text", "\n").alias("lines"), F.explode("_sets").alias("s"))
-    words = lines.select("s.set_key", "s.at", F.get("lines", F.col("s.at.line_no")).alias("line"))
-    words = words.select("set_key", "at", F.array_distinct(F.expr(word_array("line"))).alias("words"))
-    return stored(words.dropDuplicates(["set_key"]), "whole-lines")
+    matched = rows.join(wanted, (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+    lines = matched.select(F.split("text", "\n").alias("lines"), F.explode("_sets").alias("s"))
+    found = lines.select("s.set_key", "s.at", F.get("lines", F.col("s.at.line_no")).alias("line"))
+    return stored(found.dropDuplicates(["set_key"]), "whole-lines")
 
 
 def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
