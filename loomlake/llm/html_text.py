@@ -176,21 +176,25 @@ def walk(page: str, to: Visitor) -> None:
 # Wrappers: a node is [symbol, pages, repeated, kids, text, characters, characters in links, stories]; text slots have
 # the symbol "#" and as text the one they always have, or None. A node is optional if it has fewer pages than its parent.
 # stories tells pages apart that aren't copies of one another: hashes of the longest texts of up to MIN_PAGES of them.
-S, N, REP, KIDS, TEXT, CHARS, LINK, STORIES = range(8)
+# A page's tree that is to be placed in a wrapper also has the places of the elements and slots that a node was made of.
+S, N, REP, KIDS, TEXT, CHARS, LINK, STORIES, PLACES = range(9)
 
 
 class _Tree(Visitor):
-    def __init__(self) -> None:
-        self.root = ["", 1, False, [], None, 0, 0, []]
+    def __init__(self, placed: bool) -> None:
+        self.root = ["", 1, False, [], None, 0, 0, [], []]
         self.stack = [self.root]
         self.longest = ""
+        self.placed, self.clock = placed, 0
 
     def enter(self, sym: str, name: str, bad: bool) -> None:
-        node = [sym, 1, False, [], None, 0, 0, []]
+        self.clock += 1
+        node = [sym, 1, False, [], None, 0, 0, [], [self.clock] if self.placed else []]
         self.stack[-1][KIDS].append(node)
         self.stack.append(node)
 
     def leave(self, name: str) -> None:
+        self.clock += 1
         node = self.stack.pop()
         node[KIDS] = fold(node[KIDS])
 
@@ -203,7 +207,7 @@ class _Tree(Visitor):
                 slot = kids[-1]
                 slot[TEXT] = _short(slot[TEXT] + " " + text)
             else:
-                slot = ["#", 1, False, [], _short(text), 0, 0, []]
+                slot = ["#", 1, False, [], _short(text), 0, 0, [], [~self.clock] if self.placed else []]
                 kids.append(slot)
             slot[CHARS] += len(text)
             slot[LINK] += len(text) * linked
@@ -221,8 +225,9 @@ def hash_text(text: str) -> str:
     return f"{zlib.crc32(raw):08x}{zlib.adler32(raw):08x}"
 
 
-def tree_of(page: str) -> list:
-    t = _Tree()
+def tree_of(page: str, placed: bool = False) -> list:
+    """The page as a wrapper of its own. Places: elements are numbered by the tags before them, a slot by ~ of that."""
+    t = _Tree(placed)
     walk(page, t)
     t.root[KIDS] = fold(t.root[KIDS])
     story, todo = [hash_text(t.longest)], [t.root]
@@ -238,7 +243,7 @@ def _merge(a: list, b: list, again: bool = False) -> list:
     kids = _align(a[KIDS], b[KIDS], again)
     text = a[TEXT] if a[TEXT] == b[TEXT] else None
     stories = a[STORIES] if again or a[STORIES] == b[STORIES] else sorted({*a[STORIES], *b[STORIES]})[:MIN_PAGES]
-    return [a[S], max(a[N], b[N]) if again else a[N] + b[N], a[REP] or b[REP] or again, kids, text, a[CHARS] + b[CHARS], a[LINK] + b[LINK], stories]
+    return [a[S], max(a[N], b[N]) if again else a[N] + b[N], a[REP] or b[REP] or again, kids, text, a[CHARS] + b[CHARS], a[LINK] + b[LINK], stories, a[PLACES] + b[PLACES]]
 
 
 def fold(kids: list[list]) -> list[list]:
@@ -266,15 +271,20 @@ def _unordered(kids: list[list]) -> list[list]:
     return list(by.values())
 
 
-def _align(a: list[list], b: list[list], again: bool = False) -> list[list]:
-    """Two sequences of siblings in one: a longest common subsequence of symbols is merged, the rest is optional."""
-    if [x[S] for x in a] == [x[S] for x in b]:
-        return [_merge(x, y, again) for x, y in zip(a, b, strict=True)]
+def _common(a: list[list], b: list[list]) -> list[list[int]]:
+    """The length of a longest common subsequence of symbols, from each pair of siblings on."""
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if a[i][S] == b[j][S] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
+    return best
+
+
+def _align(a: list[list], b: list[list], again: bool = False) -> list[list]:
+    """Two sequences of siblings in one: a longest common subsequence of symbols is merged, the rest is optional."""
+    if [x[S] for x in a] == [x[S] for x in b]:
+        return [_merge(x, y, again) for x, y in zip(a, b, strict=True)]
+    best, out, i, j = _common(a, b), [], 0, 0
     while i < len(a) and j < len(b):
         if a[i][S] == b[j][S]:
             out.append(_merge(a[i], b[j], again))
@@ -294,36 +304,77 @@ def align_pages(wrapper: list | None, other: list) -> list:
     return other if wrapper is None else _merge(wrapper, other)
 
 
-def furniture(wrapper: list) -> list[str]:
+def furniture(wrapper: list) -> tuple[list[str], str | None]:
     """Paths of the host's furniture: slots with the same text on all of MIN_PAGES or more pages while others differ,
-    and elements that are made of links. Pages with the same longest text count once. Headings of an article stay."""
-    found: list[str] = []
+    and elements that are made of links. Pages with the same longest text count once. Headings of an article stay.
+
+    Where siblings of one symbol share a path and some of them are content, the path is left out; pages of the host
+    are to be placed in the second value then, the wrapper as JSON of nodes [symbol, furniture, kids].
+    """
+    found: dict[str, set[bool]] = {}
     varies = False
 
-    def visit(node: list, path: str) -> tuple[int, int]:
+    def visit(node: list, path: str) -> tuple[int, int, list]:
         nonlocal varies
         enough = len(node[STORIES]) >= MIN_PAGES
-        chars, link = node[CHARS], node[LINK]
+        chars, link, kids = node[CHARS], node[LINK], []
         for kid in node[KIDS]:
-            c, k = visit(kid, f"{path}/{kid[S]}")
+            c, k, place = visit(kid, f"{path}/{kid[S]}")
             chars, link = chars + c, link + k
+            kids.append(place)
         if node[S] == "#":
             varies = varies or node[TEXT] is None
-            if node[TEXT] is not None and not node[REP] and enough and not _HEADING.search(path):
-                found.append(path)
-        elif enough and chars and link >= LINKS * chars and node[S].split(".")[0] in ("ul", "ol", "div", "table", "dl"):
-            found.append(path)
-        return chars, link
-
-    visit(wrapper, "")
-    return sorted(set(found)) if varies else sorted({p for p in found if not p.endswith("/#")})
+            bad = node[TEXT] is not None and not node[REP] and enough and not _HEADING.search(path)
+        else:
+            bad = bool(enough and chars and link >= LINKS * chars and node[S].split(".")[0] in ("ul", "ol", "div", "table", "dl"))
+        return chars, link, [node[S], bad, kids]
+
+    root = visit(wrapper, "")[2]
+
+    def settle(node: list, path: str) -> bool:
+        """Gathers the verdicts of each path; whether anything in the node is furniture."""
+        node[1] = node[1] and (varies or node[0] != "#")
+        found.setdefault(path, set()).add(node[1])
+        inside = [settle(kid, f"{path}/{kid[0]}") for kid in node[2]]
+        if node[1] or not any(inside):
+            node[2] = []
+        return node[1] or any(inside)
+
+    settle(root, "")
+    mixed = any(len(v) > 1 for v in found.values())
+    return sorted(p for p, v in found.items() if v == {True}), json.dumps(root) if mixed else None
+
+
+def places(kids: list[list], wrapper: list[list]) -> set[int]:
+    """Places of furniture in a page's siblings, placed in a wrapper's. What a wrapper's group has taken in so that
+    it can't be placed is furniture if it is so in all places for its symbol."""
+
+    def of(kid: list, node: list) -> set[int]:
+        return set(kid[PLACES]) if node[1] else places(kid[KIDS], node[2]) if node[2] else set()
+
+    out: set[int] = set()
+    if [x[S] for x in kids] == [x[S] for x in wrapper]:
+        return out.union(*map(of, kids, wrapper))
+    best, i, j = _common(kids, wrapper), 0, 0
+    while i < len(kids):
+        if j < len(wrapper) and kids[i][S] == wrapper[j][S]:
+            out |= of(kids[i], wrapper[j])
+            i, j = i + 1, j + 1
+        elif j < len(wrapper) and best[i + 1][j] < best[i][j + 1]:
+            j += 1
+        else:
+            same = [of(kids[i], node) for node in wrapper if node[S] == kids[i][S]]
+            out |= set.intersection(*same) if same else set()
+            i += 1
+    return out
 
 
 class _Text(Visitor):
     """Collects blocks: (main region?, text)."""
 
-    def __init__(self, out: set[str]) -> None:
+    def __init__(self, out: set[str | int]) -> None:
         self.out, self.path, self.bad = out, [""], 0
+        self.clock = 0
         self.marks: list[bool] = []
         self.main, self.mains = 0, 0
         self.blocks: list[tuple[bool, str]] = []
@@ -339,9 +390,10 @@ class _Text(Visitor):
     def enter(self, sym: str, name: str, bad: bool) -> None:
         if name in BLOCK:
             self._flush()
+        self.clock += 1
         path = f"{self.path[-1]}/{sym}"
         inside = name == "header" and self.main == 0
-        bad = bad or inside or path in self.out
+        bad = bad or inside or path in self.out or self.clock in self.out
         self.path.append(path)
         self.marks.append(bad)
         self.bad += bad
@@ -352,20 +404,22 @@ class _Text(Visitor):
     def leave(self, name: str) -> None:
         if name in BLOCK:
             self._flush()
+        self.clock += 1
         self.path.pop()
         self.bad -= self.marks.pop()
         self.main -= name in ("article", "main")
 
     def text(self, text: str, linked: bool) -> None:
-        if not self.bad and f"{self.path[-1]}/#" not in self.out:
+        if not self.bad and f"{self.path[-1]}/#" not in self.out and ~self.clock not in self.out:
             self.now.append(html.unescape(text))
 
     def brk(self) -> None:
         self.now.append(" ")
 
 
-def main_text(page: str, out: set[str]) -> str:
-    """The blocks of the page outside furniture, joined by \\n; those in an article or main element, if there is one."""
+def main_text(page: str, out: set[str | int]) -> str:
+    """The blocks of the page outside furniture (paths and places), joined by \\n; those in an article or main element,
+    if there is one."""
     t = _Text(out)
     walk(page, t)
     t._flush()
@@ -413,19 +467,29 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"_host": batch["host"], "_out": [furniture(json.loads(w)) for w in batch["wrapper"]]})
+            found = [furniture(json.loads(w)) for w in batch["wrapper"]]
+            yield pd.DataFrame({"_host": batch["host"], "_out": [out for out, _ in found], "_tree": pd.Series([tree for _, tree in found], dtype=object)})
 
-    verdicts = stored(infer_wrappers(pages).mapInPandas(judge, "_host string, _out array<string>"), "wrappers")
-    size = verdicts.agg(F.sum(F.octet_length("_host") + F.octet_length(F.array_join("_out", "|")) + 64)).head()[0] or 0
+    verdicts = stored(infer_wrappers(pages).mapInPandas(judge, "_host string, _out array<string>, _tree string"), "wrappers")
+    octets = F.octet_length("_host") + F.octet_length(F.array_join("_out", "|")) + F.coalesce(F.octet_length("_tree"), F.lit(0))
+    size = verdicts.agg(F.sum(octets + 64)).head()[0] or 0
     if size <= MAX_BROADCAST:
         verdicts = F.broadcast(verdicts)
 
     @F.pandas_udf("string")
-    def text_of(page: pd.Series, out: pd.Series) -> pd.Series:
-        return pd.Series([main_text(p or "", set(o) if o is not None else set()) for p, o in zip(page, out, strict=True)], dtype=object)
+    def text_of(page: pd.Series, out: pd.Series, tree: pd.Series) -> pd.Series:
+        trees: dict[str, list] = {}
+
+        def text(p: str, o: list[str] | None, t: str | None) -> str:
+            if t and t not in trees:
+                trees[t] = json.loads(t)[2]
+            found = places(tree_of(p, placed=True)[KIDS], trees[t]) if t else set()
+            return main_text(p, found.union(o if o is not None else ()))
+
+        return pd.Series([text(p or "", o, t) for p, o, t in zip(page, out, tree, strict=True)], dtype=object)
 
     rows = pages.select("page_id", "url", "html", host_of().alias("_host")).join(verdicts, "_host", "left")
-    return rows.select("page_id", "url", text_of("html", "_out").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return rows.select("page_id", "url", text_of("html", "_out", "_tree").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op7_html_text(spark, sf_dir):

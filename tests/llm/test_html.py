@@ -86,3 +86,20 @@ def test_whole_table(spark, sf):
         blocks = re.split(r"</?(?:p|h1|div|li|ul)[^>]*>", body[1]) if body else []
         want = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", b.replace("<b>", "").replace("</b>", "")))).strip() for b in blocks]
         assert got[r["page_id"]] == "\n".join(filter(None, want)), r["page_id"]
+
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    return [r["text"] for r in sorted(H.extract_text(df).collect(), key=lambda r: r["page_id"])]
+
+
+def test_furniture_of_one_place_leaves_its_siblings(spark):
+    """One constant paragraph, and one list of links, beside content of the same symbol; some pages lack a part."""
+    page = "<html><body><article><h1>T{0}</h1><p>Start of a long story {0}.</p>{1}<p>Go on {0}.</p><figure>Fig {0}</figure><p>Read more on our site.</p></article></body></html>"
+    got = texts_of(spark, [page.format(i, f"<p>More {i}.</p>" * (i % 3)) for i in range(9)])
+    assert got == ["\n".join([f"T{i}", f"Start of a long story {i}.", *[f"More {i}."] * (i % 3), f"Go on {i}.", f"Fig {i}"]) for i in range(9)]
+
+    page = "<html><body><div><ul><li><a href=/a>Home of us</a><li><a href=/b>News</a></ul><h2>H{0}</h2>{1}<ul><li>point {0}<li>{2}</ul></div></body></html>"
+    got = texts_of(spark, [page.format(i, "<p>Now</p>" * (i % 2), "<a href=/x>a long link that is content</a>" if i == 4 else f"more of the words on it {i}") for i in range(9)])
+    assert [t.split("\n")[-2:] for t in got] == [[f"point {i}", "a long link that is content" if i == 4 else f"more of the words on it {i}"] for i in range(9)]
+    assert not any("News" in t for t in got)
