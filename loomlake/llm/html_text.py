@@ -28,6 +28,8 @@ MIN_PAGES, LINKS = 5, 0.8
 MAX_KIDS = 150
 #: Bytes of verdicts that may be broadcast; more are joined by host.
 MAX_BROADCAST = 32 << 20
+#: Wrappers that a task of the first two rounds holds before it gives them to the next round.
+MAX_HELD = 20_000
 #: Groups of wrappers that one host is dealt over in the first round of alignment.
 PARTS = 32
 
@@ -431,18 +433,28 @@ def host_of(col: str = "url") -> Column:
     return F.lower(F.coalesce(F.regexp_extract(col, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _combined(key: Callable, read: Callable) -> Callable:
-    """A streaming task that aligns what it reads, by host (and part), and gives a wrapper for each."""
+def _combined(key: Callable, read: Callable, last: bool = False) -> Callable:
+    """A streaming task that aligns what it reads, by host (and part), and gives a wrapper for each.
+
+    More than MAX_HELD wrappers are given early, for a later round to align. In the last round rows come sorted by
+    key, and a wrapper is given when the next key begins: one for each, however many there are.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list] = {}
         size = 0
         for batch in batches:
+            done: dict[tuple, list] = {}
             for row in batch.itertuples(index=False):
                 k = key(row)
+                if last and k not in held:
+                    done.update(held)
+                    held.clear()
                 size += k not in held
                 held[k] = align_pages(held.get(k), read(row))
-            if size > 20_000:
+            if last:
+                yield frame(done)
+            elif size > MAX_HELD:
                 yield frame(held)
                 held, size = {}, 0
         yield frame(held)
@@ -459,7 +471,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     rows = pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     mapped = rows.mapInPandas(_combined(lambda r: (r.host, len(r.html) % PARTS), lambda r: tree_of(r.html)), schema)
     few = mapped.repartition("host", "part").mapInPandas(_combined(lambda r: (r.host, r.part), lambda r: json.loads(r.wrapper)), schema)
-    return few.repartition("host").mapInPandas(_combined(lambda r: (r.host, 0), lambda r: json.loads(r.wrapper)), schema)
+    by_host = few.repartition("host").sortWithinPartitions("host")
+    return by_host.mapInPandas(_combined(lambda r: (r.host, 0), lambda r: json.loads(r.wrapper), last=True), schema)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

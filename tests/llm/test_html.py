@@ -1,5 +1,8 @@
 """Main text: exact results on pages of known structure, wrappers, furniture that only the host's other pages show."""
 
+import json
+
+import pandas as pd
 import pytest
 
 from loomlake.llm import html_text as H
@@ -103,3 +106,28 @@ def test_furniture_of_one_place_leaves_its_siblings(spark):
     got = texts_of(spark, [page.format(i, "<p>Now</p>" * (i % 2), "<a href=/x>a long link that is content</a>" if i == 4 else f"more of the words on it {i}") for i in range(9)])
     assert [t.split("\n")[-2:] for t in got] == [[f"point {i}", "a long link that is content" if i == 4 else f"more of the words on it {i}"] for i in range(9)]
     assert not any("News" in t for t in got)
+
+
+@pytest.mark.parametrize("batch", [1, 10_000])
+def test_one_wrapper_for_each_host_when_tasks_give_early(spark, monkeypatch, batch):
+    """Hosts whose parts come in several batches, and more of them than a task may hold."""
+    run = {last: H._combined(lambda r: (r.host, 0), lambda r: H.tree_of(r.wrapper), last) for last in (False, True)}
+    monkeypatch.setattr(H, "MAX_HELD", 2)
+    rows = [(f"h{i // 5}", 0, p) for i, p in enumerate(host_pages(40))]
+    batches = [pd.DataFrame(rows[i : i + batch], columns=["host", "part", "wrapper"]) for i in range(0, len(rows), batch)]
+    got = pd.concat(run[True](iter(batches)))
+    assert list(got["host"]) == [f"h{i}" for i in range(8)]
+    assert [json.loads(w)[H.N] for w in got["wrapper"]] == [5] * 8
+    assert pd.concat(run[False](iter(batches)))["host"].nunique() == 8
+
+
+def test_pages_of_many_hosts_come_once(spark, monkeypatch):
+    monkeypatch.setattr(H, "MAX_HELD", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        rows = [(i, f"http://h{i % 30}.example/{i}", p) for i, p in enumerate(host_pages(300))]
+        got = H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r["page_id"] for r in got) == list(range(300))
+    assert {r["text"] for r in got} == {f"Story number {i} tells of {i * 7} things." for i in range(300)}
