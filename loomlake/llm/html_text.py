@@ -55,6 +55,11 @@ NAMES = {
     "related", "reply", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor",
     "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget", "widgets",
 }
+#: Names of what has articles or long texts of its own, which aren't the page's.
+OWN_TEXT = {
+    "ad", "ads", "advert", "adverts", "advertisement", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "gdpr",
+    "login", "modal", "newsletter", "popup", "promo", "promoted", "related", "reply", "replies", "respond", "sponsor", "sponsored",
+}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"ul", "ol", "dl", "table", "select", "body", "html", "article", "div", "section", "main", "nav", "aside"}
 
@@ -91,26 +96,31 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             pos = close.end() if close else len(page)
 
 
-def _kind(name: str, rest: str) -> tuple[str, bool]:
-    """The symbol of an element, and whether it is furniture by its kind."""
-    marks, bad = [], name in FURNITURE
+# What an element is by itself: content, furniture by its name, the same with text of its own, furniture by its kind.
+CONTENT, NAMED, OWNING, KIND = range(4)
+
+
+def _kind(name: str, rest: str) -> tuple[str, int]:
+    """The symbol of an element, and whether it is furniture by its kind or name."""
+    marks, bad = [], KIND if name in FURNITURE else CONTENT
     if rest and not rest.isspace():
         for key, value in _ATTR.findall(rest):
             value = value.strip("\"'")
             if key.lower() == "role":
-                bad = bad or value.lower() in ROLES
-            else:
-                bad = bad or name not in ("html", "body", "article", "main") and not NAMES.isdisjoint(w.lower() for w in _WORD.findall(value))
+                bad = KIND if value.lower() in ROLES else bad
+            elif name not in ("html", "body"):
+                words = {w.lower() for w in _WORD.findall(value)}
+                bad = max(bad, CONTENT if NAMES.isdisjoint(words) else NAMED if OWN_TEXT.isdisjoint(words) else OWNING)
             if key.lower() != "id":
                 marks.append(value)
-        bad = bad or bool(_HIDDEN.search(rest))
+        bad = KIND if _HIDDEN.search(rest) else bad
     return name + ("." + ".".join(sorted(" ".join(marks).split())) if marks else ""), bad
 
 
 class Visitor:
     """What walk() tells of a page."""
 
-    def enter(self, sym: str, name: str, bad: bool) -> None: ...
+    def enter(self, sym: str, name: str, bad: int) -> None: ...
 
     def leave(self, name: str) -> None: ...
 
@@ -158,7 +168,7 @@ def walk(page: str, to: Visitor) -> None:
                     to.brk()
                 continue
             sym, bad = _kind(name, rest)
-            entered = name in BLOCK or bad
+            entered = name in BLOCK or bad > CONTENT
             stack.append((name, entered))
             links += name == "a"
             if entered:
@@ -189,7 +199,7 @@ class _Tree(Visitor):
         self.longest = ""
         self.placed, self.clock = placed, 0
 
-    def enter(self, sym: str, name: str, bad: bool) -> None:
+    def enter(self, sym: str, name: str, bad: int) -> None:
         self.clock += 1
         node = [sym, 1, False, [], None, 0, 0, [], [self.clock] if self.placed else []]
         self.stack[-1][KIDS].append(node)
@@ -371,52 +381,97 @@ def places(kids: list[list], wrapper: list[list]) -> set[int]:
     return out
 
 
+class _Named:
+    """An element that is furniture by its name: what it holds decides whether the name is right."""
+
+    def __init__(self, owning: bool) -> None:
+        self.owning = owning
+        self.chars, self.blocks, self.main, self.article = 0, 0, False, False
+
+
 class _Text(Visitor):
-    """Collects blocks: (main region?, text)."""
+    """Collects blocks of (main region, elements that are furniture by their name, text)."""
 
     def __init__(self, out: set[str | int]) -> None:
         self.out, self.path, self.bad = out, [""], 0
         self.clock = 0
-        self.marks: list[bool] = []
-        self.main, self.mains = 0, 0
-        self.blocks: list[tuple[bool, str]] = []
-        self.now: list[str] = []
+        self.marks: list[tuple[bool, tuple[_Named, ...]]] = []
+        self.named: tuple[_Named, ...] = ()
+        self.main, self.mains = 0, set()
+        self.blocks: list[tuple[bool, list[tuple[tuple[_Named, ...], str]]]] = []
+        self.now: list[tuple[tuple[_Named, ...], str]] = []
+        self.chars, self.plain = 0, 0
 
     def _flush(self) -> None:
         if self.now:
-            text = _GAP.sub(" ", "".join(self.now)).strip()
-            if text:
-                self.blocks.append((self.main > 0, text))
+            self.blocks.append((self.main > 0, self.now))
             self.now = []
 
-    def enter(self, sym: str, name: str, bad: bool) -> None:
+    def enter(self, sym: str, name: str, bad: int) -> None:
         if name in BLOCK:
             self._flush()
         self.clock += 1
         path = f"{self.path[-1]}/{sym}"
+        region = name in ("article", "main")
         inside = name == "header" and self.main == 0
-        bad = bad or inside or path in self.out or self.clock in self.out
+        out = bad == KIND or inside or path in self.out or self.clock in self.out
         self.path.append(path)
-        self.marks.append(bad)
-        self.bad += bad
-        if name in ("article", "main") and not self.bad:
-            self.mains += 1
-        self.main += name in ("article", "main")
+        self.marks.append((out, self.named))
+        self.bad += out
+        for box in self.named:
+            box.blocks += name in BLOCK and not self.bad
+        if region and not self.bad:
+            self.mains.add(self.named)
+            for box in self.named if self.main == 0 else ():
+                box.main = box.main or name == "main"
+                box.article = box.article or name == "article" and bad == CONTENT
+        elif bad in (NAMED, OWNING) and not self.bad:
+            self.named = (*self.named, _Named(bad == OWNING))
+        self.main += region
 
     def leave(self, name: str) -> None:
         if name in BLOCK:
             self._flush()
         self.clock += 1
         self.path.pop()
-        self.bad -= self.marks.pop()
+        out, self.named = self.marks.pop()
+        self.bad -= out
         self.main -= name in ("article", "main")
 
     def text(self, text: str, linked: bool) -> None:
         if not self.bad and f"{self.path[-1]}/#" not in self.out and ~self.clock not in self.out:
-            self.now.append(html.unescape(text))
+            self.now.append((self.named, html.unescape(text)))
+            if not linked:
+                size = len(text.strip())
+                self.chars += size
+                self.plain += size * (not self.named)
+                for box in self.named:
+                    box.chars += size
 
     def brk(self) -> None:
-        self.now.append(" ")
+        self.now.append(((), " "))
+
+    def result(self) -> list[str]:
+        """A name is set aside if its element holds a main element, or blocks with most of the page's text outside
+        links, or, where no article or main element is outside of such elements, an article. Names of OWN_TEXT need a
+        main element, or an article and more text than there is outside. What is in articles of an element that
+        isn't most of the page doesn't rule out what is outside of them."""
+        self._flush()
+        plain = () in self.mains
+
+        def layout(box: _Named) -> bool:
+            return box.main or box.blocks > 0 and 2 * box.chars > self.chars and not box.owning
+
+        def kept(named: tuple[_Named, ...]) -> bool:
+            return all(layout(x) or x.article and not plain and (not x.owning or x.chars > self.plain) for x in named)
+
+        exclusive = any(all(layout(x) or x.chars >= self.plain and not x.owning for x in m) and kept(m) for m in self.mains)
+        out = []
+        for main, pieces in self.blocks:
+            text = _GAP.sub(" ", "".join(t for named, t in pieces if kept(named))).strip() if main or not exclusive else ""
+            if text:
+                out.append(text)
+        return out
 
 
 def main_text(page: str, out: set[str | int]) -> str:
@@ -424,8 +479,7 @@ def main_text(page: str, out: set[str | int]) -> str:
     if there is one."""
     t = _Text(out)
     walk(page, t)
-    t._flush()
-    return "\n".join(text for main, text in t.blocks if main or not t.mains)
+    return "\n".join(t.result())
 
 
 def host_of(col: str = "url") -> Column:

@@ -131,3 +131,23 @@ def test_pages_of_many_hosts_come_once(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(r["page_id"] for r in got) == list(range(300))
     assert {r["text"] for r in got} == {f"Story number {i} tells of {i * 7} things." for i in range(300)}
+
+
+@pytest.mark.parametrize("name", ["class='content-sidebar-wrap'", "class='has-sidebar'", "class='layout-with-nav'", "id='search-results'", "class='has-cookie-banner'", "class='post comments-open'"])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_layout_around_the_article_is_no_furniture(name, tag):
+    page = f"<nav>n</nav><div {name}><div><{tag}><h1>T</h1><p>Story.</p></{tag}></div><div class='sidebar'><p>Side</p></div></div><div class='footer'>End</div>"
+    assert text(page) == "T\nStory."
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<article><h1>T</h1><div class='post-share-content'><p>A long story.<p>Its end.</div><div class='share'>Tell</div></article>", "T\nA long story.\nIts end."),
+    ("<div class='content-sidebar-wrap'><p>A story without an article.<p>Its end.</div><div class='ad'>Buy</div>", "A story without an article.\nIts end."),
+    ("<div class='has-nav'><main><p>m</p><div id='comments'><article class='comment'><p>A long comment on it</article></div></main></div>", "m"),
+    ("<main><p>m</main><div class='related'><article><p>A longer text of another page</article></div>", "m"),
+    ("<div class='entry'><p>The whole story</div><div id='comments'><article><p>c1</article></div>", "The whole story"),
+    ("<article><p>x</p><div class='ad'>An ad longer than the text</div></article>", "x"),
+    ("<nav class='nav'><main><p>no</main></nav><div class='has-nav' hidden><main>no</main></div><p>y", "y"),
+])
+def test_names_hold_for_what_is_furniture(page, want):
+    assert text(page) == want
