@@ -90,12 +90,13 @@ def _rate(history: list[list[float]], max_rate: float | None) -> Column:
 
 
 def fit_rates(
-    rows: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None, max_rate: float | None = None
+    rows: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None, max_rate: float | None = None, whole: str | None = None
 ) -> tuple[Column, dict[str, float]]:
     """The rate as a column over (n_tokens, p_<domain>), and the expected tokens by domain that it gives.
 
     budget: tokens wanted in all; default as many as there are. Domains without tokens can't be met and are left
-    out. rows is read once per iteration: pass a stored table.
+    out. whole: a domain whose target is met; those of the others are upper bounds, by which nothing is wanted of
+    what is scarce. rows is read once per iteration: pass a stored table.
     """
     names = [f"p_{d}" for d in DOMAINS]
 
@@ -111,6 +112,8 @@ def fit_rates(
     now, past = have, None
     for _ in range(ITERATIONS):
         error = [(n - w) / h if h > 0 else 0.0 for n, w, h in zip(now, want, have, strict=True)]
+        if whole is not None:
+            error = [e if d == whole else max(e, 0.0) for d, e in zip(DOMAINS, error, strict=True)]
         if max(map(abs, error)) < TOLERANCE or past and max(abs(a - b) for a, b in zip(error, past, strict=True)) < TOLERANCE / 10:
             break
         history.append(error)
@@ -122,18 +125,20 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARG
     """One row per document: (doc_id, row, n_tokens, p_<domain>.., rate, copies).
 
     repeat: the budget is the tokens there are, and scarce domains are repeated. Else no document is repeated
-    (rates stay at 1 or below) and the budget is what the scarcest domain allows. copies is the rate rounded up or
+    (rates stay at 1 or below): the domain of the largest target is to be kept whole, which gives the budget, and the
+    other targets are upper bounds, so that little of a domain takes nothing from the others. copies is the rate rounded up or
     down by a hash of id and text, so its expectation is the rate. Null texts have no tokens; rows that repeat id
     and text get the same values. row is a hash of both.
     """
     scored = posteriors(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")), fit_domains(docs, labels)).drop("text")
     rows = stored(scored, "posteriors")
-    budget = None
-    if not repeat:
-        have = rows.agg(*[F.sum(F.col(f"p_{d}") * F.col("n_tokens")).alias(d) for d in DOMAINS]).head()
-        possible = [have[d] / w for d, w in targets.items() if w > 0 and have[d]]
-        budget = min(possible) * sum(targets.values()) if possible else 0.0
-    rate, _ = fit_rates(rows, targets, budget, None if repeat else 1.0)
+    if repeat:
+        rate, _ = fit_rates(rows, targets)
+    else:
+        whole = max(targets, key=lambda d: targets[d])
+        have = rows.agg(F.sum(F.col(f"p_{whole}") * F.col("n_tokens"))).head()[0]
+        budget = have / targets[whole] * sum(targets.values()) if have else None
+        rate = F.lit(1.0) if budget is None else fit_rates(rows, targets, budget, 1.0, whole)[0]
     draw = F.pmod(F.xxhash64(F.lit("mix"), "row"), F.lit(1 << 30)) / float(1 << 30)
     rated = rows.withColumn("rate", rate)
     return rated.withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))

@@ -77,3 +77,24 @@ def test_few_labels(spark, labels):
     got = M.mixture(d, lab).collect()
     assert len(got) == 20 and all(r["rate"] >= 0 for r in got)
     assert M.mixture(d.filter("doc_id < 0"), lab).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.12, 0.01, 0.001, 0.0])
+def test_scarce_domains_take_nothing_from_the_clean(spark, monkeypatch, share):
+    """Posteriors that are soft, and sum to so little of toxic: clean documents stay, toxic ones up to their bound."""
+    rng = np.random.default_rng(2)
+    n, tokens = 4000, rng.integers(50, 150, 4000)
+    p = np.full((n, 3), 1e-5)
+    p[np.arange(n), rng.choice(3, n, p=[0.9 - share, 0.1, share])] = 1.0
+    p /= p.sum(1, keepdims=True)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(n)], "doc_id long, text string")
+    given = rows_of(spark, p, tokens).drop("row")
+    monkeypatch.setattr(M, "fit_domains", lambda *a: None)
+    monkeypatch.setattr(M, "posteriors", lambda d, fitted: d.join(given, "doc_id"))
+    rows = M.mixture(docs, None, repeat=False).orderBy("doc_id").collect()
+    r = np.array([x["rate"] for x in rows])
+    assert (r >= 0).all() and (r <= 1).all()
+    kept, have = (p * (tokens * r)[:, None]).sum(0), (p * tokens[:, None]).sum(0)
+    assert kept[0] > 0.999 * have[0] and M.mixed_documents(docs, None, repeat=False).count() >= (p[:, 0] > 0.9).sum()
+    bound = have[0] / 0.92 * 0.04
+    assert kept[1] == pytest.approx(bound, rel=0.01) and kept[2] == pytest.approx(min(bound, have[2]), rel=0.01, abs=1)
