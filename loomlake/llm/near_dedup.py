@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomlake.llm.shared import stored, with_group
@@ -135,32 +135,38 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, bands array<long>, signature binary); bands is empty for texts without words."""
+    """(doc_id, row, text_key, bands array<long>, signature binary); bands is empty for texts without words."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, held, size = [], [], 0
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc, row, text in zip(batch["doc_id"], batch["row"], batch["text"], strict=True):
                 h, c, digest = shingle_multiset(text)
-                held.append((doc, digest, h, c))
+                held.append((doc, row, digest, h, c))
                 size += len(h)
                 if size > 100_000:
                     rows += signed(held)
                     held, size = [], 0
             rows += signed(held)
-            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "bands", "signature"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "row", "text_key", "bands", "signature"]).astype({"doc_id": "Int64"})
 
     def signed(held: list) -> list[tuple]:
         if not held:
             return []
-        sig = bag_min_hash([(h, c) for _, _, h, c in held])
+        sig = bag_min_hash([(h, c) for *_, h, c in held])
         code = np.repeat(np.arange(BANDS, dtype=_U)[None], len(held), axis=0)
         for j in range(ROWS):
             code = _mix(code * _U(0x9E3779B97F4A7C15) + sig.reshape(len(held), BANDS, ROWS)[:, :, j].astype(_U))
         code = code.astype(np.int64)
-        return [(d, k, code[i] if len(h) else code[i, :0], sig[i].tobytes() if len(h) else b"") for i, (d, k, h, _) in enumerate(held)]
+        return [(d, r, k, code[i] if len(h) else code[i, :0], sig[i].tobytes() if len(h) else b"") for i, (d, r, k, h, _) in enumerate(held)]
 
-    return docs.select("doc_id", "text").mapInPandas(sign, "doc_id long, text_key binary, bands array<long>, signature binary")
+    rows = docs.select("doc_id", row_key().alias("row"), "text")
+    return rows.mapInPandas(sign, "doc_id long, row long, text_key binary, bands array<long>, signature binary")
+
+
+def row_key() -> Column:
+    """A hash of id and text: with the id it tells rows apart whose id is null or repeated."""
+    return F.xxhash64("doc_id", "text")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -261,15 +267,11 @@ def links_across(split: DataFrame, bags: DataFrame) -> DataFrame:
     return asked.union(given).groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
 
 
-def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """One row per input row: (doc_id, class_id, class_size, kept).
-
-    class_id is the smallest doc_id of the class (null if all are null), class_size counts its rows, kept holds for
-    the row whose doc_id is class_id. Texts with equal words are copies. Texts without words are copies if equal,
-    null counting as empty. Rows that repeat the smallest doc_id are all kept. No rows: no rows.
-    """
+def classes(docs: DataFrame) -> DataFrame:
+    """One row per input row: (doc_id, row, class), class being a key of one of the class's texts. Texts with equal
+    words are copies. Texts without words are copies if equal, null counting as empty."""
     signed = stored(signatures(docs), "signatures")
-    once = signed.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.any_value("signature").alias("signature"))
+    once = signed.groupBy("text_key").agg(F.min("row").alias("row"), F.any_value("bands").alias("bands"), F.any_value("signature").alias("signature"))
     once = stored(once, "texts")
     buckets = once.select("text_key", F.explode("bands").alias("band"))
     size = {"_n": (F.count(F.lit(1)), F.sum("_n"))}
@@ -298,9 +300,18 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     links = stored(links.union(verified(more, bags)).union(links_across(large, bags)), "links")
 
     labels = components(links).withColumnRenamed("node", "text_key")
-    rows = signed.select("doc_id", "text_key").join(labels, "text_key", "left").select("doc_id", F.coalesce("component", "text_key").alias("class"))
+    rows = signed.select("doc_id", "row", "text_key").join(labels, "text_key", "left").select("doc_id", "row", F.coalesce("component", "text_key").alias("class"))
+    return stored(rows, "classes")
+
+
+def near_duplicate_classes(docs: DataFrame) -> DataFrame:
+    """One row per input row: (doc_id, class_id, class_size, kept).
+
+    class_id is the smallest doc_id of the class (null if all are null), class_size counts its rows, kept holds for
+    the row whose doc_id is class_id. Rows that repeat the smallest doc_id are all kept. No rows: no rows.
+    """
     values = {"_first": (F.min("doc_id"), F.min("_first")), "_size": (F.count(F.lit(1)), F.sum("_size"))}
-    found = with_group(stored(rows, "classes"), ["class"], ["doc_id"], values, F.col("_size") > 1)
+    found = with_group(classes(docs).drop("row"), ["class"], ["doc_id"], values, F.col("_size") > 1)
     first = F.when(F.col("_size").isNull(), F.col("doc_id")).otherwise(F.col("_first"))
     return found.select("doc_id", first.alias("class_id"), F.coalesce("_size", F.lit(1)).cast("long").alias("class_size"), first.eqNullSafe(F.col("doc_id")).alias("kept"))
 
@@ -325,18 +336,18 @@ def _both(pairs: DataFrame) -> DataFrame:
 
 
 def _bags(docs: DataFrame, once: DataFrame, keys: DataFrame) -> DataFrame:
-    """(text_key, elements) of the texts in ``keys``, each once: of copies only that with the smallest doc_id is read."""
-    wanted = stored(once.select("text_key", F.col("doc_id").alias("_doc")).join(keys.distinct(), "text_key"), "wanted")
-    if wanted.count() <= MAX_BROADCAST:  # else the texts are shuffled to their ids
+    """(text_key, elements) of the texts in ``keys``, each once: of copies only that with the smallest row key is read."""
+    wanted = stored(once.select("text_key", F.col("row").alias("_row")).join(keys.distinct(), "text_key"), "wanted")
+    if wanted.count() <= MAX_BROADCAST:  # else the texts are shuffled to their row keys
         wanted = F.broadcast(wanted)
-    found = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")))
+    found = docs.select(row_key().alias("_row"), "text").join(wanted, "_row")
 
     def bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for key, text in zip(batch["text_key"], batch["text"], strict=True):
                 h, c, digest = shingle_multiset(text)
-                if digest == key:  # a doc_id that is null or repeated may bring other texts
+                if digest == key:  # texts whose row keys collide may bring others
                     rows.append((key, elements(h, c).tobytes()))
             yield pd.DataFrame(rows, columns=["text_key", "elements"])
 
@@ -345,9 +356,13 @@ def _bags(docs: DataFrame, once: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each class, with the columns of ``docs``: that with the smallest doc_id."""
-    kept = near_duplicate_classes(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each class, with the columns of ``docs``: that with the smallest doc_id, nulls last, and of those with
+    the smallest row key. Rows of equal id and text are one text: any of them."""
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("_kept"), F.col("row").alias("_kept_row"))
+    kept = classes(docs).groupBy("class").agg(F.min(rank).alias("_first")).select("_first._kept", "_first._kept_row")
+    keyed = docs.withColumn("_row", row_key())
+    same = (keyed["_row"] == kept["_kept_row"]) & keyed["doc_id"].eqNullSafe(kept["_kept"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_row"]).drop("_row")
 
 
 def op5_near_dedup(spark, sf_dir):

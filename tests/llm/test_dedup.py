@@ -206,3 +206,19 @@ def test_crowded_buckets(spark, monkeypatch, block):
         rows.append((i, " ".join(words)))
     got = [tuple(r)[:3] for r in near_dedup.near_duplicate_classes(table(spark, rows)).collect()]
     assert sorted(got) == sorted(near_by_force(rows)) and len({g[1] for g in got}) > 1
+
+
+def test_rows_without_an_id_of_their_own(spark):
+    """A third of the ids are null and some are repeated: one row of each class stays, whatever its id."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(30)) for _ in range(30)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    rows += [(None, texts[0] + "."), (None, texts[3]), (7, texts[6]), (1, texts[2]), (7, texts[4].upper()), (7, texts[4]), (500, texts[1]), (None, None), (None, "")]
+    got = near_dedup.drop_near_duplicates(table(spark, rows))
+    assert got.columns == ["doc_id", "text", "_part", "keep_id"]
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted((t or "").lower().strip(".") for _, t in kept) == sorted([*texts, ""])
+    by = {(t or "").lower().strip("."): d for d, t in kept}
+    assert by[texts[6]] == 7 and by[texts[2]] == 1 and by[texts[1]] == 7 and by[texts[9]] is None
+    found = [tuple(r)[:3] for r in near_dedup.near_duplicate_classes(table(spark, rows)).collect()]
+    assert sorted(found, key=str) == sorted(near_by_force(rows), key=str)
