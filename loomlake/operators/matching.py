@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from loomlake.functions import vocabulary as V
 from loomlake.functions.names import is_pii_column
+from loomlake.storage import written
 
 MOST_CANDIDATES, MOST_KEPT = 120, 50
 SELECT, REVIEW, CANDIDATE = 0.85, 0.70, 0.50
@@ -53,7 +54,7 @@ def core_of(words: list[str]) -> list[str]:
 
 def widened(words: Iterable[str]) -> set[str]:
     own = set(words)
-    return own.union(*[V.SYNONYMS.get(w, "").split() for w in own])
+    return own.union(*[V.SYNONYMS.get(w, ()) for w in own])
 
 
 def without_hash(name: str) -> str:
@@ -63,7 +64,7 @@ def without_hash(name: str) -> str:
 def describe(name: str) -> tuple:
     words = words_of(name)
     core = core_of(words)
-    known = {a for key in (" ".join(words), "".join(words), "".join(core)) for a in V.ALIASES.get(key, "").split()}
+    known = {a for key in (" ".join(words), "".join(words), "".join(core)) for a in V.ALIASES.get(key, ())}
     names = [*known, name, "_".join(words), "_".join(core)]
     aliases = {"".join(words_of(a)) for a in names} | {re.sub("[^a-z0-9]", "", a.lower()) for a in known}
     acronym = "".join(w[0] for w in words) if len(words) > 1 else ""
@@ -75,7 +76,7 @@ def expected_type(name: str) -> str | None:
     words, norm = widened([*words_of(name), *core_of(words_of(name))]), "".join(words_of(name))
     if norm.endswith("at"):
         return "temporal"
-    return next((k for k, v in V.TYPE_WORDS.items() if words & set(v.split())), None)
+    return next((k for k, v in V.TYPE_WORDS.items() if words & set(v)), None)
 
 
 def type_group(kind: T.DataType) -> str:
@@ -165,6 +166,7 @@ def score(fields: DataFrame, columns: DataFrame, historical: DataFrame | None =
         "_part": partial_words(F.col("f_words"), F.col("words")), "_view": similarity(F.col("f_wide"), F.col("about")),
         "_fuzzy": F.greatest(ratio("f_norm", "norm"), F.when((F.col("f_core") != "") & (F.col("core") != ""), ratio("f_core", "core")).otherwise(0.0)),
     })
+    p = written(p, "match-features")  # else every rule below would hold the features' expressions again
     token = F.greatest("_words", "_wide")
     tier = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("double").alias("value"))
     best = (
@@ -175,7 +177,7 @@ def score(fields: DataFrame, columns: DataFrame, historical: DataFrame | None =
         .when(F.col("_wide") >= 0.56, tier("token", F.least(F.lit(0.79), 0.53 + F.col("_wide") * 0.30)))
         .when(F.col("_fuzzy") >= CANDIDATE, tier("fuzzy", F.least(F.lit(0.62), F.col("_fuzzy")))).otherwise(tier("weak", F.col("_fuzzy")))
     )
-    p = p.withColumn("_best", best).withColumn("match_type", F.col("_best.kind"))
+    p = written(p.withColumn("_best", best).withColumn("match_type", F.col("_best.kind")), "match-kinds")
     relevant = F.when(F.col("_view") >= 0.28, F.least(F.lit(0.05), F.col("_view") * 0.08)).otherwise(0.0)
     strong = F.col("match_type").isin(*PRIORITY)
     liked = F.lit(0.0) if preferred_view is None else F.when(F.col("view") != preferred_view, -0.03).when(strong, 0.025).otherwise(0.0)
@@ -190,9 +192,9 @@ def score(fields: DataFrame, columns: DataFrame, historical: DataFrame | None =
     value = clamp(F.least(value, most) + child)
     warnings = []
     for condition, cap, text in _caps():
-        value = F.when(condition, F.least(value, F.lit(cap))).otherwise(value)
+        value = F.least(value, F.when(condition, F.lit(cap)))  # least leaves nulls out
         warnings.append(F.when(condition, F.lit(text)))
-    value = F.when(F.col("match_type").isin("business_alias", "historical"), F.least(value, F.lit(0.94))).otherwise(value)
+    value = F.least(value, F.when(F.col("match_type").isin("business_alias", "historical"), F.lit(0.94)))
     out = p.select(
         "field_no", F.col("f_name").alias("field"), F.col("f_required").alias("required"), "view", "column", "data_type", F.round(value, 3).alias("confidence"), "match_type",
         F.array_compact(F.array(*warnings)).alias("warnings"), _sensitive().alias("sensitive"), F.col("view_rows"), "about",
@@ -217,7 +219,7 @@ def _caps() -> list[tuple[Column, float, str]]:
     """Conditions that leave only so much confidence, and what they warn of."""
     out = []
     for word, (others, cap) in V.REQUIRED_WORDS.items():
-        needed = F.array(*[F.lit(w) for w in others.split()])
+        needed = F.array(*[F.lit(w) for w in others])
         out.append((F.array_contains("f_wide", word) & ~F.arrays_overlap("wide", needed), cap, f"{word} is missing from the column"))
     own = F.array(*[F.lit(w) for w in ("source", "raw", "bronze", "silver")])
     out.append((F.col("platform") & ~F.arrays_overlap("f_wide", own), 0.55, "a column of the platform"))
