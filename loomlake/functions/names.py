@@ -61,6 +61,9 @@ def _first(text: str | None, rules: dict[str, tuple[str, ...]], default: str) ->
 
 # Identifiers
 
+#: Fixed value: the characters that a column name of a table must not have.
+INVALID = r"[ \t\n\r,;{}()=./\\`-]"
+
 
 def safe_identifier(value: str, max_length: int = 128) -> str:
     """Lower case, other characters as one underscore, ``t_`` before a digit, ``unnamed`` if nothing is left."""
@@ -69,20 +72,23 @@ def safe_identifier(value: str, max_length: int = 128) -> str:
 
 
 def sanitize_column(value: str | None) -> tuple[str, list[str]]:
-    """A column name as its parts allow, case kept, and why it was changed."""
-    raw, reasons = str(value or ""), []
-    name = re.sub(r"[^A-Za-z0-9_]", "_", raw)
-    if name != raw:
-        reasons.append("invalid_characters")
-        lead = re.match(r"_*", raw)[0]
-        short = lead + re.sub(r"_+", "_", name).strip("_")
-        if short != name:
-            reasons.append("collapsed_underscores")
-        name = short
-    if not name.strip("_"):
-        return "unnamed_field", [*reasons, "empty_name"]
+    """A column name that all layers can hold, case and other letters kept, and why it was changed.
+
+    Runs of INVALID characters become one underscore. Then underscores in a row count as one, and an end of the name
+    that had such a character loses its underscores; names that are fine keep all of theirs.
+    """
+    name, reasons = "" if value is None else str(value), []
+    if found := re.findall(INVALID, name):
+        first, last = name.startswith(found[0]), name.endswith(found[-1])
+        spelled = re.sub(f"{INVALID}+", "_", name)
+        single = re.sub("_+", "_", spelled)
+        name = single.lstrip("_") if first else single
+        name = name.rstrip("_") if last else name
+        reasons += ["invalid_characters"] + ["collapsed_underscores"] * (single != spelled) + ["trimmed_underscores"] * (name != single)
+    if not name:
+        name, reasons = "unnamed_field", [*reasons, "empty_name"]
     if name[0].isdigit():
-        return f"col_{name}", [*reasons, "leading_digit"]
+        name, reasons = f"col_{name}", [*reasons, "starts_with_number"]
     return name, reasons
 
 

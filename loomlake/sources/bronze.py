@@ -33,7 +33,8 @@ def sanitized(df: DataFrame) -> DataFrame:
 def column_mappings(df: DataFrame, raw_object_key: str) -> DataFrame:
     """(raw_object_key, raw_field, bronze_field, reason) of the top-level columns whose names change."""
     names = sanitize_columns(df.columns)
-    rows = [(raw_object_key, c, n, ",".join(sanitize_column(c)[1]) or "duplicate_name") for c, n in names.items() if c != n]
+    why = lambda c, n: ",".join([*(found := sanitize_column(c))[1], *["duplicate_sanitized_name"] * (found[0] != n)])
+    rows = [(raw_object_key, c, n, why(c, n)) for c, n in names.items() if c != n]
     return df.sparkSession.createDataFrame(rows, "raw_object_key string, raw_field string, bronze_field string, reason string")
 
 

@@ -10,13 +10,18 @@ from loomlake.operators.views import plan_view
 
 @pytest.mark.parametrize(("raw", "want"), [
     ("a.b", "a_b"), ("a b", "a_b"), ("field(name)", "field_name"), ("field=value", "field_value"), ("line\nbreak", "line_break"), ("123abc", "col_123abc"),
-    ("", "unnamed_field"), ("_id", "_id"), ("__source_id", "__source_id"), ("é", "unnamed_field"), ("a__b", "a__b"),
+    ("", "unnamed_field"), ("_id", "_id"), ("__source_id", "__source_id"), ("é", "é"), ("الاسم", "الاسم"), ("a$b", "a$b"), ("a b_", "a_b_"), ("__a b", "_a_b"), ("_", "_"), ("a__b", "a__b"), (" a. b ", "a_b"), (".", "unnamed_field"), ("-1x", "col_1x"),
 ])
 def test_sanitized_columns(raw, want):
     assert N.sanitize_column(raw)[0] == want
     assert (N.sanitize_column(raw)[1] == []) == (raw == want)
 
 
+def test_reasons_of_new_names():
+    assert N.sanitize_column("a. b")[1] == ["invalid_characters"] and N.sanitize_column("a._b")[1] == ["invalid_characters", "collapsed_underscores"]
+    assert N.sanitize_column(".1")[1] == ["invalid_characters", "trimmed_underscores", "starts_with_number"] and N.sanitize_column(None) == ("unnamed_field", ["empty_name"])
+
+
 def test_unique_names():
     assert list(N.sanitize_columns(["a.b", "a b", "a_b", "A_B"]).values()) == ["a_b", "a_b_2", "a_b_3", "A_B_4"]
     assert N.unique_names(["x", "X"], ["x_2"]) == ["x", "X_3"]
