@@ -35,9 +35,12 @@ class Refused(ValueError):
 
 @dataclass(frozen=True)
 class Checked:
+    """starts: where the names of relations begin in the text."""
+
     sql: str
     relations: tuple[str, ...]
     joins: int
+    starts: tuple[int, ...] = ()
 
 
 def _children(node) -> list:
@@ -105,7 +108,7 @@ def check_sql(spark: SparkSession, sql: str, allowed: set[str], role: str = "adm
         raise Refused(f"not a single valid statement: {str(e).strip().splitlines()[0][:200]}") from (None if isinstance(e, ParseException) else e)
     finally:
         conf.set("spark.sql.ansi.doubleQuotedIdentifiers", before)
-    relations, joins, ctes = [], 0, set()
+    relations, joins, ctes, starts = [], 0, set(), []
     for node in _nodes(plan, spark.sparkContext._gateway):
         name = node.nodeName()
         if name.lstrip("'") not in ALLOWED_NODES:
@@ -119,6 +122,9 @@ def check_sql(spark: SparkSession, sql: str, allowed: set[str], role: str = "adm
         if name.lstrip("'") == "UnresolvedRelation":
             parts = node.multipartIdentifier()
             relations.append(".".join(parts.apply(i) for i in range(parts.size())))
+            start = node.origin().startIndex()
+            if start.isDefined():
+                starts.append(start.get())
     read = [r for r in relations if r.lower() not in ctes]
     if not read:
         raise Refused("the query must read a safe view")
@@ -131,7 +137,7 @@ def check_sql(spark: SparkSession, sql: str, allowed: set[str], role: str = "adm
         short = re.sub(r"^(delta\.)?silver\.", "", r.lower())
         if "." in short or short not in names or not any(re.fullmatch(p, short) for p in ROLES[role]):
             raise Refused(f"not a safe view: {r}")
-    return Checked(text, tuple(sorted({re.sub(r"^(delta\.)?silver\.", "", r.lower()) for r in read})), joins)
+    return Checked(text, tuple(sorted({re.sub(r"^(delta\.)?silver\.", "", r.lower()) for r in read})), joins, tuple(sorted(set(starts))))
 
 
 def gated(spark: SparkSession, sql: str, allowed: set[str], role: str = "admin", limit: int = MAX_ROWS) -> DataFrame:
@@ -141,7 +147,7 @@ def gated(spark: SparkSession, sql: str, allowed: set[str], role: str = "admin",
     before = spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers", "false")
     spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
     try:
-        df = spark.sql(re.sub(r"(?i)\b(delta\.)?silver\.(?=\w+_analytics)", "", checked.sql))
+        df = spark.sql(_short_names(checked))
     finally:
         spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", before)
     size = scan_bytes(df)
@@ -150,6 +156,15 @@ def gated(spark: SparkSession, sql: str, allowed: set[str], role: str = "admin",
     return df.limit(max(1, min(limit, MAX_ROWS)))
 
 
+def _short_names(checked: Checked) -> str:
+    """The text with the names of relations, and nothing else, without the schema that views are in."""
+    text = checked.sql
+    for start in reversed(checked.starts):
+        schema = re.compile(r"""(["`]?delta["`]?\s*\.\s*)?["`]?silver["`]?\s*\.\s*""", re.I).match(text, start)
+        text = text[:start] + text[schema.end() :] if schema else text
+    return text
+
+
 def scan_bytes(df: DataFrame) -> int:
     """The estimated size of all leaves of the optimised plan."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
