@@ -41,14 +41,6 @@ def at_path(df: DataFrame, path: str, kind: str = "string") -> Column:
     return F.expr(f"try_cast({'.'.join(steps)} AS {kind})")
 
 
-def as_json(df: DataFrame, name: str) -> Column:
-    field = field_of(df.schema, name)
-    if field is None:
-        return F.lit(None).cast("string")
-    nested = isinstance(field.dataType, T.StructType | T.ArrayType | T.MapType)
-    return F.to_json(F.col(quote(field.name))) if nested else F.col(quote(field.name)).cast("string")
-
-
 def array_csv(df: DataFrame, path: str) -> Column:
     """The elements of an array joined by commas; a scalar as text."""
     where: T.DataType = df.schema

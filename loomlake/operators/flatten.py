@@ -88,6 +88,7 @@ def plan_flatten(schema: T.StructType, table: str = "table_clean", depth: int =
                 plan.pii.append(path)
             if len(wanted) >= max_columns:
                 plan.raw_json[path] = "column limit"
+                wanted.append((f"{name}_raw_json", path, "json"))
             elif isinstance(f.dataType, T.StructType):
                 if level < depth:
                     visit(f.dataType, path, level + 1)
@@ -124,13 +125,18 @@ def flatten(df: DataFrame, plan: FlattenPlan | None = None) -> DataFrame:
         if how == "count":
             c = F.size(c).cast("int")
         elif how == "json":
-            c = F.to_json(c)
+            c = as_json(c, f.kind)
         else:
             c = C.normalised(c, f.kind, path.replace(".", "_"))
         out.append(c.alias(name))
     return df.select(*out)
 
 
+def as_json(c: Column, kind: T.DataType) -> Column:
+    """Nested values as JSON, others as text."""
+    return F.to_json(c) if isinstance(kind, T.StructType | T.ArrayType | T.MapType) else c.cast("string")
+
+
 def row_id(df: DataFrame, key: str = "record_hash") -> Column:
     """The key of a row: its record hash (a changed document is a new row) or its _id (it replaces the old one); where
     there is neither, the hash of the business columns."""
@@ -163,7 +169,7 @@ def clean_table(df: DataFrame, table: str, key: str = "record_hash") -> DataFram
     kinds = {f.path: f for f in walk_schema(df.schema, depth=32)}
     tagged = df.select(row_id(df, key).alias("silver_row_id"), *lineage_columns(df), *[F.col(quote(c)).alias(c) for c in df.columns if c not in AUDIT_COLUMNS])
     flat = [
-        (F.size(F.col(kinds[p].column)).cast("int") if how == "count" else F.to_json(F.col(kinds[p].column)) if how == "json"
+        (F.size(F.col(kinds[p].column)).cast("int") if how == "count" else as_json(F.col(kinds[p].column), kinds[p].kind) if how == "json"
          else C.normalised(F.col(kinds[p].column), kinds[p].kind, p.replace(".", "_"))).alias(n)
         for n, (p, how) in plan.columns.items()
     ]
@@ -198,7 +204,7 @@ def _child_value(how: str, column: str, kind: T.DataType, path: str) -> Column:
     c = F.col(column)
     if how == "count":
         return F.size(c).cast("int")
-    return F.to_json(c) if how == "json" else C.normalised(c, kind, path.replace(".", "_"))
+    return as_json(c, kind) if how == "json" else C.normalised(c, kind, path.replace(".", "_"))
 
 
 def child_tables(df: DataFrame, parent_id: Column, parent_table: str, most: int = 40) -> dict[str, DataFrame]:

@@ -169,24 +169,3 @@ def readiness(bronze: T.StructType, silver: T.StructType, table: str, collection
 
 def missing_child_tables(bronze: T.StructType, table: str, existing: set[str]) -> list[str]:
     return sorted(set(plan_flatten(bronze, table).children.values()) - existing)
-
-
-# Audits
-
-
-def explain_pii(schema: T.StructType, view_columns: list[str] | None) -> list[dict]:
-    """A row per field with personal data: kind, rule, confidence, and what the safe view does with it."""
-    found = [f.path for f in walk_schema(schema) if N.is_pii_path(f.path) or N.is_pii_column(f.path.split(".")[-1])]
-    return [
-        {"field_path": p, "pii_type": N.pii_type(p), "rule": N.pii_rule(p), "confidence": N.pii_confidence(p),
-         "protection": N.pii_protection(N.safe_identifier(p.replace(".", "_")), view_columns)}
-        for p in found
-    ]
-
-
-def explain_raw_json(plan: FlattenPlan) -> list[dict]:
-    return [{"field_path": p, "reason": (r := N.raw_json_reason(why)), "bi_impact": N.raw_json_impact(r)} for p, why in plan.raw_json.items()]
-
-
-def explain_children(plan: FlattenPlan, kinds: dict[str, str]) -> list[dict]:
-    return [{"field_path": p, "child_table": t, "reason": N.child_reason("repeated struct" if "struct" in kinds.get(p, "") else None)} for p, t in plan.children.items()]

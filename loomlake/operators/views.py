@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from loomlake.functions.columns import pii_hash
 from loomlake.functions.names import is_pii_column, is_unsafe_json, quote, unique_names, view_name
+from loomlake.operators.merge import replace_keys
 from loomlake.operators.sets import reconcile
 
 STALE_MINUTES = 1440
@@ -87,9 +88,27 @@ def drop_orphans(spark: SparkSession, found: DataFrame, allowed: bool = False) -
     return names
 
 
-def eligible(metadata: DataFrame, visible: DataFrame) -> DataFrame:
-    """Views that may be queried: validated, safe, and both they and their source there."""
-    return metadata.filter("status = 'ok' AND pii_safe").join(visible.select("view_name"), "view_name", "left_semi")
+def eligible(metadata: DataFrame, visible: DataFrame, sources: DataFrame, live: DataFrame | None = None) -> DataFrame:
+    """Views that may be queried: validated, safe, they and their source there, and answering where that was tried.
+
+    visible: (view_name); sources: (table_name); live: (view_name, live).
+    """
+    got = metadata.filter("status = 'ok' AND pii_safe").join(visible.select("view_name"), "view_name", "left_semi")
+    got = got.join(sources.select(F.col("table_name").alias("source_table")), "source_table", "left_semi").select(metadata.columns)
+    return got if live is None else got.join(live.filter("live").select("view_name"), "view_name", "left_semi").select(metadata.columns)
+
+
+def renew_views(spark: SparkSession, tables: dict[str, DataFrame], metadata: DataFrame | None, salt: str, now: Column, stale_minutes: int = STALE_MINUTES) -> tuple[DataFrame, list[str]]:
+    """Registers what is missing or stale among the views of ``tables``; returns all metadata as of now, and the orphans.
+
+    metadata: of an earlier registration, None at first. Views that are fresh are left alone.
+    """
+    visible = spark.createDataFrame([(t.name,) for t in spark.catalog.listTables() if t.name.endswith("_analytics")], "view_name string")
+    known = metadata if metadata is not None else register_views(spark, {}, salt)
+    found = reconcile_views(known, spark.createDataFrame([(t,) for t in tables], "table_name string"), visible, now, stale_minutes).collect()
+    again = {r["view_name"] for r in found if r["status"] in ("missing", "stale")}
+    fresh = register_views(spark, {t: df for t, df in tables.items() if view_name(t) in again}, salt).withColumn("validated_at", now)
+    return replace_keys(known, fresh, ["view_name"]), sorted(r["view_name"] for r in found if r["status"] == "orphan")
 
 
 def check_view(view: DataFrame, source: DataFrame) -> DataFrame:

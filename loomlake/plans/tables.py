@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlake.functions import columns as C
+from loomlake.operators import audits
 from loomlake.operators import flatten as FL
 from loomlake.operators import profile as P
 from loomlake.plans.registry import query, table
@@ -217,7 +218,11 @@ def schema_drift(spark, sf_dir):
     return rows[0].union(rows[1]).union(rows[2]).select("table_name", "change_type", joined("new_fields"), joined("removed_fields"))
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES ('shop__orders_clean', 'transactional', 'bi_ready', 'ready', 100.0::DOUBLE, 100.0::DOUBLE, ''), ('shop__part_clean', 'pii_sensitive', 'bi_ready', 'ready', 100.0, 98.8, ''),
+  ('shop__customer_clean', 'pii_sensitive', 'bi_ready', 'ready', 100.0, 98.8, ''), ('shop__events_clean', 'log_like', 'limited', 'ready', 100.0, 100.0, ''))
+  v(table_name, classification, suitability, status, bi_readiness, analytics_readiness, reasons)
+""")
 def readiness_scores(spark, sf_dir):
     """Readiness of clean tables from their schemas."""
     rows = []
@@ -235,8 +240,8 @@ SELECT * FROM (VALUES ('email', 'email', 'column_name_contains_email', 0.98::DOU
 """)
 def pii_audit(spark, sf_dir):
     schema = T._parse_datatype_string("email string, mobilePhone string, age int, profile struct<passportNo string, city string>")
-    found = P.explain_pii(schema, ["email", "mobilephone_hash", "age"])
-    return spark.createDataFrame([tuple(x.values()) for x in found], "field_path string, pii_type string, rule string, confidence double, protection string")
+    found = [x[1:6] for x in audits.pii_rows(schema, ["email", "mobilephone_hash", "age"])]
+    return spark.createDataFrame(found, "field_path string, pii_type string, rule string, confidence double, protection string")
 
 
 # Files and bronze tables
@@ -264,16 +269,18 @@ def raw_verify(spark, sf_dir):
 
 
 @query("""
-SELECT p_partkey AS part_key, p_name AS col_1_name, p_size AS size_cm, {'a_b': p_brand, 'a_b_2': p_type} AS nested,
-  sha256('{"col_1_name":"' || p_name || '","nested":{"a_b":"' || p_brand || '","a_b_2":"' || p_type || '"},"part_key":' || p_partkey || ',"size_cm":' || p_size || '}') AS record_hash,
+SELECT p_partkey AS part_key, p_name AS col_1_name, p_size AS size_cm, p_brand || '/' || p_type AS nested, p_brand AS "é", p_size AS "a_b_", p_size + 1 AS "_", p_size + 2 AS "a$b",
+  sha256('{"_":' || (p_size + 1) || ',"a$b":' || (p_size + 2) || ',"a_b_":' || p_size || ',"col_1_name":"' || p_name || '","nested":{"a_b":"' || p_brand || '","a_b_2":"' || p_type
+    || '"},"part_key":' || p_partkey || ',"size_cm":' || p_size || ',"é":"' || p_brand || '"}') AS record_hash,
   'r1' AS raw_run_id FROM part
-""".replace("{'a_b': p_brand, 'a_b_2': p_type} AS nested", "p_brand || '/' || p_type AS nested"))
+""")
 def bronze_parts(spark, sf_dir):
-    """Unsafe names at two depths made safe, with audit columns and content hash."""
+    """Unsafe names at two depths made safe, those that are fine in any letters kept, with audit columns and content hash."""
     p = table(spark, sf_dir, "part")
-    docs = p.select(F.col("p_partkey").alias("part key"), F.col("p_name").alias("1 name"), F.col("p_size").alias("size(cm)"), F.struct(F.col("p_brand").alias("a.b"), F.col("p_type").alias("a b")).alias("nested"))
+    docs = p.select(F.col("p_partkey").alias("part key"), F.col("p_name").alias("1 name"), F.col("p_size").alias("size(cm)"), F.struct(F.col("p_brand").alias("a.b"), F.col("p_type").alias("a b")).alias("nested"),
+                    F.col("p_brand").alias("é"), F.col("p_size").alias("a b_"), (F.col("p_size") + 1).alias("_"), (F.col("p_size") + 2).alias("a$b"))
     rows = bronze.bronze_table(documents.enveloped(docs, "s", "S", "shop", "parts", F.current_timestamp()), "r1", F.current_timestamp())
-    return rows.select("part_key", "col_1_name", "size_cm", F.concat_ws("/", "nested.a_b", "nested.a_b_2").alias("nested"), F.col("_record_hash").alias("record_hash"), F.col("_raw_run_id").alias("raw_run_id"))
+    return rows.select("part_key", "col_1_name", "size_cm", F.concat_ws("/", "nested.a_b", "nested.a_b_2").alias("nested"), "é", "a_b_", "_", "a$b", F.col("_record_hash").alias("record_hash"), F.col("_raw_run_id").alias("raw_run_id"))
 
 
 @query("""

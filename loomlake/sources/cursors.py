@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomlake.functions.columns import field_of
+from loomlake.functions.columns import field_of, list_hash
 from loomlake.functions.names import quote
 
 # Time columns that are tried in this order, and the names of the strategies.
@@ -154,5 +154,5 @@ def fingerprints(docs: DataFrame, plan: CursorPlan, batch: list[str], id_col: st
     ordered = rows.groupBy(*batch).agg(F.array_sort(F.collect_list("r")).alias("r"))
     return ordered.select(
         *batch, F.size("r").cast("long").alias("row_count"), F.col("r")[0]["t"].alias("min_cursor"), F.element_at("r", -1)["t"].alias("max_cursor"),
-        F.substring(F.md5(F.array_join(F.transform("r", lambda x: x["h"]), "|")), 1, 12).alias("checksum"),
+        list_hash(F.transform("r", lambda x: x["h"])).alias("checksum"),
     )

@@ -31,10 +31,10 @@ def raw_path(root: str, database: str, collection: str) -> str:
     return f"{root.rstrip('/')}/{safe_identifier(database)}/{safe_identifier(collection)}"
 
 
-def write_raw(docs: DataFrame, path: str, at: Column) -> None:
-    """Appends gzipped JSON lines below dt=YYYY-MM-DD/hr=HH."""
+def write_raw(docs: DataFrame, path: str, at: Column, mode: str = "append") -> None:
+    """Adds gzipped JSON lines below dt=YYYY-MM-DD/hr=HH (or replaces all that is below ``path``, with another mode)."""
     rows = serialised(docs).withColumns({"dt": F.date_format(at, "yyyy-MM-dd"), "hr": F.date_format(at, "HH")})
-    rows.write.mode("append").partitionBy("dt", "hr").option("compression", "gzip").text(path)
+    rows.write.mode(mode).partitionBy("dt", "hr").option("compression", "gzip").text(path)
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType | str | None = None, strict: bool = True) -> DataFrame:

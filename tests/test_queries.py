@@ -3,7 +3,7 @@
 import pytest
 from compare import compare, duck
 
-from loomlake.plans import analytics, states, tables  # noqa: F401
+from loomlake.plans import analytics, operations, states, tables  # noqa: F401
 from loomlake.plans.registry import QUERIES, SQL
 
 
