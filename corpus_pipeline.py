@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models accept; rejected ones (and those without a letter) go."""
-    return language_of_documents(docs).filter(~F.col("_language")["rejected"]).select(COLUMNS)
+    return language_of_documents(docs.select(COLUMNS)).filter(~F.col("_language")["rejected"]).select(COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages on the whole of documents: (doc_id, start, n_tokens, ids_crc32) of the documents that are left.
+
+    Null or repeated ids and copies of rows are told apart by a hash of id and text; null and empty texts go in the
+    first stage (no letter, no language); an empty table gives no rows. The last stage's rows are in its files.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
