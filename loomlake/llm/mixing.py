@@ -10,6 +10,7 @@ sum, and only a number per domain reaches the driver. Starting from 1, rates cha
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 from typing import NamedTuple
 
@@ -19,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import stored, word_array
+from loomlake.llm.shared import stored, unused, word_array
 
 DOMAINS = ("clean", "low_quality", "toxic")
 #: Target share of tokens by domain, and the most copies of a document.
@@ -27,7 +28,10 @@ TARGETS = {"clean": 0.92, "low_quality": 0.04, "toxic": 0.04}
 #: The classifier is fitted on at most so many labelled documents, those with the least hash of their id.
 MAX_LABELLED = 8000
 FEATURES = 1 << 15
-ITERATIONS, TOLERANCE = 60, 1e-6
+#: The descent ends when every error is below TOLERANCE of its domain's tokens, when no error moves by more than STILL
+#: in a step (targets that rates of at most 1 can't meet are neared ever more slowly: STILL_WHOLE for these), or after
+#: ITERATIONS; what is left is in the Fit, and a descent that did not end by itself warns.
+ITERATIONS, TOLERANCE, STILL, STILL_WHOLE = 60, 1e-6, 1e-7, 1e-4
 
 
 class Classifier(NamedTuple):
@@ -36,6 +40,18 @@ class Classifier(NamedTuple):
     classes: list[int]
 
 
+class Fit(NamedTuple):
+    """rate: over (n_tokens, p_<domain>). By domain: the expected tokens wanted and reached, and the error as a share of
+    the domain's tokens (0 for an upper bound that is kept)."""
+
+    rate: Column
+    wanted: dict[str, float]
+    reached: dict[str, float]
+    residual: dict[str, float]
+    iterations: int
+    converged: bool
+
+
 def label_domains(labels: DataFrame) -> DataFrame:
     """(doc_id, domain): the index in DOMAINS by (quality, toxic); of several labels of a document toxic wins, then
     low quality. Labels without a doc_id, or without both values known, are left out."""
@@ -91,8 +107,8 @@ def _rate(history: list[list[float]], max_rate: float | None) -> Column:
 
 def fit_rates(
     rows: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None, max_rate: float | None = None, whole: str | None = None
-) -> tuple[Column, dict[str, float]]:
-    """The rate as a column over (n_tokens, p_<domain>), and the expected tokens by domain that it gives.
+) -> Fit:
+    """The rates, and what they reach.
 
     budget: tokens wanted in all; default as many as there are. Domains without tokens can't be met and are left
     out. whole: a domain whose target is met; those of the others are upper bounds, by which nothing is wanted of
@@ -109,20 +125,26 @@ def fit_rates(
     budget = sum(have) if budget is None else budget
     want = [targets.get(d, 0.0) / (sum(targets.values()) or 1.0) * budget for d in DOMAINS]
     history: list[list[float]] = []
-    now, past = have, None
-    for _ in range(ITERATIONS):
+    now, past, ended = have, None, False
+    while True:
         error = [(n - w) / h if h > 0 else 0.0 for n, w, h in zip(now, want, have, strict=True)]
         if whole is not None:
             error = [e if d == whole else max(e, 0.0) for d, e in zip(DOMAINS, error, strict=True)]
-        if max(map(abs, error)) < TOLERANCE or past and max(abs(a - b) for a, b in zip(error, past, strict=True)) < TOLERANCE / 10:
+        moved = max(abs(a - b) for a, b in zip(error, past, strict=True)) if past else float("inf")
+        ended = max(map(abs, error)) < TOLERANCE or moved < (STILL if whole is None else STILL_WHOLE)
+        if ended or len(history) == ITERATIONS:
             break
         history.append(error)
         now, past = totals(history), error
-    return _rate(history, max_rate), dict(zip(DOMAINS, now, strict=True))
+    wanted, reached, residual = (dict(zip(DOMAINS, x, strict=True)) for x in (want, now, error))
+    if not ended:
+        warnings.warn(f"mixing rates after {ITERATIONS} iterations: errors by domain {residual}", stacklevel=2)
+    return Fit(_rate(history, max_rate), wanted, reached, residual, len(history), ended)
 
 
-def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, repeat: bool = True) -> DataFrame:
-    """One row per document: (doc_id, row, n_tokens, p_<domain>.., rate, copies).
+def fitted_mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, repeat: bool = True) -> tuple[DataFrame, Fit | None]:
+    """One row per document: (doc_id, row, n_tokens, p_<domain>.., rate, copies); and the fit (None without any tokens
+    of the domain that is to stay whole).
 
     repeat: the budget is the tokens there are, and scarce domains are repeated. Else no document is repeated
     (rates stay at 1 or below): the domain of the largest target is to be kept whole, which gives the budget, and the
@@ -131,27 +153,33 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARG
     and text get the same values. row is a hash of both.
     """
     scored = posteriors(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")), fit_domains(docs, labels)).drop("text")
-    rows = stored(scored, "posteriors")
+    rows, fit = stored(scored, "posteriors"), None
     if repeat:
-        rate, _ = fit_rates(rows, targets)
+        fit = fit_rates(rows, targets)
     else:
         whole = max(targets, key=lambda d: targets[d])
         have = rows.agg(F.sum(F.col(f"p_{whole}") * F.col("n_tokens"))).head()[0]
-        budget = have / targets[whole] * sum(targets.values()) if have else None
-        rate = F.lit(1.0) if budget is None else fit_rates(rows, targets, budget, 1.0, whole)[0]
+        if have:
+            fit = fit_rates(rows, targets, have / targets[whole] * sum(targets.values()), 1.0, whole)
     draw = F.pmod(F.xxhash64(F.lit("mix"), "row"), F.lit(1 << 30)) / float(1 << 30)
-    rated = rows.withColumn("rate", rate)
-    return rated.withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    rated = rows.withColumn("rate", fit.rate if fit else F.lit(1.0))
+    return rated.withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("long")), fit
+
+
+def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, repeat: bool = True) -> DataFrame:
+    """The rows of fitted_mixture."""
+    return fitted_mixture(docs, labels, targets, repeat)[0]
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, repeat: bool = True) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, all columns."""
-    copies = mixture(docs, labels, targets, repeat).groupBy(F.col("row").alias("_r")).agg(F.max("copies").alias("_copies"))
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = keyed.join(copies.filter("_copies > 0"), F.col("_row") == F.col("_r"))
+    row, key, times, copy = unused(docs, "row", "key", "times", "copy")
+    copies = mixture(docs, labels, targets, repeat).groupBy(F.col("row").alias(key)).agg(F.max("copies").alias(times))
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    found = keyed.join(copies.filter(F.col(times) > 0), F.col(row) == F.col(key))
     if not repeat:
         return found.select(docs.columns)
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    return found.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
 
 
 def op1_mixing(spark, sf_dir):

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import stored, with_group
+from loomlake.llm.shared import stored, tidy, unused, with_group, workspace
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -55,7 +55,7 @@ def shingle_multiset(text: str | None) -> tuple[np.ndarray, np.ndarray, bytes]:
     digest = hashlib.blake2b(("w " + " ".join(words) if words else "t " + (text or "")).encode("utf-8", "surrogatepass"), digest_size=16).digest()
     if not words:
         return np.zeros(0, _U), np.zeros(0, np.int64), digest
-    codes = np.array([hash_of(w) for w in words], _U)
+    codes = pd.util.hash_array(np.array(words, object), categorize=False)
     k = min(WORDS, len(words))
     h = np.full(len(words) - k + 1, len(words) if k < WORDS else 0, _U)
     for j in range(k):
@@ -63,19 +63,6 @@ def shingle_multiset(text: str | None) -> tuple[np.ndarray, np.ndarray, bytes]:
     return *np.unique(h, return_counts=True), digest
 
 
-_words: dict[str, int] = {}
-
-
-def hash_of(word: str) -> int:
-    """A 64-bit hash of a word, the same in every process; recent ones are remembered."""
-    found = _words.get(word)
-    if found is None:
-        if len(_words) > 300_000:
-            _words.clear()
-        found = _words[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-    return found
-
-
 def bag_min_hash(sets: list[tuple[np.ndarray, np.ndarray]], m: int = REGISTERS) -> np.ndarray:
     """Signatures of weighted sets (hashes, positive integer counts): an array of m 32-bit values per set.
 
@@ -149,6 +136,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
             rows += signed(held)
             yield pd.DataFrame(rows, columns=["doc_id", "row", "text_key", "bands", "signature"]).astype({"doc_id": "Int64"})
+            rows = held = None
+            tidy()
 
     def signed(held: list) -> list[tuple]:
         if not held:
@@ -169,19 +158,19 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, within: str | None = None) -> DataFrame:
     """(node, component) of all nodes of ``links`` (a, b): component is the smallest node that can be reached.
 
     Each round takes the least label around a node and then the label of that label; every round is written to the
     shared folder. Rounds grow with the logarithm of the longest path.
     """
-    edges = stored(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct(), "edges")
-    labels = stored(edges.groupBy("node").agg(F.min("other").alias("_m")).select("node", F.least("node", "_m").alias("component")), "labels")
+    edges = stored(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct(), "edges", within)
+    labels = stored(edges.groupBy("node").agg(F.min("other").alias("_m")).select("node", F.least("node", "_m").alias("component")), "labels", within)
     while True:
         near = edges.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("_near"))
         own = labels.join(near, "node").select("node", F.col("component").alias("_old"), F.least("component", "_near").alias("component"))
         up = labels.select(F.col("node").alias("component"), F.col("component").alias("_up"))
-        following = stored(own.join(up, "component", "left").select("node", "_old", F.least("component", F.coalesce("_up", "component")).alias("component")), "labels")
+        following = stored(own.join(up, "component", "left").select("node", "_old", F.least("component", F.coalesce("_up", "component")).alias("component")), "labels", within)
         labels = following.select("node", "component")
         if not following.filter("_old <> component").head(1):
             return labels
@@ -247,14 +236,17 @@ def compare_all(keys: list[bytes], groups: list[bytes], bags: list[bytes], query
 def links_across(split: DataFrame, bags: DataFrame) -> DataFrame:
     """Links (a, b) between components within buckets of more than PAIRED texts.
 
-    split: (band, text_key, component). Texts that aren't in a bucket's largest component are compared with all its
-    texts, in blocks that bound what a task holds; only links come out, at most one for each text and component.
+    split: (band, text_key, component, _n), _n being the texts of the bucket. Texts that aren't in a bucket's largest
+    component are compared with all its texts, in blocks that bound what a task holds; only links come out, at most
+    one for each text and component. A bucket's rows are dealt over as many parts as its size asks for.
     """
-    rows = split.join(bags, "text_key").withColumn("_bytes", F.octet_length("elements"))
-    parts = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_c"), F.sum("_bytes").alias("_b"))
-    whole = parts.groupBy("band").agg(F.max_by("component", F.struct("_c", "component")).alias("_main"), F.sum("_c").alias("_c"), F.sum("_b").alias("_b"))
+    dealt_over = F.ceil(F.col("_n") / BLOCK_TEXTS).cast("int")
+    rows = split.join(bags, "text_key").withColumn("_bytes", F.octet_length("elements")).withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), "text_key"), dealt_over).cast("int"))
+    parts = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_c"), F.sum("_bytes").alias("_b"), F.max(dealt_over).alias("_parts"))
+    whole = parts.groupBy("band").agg(F.max_by("component", F.struct("_c", "component")).alias("_main"), F.sum("_c").alias("_c"), F.sum("_b").alias("_b"), F.max("_parts").alias("_parts"))
     blocks = F.ceil(F.greatest(F.col("_c") / BLOCK_TEXTS, F.col("_b") / BLOCK_BYTES)).cast("int")
-    dealt = rows.join(whole.select("band", "_main", blocks.alias("_k")), "band")
+    copied = whole.select("band", "_main", blocks.alias("_k"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+    dealt = rows.join(copied, ["band", "_part"])
     own, every = F.pmod(F.xxhash64("text_key"), F.col("_k")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("_k") - 1))
     asked = dealt.filter(F.col("component") != F.col("_main")).select("band", own.alias("i"), every.alias("j"), F.lit(True).alias("query"), "text_key", "component", "elements")
     given = dealt.select("band", every.alias("i"), own.alias("j"), F.lit(False).alias("query"), "text_key", "component", "elements")
@@ -270,38 +262,42 @@ def links_across(split: DataFrame, bags: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """One row per input row: (doc_id, row, class), class being a key of one of the class's texts. Texts with equal
     words are copies. Texts without words are copies if equal, null counting as empty."""
-    signed = stored(signatures(docs), "signatures")
+    with workspace(docs.sparkSession, "near") as within:
+        return stored(_classes(docs, within), "classes")
+
+
+def _classes(docs: DataFrame, within: str) -> DataFrame:
+    signed = stored(signatures(docs), "signatures", within)
     once = signed.groupBy("text_key").agg(F.min("row").alias("row"), F.any_value("bands").alias("bands"), F.any_value("signature").alias("signature"))
-    once = stored(once, "texts")
+    once = stored(once, "texts", within)
     buckets = once.select("text_key", F.explode("bands").alias("band"))
     size = {"_n": (F.count(F.lit(1)), F.sum("_n"))}
-    crowded = stored(with_group(buckets, ["band"], ["text_key"], size, F.col("_n") > 1).filter("_n > 1"), "buckets")
+    crowded = stored(with_group(buckets, ["band"], ["text_key"], size, F.col("_n") > 1).filter("_n > 1"), "buckets", within)
     central = crowded.groupBy("text_key").agg(F.sum("_n").alias("_weight"))
     weighed = crowded.join(central, "text_key").select("band", "text_key", F.struct(F.col("_weight"), F.col("text_key")).alias("_rank"))
     centre = {"_best": (F.max("_rank"), F.max("_best"))}
     stars = with_group(weighed, ["band"], ["text_key"], centre, F.lit(True))
     pairs = stars.select(F.col("text_key").alias("a"), F.col("_best.text_key").alias("b")).filter("a <> b").distinct()
-    candidates = alike(pairs, once)
+    candidates = alike(pairs, once, within)
 
-    links = stored(verified(candidates, _bags(docs, once, _both(candidates))), "links")
-    labels = components(links)
+    links = stored(verified(candidates, _bags(docs, once, _both(candidates), within)), "links", within)
+    labels = components(links, within)
     of = crowded.join(labels.withColumnRenamed("node", "text_key"), "text_key", "left")
     of = of.select("band", "text_key", "_n", F.coalesce("component", "text_key").alias("component"))
     spread = {"_low": (F.min("component"), F.min("_low")), "_high": (F.max("component"), F.max("_high"))}
     split = with_group(of, ["band"], ["text_key"], spread, F.col("_low") != F.col("_high")).filter("_low IS NOT NULL")
-    split = stored(split.select("band", "text_key", "component", "_n"), "split")
-    small, large = split.filter(F.col("_n") <= PAIRED), split.filter(F.col("_n") > PAIRED).drop("_n")
+    split = stored(split.select("band", "text_key", "component", "_n"), "split", within)
+    small, large = split.filter(F.col("_n") <= PAIRED), split.filter(F.col("_n") > PAIRED)
     x, y = (small.select("band", F.col("text_key").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
     across = x.join(y, "band").filter("ca < cb").select("a", "b").distinct()
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     fresh = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = alike(fresh, once)
-    bags = _bags(docs, once, _both(more).union(large.select("text_key")))
-    links = stored(links.union(verified(more, bags)).union(links_across(large, bags)), "links")
+    more = alike(fresh, once, within)
+    bags = _bags(docs, once, _both(more).union(large.select("text_key")), within)
+    links = stored(links.union(verified(more, bags)).union(links_across(large, bags)), "links", within)
 
-    labels = components(links).withColumnRenamed("node", "text_key")
-    rows = signed.select("doc_id", "row", "text_key").join(labels, "text_key", "left").select("doc_id", "row", F.coalesce("component", "text_key").alias("class"))
-    return stored(rows, "classes")
+    labels = components(links, within).withColumnRenamed("node", "text_key")
+    return signed.select("doc_id", "row", "text_key").join(labels, "text_key", "left").select("doc_id", "row", F.coalesce("component", "text_key").alias("class"))
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -316,7 +312,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", first.alias("class_id"), F.coalesce("_size", F.lit(1)).cast("long").alias("class_size"), first.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def alike(pairs: DataFrame, once: DataFrame) -> DataFrame:
+def alike(pairs: DataFrame, once: DataFrame, within: str | None = None) -> DataFrame:
     """The pairs whose signatures agree in at least AGREE registers, written to the shared folder."""
     sig = once.select("text_key", "signature")
     joined = pairs.join(sig.toDF("a", "_x"), "a").join(sig.toDF("b", "_y"), "b")
@@ -328,16 +324,16 @@ def alike(pairs: DataFrame, once: DataFrame) -> DataFrame:
         left, right = (np.frombuffer(b"".join(v), np.uint32).reshape(len(v), -1) for v in (x, y))
         return pd.Series((left == right).sum(axis=1) >= AGREE)
 
-    return stored(joined.filter(agree("_x", "_y")).select("a", "b"), "candidates")
+    return stored(joined.filter(agree("_x", "_y")).select("a", "b"), "candidates", within)
 
 
 def _both(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("text_key")).union(pairs.select("b"))
 
 
-def _bags(docs: DataFrame, once: DataFrame, keys: DataFrame) -> DataFrame:
+def _bags(docs: DataFrame, once: DataFrame, keys: DataFrame, within: str) -> DataFrame:
     """(text_key, elements) of the texts in ``keys``, each once: of copies only that with the smallest row key is read."""
-    wanted = stored(once.select("text_key", F.col("row").alias("_row")).join(keys.distinct(), "text_key"), "wanted")
+    wanted = stored(once.select("text_key", F.col("row").alias("_row")).join(keys.distinct(), "text_key"), "wanted", within)
     if wanted.count() <= MAX_BROADCAST:  # else the texts are shuffled to their row keys
         wanted = F.broadcast(wanted)
     found = docs.select(row_key().alias("_row"), "text").join(wanted, "_row")
@@ -350,19 +346,22 @@ def _bags(docs: DataFrame, once: DataFrame, keys: DataFrame) -> DataFrame:
                 if digest == key:  # texts whose row keys collide may bring others
                     rows.append((key, elements(h, c).tobytes()))
             yield pd.DataFrame(rows, columns=["text_key", "elements"])
+            rows = None
+            tidy()
 
     bags = found.select("text_key", "text").mapInPandas(bag, "text_key binary, elements binary")
-    return stored(bags.dropDuplicates(["text_key"]), "bags")
+    return stored(bags.dropDuplicates(["text_key"]), "bags", within)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each class, with the columns of ``docs``: that with the smallest doc_id, nulls last, and of those with
     the smallest row key. Rows of equal id and text are one text: any of them."""
-    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("_kept"), F.col("row").alias("_kept_row"))
-    kept = classes(docs).groupBy("class").agg(F.min(rank).alias("_first")).select("_first._kept", "_first._kept_row")
-    keyed = docs.withColumn("_row", row_key())
-    same = (keyed["_row"] == kept["_kept_row"]) & keyed["doc_id"].eqNullSafe(kept["_kept"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_row"]).drop("_row")
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("kept"), F.col("row").alias("kept_row"))
+    row, kept, kept_row = unused(docs, "row", "kept", "kept_row")
+    first = classes(docs).groupBy("class").agg(F.min(rank).alias("first")).select(F.col("first.kept").alias(kept), F.col("first.kept_row").alias(kept_row))
+    keyed = docs.withColumn(row, row_key())
+    same = (keyed[row] == first[kept_row]) & keyed["doc_id"].eqNullSafe(first[kept])
+    return keyed.join(first, same, "left_semi").dropDuplicates(["doc_id", row]).drop(row)
 
 
 def op5_near_dedup(spark, sf_dir):

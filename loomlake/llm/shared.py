@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Ways into which the rows of one group are dealt before they are aggregated or joined.
+#: Ways, at least, into which the rows of one group are dealt before they are aggregated or joined.
 SALTS = 64
 
 
@@ -24,14 +28,44 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: lineage ends here, lost executors lose nothing."""
+def stored(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder (below ``within``, a path there) and read back: lineage ends here,
+    lost executors lose nothing."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = f"{within}/{name}-{uuid.uuid4().hex}" if within else scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[str]:
+    """A path for the tables of one job, deleted when it ends: what is to stay is stored elsewhere before."""
+    path = scratch(spark, name)
+    try:
+        yield path
+    finally:
+        discard(spark, path)
+
+
+def tidy() -> None:
+    """Gives what a Python worker has freed back to the system: workers wait between tasks, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be none of the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    return [next(c for c in ("_" * i + name for i in range(len(taken) + 2)) if c.lower() not in taken) for name in names]
+
+
+def salts(spark: SparkSession) -> int:
+    """Ways to deal the rows of a group: as many as a shuffle has partitions, so that no group is held by a few."""
+    return max(SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a scratch path that no later result reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -43,16 +77,18 @@ def word_array(text: str = "text", outside: str = r"[^\\p{L}\\p{N}]+") -> str:
     return f"filter(split(lower(coalesce({text}, '')), '{outside}'), w -> w <> '')"
 
 
-def shingle_hashes(words: str, k: int) -> Column:
-    """array<bigint>: xxhash64 of each k consecutive words, in order; empty below k words.
+def shingle_hashes(words: str, *widths: int) -> Column:
+    """array<bigint>: xxhash64 of each k consecutive words for each width k, in order; none of more words than there are.
 
     The words are bound once by transform(array(..)). The column can't be null: a filter for that would compute it twice.
     """
-    parts = ", ".join(f"get(w, i + {j})" for j in range(k))
-    return F.expr(
-        f"coalesce(transform(array(transform({words}, x -> xxhash64(x))), w -> if(size(w) < {k}, array(), "
-        f"transform(sequence(0, size(w) - {k}), i -> xxhash64({parts}))))[0], cast(array() as array<bigint>))"
-    )
+
+    def of(k: int) -> str:
+        parts = ", ".join(f"get(w, i + {j})" for j in range(k))
+        return f"if(size(w) < {k}, cast(array() as array<bigint>), transform(sequence(0, size(w) - {k}), i -> xxhash64({parts})))"
+
+    each = f"concat({', '.join(map(of, widths))})" if len(widths) > 1 else of(widths[0])
+    return F.expr(f"coalesce(transform(array(transform({words}, x -> xxhash64(x))), w -> {each})[0], cast(array() as array<bigint>))")
 
 
 def with_group(
@@ -61,10 +97,10 @@ def with_group(
     """``rows`` with the aggregates of their group, for groups that ``keep`` holds for (else null).
 
     values: name -> (aggregate over rows, aggregate that merges partial values of that name). keys must not be
-    null. A group's rows are dealt over SALTS parts by a hash of ``spread`` for the aggregation and for the
+    null. A group's rows are dealt over salts() parts by a hash of ``spread`` for the aggregation and for the
     join back, and its values are copied only to the parts it has: a third of all rows in one group stays spread.
     """
-    parted = rows.withColumn("_part", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    parted = rows.withColumn("_part", F.pmod(F.xxhash64(*spread), F.lit(salts(rows.sparkSession))).cast("int"))
     partial = parted.groupBy(*keys, "_part").agg(*[first.alias(n) for n, (first, _) in values.items()])
     merged = partial.groupBy(*keys).agg(*[then.alias(n) for n, (_, then) in values.items()], F.collect_set("_part").alias("_parts"))
     groups = merged.filter(keep).select(*keys, *values, F.explode("_parts").alias("_part"))

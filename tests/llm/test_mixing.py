@@ -22,7 +22,8 @@ def test_rates_meet_targets(spark, cap):
     have = (p * tokens[:, None]).sum(0)
     budget = None if cap is None else min(have / np.array(list(targets.values()))) * 0.7
     rows = rows_of(spark, p, tokens)
-    rate, now = M.fit_rates(rows, targets, budget, cap)
+    fit = M.fit_rates(rows, targets, budget, cap)
+    rate, now = fit.rate, fit.reached
     want = np.array(list(targets.values())) * (have.sum() if budget is None else budget)
     assert np.allclose(list(now.values()), want, rtol=0.01)
     r = np.array([x["r"] for x in rows.select("doc_id", rate.alias("r")).orderBy("doc_id").collect()])
