@@ -14,23 +14,26 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlake.llm.files import read_files, write_file
-from loomlake.llm.shared import discard, scratch
+from loomlake.llm.shared import discard, scratch, tidy
 
 BLOCK, LANES, CHECKPOINT = 1 << 18, 1024, 64
 MAGIC = b"LLTOK1\n"
 END_ID = 2
-#: Chunks whose ids a task remembers.
-REMEMBER = 800_000
+#: Characters of texts that are encoded together, and stems that the tokenizer gets in one call.
+TOGETHER, LEARN = 8 << 20, 100_000
+#: A chunk that ends with ASCII punctuation (no apostrophe) after a Latin letter.
+_STEM = r"(?s)^(?P<stem>.*[A-Za-zÀ-ÖØ-öø-ɏ])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
 #: White space besides spaces and line feeds: texts with it aren't cut into chunks.
@@ -126,30 +129,35 @@ def decode_block(block: bytes, table: Table, slots: np.ndarray, first: int = 0,
     return out
 
 
-def encode_file(docs: list[tuple[int | None, np.ndarray]], table: Table) -> Iterator[bytes]:
-    """The parts of a file of (doc_id, ids) in the given order; a null doc_id is kept as null."""
+def encode_file(docs: list[tuple[int | None, np.ndarray]], table: Table, part: int = 0, first: int = 0) -> Iterator[bytes]:
+    """The parts of a file of (doc_id, ids) in the given order; a null doc_id is kept as null. first: the ids of the
+    files before it of its part."""
     lengths = np.array([len(x) for _, x in docs], np.uint64)
     names = np.array([0 if d is None else d for d, _ in docs], np.int64)
     nulls = np.array([d is None for d, _ in docs], bool)
     ids = np.concatenate([x for _, x in docs]) if docs else np.zeros(0, np.uint32)
     index = zlib.compress(names.tobytes() + lengths.tobytes() + nulls.tobytes(), 3)
     blocks = [encode_block(ids[i : i + BLOCK], table) for i in range(0, len(ids), BLOCK)]
-    head = {"docs": len(docs), "ids": len(ids), "table": table.crc, "index": len(index), "index_crc": zlib.crc32(index), "blocks": [len(b) for b in blocks]}
+    head = {"part": part, "first": first, "docs": len(docs), "ids": len(ids), "table": table.crc, "index": len(index), "index_crc": zlib.crc32(index), "blocks": [len(b) for b in blocks]}
     text = json.dumps(head).encode()
     yield MAGIC + struct.pack("<I", len(text)) + text + index
     yield from blocks
 
 
-def decode_file(data: bytes, table: Table, slots: np.ndarray | None = None) -> Iterator[tuple[int | None, np.ndarray]]:
-    """The (doc_id, ids) of a file, in order, a block at a time; raises ValueError if anything in it is damaged."""
+def file_head(data: bytes) -> tuple[dict, int]:
+    """The header of a file and where it ends; raises ValueError if it can't be read."""
     if not data.startswith(MAGIC):
         raise ValueError("not a token file")
     at = len(MAGIC) + 4
-    size = struct.unpack_from("<I", data, at - 4)[0]
-    head = json.loads(data[at : at + size])
+    end = at + struct.unpack_from("<I", data, at - 4)[0]
+    return json.loads(data[at:end]), end
+
+
+def decode_file(data: bytes, table: Table, slots: np.ndarray | None = None) -> Iterator[tuple[int | None, np.ndarray]]:
+    """The (doc_id, ids) of a file, in order, a block at a time; raises ValueError if anything in it is damaged."""
+    head, at = file_head(data)
     if head["table"] != table.crc:
         raise ValueError("another frequency table")
-    at += size
     index = data[at : at + head["index"]]
     if zlib.crc32(index) != head["index_crc"]:
         raise ValueError("damaged index")
@@ -174,83 +182,90 @@ def decode_file(data: bytes, table: Table, slots: np.ndarray | None = None) -> I
         yield (None if nulls[d] else int(names[d])), held[:0]
 
 
+def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices of ``flat`` that begin at ``first`` and have ``size`` values, one after another."""
+    at = np.repeat(first - np.cumsum(size) + size, size)
+    at += np.arange(len(at), dtype=at.dtype)
+    return flat[at]
+
+
 class Encoder:
-    """A tokenizer that remembers chunks. A single space or line feed between two characters that aren't white space
-    always starts a token, so texts are cut there and each different chunk is encoded once, many in one call: a line
-    feed before a space is a token of its own, and so is one before a word. A comma or full stop that ends a chunk after
-    a letter is a token too: such chunks are put together. Other texts are encoded whole."""
+    """A tokenizer that encodes each different chunk of some texts once. A single space or line feed between two
+    characters that aren't white space always starts a token, so texts are cut there: a line feed before a space is a
+    token of its own, and so is one before a word. Punctuation that ends a chunk after a Latin letter is apart from the
+    letter too: stems and tails of chunks are encoded apart. Other texts are encoded whole. Nothing is kept between calls."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(spec)
-        self.whole.encode_special_tokens = True
         self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         feed = self._ids("\n")
         parts = [self._ids(x) for x in ("a", " b", "c")]
         joined = np.concatenate([parts[0], feed, parts[1], feed, parts[2]])
         self.feed = int(feed[0]) if len(feed) == 1 and np.array_equal(self._ids("a\n b\nc"), joined) else None
-        self.tails = {c: self._alone(c) for c in ".,"}
-        self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()  # chunks of which a later batch had use
-        self.starts: dict[str, bytes] = {}  # of chunks that begin a text
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _alone(self, text: str) -> bytes:
-        return self._ids(text).tobytes()
-
-    def _learn(self, chunks: list[str]) -> None:
-        known, tails = self.known, self.tails
-        ended = [c for c in chunks if c[-1] in tails and c[-2:-1].isalpha()]
-        stems = {c[:-1] for c in ended}.difference(known).union(set(chunks).difference(ended))
-        first = [c for c in stems if c[0] == "\n"]
-        words = [c for c in stems if c[0] != "\n"]
-        for some, text, skip in ((words, "\n " + "\n ".join(words), 4), (first, "".join(first), 0)):
-            if some:
-                ids = self._ids(text)
-                raw, cuts = ids.tobytes(), [*(4 * np.flatnonzero(ids == self.feed)).tolist(), 4 * len(ids)]
-                known.update(zip(some, [raw[i + skip : j] for i, j in zip(cuts, cuts[1:], strict=False)], strict=True))
-        for c in ended:
-            known[c] = known[c[:-1]] + tails[c[-1]]
+    def _by_feeds(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of texts that each begin with a line feed, all in one; where those of each begin, and how many there are."""
+        ids = [self._ids("".join(texts.slice(i, LEARN).to_pylist())) for i in range(0, len(texts), LEARN)]
+        flat = np.concatenate([np.zeros(0, np.uint32), *ids])
+        first = np.flatnonzero(flat == self.feed)
+        if len(first) != len(texts):
+            raise ValueError("the tokenizer joins line feeds with words")
+        return flat, first, np.diff(first, append=len(flat))
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of different chunks; one that starts with a carriage return begins a text."""
+        found = pc.extract_regex(chunks, _STEM)
+        stems = pc.coalesce(pc.struct_field(found, "stem"), chunks).dictionary_encode()
+        tails = pc.fill_null(pc.struct_field(found, "tail"), "").dictionary_encode()
+        opens = pc.match_substring_regex(stems.dictionary, "^[\r\n]")
+        begins = pc.starts_with(stems.dictionary, "\r").to_numpy(zero_copy_only=False)
+        words = pc.replace_substring_regex(stems.dictionary, "^[^\r\n]", "\n \\0")
+        words = pc.replace_substring(words, "\r", "\n", max_replacements=1)
+        flat, first, size = self._by_feeds(words)
+        skip = 1 - (opens.to_numpy(zero_copy_only=False) & ~begins)  # the feed is put in, but for chunks of their own feed
+        first, size = first + skip, size - skip
+        ends = [self._ids(x) if x else np.zeros(0, np.uint32) for x in tails.dictionary.to_pylist()]
+        n = np.array([len(x) for x in ends], np.int64)
+        stem, tail = (x.indices.to_numpy(zero_copy_only=False) for x in (stems, tails))
+        firsts = np.stack([first[stem], (len(flat) + np.cumsum(n) - n)[tail]], axis=1).ravel()
+        sizes = np.stack([size[stem], n[tail]], axis=1)
+        size = sizes.sum(axis=1)
+        return _gather(np.concatenate([flat, *ends]), firsts, sizes.ravel()), np.cumsum(size) - size, size
+
+    def _joined(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of texts that can be cut: chunks are numbered, and their ids gathered by number."""
+        lines = pc.replace_substring(pa.array(["\r" + x for x in texts], pa.large_string()), "\n", " \n")
+        cut = pc.split_pattern(lines, " ")
+        words = cut.flatten().dictionary_encode()
+        flat, first, size = (x.astype(np.int32) if x.dtype == np.int64 else x for x in self._chunks(words.dictionary))
+        number = words.indices.to_numpy(zero_copy_only=False)
+        each = size[number]
+        bounds = np.append(0, np.cumsum(each, dtype=np.int64))[cut.offsets.to_numpy()]
+        ids = _gather(flat, first[number], each)
+        return (ids[i:j].tobytes() for i, j in zip(bounds, bounds[1:], strict=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text the ids as little-endian unsigned 32-bit integers."""
-        cut: list[list[str] | None] = []
-        fresh: set[str] = set()
-        for text in texts:
-            if self.feed is None or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or any(x in text for x in self.specials):
-                cut.append(None)
+        out: dict[str, bytes] = {}
+        some, size = [], 0
+        for text in dict.fromkeys(texts):
+            odd = self.feed is None or len(text) > TOGETHER or not text or text[0] in " \n" or text[-1] in " \n"
+            if odd or any(x in text for x in ("  ", " \n", "\n ", "\n\n", *self.specials)) or _ODD.search(text):
+                out[text] = self._ids(text).tobytes()
                 continue
-            chunks = text.replace("\n", " \n").split(" ")
-            if not chunks[0] or chunks[-1] in ("", "\n") or _ODD.search(text):
-                cut.append(None)
-                continue
-            cut.append(chunks)
-            fresh.update(chunks[1:])
-        new = fresh.difference(self.known)
-        if len(self.known) > REMEMBER:  # most chunks are seen once: those that were of use again stay
-            self.known = {c: self.known[c] for c in self.again.union(fresh.difference(new))}
-            self.again = set()
-        self.again.update(fresh.difference(new))
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        if len(self.starts) > REMEMBER // 8:
-            self.starts.clear()
-        for start in {chunks[0] for chunks in cut if chunks}.difference(self.starts):
-            self.starts[start] = self._alone(start)
-        return [
-            self._alone(text) if chunks is None else self.starts[chunks[0]] + b"".join(map(get, chunks[1:]))
-            for text, chunks in zip(texts, cut, strict=True)
-        ]
-
-
-@lru_cache(1)
-def _encoder(spec: str) -> Encoder:
-    """Kept between the tasks of a worker process."""
-    return Encoder(spec)
+            if size + len(text) > TOGETHER:
+                out.update(zip(some, self._joined(some), strict=True))
+                some, size = [], 0
+            some.append(text)
+            size += len(text)
+        if some:
+            out.update(zip(some, self._joined(some), strict=True))
+        return [out[x] for x in texts]
 
 
 def token_ids(docs: DataFrame, spec: str) -> DataFrame:
@@ -263,17 +278,17 @@ def token_ids(docs: DataFrame, spec: str) -> DataFrame:
         import zstandard
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _encoder(shared.value)
+        encoder = Encoder(shared.value)
         packer, end = zstandard.ZstdCompressor(1), np.array([END_ID], np.uint32).tobytes()
         for batch in batches:
             rows, texts = [], [x or "" for x in batch["text"]]
-            for first in range(0, len(texts), 1000):
-                for raw in encoder.encode(texts[first : first + 1000]):
-                    ids = np.frombuffer(raw + end, np.uint32)
-                    small = ids.astype(np.uint16) if ids.max() < 1 << 16 else ids
-                    rows.append((batch["doc_id"].iloc[len(rows)], len(ids), zlib.crc32(ids.tobytes()), packer.compress(small.tobytes())))
+            for raw in encoder.encode(texts):
+                ids = np.frombuffer(raw + end, np.uint32)
+                small = ids.astype(np.uint16) if ids.max() < 1 << 16 else ids
+                rows.append((batch["doc_id"].iloc[len(rows)], len(ids), zlib.crc32(ids.tobytes()), packer.compress(small.tobytes())))
             out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "crc", "packed"])
             yield out.astype({"doc_id": "Int64"})
+            tidy()
 
     return docs.select("doc_id", "text").mapInPandas(encode, "doc_id long, n_tokens long, crc long, packed binary")
 
@@ -304,9 +319,11 @@ def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
 
 
 class Written(NamedTuple):
+    """parts: the documents and ids of each range of ids; a file says how many ids of its range are before it."""
+
     path: str
     table: Table
-    manifest: list[tuple[str, int, int]]  # file, documents, ids; in order
+    parts: list[tuple[int, int, int]]
 
 
 def write_token_files(docs: DataFrame, path: str, spec: str, vocabulary: int) -> Written:
@@ -320,14 +337,12 @@ def write_token_files(docs: DataFrame, path: str, spec: str, vocabulary: int) ->
     shared = spark.sparkContext.broadcast(table)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, k = TaskContext.get().partitionId(), 0
+        part, files, docs, ids = TaskContext.get().partitionId(), 0, 0, 0
 
-        def save(held: list) -> pd.DataFrame:
-            nonlocal k
-            file = f"{path}/part-{part:06d}-{k:04d}.tok"
-            write_file(file, encode_file(held, shared.value))
-            k += 1
-            return pd.DataFrame({"part": [part], "k": [k], "file": [file.rpartition("/")[2]], "docs": [len(held)], "ids": [sum(len(x) for _, x in held)]})
+        def save(held: list, n: int) -> None:
+            nonlocal files, docs, ids
+            write_file(f"{path}/part-{part:06d}-{files:06d}.tok", encode_file(held, shared.value, part, ids))
+            files, docs, ids = files + 1, docs + len(held), ids + n
 
         held, n = [], 0
         for batch in batches:
@@ -335,22 +350,26 @@ def write_token_files(docs: DataFrame, path: str, spec: str, vocabulary: int) ->
                 held.append((None if pd.isna(doc) else int(doc), _unpacked(packed, size)))
                 n += size
                 if n >= 8 * BLOCK:
-                    yield save(held)
+                    save(held, n)
                     held, n = [], 0
         if held:
-            yield save(held)
+            save(held, n)
+        if files:
+            yield pd.DataFrame({"part": [part], "docs": [docs], "ids": [ids]})
+        tidy()
 
     ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "crc", "n_tokens")
-    files = ordered.select("doc_id", "n_tokens", "packed").mapInPandas(write, "part long, k long, file string, docs long, ids long").collect()
+    parts = ordered.select("doc_id", "n_tokens", "packed").mapInPandas(write, "part long, docs long, ids long").collect()  # a row per partition
     discard(spark, draft)
-    return Written(path, table, [(r["file"], r["docs"], r["ids"]) for r in sorted(files, key=lambda r: (r["part"], r["k"]))])
+    shared.unpersist()
+    return Written(path, table, sorted((r["part"], r["docs"], r["ids"]) for r in parts))
 
 
 def read_token_files(spark: SparkSession, written: Written) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids binary): decoded from the files, start counted over all files."""
     base, starts = 0, {}
-    for file, _, n in written.manifest:
-        starts[file] = base
+    for part, _, n in written.parts:
+        starts[part] = base
         base += n
     shared = spark.sparkContext.broadcast((written.table, starts))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
@@ -359,8 +378,9 @@ def read_token_files(spark: SparkSession, written: Written) -> DataFrame:
         table, starts = shared.value
         slots = table.slots()
         for batch in batches:
-            for file, data in zip(batch["path"], batch["content"], strict=True):
-                at, rows = starts[file.rpartition("/")[2]], []
+            for data in batch["content"]:
+                head, rows = file_head(data)[0], []
+                at = starts[head["part"]] + head["first"]
                 for doc, ids in decode_file(data, table, slots):
                     raw = ids.astype("<u4").tobytes()
                     rows.append((doc, at, len(ids), zlib.crc32(raw), raw))
@@ -370,8 +390,9 @@ def read_token_files(spark: SparkSession, written: Written) -> DataFrame:
                         rows = []
                 if rows:
                     yield _frame(rows)
+        tidy()
 
-    if not written.manifest:
+    if not written.parts:
         return spark.createDataFrame([], schema)
     return read_files(spark, written.path, "*.tok").mapInPandas(read, schema)
 

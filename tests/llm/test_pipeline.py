@@ -43,7 +43,6 @@ def test_decisions_take_effect(spark, sf, steps):
 
 def test_end_equals_the_tokenizer(sf, steps):
     t = Tokenizer.from_str(token_files.default_tokenizer()[0])
-    t.encode_special_tokens = True
     start, want = 0, []
     for r in sorted(steps[3].collect(), key=lambda r: r["doc_id"]):
         ids = [*t.encode(r["text"] or "", add_special_tokens=False).ids, 2]

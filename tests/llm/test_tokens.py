@@ -15,9 +15,7 @@ SPEC, VOCABULARY = K.default_tokenizer()
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_str(SPEC)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_str(SPEC)
 
 
 @pytest.mark.parametrize("n", [0, 1, 5, K.LANES, K.LANES + 1, 200_000, K.BLOCK])
@@ -67,7 +65,8 @@ def test_damage_is_seen():
 
 def test_encoder_equals_the_library(tokenizer):
     rng = random.Random(6)
-    pieces = ["the", " ", "  ", "\n", "\n\n", " \n", "\t", "don't", "Straße,", "x.", "...", "é", "日本", "🎉", "<|endoftext|>", "1,000.5", "a,b", "U.S.", ",", " ", "\r\n", "'s", "_", "END."]
+    pieces = ["the", " ", "  ", "\n", "\n\n", " \n", "\t", "don't", "Straße,", "x.", "...", "é", "日本", "🎉", "<|endoftext|>", "1,000.5", "a,b", "U.S.", ",", " ", "\r\n", "'s", "_", "END.",
+              "wort%%%", "Wort###", "é***", "ß&&&", "x'%", "it's!!", "7%%", "_%", "日本。", "日本%%", "a\u0301.", "a\u0301b%%", "$$$", "(see)", "\u2028", "²%", "ab\u200d."]
     texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     texts += ["", " ", "\n", "a", "a ", " a", "x" * 20_000, "word " * 20_000]
     encoder = K.Encoder(SPEC)
@@ -77,6 +76,28 @@ def test_encoder_equals_the_library(tokenizer):
             assert np.frombuffer(raw, np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_special_tokens_are_the_librarys(spark, tokenizer):
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a <|endoftext|>"]
+    for text, raw in zip(texts, K.Encoder(SPEC).encode(texts), strict=True):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(raw, np.uint32).tolist() == ids and 50256 in ids
+
+
+def test_starts_over_many_files_and_parts(spark, monkeypatch):
+    rows = [(i, "word " * (i % 7)) for i in range(400)]
+    monkeypatch.setattr(K, "BLOCK", 16)  # many files a part; tasks run in forked workers of this process or not, either way starts must add up
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = sorted(K.token_index(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    start = 0
+    for r in got:
+        assert r["start"] == start
+        start += r["n_tokens"]
+    assert len(got) == 400
+
+
 def test_files_equal_brute_force(spark, tokenizer):
     rows = [(5, "five words stand here now"), (1, "one"), (9, None), (3, ""), (7, "seven " * 30_000), (5, "five again"), (None, "no id"), (2, "two\n\nlines\tand tab")]
     df = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, n_tokens int, crc int")
