@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,21 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomlake.storage import shared_path as scratch
+
 #: Ways, at least, into which the rows of one group are dealt before they are aggregated or joined.
 SALTS = 64
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset (tests, one machine) below a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="loomlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder (below ``within``, a path there) and read back: lineage ends here,
     lost executors lose nothing."""
