@@ -24,11 +24,14 @@ from loomlake.llm.shared import stored
 #: A text slot is fixed if all of so many pages or more have the same text there; a slot holds a menu if so many
 #: pages or more have such a share of its characters in links.
 MIN_PAGES, LINKS = 5, 0.8
-#: Siblings of an element beyond which their order is given up: one optional repeated node for each kind.
-MAX_KIDS = 150
+#: Siblings of a wrapper's element beyond which their order is given up (one optional repeated node for each kind): it
+#: bounds what a host of irregular pages makes a task hold.
+MAX_KIDS = 2000
+#: Text outside of article and main elements belongs to the page's text where it is more than so many times theirs.
+OUTSIDE = 3
 #: Bytes of verdicts that may be broadcast; more are joined by host.
 MAX_BROADCAST = 32 << 20
-#: Wrappers that a task of the first two rounds holds before it gives them to the next round.
+#: Wrappers that a task of the first round holds before it gives them to the next round.
 MAX_HELD = 20_000
 #: Groups of wrappers that one host is dealt over in the first round of alignment.
 PARTS = 32
@@ -43,8 +46,8 @@ BLOCK = {
     "td", "tfoot", "th", "thead", "title", "tr", "ul",
 }
 FURNITURE = {
-    "aside", "button", "canvas", "datalist", "dialog", "embed", "fieldset", "footer", "form", "head", "iframe", "input", "label",
-    "legend", "menu", "nav", "noscript", "object", "optgroup", "option", "script", "select", "style", "svg", "template",
+    "aside", "button", "canvas", "datalist", "dialog", "embed", "fieldset", "footer", "form", "head", "iframe", "input", "legend",
+    "menu", "nav", "noscript", "object", "optgroup", "option", "script", "select", "style", "svg", "template",
     "textarea", "title",
 }
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
@@ -60,6 +63,14 @@ OWN_TEXT = {
     "ad", "ads", "advert", "adverts", "advertisement", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "gdpr",
     "login", "modal", "newsletter", "popup", "promo", "promoted", "related", "reply", "replies", "respond", "sponsor", "sponsored",
 }
+#: Names that even a single paragraph of an article is left out for.
+ADVERTS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "adsense", "adbox", "consent", "cookie", "cookies", "gdpr", "newsletter", "notice", "notices", "promo",
+    "promoted", "sponsor", "sponsored", "subscribe", "signup",
+}
+CONTAINERS = {
+    "article", "aside", "center", "details", "dir", "div", "dl", "figure", "footer", "form", "header", "hgroup", "main", "menu", "nav", "ol", "section", "table", "ul",
+}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"ul", "ol", "dl", "table", "select", "body", "html", "article", "div", "section", "main", "nav", "aside"}
 
@@ -68,11 +79,12 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>|(?P<cut></?[a-zA-Z][^>]*\Z)|(?P<text>[^<]+|<)",
     re.S,
 )
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _GAP = re.compile(r"\s+")
 _HEADING = re.compile(r"/(?:article|main)\b.*/h[1-6]\b[^/]*/#$")
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_NO_DISPLAY = re.compile(r"\bdisplay\s*:\s*none\b", re.I)
+_DIGITS = re.compile(r"\d{3,}")
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -96,27 +108,38 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             pos = close.end() if close else len(page)
 
 
-# What an element is by itself: content, furniture by its name, the same with text of its own, furniture by its kind.
-CONTENT, NAMED, OWNING, KIND = range(4)
+# What an element is by itself: content, furniture by its name outside of articles, by its name, the same with text of
+# its own, furniture by its kind.
+CONTENT, SOFT, NAMED, OWNING, KIND = range(5)
 
 
 def _kind(name: str, rest: str) -> tuple[str, int]:
-    """The symbol of an element, and whether it is furniture by its kind or name."""
-    marks, bad = [], KIND if name in FURNITURE else CONTENT
+    """The symbol of an element (name and classes; long numbers in them are all alike), and whether it is furniture by its kind or name."""
+    marks, bad = [], KIND if name in FURNITURE else SOFT if name == "label" else CONTENT
     if rest and not rest.isspace():
         for key, value in _ATTR.findall(rest):
-            value = value.strip("\"'")
-            if key.lower() == "role":
-                bad = KIND if value.lower() in ROLES else bad
-            elif name not in ("html", "body"):
-                words = {w.lower() for w in _WORD.findall(value)}
-                bad = max(bad, CONTENT if NAMES.isdisjoint(words) else NAMED if OWN_TEXT.isdisjoint(words) else OWNING)
-            if key.lower() != "id":
+            key, value = key.lower(), value.strip("\"'")
+            if key == "role":
                 marks.append(value)
-        bad = KIND if _HIDDEN.search(rest) else bad
+                bad = KIND if value.lower() in ROLES else bad
+            elif key in ("class", "id"):
+                if key == "class":
+                    marks.append(_DIGITS.sub("0", value))
+                if name not in ("html", "body"):
+                    bad = max(bad, _by_name(name, {w.lower() for w in _WORD.findall(value)} & NAMES))
+            elif key == "hidden" and value.lower() != "false" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _NO_DISPLAY.search(value):
+                bad = KIND
     return name + ("." + ".".join(sorted(" ".join(marks).split())) if marks else ""), bad
 
 
+def _by_name(name: str, words: set[str]) -> int:
+    if not words:
+        return CONTENT
+    if words == {"header"} or name not in CONTAINERS and ADVERTS.isdisjoint(words):
+        return SOFT
+    return NAMED if OWN_TEXT.isdisjoint(words) else OWNING
+
+
 class Visitor:
     """What walk() tells of a page."""
 
@@ -283,32 +306,45 @@ def _unordered(kids: list[list]) -> list[list]:
     return list(by.values())
 
 
-def _common(a: list[list], b: list[list]) -> list[list[int]]:
-    """The length of a longest common subsequence of symbols, from each pair of siblings on."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][S] == b[j][S] else max(best[i + 1][j], best[i][j + 1])
-    return best
+def matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """The pairs of places of a longest common subsequence, in order; a row of its table is the bits of one number."""
+    first, last = 0, 0
+    while first < min(len(a), len(b)) and a[first] == b[first]:
+        first += 1
+    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    x, y = a[first : len(a) - last], b[first : len(b) - last]
+    where: dict[str, int] = {}
+    for j, sym in enumerate(y):
+        where[sym] = where.get(sym, 0) | 1 << j
+    full = (1 << len(y)) - 1
+    rows, row = [], full
+    for sym in x:
+        both = row & where.get(sym, 0)
+        row = (row + both | row - both) & full
+        rows.append(row)
+    middle, i, j = [], len(x), len(y)
+    while i and j:
+        if rows[i - 1] >> j - 1 & 1:  # y[j - 1] adds nothing
+            j -= 1
+        elif i > 1 and not rows[i - 2] >> j - 1 & 1:  # nor does x[i - 1]
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            middle.append((first + i, first + j))
+    ends = [(len(a) - k, len(b) - k) for k in range(last, 0, -1)]
+    return [(k, k) for k in range(first)] + middle[::-1] + ends
 
 
 def _align(a: list[list], b: list[list], again: bool = False) -> list[list]:
     """Two sequences of siblings in one: a longest common subsequence of symbols is merged, the rest is optional."""
-    if [x[S] for x in a] == [x[S] for x in b]:
-        return [_merge(x, y, again) for x, y in zip(a, b, strict=True)]
-    best, out, i, j = _common(a, b), [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i][S] == b[j][S]:
-            out.append(_merge(a[i], b[j], again))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            out.append(a[i])
-            i += 1
-        else:
-            out.append(b[j])
-            j += 1
-    out += a[i:] + b[j:]
-    return fold(out) if len(out) <= MAX_KIDS else _unordered(out)
+    out, i, j = [], 0, 0
+    for k, m in matches([x[S] for x in a], [x[S] for x in b]):
+        out += [*a[i:k], *b[j:m], _merge(a[k], b[m], again)]
+        i, j = k + 1, m + 1
+    if i == len(a) and j == len(b) and len(out) == len(a) == len(b):
+        return out
+    return fold(out + a[i:] + b[j:])
 
 
 def align_pages(wrapper: list | None, other: list) -> list:
@@ -364,20 +400,14 @@ def places(kids: list[list], wrapper: list[list]) -> set[int]:
     def of(kid: list, node: list) -> set[int]:
         return set(kid[PLACES]) if node[1] else places(kid[KIDS], node[2]) if node[2] else set()
 
+    found = dict(matches([x[S] for x in kids], [x[S] for x in wrapper]))
     out: set[int] = set()
-    if [x[S] for x in kids] == [x[S] for x in wrapper]:
-        return out.union(*map(of, kids, wrapper))
-    best, i, j = _common(kids, wrapper), 0, 0
-    while i < len(kids):
-        if j < len(wrapper) and kids[i][S] == wrapper[j][S]:
-            out |= of(kids[i], wrapper[j])
-            i, j = i + 1, j + 1
-        elif j < len(wrapper) and best[i + 1][j] < best[i][j + 1]:
-            j += 1
+    for i, kid in enumerate(kids):
+        if i in found:
+            out |= of(kid, wrapper[found[i]])
         else:
-            same = [of(kids[i], node) for node in wrapper if node[S] == kids[i][S]]
+            same = [of(kid, node) for node in wrapper if node[S] == kid[S]]
             out |= set.intersection(*same) if same else set()
-            i += 1
     return out
 
 
@@ -398,8 +428,8 @@ class _Text(Visitor):
         self.marks: list[tuple[bool, tuple[_Named, ...]]] = []
         self.named: tuple[_Named, ...] = ()
         self.main, self.mains = 0, set()
-        self.blocks: list[tuple[bool, list[tuple[tuple[_Named, ...], str]]]] = []
-        self.now: list[tuple[tuple[_Named, ...], str]] = []
+        self.blocks: list[tuple[bool, list[tuple[tuple[_Named, ...], str, bool]]]] = []
+        self.now: list[tuple[tuple[_Named, ...], str, bool]] = []
         self.chars, self.plain = 0, 0
 
     def _flush(self) -> None:
@@ -413,8 +443,10 @@ class _Text(Visitor):
         self.clock += 1
         path = f"{self.path[-1]}/{sym}"
         region = name in ("article", "main")
-        inside = name == "header" and self.main == 0
-        out = bad == KIND or inside or path in self.out or self.clock in self.out
+        if bad == SOFT:
+            bad = CONTENT if self.main else NAMED
+        outside = name == "header" and self.main == 0
+        out = bad == KIND or outside or path in self.out or self.clock in self.out
         self.path.append(path)
         self.marks.append((out, self.named))
         self.bad += out
@@ -440,7 +472,7 @@ class _Text(Visitor):
 
     def text(self, text: str, linked: bool) -> None:
         if not self.bad and f"{self.path[-1]}/#" not in self.out and ~self.clock not in self.out:
-            self.now.append((self.named, html.unescape(text)))
+            self.now.append((self.named, html.unescape(text), linked))
             if not linked:
                 size = len(text.strip())
                 self.chars += size
@@ -449,13 +481,13 @@ class _Text(Visitor):
                     box.chars += size
 
     def brk(self) -> None:
-        self.now.append(((), " "))
+        self.now.append(((), " ", True))
 
     def result(self) -> list[str]:
         """A name is set aside if its element holds a main element, or blocks with most of the page's text outside
         links, or, where no article or main element is outside of such elements, an article. Names of OWN_TEXT need a
         main element, or an article and more text than there is outside. What is in articles of an element that
-        isn't most of the page doesn't rule out what is outside of them."""
+        isn't most of the page doesn't rule out what is outside of them, nor do articles that are small beside that."""
         self._flush()
         plain = () in self.mains
 
@@ -466,9 +498,13 @@ class _Text(Visitor):
             return all(layout(x) or x.article and not plain and (not x.owning or x.chars > self.plain) for x in named)
 
         exclusive = any(all(layout(x) or x.chars >= self.plain and not x.owning for x in m) and kept(m) for m in self.mains)
+        size = [0, 0]  # characters outside links: not in, and in main regions
+        for main, pieces in self.blocks:
+            size[main] += sum(len(t.strip()) for named, t, linked in pieces if not linked and kept(named))
+        exclusive = exclusive and size[0] <= OUTSIDE * size[1]
         out = []
         for main, pieces in self.blocks:
-            text = _GAP.sub(" ", "".join(t for named, t in pieces if kept(named))).strip() if main or not exclusive else ""
+            text = _GAP.sub(" ", "".join(t for named, t, _ in pieces if kept(named))).strip() if main or not exclusive else ""
             if text:
                 out.append(text)
         return out
@@ -476,7 +512,7 @@ class _Text(Visitor):
 
 def main_text(page: str, out: set[str | int]) -> str:
     """The blocks of the page outside furniture (paths and places), joined by \\n; those in an article or main element,
-    if there is one."""
+    if there is one that isn't small beside the rest."""
     t = _Text(out)
     walk(page, t)
     return "\n".join(t.result())
@@ -487,30 +523,28 @@ def host_of(col: str = "url") -> Column:
     return F.lower(F.coalesce(F.regexp_extract(col, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _combined(key: Callable, read: Callable, last: bool = False) -> Callable:
+def _combined(key: Callable, read: Callable, by_key: bool = False) -> Callable:
     """A streaming task that aligns what it reads, by host (and part), and gives a wrapper for each.
 
-    More than MAX_HELD wrappers are given early, for a later round to align. In the last round rows come sorted by
-    key, and a wrapper is given when the next key begins: one for each, however many there are.
+    In the first round more than MAX_HELD wrappers are given early, for a later round to align. by_key: rows come sorted
+    by key, and a wrapper is given when the next key begins: one for each, however many there are.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list] = {}
-        size = 0
         for batch in batches:
             done: dict[tuple, list] = {}
             for row in batch.itertuples(index=False):
                 k = key(row)
-                if last and k not in held:
+                if by_key and k not in held:
                     done.update(held)
                     held.clear()
-                size += k not in held
                 held[k] = align_pages(held.get(k), read(row))
-            if last:
+            if by_key:
                 yield frame(done)
-            elif size > MAX_HELD:
+            elif len(held) > MAX_HELD:
                 yield frame(held)
-                held, size = {}, 0
+                held = {}
         yield frame(held)
 
     def frame(held: dict[tuple, list]) -> pd.DataFrame:
@@ -520,13 +554,19 @@ def _combined(key: Callable, read: Callable, last: bool = False) -> Callable:
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, part, wrapper): the wrapper of each host in ``pages`` (url, html), as JSON. A null html is an empty page."""
+    """(host, part, wrapper): the wrapper of each host in ``pages`` (url, html), as JSON. A null html is an empty page.
+
+    A host's pages are dealt over PARTS parts by a hash; what later rounds align comes in a fixed order, so a task that
+    runs again finds the same wrapper.
+    """
     schema = "host string, part int, wrapper string"
-    rows = pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    mapped = rows.mapInPandas(_combined(lambda r: (r.host, len(r.html) % PARTS), lambda r: tree_of(r.html)), schema)
-    few = mapped.repartition("host", "part").mapInPandas(_combined(lambda r: (r.host, r.part), lambda r: json.loads(r.wrapper)), schema)
-    by_host = few.repartition("host").sortWithinPartitions("host")
-    return by_host.mapInPandas(_combined(lambda r: (r.host, 0), lambda r: json.loads(r.wrapper), last=True), schema)
+    part = F.pmod(F.xxhash64("url", "html"), F.lit(PARTS)).cast("int")
+    rows = pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html"), part.alias("part"))
+    mapped = rows.mapInPandas(_combined(lambda r: (r.host, r.part), lambda r: tree_of(r.html)), schema)
+    few = mapped.repartition("host", "part").sortWithinPartitions("host", "part", "wrapper")
+    few = few.mapInPandas(_combined(lambda r: (r.host, r.part), lambda r: json.loads(r.wrapper), by_key=True), schema)
+    by_host = few.repartition("host").sortWithinPartitions("host", "part")
+    return by_host.mapInPandas(_combined(lambda r: (r.host, 0), lambda r: json.loads(r.wrapper), by_key=True), schema)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -151,3 +151,42 @@ def test_layout_around_the_article_is_no_furniture(name, tag):
 ])
 def test_names_hold_for_what_is_furniture(page, want):
     assert text(page) == want
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<div class='overflow-hidden'><p>Whole story.</div>", "Whole story."), ("<p title='hidden gem'>text</p>", "text"), ("<p data-x='display:none'>text", "text"),
+    ("<p style='display: none'>no</p><p aria-hidden='true'>no</p><p hidden=''>no</p><p>yes", "yes"), ("<p hidden=false>yes", "yes"),
+    ("<article><div class='entry-header'><h1>Title</h1></div><p>Text.</article>", "Title\nText."),
+    ("<article><p class='reply'>He said so.</p><label>A label</label><p>Text.</p><p class='ad'>Buy</p></article>", "He said so.\nA label\nText."),
+    ("<article><p>Teaser</article><div><p>A story that is far longer than what the article element holds.</div>", "Teaser\nA story that is far longer than what the article element holds."),
+    ("<article><p>A story of some length.</article><p>End note", "A story of some length."),
+    ("<form><label>Name</label><input></form><label>Search</label><p>y", "y"),
+])
+def test_attributes_and_names_are_weighed(page, want):
+    assert text(page) == want
+
+
+def test_matches_are_longest_common_subsequences():
+    import random
+
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    rng = random.Random(3)
+    for _ in range(400):
+        a, b = ([rng.choice("abcd"[: rng.randint(1, 4)]) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        got = H.matches(a, b)
+        assert all(a[i] == b[j] for i, j in got) and got == sorted(got)
+        assert len({i for i, _ in got}) == len({j for _, j in got}) == len(got) == longest(a, b)
+    assert len(H.matches(["x"] * 3000 + ["y"], ["z"] + ["x"] * 3000)) == 3000
+
+
+def test_many_siblings_keep_their_order(spark):
+    """Three hundred siblings of different kinds: furniture among them is found at its place."""
+    page = lambda i: "<body>" + "".join(f"<div class='k{chr(97 + j % 26)}{chr(97 + j // 26)}'><p>{'Rights' if j == 200 else f'part {j} of {i}'}</p></div>" for j in range(300))
+    got = texts_of(spark, [page(i) for i in range(6)])
+    assert all(t.split("\n") == [f"part {j} of {i}" for j in range(300) if j != 200] for i, t in enumerate(got))
