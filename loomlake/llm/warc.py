@@ -23,7 +23,10 @@ from loomlake.llm.shared import scratch, with_group
 
 #: Equal payloads of fewer bytes are stored again.
 MIN_REVISIT = 100
-MAX_HEADER = 1 << 16
+#: A header of a plain record ends within so many bytes; in a gzip member it may be of any length.
+MAX_HEADER = 16 << 20
+#: An archive file is ended after the record by which it has so many bytes.
+ROLL = 128 << 20
 _STEP = 1 << 16
 # Fixed values of the format.
 _VERSION, _DATE, _GZIP = b"WARC/1.1\r\n", "2000-01-01T00:00:00Z", b"\x1f\x8b\x08"
@@ -53,16 +56,22 @@ def encode_record(headers: dict[str, object], block: bytes) -> bytes:
     return packer.compress(_VERSION + text.encode() + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def _plain(data, at: int) -> tuple[dict[str, str], bytes, int] | None:
+def _count(value: str | None) -> int | None:
+    """A count of bytes as headers state it, in ASCII digits; None for anything else."""
+    return int(value) if re.fullmatch(r"[0-9]{1,18}", value or "") else None
+
+
+def _plain(data, at: int, longest: int | None = None) -> tuple[dict[str, str], bytes, int] | None:
     """The record at ``at``, and where it ends; None unless all of it is right."""
-    end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
+    end = data.find(b"\r\n\r\n", at, len(data) if longest is None else at + longest)
     if end < 0 or not data.startswith(b"WARC/1.", at):
         return None
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    if not all(_FIELD.match(x) for x in lines) or not headers.get("content-length", "").isdigit():
+    size = _count(headers.get("content-length"))
+    if size is None or not all(_FIELD.match(x) for x in lines):
         return None
-    first, last = end + 4, end + 4 + int(headers["content-length"])
+    first, last = end + 4, end + 4 + size
     block = data[first:last]
     if data[last : last + 4] != b"\r\n\r\n":
         return None
@@ -100,7 +109,7 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
                 at = one[2]
             if end is None or at < len(inner):  # what was whole before the damage is kept, the rest is searched
                 end = None
-        elif one := _plain(data, pos):
+        elif one := _plain(data, pos, MAX_HEADER):
             found, end = [one[:2]], one[2]
         if end is not None:
             if lost is not None:
@@ -118,8 +127,23 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         yield Gap(lost, pos - lost)
 
 
-def write_archives(pages: DataFrame, path: str) -> DataFrame:
+def rolled(members: Iterator[bytes], limit: int) -> Iterator[Iterator[bytes]]:
+    """Runs of members; each ends with the member by which it has ``limit`` bytes, and is read before the next is asked for."""
+    for first in members:
+
+        def run(first: bytes = first) -> Iterator[bytes]:
+            size = len(first)
+            yield first
+            while size < limit and (one := next(members, None)) is not None:
+                size += len(one)
+                yield one
+
+        yield run()
+
+
+def write_archives(pages: DataFrame, path: str, roll: int = ROLL) -> DataFrame:
     """Writes a record per row of (page_id, url, html) below ``path``; returns (file, n_records, n_bytes) when run.
+    A task writes a file for each ``roll`` bytes, none without rows.
 
     A null html is an empty payload. Of equal payloads of at least MIN_REVISIT bytes the one with the smallest
     page_id is a response and the others revisit it; rows that repeat its page_id too are responses, as are all
@@ -154,9 +178,13 @@ def write_archives(pages: DataFrame, path: str) -> DataFrame:
                     else:
                         yield encode_record(headers | {"WARC-Profile": _REVISIT, "WARC-Refers-To": f"<urn:page:{name(first)}>"}, _HTTP)
 
-        file = f"{path}/part-{TaskContext.get().partitionId():06d}.warc.gz"
-        size = write_file(file, members())
-        yield pd.DataFrame({"file": [file], "n_records": [n], "n_bytes": [size]})
+        rows, before = [], 0
+        for k, run in enumerate(rolled(members(), roll)):
+            file = f"{path}/part-{TaskContext.get().partitionId():06d}-{k:05d}.warc.gz"
+            size = write_file(file, run)
+            rows.append((file, n - before, size))
+            before = n
+        yield pd.DataFrame(rows, columns=["file", "n_records", "n_bytes"])
 
     return marked.mapInPandas(write, "file string, n_records long, n_bytes long")
 
@@ -167,12 +195,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     (file, offset, length, kind: record or gap, page_id, url, record_type, payload_bytes, payload_digest, refers_to,
     payload). A record whose payload does not have the SHA-256 it
     states is reported as a gap; where none is stated, or another kind, it is computed. Archives without
-    records give only gaps, empty ones nothing. An archive is read by one task: keep files below about 1 GB.
+    records give only gaps, empty ones nothing. An archive is read by one task, in memory: foreign files must be below 2 GB.
+    A page id or a stated length that isn't a number in range is null.
     """
 
     def number(urn: str | None) -> int | None:
-        found = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
-        return int(found[1]) if found else None
+        found = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", urn or "")
+        return int(found[1]) if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
 
     def row(file: str, x: Record | Gap) -> tuple:
         gap = (file, x.offset, x.length, "gap", None, None, None, None, None, None, None)
@@ -190,8 +219,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             digest = own
             return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, len(body), digest, None, body
         digest = digest if algorithm == "sha256" else None
-        size = int(h.get("x-payload-length") or 0)
-        return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, size, digest, number(h.get("warc-refers-to")), None
+        return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, _count(h.get("x-payload-length")), digest, number(h.get("warc-refers-to")), None
 
     schema = (
         "file string, offset long, length long, kind string, page_id long, url string, record_type string, "
