@@ -17,10 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomlake.llm.shared import tidy
+
 ORDER = 4
 #: About so many texts per language are sampled to fit the models (all, where there are fewer), by a hash of the id,
 #: and so many more to calibrate confidence and rejection.
 MAX_FIT, MAX_CALIBRATE = 1500, 300
+#: The share of a language's own texts that sets its ceiling.
+WORST = 0.995
 #: Rejection needs so many letters: shorter texts say too little.
 MIN_LETTERS = 20
 #: Characters scored at once; bounds the memory of a task.
@@ -264,8 +268,8 @@ def kneser_ney(counts: pd.DataFrame, order: int) -> Models:
 
 def calibrate(m: Models, texts: list[str], langs: list[str]) -> Models:
     """Sets how sharply entropies become confidences (least log loss on texts the models weren't fitted on), and for
-    each language the cross-entropy beyond which a text is rejected: half-way between the worst of its own texts and
-    the same letters in random order, and never below its own texts."""
+    each language the cross-entropy beyond which a text is rejected: half-way between what WORST of its own texts keep
+    below (so that a mislabelled text doesn't lift it) and the same letters in random order."""
     sizes, sums = score_texts(m, texts)
     ok = sizes >= MIN_LETTERS
     if not ok.any():
@@ -282,10 +286,10 @@ def calibrate(m: Models, texts: list[str], langs: list[str]) -> Models:
         mine = np.flatnonzero(ok & (own == i))
         if not len(mine):
             continue
-        mixed = ["".join(rng.permutation(list(texts[j][:5000]))) for j in mine[:50]]
+        mixed = ["".join(rng.permutation(list(texts[j]))) for j in mine]
         n, s = score_texts(m, mixed)
         noise = np.median((-s / np.maximum(n, 1)[:, None]).min(axis=1)[n > 0]) if (n > 0).any() else np.inf
-        worst = entropy[mine, i].max()
+        worst = np.quantile(entropy[mine, i], WORST)
         ceiling[i] = max(worst + 0.1, (worst + noise) / 2)
     return m._replace(sharpness=sharpness, ceiling=ceiling)
 
@@ -348,6 +352,7 @@ def identify(models: Models | None, text: Column, spark) -> Column:
                     "letters": sizes,
                 }
             )
+        tidy()
 
     return predict(text)
 
@@ -356,11 +361,11 @@ def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
 
 
-def language_of_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``_language`` (see identify); learned from rows that aren't held out. A null doc_id is
-    not learned from and counts as held out."""
+def language_of_documents(docs: DataFrame, into: str = "_language") -> DataFrame:
+    """``docs`` with a column ``into`` (see identify); learned from rows that aren't held out. A null doc_id is
+    not learned from and counts as held out. Of equal entropies the first language by name counts."""
     models = fit(docs.filter(~F.coalesce(held_out(), F.lit(True))))
-    return docs.withColumn("_language", identify(models, F.col("text"), docs.sparkSession))
+    return docs.withColumn(into, identify(models, F.col("text"), docs.sparkSession))
 
 
 def op2_language_id(spark, sf_dir):
