@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import stored, with_group
+from loomlake.llm.shared import stored, unused, with_group
 
 MIN_CHUNK, MAX_CHUNK = 128, 4096
 _CUT = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK}}}?[gkmpvwy][ ,.;:\\n]+(?=[bcdfmpw])|.{{1,{MAX_CHUNK}}}"
@@ -66,10 +66,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that exact_groups keeps, all columns."""
-    gone = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("_gone"), "text_sha256").distinct()
-    keyed = docs.withColumn("_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    match = keyed[id_col].eqNullSafe(gone["_gone"]) & (keyed["_sha"] == gone["text_sha256"])
-    return keyed.join(gone, match, "left_anti").drop("_sha")
+    sha, gone_id = unused(docs, "sha", "gone")
+    gone = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias(gone_id), F.col("text_sha256").alias("_hash")).distinct()
+    keyed = docs.withColumn(sha, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    match = keyed[id_col].eqNullSafe(gone[gone_id]) & (keyed[sha] == gone["_hash"])
+    return keyed.join(gone, match, "left_anti").drop(sha)
 
 
 def op8_exact_dedup(spark, sf_dir):
