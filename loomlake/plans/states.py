@@ -211,6 +211,8 @@ def case_ranked_topk(spark, sf_dir):
 # Run state. Events stand for batches, users for runs.
 
 _NOW = "2024-01-08 00:00:00"
+#: Just after the last event: ages differ by users.
+_LATE = "2024-01-31 00:00:00"
 _STATES = "CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'success' WHEN 'signup' THEN 'running' WHEN 'click' THEN 'success' ELSE 'queued' END"
 
 
@@ -266,12 +268,12 @@ def file_states(spark, sf_dir):
 
 
 @query(f"""
-SELECT user_id, CASE WHEN epoch(TIMESTAMP '{_NOW}' - m) / 60 > 1440 THEN 'stale' WHEN epoch(TIMESTAMP '{_NOW}' - m) / 60 > 120 THEN 'delayed' ELSE 'fresh' END AS freshness
+SELECT user_id, CASE WHEN epoch(TIMESTAMP '{_LATE}' - m) / 60 > 1440 THEN 'stale' WHEN epoch(TIMESTAMP '{_LATE}' - m) / 60 > 120 THEN 'delayed' ELSE 'fresh' END AS freshness
 FROM (SELECT user_id, date_trunc('second', max(ts)) AS m FROM events GROUP BY 1)
 """)
 def freshness_states(spark, sf_dir):
     last = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").cast("timestamp").alias("m"))
-    return last.select("user_id", C.freshness(F.col("m"), F.lit(_NOW).cast("timestamp"), F.lit(120), F.lit(1440)).alias("freshness"))
+    return last.select("user_id", C.freshness(F.col("m"), F.lit(_LATE).cast("timestamp"), F.lit(120), F.lit(1440)).alias("freshness"))
 
 
 @query("""
@@ -285,14 +287,14 @@ def stage_timings(spark, sf_dir):
 
 @query(f"""
 WITH s AS (SELECT user_id, max(ts) AS last, user_id % 5 AS k FROM events GROUP BY 1)
-SELECT user_id FROM s WHERE k <> 0 AND epoch(TIMESTAMP '{_NOW}')::BIGINT - epoch(date_trunc('second', last))::BIGINT >= (CASE WHEN k = 1 THEN 60 ELSE 1440 END) * 60
+SELECT user_id FROM s WHERE k <> 0 AND epoch(TIMESTAMP '{_LATE}')::BIGINT - epoch(date_trunc('second', last))::BIGINT >= (CASE WHEN k = 1 THEN 60 ELSE 1440 END) * 60
 """)
 def due_collections(spark, sf_dir):
     """Own schedules override the database's; manual ones are never due."""
     last = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").cast("timestamp").alias("last_run_at"))
     k = F.col("user_id") % 5
     s = last.withColumns({"collection_minutes": F.when(k == 1, 60), "database_minutes": F.lit(1440), "collection_mode": F.when(k == 0, "manual_only"), "database_mode": F.lit("scheduled")})
-    return state.due(s, F.lit(_NOW).cast("timestamp")).select("user_id")
+    return state.due(s, F.lit(_LATE).cast("timestamp")).select("user_id")
 
 
 @query("""
