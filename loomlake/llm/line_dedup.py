@@ -13,15 +13,18 @@ of them only. A line that goes by that isn't compared as the later one again: a
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import stored, with_group, word_array
+from loomlake.llm.shared import discard, stored, sweep, unused, with_group, word_array, workspace
 
 THRESHOLD = 0.8
-#: Hash buckets in which words are counted; the counts travel as one array of so many small numbers.
-BUCKETS = 1 << 18
-#: Candidate lines whose places may be broadcast.
+#: Hash buckets in which words are counted (a power of two); their counts travel as one array of so many small numbers.
+BUCKETS = 1 << 22
+_ROW_BITS = 11
+#: Rows of what is looked up that may be broadcast; more are joined by a shuffle.
 MAX_BROADCAST = 300_000
 #: A word is a 64-bit code: its rarity class in the upper 6 bits (sign unused), its hash below. Lines are joined on the
 #: upper half of codes.
@@ -30,6 +33,11 @@ _HASH_BITS = 57
 CROWD, FIRST = 32, 3
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A stored table as the side of a join: broadcast if it has at most MAX_BROADCAST rows."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST else df
+
+
 def _text_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line_no, line): all lines; row is a hash of id and text, which tells rows with equal ids apart."""
     lines = F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line")
@@ -41,43 +49,48 @@ def _split(text: str) -> str:
     return f"split(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+')"
 
 
-def rarity_classes(docs: DataFrame, buckets: int = BUCKETS) -> str:
-    """For each hash bucket of words (a power of two of them) the binary logarithm of its number of words, as JSON."""
+def rarity_classes(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """One row: rank, for each hash bucket of words (the upper bits of their hash) the binary length of its number of words."""
     words = docs.select(F.explode_outer(F.expr(_split("text"))).alias("w")).filter("w <> ''")
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
-    classes = [0] * buckets
-    for b, n in counts:
-        classes[b] = n.bit_length()
-    return "[" + ",".join(map(str, classes)) + "]"
-
-
-def _codes(classes: str, buckets: int) -> str:
-    """SQL for the distinct words of a line as codes in order of rarity."""
-    code = f"(shiftleft(cast(get(r, cast(h & {buckets - 1}L as int)) as bigint), {_HASH_BITS}) | (h & {(1 << _HASH_BITS) - 1}L))"
-    rank = f"from_json('{classes}', 'array<tinyint>')"
+    place = F.shiftrightunsigned(F.xxhash64("w"), 65 - buckets.bit_length())
+    counts = words.groupBy(place.alias("b")).agg(F.length(F.bin(F.count(F.lit(1)))).cast("tinyint").alias("c"))
+    every = counts.union(docs.sparkSession.range(buckets).select("id", F.lit(0).cast("tinyint")))
+    low = F.col("b").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).cast("int")
+    rows = every.groupBy(F.shiftright("b", _ROW_BITS).alias("high")).agg(F.sort_array(F.collect_list(F.struct(low.alias("low"), "c"))).alias("x"))
+    last = "filter(x, (e, i) -> i = size(x) - 1 OR x[i + 1].low <> e.low)"  # the counted class where there is one
+    rows = rows.select("high", F.expr(f"transform({last}, e -> e.c)").alias("x"))
+    return rows.groupBy().agg(F.sort_array(F.collect_list(F.struct("high", "x"))).alias("x")).select(F.expr("flatten(transform(x, e -> e.x))").alias("rank"))
+
+
+def _codes(buckets: int) -> str:
+    """SQL for the distinct words of a line as codes in order of rarity, by the column rank."""
+    rarity = f"cast(get(rank, cast(shiftrightunsigned(h, {65 - buckets.bit_length()}) as int)) as bigint)"
+    code = f"shiftleft({rarity}, {_HASH_BITS}) | shiftrightunsigned(h, {64 - _HASH_BITS})"
     hashes = f"transform({_split('line')}, w -> xxhash64(w))"
-    return f"sort_array(array_distinct(transform(array({rank}), r -> transform(array_remove({hashes}, xxhash64('')), h -> {code}))[0]))"
+    return f"sort_array(array_distinct(transform(array_remove({hashes}, xxhash64('')), h -> {code})))"
 
 
 def _needed(n: str, share: float) -> str:
     return f"cast(ceil({n} * {share}D - 1e-9) as int)"
 
 
-def word_sets(docs: DataFrame, threshold: float, buckets: int) -> DataFrame:
-    """(doc_id, row, line_no, set_key, n, parity, prefix) of the lines with a word.
+def word_sets(docs: DataFrame, threshold: float, buckets: int, within: str | None = None) -> DataFrame:
+    """(doc_id, row, line_no, set_key, check, n, parity, prefix) of all lines; n is 0 for those without a word.
 
-    parity has a bit for each value of a word's hash mod 64: whether an odd number of words has it. A set of fewer
-    than threshold / (1 - threshold) words resembles only its equals: its prefix is empty.
+    set_key and check: two hashes of the set. parity has a bit for each value of a word's hash mod 64: whether an odd
+    number of words has it. A set of fewer than threshold / (1 - threshold) words resembles only its equals: its prefix
+    is empty.
     """
     most = f"size(c) - {_needed('size(c)', threshold)} + 1" if threshold < 1 else "0"
     least = f"{threshold / (1 - threshold)}D" if threshold < 1 else "1D"
-    described = (
-        f"transform(array({_codes(rarity_classes(docs, buckets), buckets)}), c -> named_struct('set_key', xxhash64(c), 'n', size(c), "
-        "'parity', aggregate(c, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63L as int))), "
-        f"'prefix', transform(slice(c, 1, if(size(c) + 1e-9D >= {least}, {most}, 0)), x -> cast(shiftright(x, 32) as int))))"
-    )
-    # Generated in one go: a filter on the size of the codes would be pushed down and compute them twice.
-    return _text_lines(docs).select("doc_id", "row", "line_no", F.expr(f"inline_outer(filter({described}, s -> s.n > 0))")).filter("n IS NOT NULL")
+    # The rank is a scalar subquery: it is evaluated once and read in place, as long as only projections stand between.
+    rank = stored(rarity_classes(docs, buckets), "rarity", within).scalar()
+    lines = _text_lines(docs).withColumn("rank", rank).select("doc_id", "row", "line_no", F.expr(_codes(buckets)).alias("c"))
+    return lines.select(
+        "doc_id", "row", "line_no", F.xxhash64("c").alias("set_key"), F.xxhash64(F.lit("check"), "c").alias("check"), F.size("c").alias("n"),
+        F.expr("aggregate(c, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63L as int)))").alias("parity"),
+        F.expr(f"transform(slice(c, 1, if(size(c) + 1e-9D >= {least}, {most}, 0)), x -> cast(shiftright(x, 32) as int))").alias("prefix"),
+    )
 
 
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
@@ -86,33 +99,57 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, buckets: int =
     Lines are parted by \\n. Lines without a word are never removed. A null text has no lines with words. A null
     doc_id comes first. Rows that repeat both id and text are one document: they lose the same lines.
     """
-    placed = stored(word_sets(docs, threshold, buckets).withColumn("tie", F.monotonically_increasing_id()), "lines")
-    at, whole = F.struct("doc_id", "row", "line_no"), F.struct("doc_id", "row", "line_no", "tie")
+    with workspace(docs.sparkSession, "line-sets") as within:
+        return stored(_repeated(docs.select("doc_id", "text"), threshold, buckets, within), "repeated-lines")
+
+
+def _repeated(docs: DataFrame, threshold: float, buckets: int, within: str) -> DataFrame:
+    # A set is known by its first line (a number that no other line has): hashes only bring lines together.
+    # Lines without a word are left out when the table is read: a filter before would compute the words twice.
+    whole = stored(word_sets(docs, threshold, buckets, within).withColumn("tie", F.monotonically_increasing_id()), "lines", f"{within}/lines")
+    placed = whole.filter("n > 0")
+    grouped = placed.groupBy("set_key", "check").agg(
+        F.min(F.struct("doc_id", "row", "line_no", "tie")).alias("first"), F.count(F.lit(1)).alias("times"),
+        F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"),
+    )
+    at = F.struct("first.doc_id", "first.row", "first.line_no").alias("at")
+    firsts = stored(grouped.select(F.col("first.tie").alias("sid"), at, "set_key", "check", "times", "n", "parity", "prefix"), "sets", within)
 
     # Within equal sets: all but the first place goes.
-    first = {"_at": (F.min(whole), F.min("_at")), "_n": (F.count(F.lit(1)), F.sum("_n"))}
-    equal = stored(with_group(placed, ["set_key"], ["row", "line_no"], first, F.col("_n") > 1), "sets")
-    early = F.struct("_at.doc_id", "_at.row", "_at.line_no")
-    copies = equal.filter((F.col("_n") > 1) & (early < at)).select("doc_id", "row", "line_no")
-    firsts = equal.filter(F.col("_n").isNull() | (F.col("_at") == whole)).select("set_key", at.alias("at"), "n", "parity", "prefix")
-
-    # Between different sets: the later one goes, with all its places.
-    crowds = later_sets(docs, firsts, _crowd_pairs(firsts, threshold), threshold)
-    found = later_sets(docs, firsts, _close_pairs(firsts, crowds, threshold), threshold)
-    later = crowds.union(found).distinct()
-    gone = equal.select("doc_id", "row", "line_no", "set_key").join(later, "set_key", "left_semi").drop("set_key")
+    twice = firsts.filter("times > 1").select("set_key", "check", "at")
+    places = placed.select("doc_id", "row", "line_no", "set_key", "check").join(twice, ["set_key", "check"])
+    copies = places.filter("NOT (row = at.row AND line_no = at.line_no AND doc_id <=> at.doc_id)").select("doc_id", "row", "line_no")
+    copies = stored(copies, "copies", within)
+    discard(docs.sparkSession, f"{within}/lines")
+    sweep(docs.sparkSession)
+
+    # Between different sets: the later one goes; its other places are copies.
+    crowds = later_sets(docs, firsts, _crowd_pairs(firsts, threshold, within), threshold, within)
+    found = later_sets(docs, firsts, _close_pairs(firsts, crowds, threshold), threshold, within)
+    later = _small(stored(crowds.union(found).distinct(), "all-later", within))
+    gone = firsts.select("sid", "at").join(later, "sid", "left_semi").select("at.doc_id", "at.row", "at.line_no")
     return copies.union(gone).distinct()
 
 
-def _crowd_pairs(firsts: DataFrame, threshold: float) -> DataFrame:
+def _class_of(code: str) -> Column:
+    return F.shiftright(code, _HASH_BITS - 32)
+
+
+def _crowd_pairs(firsts: DataFrame, threshold: float, within: str) -> DataFrame:
     """Each set in a crowd with the earliest set of that crowd."""
-    rows = firsts.select("set_key", "at", "n", "parity", F.explode(F.slice("prefix", 1, FIRST)).alias("code"))
-    crowds = rows.groupBy("code").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") >= CROWD).select("code")
-    lead = {"_lead": (F.min(F.struct("at", "set_key", "n", "parity")), F.min("_lead"))}
-    members = with_group(rows.join(crowds, "code", "left_semi"), ["code"], ["set_key"], lead, F.lit(True))
-    pairs = members.select("set_key", "n", "parity", *[F.col(f"_lead.{c}").alias(f"{c}2") for c in ("set_key", "n", "parity")])
-    possible = f"set_key <> set_key2 AND least(n, n2) >= {threshold}D * greatest(n, n2) - 1e-9 AND {_parity_bound(threshold)}"
-    return pairs.filter(possible).select("set_key", "set_key2").distinct()
+    rows = firsts.select("sid", "at", "n", "parity", F.explode(F.slice("prefix", 1, FIRST)).alias("code"))
+    rows = rows.filter(_class_of("code") >= CROWD.bit_length())  # a bucket of fewer words: no crowd
+    crowds = stored(rows.groupBy("code").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") >= CROWD).select("code"), "crowds", within)
+    lead = {"_lead": (F.min(F.struct("at", "sid", "n", "parity")), F.min("_lead"))}
+    members = with_group(rows.join(_small(crowds), "code", "left_semi"), ["code"], ["sid"], lead, F.lit(True))
+    pairs = members.select("sid", "n", "parity", *[F.col(f"_lead.{c}").alias(f"{c}2") for c in ("sid", "n", "parity")])
+    possible = f"sid <> sid2 AND least(n, n2) >= {threshold}D * greatest(n, n2) - 1e-9 AND {_parity_bound(threshold)}"
+    return pairs.filter(possible).select("sid", "sid2", _gap()).distinct()
+
+
+def _gap() -> Column:
+    """How many words two sets differ by at least, by their parities."""
+    return F.expr("bit_count(parity ^ parity2)").alias("gap")
 
 
 def _parity_bound(threshold: float) -> str:
@@ -122,47 +159,72 @@ def _parity_bound(threshold: float) -> str:
 
 def _close_pairs(firsts: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
     """The pairs of sets that all filters leave, the larger set first; pairs of two sets in ``gone`` are left out."""
-    marked = firsts.join(gone.withColumn("_gone", F.lit(True)), "set_key", "left").withColumn("open", F.col("_gone").isNull())
-    index = marked.select("set_key", "n", "parity", "open", F.posexplode("prefix").alias("p", "code"))
-    index = index.filter(F.shiftright("code", _HASH_BITS - 32) > 1)  # a bucket with one word: no other line has it
+    marked = firsts.select("sid", "n", "parity", "prefix").join(_small(gone.withColumn("_gone", F.lit(True))), "sid", "left")
+    index = marked.select("sid", "n", "parity", F.col("_gone").isNull().alias("open"), F.posexplode("prefix").alias("p", "code"))
+    index = index.filter(_class_of("code") > 1)  # a bucket with one word: no other line has it
+    place = F.expr("shiftleft(cast(n as bigint), 32) | shiftleft(cast(p as bigint), 1) | cast(open as bigint)")  # fewer bytes to shuffle
+    index = index.select("code", "sid", "parity", place.alias("place"))
     lead = f"(p2 < n2 - {_needed('n2', 2 * threshold / (1 + threshold))} + 1)"
     both = f"{threshold / (1 + threshold)}D * (n + n2) - 1e-9"
     close = (
-        f"(n > n2 OR (n = n2 AND set_key > set_key2)) AND (open OR open2) AND n2 >= {threshold}D * n - 1e-9 AND {lead} "
+        f"(n > n2 OR (n = n2 AND sid > sid2)) AND (place | place2) & 1L = 1L AND n2 >= {threshold}D * n - 1e-9 AND {lead} "
         f"AND {_parity_bound(threshold)} AND least(p, p2) + least(n - p, n2 - p2) >= {both}"
     )
+    for x in ("2", ""):
+        close = re.sub(rf"\bn{x}\b", f"cast(shiftright(place{x}, 32) as int)", close)
+        close = re.sub(rf"\bp{x}\b", f"cast(shiftright(place{x} & 4294967295L, 1) as int)", close)
     other = index.select(*[F.col(c).alias(f"{c}2") for c in index.columns])
-    return index.join(other, F.expr(f"code = code2 AND {close}")).select("set_key", "set_key2").distinct()
+    return index.join(other, F.expr(f"code = code2 AND {close}")).select("sid", "sid2", _gap()).distinct()
 
 
-def later_sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """(set_key): of each pair whose words have the similarity, the set that comes later."""
-    pairs = stored(pairs, "line-pairs")
-    lines = _whole_lines(docs, firsts, pairs)
-    both = pairs.join(lines, "set_key").join(lines.toDF("set_key2", "at2", "line2"), "set_key2")
-    both = both.select("set_key", "set_key2", "at", "at2", _distinct_words("line").alias("words"), _distinct_words("line2").alias("words2"))
+def later_sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float, within: str) -> DataFrame:
+    """(sid): of each pair (sid, sid2, gap) whose words have the similarity, the set that comes later.
+
+    One earlier set is enough for a later one to go: each later set is compared with the earlier one that its parities
+    are nearest to, and only those that stay are compared with all the others.
+    """
+    pairs = stored(pairs, "line-pairs", within)
+    slim = firsts.select("sid", "at")
+    placed = pairs.join(slim, "sid").join(slim.toDF("sid2", "at2"), "sid2")
+    swap = F.col("at") < F.col("at2")
+    ordered = placed.select(F.when(swap, F.col("sid2")).otherwise(F.col("sid")).alias("later"), F.when(swap, F.col("sid")).otherwise(F.col("sid2")).alias("earlier"), "gap")
+    ordered = stored(ordered, "line-order", within)
+    sweep(docs.sparkSession)
+    nearest = ordered.groupBy("later").agg(F.min(F.struct("gap", "earlier")).alias("x")).select("later", "x.earlier")
+    found = _alike(docs, firsts, stored(nearest, "line-nearest", within), threshold, within)
+    rest = ordered.select("later", "earlier").join(_small(found), ordered["later"] == found["sid"], "left_anti")
+    return found.union(_alike(docs, firsts, stored(rest, "line-rest", within), threshold, within)).distinct()
+
+
+def _alike(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float, within: str) -> DataFrame:
+    """(sid): the later sets of the pairs (later, earlier) whose words have the similarity."""
+    lines = _whole_lines(docs, firsts, pairs, within)
+    both = pairs.join(lines.toDF("later", "line"), "later").join(lines.toDF("earlier", "line2"), "earlier")
+    both = both.select("later", _distinct_words("line").alias("words"), _distinct_words("line2").alias("words2"))
     common = F.size(F.array_intersect("words", "words2"))
     alike = both.filter(common >= F.lit(threshold) * (F.size("words") + F.size("words2") - common) - 1e-9)
-    return stored(alike.select(F.when(F.col("at") < F.col("at2"), F.col("set_key2")).otherwise(F.col("set_key")).alias("set_key")).distinct(), "later")
+    later = stored(alike.select(F.col("later").alias("sid")).distinct(), "later", within)
+    sweep(docs.sparkSession)
+    return later
 
 
 def _distinct_words(line: str) -> Column:
     return F.array_distinct(F.expr(word_array(line)))
 
 
-def _whole_lines(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(set_key, at, line): the first place of each set in ``pairs`` and the line there."""
-    keys = pairs.select("set_key").union(pairs.select("set_key2")).distinct()
-    found = firsts.select("set_key", "at").join(keys, "set_key")
-    wanted = found.groupBy(F.col("at.row").alias("_row"), F.col("at.doc_id").alias("_doc")).agg(F.collect_list(F.struct("set_key", "at")).alias("_sets"))
-    wanted = stored(wanted, "line-places")
+def _whole_lines(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, within: str) -> DataFrame:
+    """(sid, line): the line at the first place of each set in ``pairs``."""
+    keys = pairs.select(F.col("later").alias("sid")).union(pairs.select("earlier")).distinct()
+    found = firsts.select("sid", "at").join(keys, "sid")
+    wanted = found.groupBy(F.col("at.row").alias("_row"), F.col("at.doc_id").alias("_doc")).agg(F.collect_list(F.struct("sid", "at")).alias("_sets"))
+    wanted = stored(wanted, "line-places", within)
     if wanted.agg(F.coalesce(F.sum(F.size("_sets")), F.lit(0))).head()[0] <= MAX_BROADCAST:  # else the texts are shuffled to them
         wanted = F.broadcast(wanted)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     matched = rows.join(wanted, (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     lines = matched.select(F.split("text", "\n").alias("lines"), F.explode("_sets").alias("s"))
-    found = lines.select("s.set_key", "s.at", F.get("lines", F.col("s.at.line_no")).alias("line"))
-    return stored(found.dropDuplicates(["set_key"]), "whole-lines")
+    found = lines.select("s.sid", F.get("lines", F.col("s.at.line_no")).alias("line"))
+    return stored(found.dropDuplicates(["sid"]), "whole-lines", within)
 
 
 def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -176,13 +238,35 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def drop_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the repeated lines left out of text; all columns, null texts stay null."""
-    gone = repeated_lines(docs, threshold).groupBy(F.col("row").alias("_r"), F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = keyed.join(gone, (F.col("_row") == F.col("_r")) & keyed["doc_id"].eqNullSafe(F.col("_doc")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
+    row, key, doc, lines = unused(docs, "row", "key", "doc", "lines")
+    gone = repeated_lines(docs, threshold).groupBy(F.col("row").alias(key), F.col("doc_id").alias(doc)).agg(F.collect_set("line_no").alias(lines))
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    found = keyed.join(gone, (F.col(row) == F.col(key)) & keyed["doc_id"].eqNullSafe(F.col(doc)), "left")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(lines, i)), "\n")
+    text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(kept)
     return found.withColumn("text", text).select(docs.columns)
 
 
 def op9_line_dedup(spark, sf_dir):
-    return line_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    report = line_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return report.withColumn("removed", F.array_join("removed", ","))
+
+
+OP9_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS line_no FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+w AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '[^\p{L}\p{N}]+'), lambda x: x <> ''))) AS ws FROM l
+), s AS (SELECT row_number() OVER () AS sid, * FROM (SELECT ws, len(ws) AS n, min((doc_id, line_no)) AS first FROM w WHERE len(ws) > 0 GROUP BY ws)),
+u AS (SELECT sid, n, unnest(ws) AS t FROM s),
+f AS (SELECT t, count(*) AS c FROM u GROUP BY t),
+p AS (SELECT * FROM (SELECT sid, n, u.t, row_number() OVER (PARTITION BY sid ORDER BY c, u.t) AS r FROM u JOIN f ON u.t = f.t) WHERE r <= n - ceil(n * 0.8 - 1e-9) + 1),
+c AS (SELECT DISTINCT a.sid AS x, b.sid AS y FROM p a JOIN p b ON a.t = b.t AND a.sid < b.sid AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+v AS (
+  SELECT CASE WHEN a.first < b.first THEN y ELSE x END AS sid FROM c JOIN s a ON a.sid = x JOIN s b ON b.sid = y
+  WHERE len(list_intersect(a.ws, b.ws)) >= 0.8 * (a.n + b.n - len(list_intersect(a.ws, b.ws))) - 1e-9
+), g AS (
+  SELECT doc_id, line_no FROM w JOIN s ON w.ws = s.ws WHERE (doc_id, line_no) <> s.first OR s.sid IN (SELECT sid FROM v)
+), r AS (SELECT doc_id, count(*) AS k, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS removed FROM g GROUP BY doc_id)
+SELECT d.doc_id, len(string_split(coalesce(text, ''), chr(10))) AS n_lines, coalesce(k, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id
+"""

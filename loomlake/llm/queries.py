@@ -19,4 +19,5 @@ ORACLE_SQL = {
     "op3_warc": warc.OP3_SQL,
     "op4_decontamination": decontamination.OP4_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
+    "op9_line_dedup": line_dedup.OP9_SQL,
 }

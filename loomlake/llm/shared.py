@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -37,6 +38,13 @@ def workspace(spark: SparkSession, name: str) -> Iterator[str]:
         discard(spark, path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets go of shuffles that no table refers to any more, now and not when the driver next collects its garbage: in a
+    long job their files would fill the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def tidy() -> None:
     """Gives what a Python worker has freed back to the system: workers wait between tasks, beside those of other stages."""
     pa.default_memory_pool().release_unused()
