@@ -222,3 +222,40 @@ def test_rows_without_an_id_of_their_own(spark):
     assert by[texts[6]] == 7 and by[texts[2]] == 1 and by[texts[1]] == 7 and by[texts[9]] is None
     found = [tuple(r)[:3] for r in near_dedup.near_duplicate_classes(table(spark, rows)).collect()]
     assert sorted(found, key=str) == sorted(near_by_force(rows), key=str)
+
+
+@pytest.mark.parametrize("broadcast", [300_000, 0])
+def test_line_crowds_and_the_way_beyond_broadcast(spark, monkeypatch, broadcast):
+    """A passage of which 70 near copies share all rare words, a second one, and lines that share words of a crowd only."""
+    monkeypatch.setattr(line_dedup, "MAX_BROADCAST", broadcast)
+    monkeypatch.setattr(line_dedup, "CROWD", 8)
+    rng = random.Random(14)
+    base = [[f"p{k}w{i}" for i in range(24)] for k in range(2)]
+    rows = []
+    for d in range(70):
+        lines = []
+        for words in base:
+            line = list(words)
+            for _ in range(rng.choice((0, 1, 2, 3, 4))):
+                line[rng.randrange(24)] = rng.choice("and or the of".split())
+            lines.append(" ".join(line))
+        lines.append(" ".join(base[0][:3] + [f"q{d}x{i}" for i in range(9)]))
+        rows.append((d, "\n".join(lines)))
+    gone = lines_by_force(rows)
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_report(table(spark, rows)).collect()}
+    assert got == {d: gone[d] for d, _ in rows} and sum(map(len, got.values())) > 70
+
+
+def test_recall_of_near_duplicates(spark):
+    """All pairs of different texts of a whole table that resemble each other by 0.8 or more end in one class: measured."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    bags = [near_dedup.shingle_multiset(t) for _, t in rows]
+    owners = collections.defaultdict(list)
+    for i, (h, _, _) in enumerate(bags):
+        for x in h.tolist():
+            owners[x].append(i)
+    pairs = {(i, j) for ids in owners.values() for k, i in enumerate(ids) for j in ids[k + 1 :]}
+    near = [(i, j) for i, j in pairs if near_dedup.overlap(bags[i][:2], bags[j][:2]) >= near_dedup.THRESHOLD]
+    of = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(of[rows[i][0]] == of[rows[j][0]] for i, j in near)
+    assert len(near) > 50 and found / len(near) >= 0.99
