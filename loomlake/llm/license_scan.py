@@ -249,3 +249,21 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
 def op10_license_scan(spark, sf_dir):
     return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def license_base_places(spark, sf_dir):
+    """What op10 says of the base phrases, which SQL can say too."""
+    found = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+BASE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+p AS (
+  SELECT doc_id, ws, list_filter(range(len(ws)), lambda i: ws[i + 1] = 'cc' AND ws[i + 2] = 'by') AS a,
+    list_filter(range(len(ws)), lambda i: ws[i + 1] = 'general' AND ws[i + 2] = 'public' AND ws[i + 3] = 'license') AS b,
+    list_filter(range(len(ws)), lambda i: ws[i + 1] = 'all' AND ws[i + 2] = 'rights' AND ws[i + 3] = 'reserved') AS c FROM w
+)
+SELECT doc_id, len(ws) AS n_words, len(a) + len(b) + len(c) AS n_base, list_min(list_concat(a, b, c)) AS first_word, list_max(list_concat(a, b, c)) AS last_word,
+  concat_ws(',', CASE WHEN len(a) > 0 THEN 'cc-by' END, CASE WHEN len(b) > 0 THEN 'gpl' END, CASE WHEN len(c) > 0 THEN 'reserved' END) AS base_labels FROM p
+"""

@@ -13,6 +13,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
+    "license_base_places": license_scan.license_base_places,
 }
 
 ORACLE_SQL = {
@@ -20,4 +21,5 @@ ORACLE_SQL = {
     "op4_decontamination": decontamination.OP4_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
+    "license_base_places": license_scan.BASE_SQL,
 }
