@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import stored, tidy, unused, with_group, workspace
+from loomlake.llm.shared import stored, sweep, tidy, unused, with_group, workspace
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -273,15 +273,18 @@ def _classes(docs: DataFrame, within: str) -> DataFrame:
     buckets = once.select("text_key", F.explode("bands").alias("band"))
     size = {"_n": (F.count(F.lit(1)), F.sum("_n"))}
     crowded = stored(with_group(buckets, ["band"], ["text_key"], size, F.col("_n") > 1).filter("_n > 1"), "buckets", within)
+    sweep(docs.sparkSession)
     central = crowded.groupBy("text_key").agg(F.sum("_n").alias("_weight"))
     weighed = crowded.join(central, "text_key").select("band", "text_key", F.struct(F.col("_weight"), F.col("text_key")).alias("_rank"))
     centre = {"_best": (F.max("_rank"), F.max("_best"))}
     stars = with_group(weighed, ["band"], ["text_key"], centre, F.lit(True))
     pairs = stars.select(F.col("text_key").alias("a"), F.col("_best.text_key").alias("b")).filter("a <> b").distinct()
     candidates = alike(pairs, once, within)
+    sweep(docs.sparkSession)
 
     links = stored(verified(candidates, _bags(docs, once, _both(candidates), within)), "links", within)
     labels = components(links, within)
+    sweep(docs.sparkSession)
     of = crowded.join(labels.withColumnRenamed("node", "text_key"), "text_key", "left")
     of = of.select("band", "text_key", "_n", F.coalesce("component", "text_key").alias("component"))
     spread = {"_low": (F.min("component"), F.min("_low")), "_high": (F.max("component"), F.max("_high"))}
@@ -293,10 +296,12 @@ def _classes(docs: DataFrame, within: str) -> DataFrame:
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     fresh = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = alike(fresh, once, within)
+    sweep(docs.sparkSession)
     bags = _bags(docs, once, _both(more).union(large.select("text_key")), within)
     links = stored(links.union(verified(more, bags)).union(links_across(large, bags)), "links", within)
 
     labels = components(links, within).withColumnRenamed("node", "text_key")
+    sweep(docs.sparkSession)
     return signed.select("doc_id", "row", "text_key").join(labels, "text_key", "left").select("doc_id", "row", F.coalesce("component", "text_key").alias("class"))
 
 
