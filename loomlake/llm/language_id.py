@@ -286,14 +286,19 @@ def calibrate(m: Models, texts: list[str], langs: list[str]) -> Models:
         mine = np.flatnonzero(ok & (own == i))
         if not len(mine):
             continue
-        mixed = ["".join(rng.permutation(list(texts[j]))) for j in mine]
-        n, s = score_texts(m, mixed)
+        parts = [score_texts(m, [_shuffled(texts[j], rng)]) for j in mine]  # one by one: the driver holds one text's scores
+        n, s = (np.concatenate(x) for x in zip(*parts, strict=True))
         noise = np.median((-s / np.maximum(n, 1)[:, None]).min(axis=1)[n > 0]) if (n > 0).any() else np.inf
         worst = np.quantile(entropy[mine, i], WORST)
         ceiling[i] = max(worst + 0.1, (worst + noise) / 2)
     return m._replace(sharpness=sharpness, ceiling=ceiling)
 
 
+def _shuffled(text: str, rng: np.random.Generator) -> str:
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    return rng.permutation(points).tobytes().decode("utf-32-le")
+
+
 def _confidence(entropy: np.ndarray, sharpness: float) -> np.ndarray:
     e = np.exp(-sharpness * (entropy - entropy.min(axis=1, keepdims=True)))
     return e / e.sum(axis=1, keepdims=True)
@@ -318,7 +323,10 @@ def fit(docs: DataFrame, order: int = ORDER, max_fit: int = MAX_FIT, max_calibra
     first = F.when(F.col("lang").isin([k for k, n in sizes.items() if n <= max_fit]), 0).otherwise(max_fit)  # 0: no others are left
     tried = place.filter((F.col("_place") >= first) & (F.col("_place") < first + max_calibrate)).select("text", "lang").toPandas()
     tried = tried[tried["lang"].isin(models.languages)]
-    return calibrate(models, list(tried["text"]), list(tried["lang"]))
+    fitted = calibrate(models, list(tried["text"]), list(tried["lang"]))
+    del counts, tried
+    tidy()
+    return fitted
 
 
 def identify(models: Models | None, text: Column, spark) -> Column:
