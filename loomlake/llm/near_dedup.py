@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import stored, sweep, tidy, unused, with_group, workspace
+from loomlake.llm.shared import as_long, as_text, stored, sweep, tidy, unused, with_group, workspace
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -135,7 +135,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     rows += signed(held)
                     held, size = [], 0
             rows += signed(held)
-            yield pd.DataFrame(rows, columns=["doc_id", "row", "text_key", "bands", "signature"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "row", "text_key", "bands", "signature"])
             rows = held = None
             tidy()
 
@@ -149,8 +149,9 @@ def signatures(docs: DataFrame) -> DataFrame:
         code = code.astype(np.int64)
         return [(d, r, k, code[i] if len(h) else code[i, :0], sig[i].tobytes() if len(h) else b"") for i, (d, r, k, h, _) in enumerate(held)]
 
-    rows = docs.select("doc_id", row_key().alias("row"), "text")
-    return rows.mapInPandas(sign, "doc_id long, row long, text_key binary, bands array<long>, signature binary")
+    rows = as_text(docs.select("doc_id", row_key().alias("row"), "text"), "doc_id")
+    signed_rows = rows.mapInPandas(sign, "doc_id string, row long, text_key binary, bands array<long>, signature binary")
+    return as_long(signed_rows, "doc_id")
 
 
 def row_key() -> Column:

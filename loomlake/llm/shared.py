@@ -59,6 +59,16 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return [next(c for c in ("_" * i + name for i in range(len(taken) + 2)) if c.lower() not in taken) for name in names]
 
 
+def as_text(df: DataFrame, *ids: str) -> DataFrame:
+    """``df`` with whole-number columns as decimal texts. Beside a null pandas gets longs as doubles, in which those beyond
+    2^53 become others: ids go through it as texts and come back by ``as_long``."""
+    return df.withColumns({c: F.col(c).cast("string") for c in ids})
+
+
+def as_long(df: DataFrame, *ids: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in ids})
+
+
 def salts(spark: SparkSession) -> int:
     """Ways to deal the rows of a group: as many as a shuffle has partitions, so that no group is held by a few."""
     return max(SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -259,3 +259,13 @@ def test_recall_of_near_duplicates(spark):
     of = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     found = sum(of[rows[i][0]] == of[rows[j][0]] for i, j in near)
     assert len(near) > 50 and found / len(near) >= 0.99
+
+
+def test_ids_beyond_doubles(spark):
+    big, rng = (1 << 53) + 1, random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(40)) for _ in range(4)]
+    rows = [(big, texts[0]), (None, texts[1]), (big + 2, texts[2]), (-big, texts[3]), (big + 4, texts[0] + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {(r["doc_id"], r["text"]) for r in near_dedup.drop_near_duplicates(df).collect()} == set(rows[:4])
+    got = {tuple(r)[:3] for r in near_dedup.near_duplicate_classes(df).collect()}
+    assert got == {(big, big, 2), (big + 4, big, 2), (None, None, 1), (big + 2, big + 2, 1), (-big, -big, 1)}
