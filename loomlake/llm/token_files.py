@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlake.llm.files import read_files, write_file
-from loomlake.llm.shared import discard, scratch, tidy
+from loomlake.llm.shared import as_long, as_text, discard, scratch, tidy
 
 BLOCK, LANES, CHECKPOINT = 1 << 18, 1024, 64
 MAGIC = b"LLTOK1\n"
@@ -286,11 +286,11 @@ def token_ids(docs: DataFrame, spec: str) -> DataFrame:
                 ids = np.frombuffer(raw + end, np.uint32)
                 small = ids.astype(np.uint16) if ids.max() < 1 << 16 else ids
                 rows.append((batch["doc_id"].iloc[len(rows)], len(ids), zlib.crc32(ids.tobytes()), packer.compress(small.tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "crc", "packed"])
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "crc", "packed"])
             tidy()
 
-    return docs.select("doc_id", "text").mapInPandas(encode, "doc_id long, n_tokens long, crc long, packed binary")
+    rows = as_text(docs.select("doc_id", "text"), "doc_id")
+    return as_long(rows.mapInPandas(encode, "doc_id string, n_tokens long, crc long, packed binary"), "doc_id")
 
 
 def _unpacked(packed: bytes, n: int) -> np.ndarray:
@@ -347,7 +347,7 @@ def write_token_files(docs: DataFrame, path: str, spec: str, vocabulary: int) ->
         held, n = [], 0
         for batch in batches:
             for doc, size, packed in zip(batch["doc_id"], batch["n_tokens"], batch["packed"], strict=True):
-                held.append((None if pd.isna(doc) else int(doc), _unpacked(packed, size)))
+                held.append((None if doc is None else int(doc), _unpacked(packed, size)))
                 n += size
                 if n >= 8 * BLOCK:
                     save(held, n)
@@ -359,7 +359,7 @@ def write_token_files(docs: DataFrame, path: str, spec: str, vocabulary: int) ->
         tidy()
 
     ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "crc", "n_tokens")
-    parts = ordered.select("doc_id", "n_tokens", "packed").mapInPandas(write, "part long, docs long, ids long").collect()  # a row per partition
+    parts = as_text(ordered.select("doc_id", "n_tokens", "packed"), "doc_id").mapInPandas(write, "part long, docs long, ids long").collect()  # a row per partition
     discard(spark, draft)
     shared.unpersist()
     return Written(path, table, sorted((r["part"], r["docs"], r["ids"]) for r in parts))
@@ -372,7 +372,7 @@ def read_token_files(spark: SparkSession, written: Written) -> DataFrame:
         starts[part] = base
         base += n
     shared = spark.sparkContext.broadcast((written.table, starts))
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
+    schema = "doc_id string, start long, n_tokens long, ids_crc32 long, ids binary"
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, starts = shared.value
@@ -383,7 +383,7 @@ def read_token_files(spark: SparkSession, written: Written) -> DataFrame:
                 at = starts[head["part"]] + head["first"]
                 for doc, ids in decode_file(data, table, slots):
                     raw = ids.astype("<u4").tobytes()
-                    rows.append((doc, at, len(ids), zlib.crc32(raw), raw))
+                    rows.append((None if doc is None else str(doc), at, len(ids), zlib.crc32(raw), raw))
                     at += len(ids)
                     if len(rows) >= 2000:
                         yield _frame(rows)
@@ -393,12 +393,12 @@ def read_token_files(spark: SparkSession, written: Written) -> DataFrame:
         tidy()
 
     if not written.parts:
-        return spark.createDataFrame([], schema)
-    return read_files(spark, written.path, "*.tok").mapInPandas(read, schema)
+        return as_long(spark.createDataFrame([], schema), "doc_id")
+    return as_long(read_files(spark, written.path, "*.tok").mapInPandas(read, schema), "doc_id")
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32", "ids"]).astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
 
 def default_tokenizer() -> tuple[str, int]:

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -53,3 +54,19 @@ def test_end_equals_the_tokenizer(sf, steps):
 
 def test_run_is_the_stages(spark, sf, steps):
     assert sorted(map(tuple, P.run(spark, sf).collect())) == sorted(map(tuple, steps[4].collect()))
+
+
+def test_large_ids_beside_nulls(spark, sf, tmp_path):
+    """Ids beyond what doubles hold, some null, go through all stages as they are."""
+    shift = (1 << 53) + 1
+    for name in ("documents", "labels"):
+        table = spark.read.parquet(f"{sf}/{name}.parquet")
+        moved = F.when(F.col("doc_id") % 7 != 0, F.col("doc_id") * 2 + shift)
+        table.withColumn("doc_id", moved).filter("doc_id IS NOT NULL" if name == "labels" else "true").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    ids = {r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect()}
+    rows = P.run(spark, str(tmp_path)).collect()
+    got = [r["doc_id"] for r in rows]
+    assert set(got) <= ids and None in got and sum(i is not None and i % 2 for i in got) + got.count(None) > 0
+    known = [i for i in got if i is not None]
+    assert len(known) == len(set(known)) > 20 and any(i % 4 == 3 for i in known) and any(i % 4 == 1 for i in known)

@@ -113,3 +113,10 @@ def test_files_equal_brute_force(spark, tokenizer):
     written = K.write_token_files(df, scratch(spark, "tokens"), SPEC, VOCABULARY)
     whole = {(r["doc_id"], r["start"]): r["ids"] for r in K.read_token_files(spark, written).collect()}
     assert np.frombuffer(whole[1, want[1][1]], "<u4").tolist() == tokenizer.encode("one", add_special_tokens=False).ids + [2]
+
+
+def test_ids_beyond_doubles(spark):
+    big = (1 << 53) + 1
+    rows = [(big + 2, "c"), (None, "a"), (big, "b b"), (-big, ""), (big + 1, None)]
+    got = [r["doc_id"] for r in K.token_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).orderBy("start").collect()]
+    assert got == [None, -big, big, big + 1, big + 2]
