@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlake.llm.files import read_files, write_file
-from loomlake.llm.shared import scratch, with_group
+from loomlake.llm.shared import as_long, as_text, scratch, with_group
 
 #: Equal payloads of fewer bytes are stored again.
 MIN_REVISIT = 100
@@ -32,6 +32,7 @@ _STEP = 1 << 16
 _VERSION, _DATE, _GZIP = b"WARC/1.1\r\n", "2000-01-01T00:00:00Z", b"\x1f\x8b\x08"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_LINE = b"WARC/1."
 _FIELD = re.compile(r"[!#-'*+.^-`|~\w-]+:|[ \t]", re.A)
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
@@ -44,8 +45,12 @@ class Record(NamedTuple):
 
 
 class Gap(NamedTuple):
+    """Bytes without a record. ``inside``: where they lie in what the gzip member at ``offset`` inflates to, if only they
+    are lost of it."""
+
     offset: int
     length: int
+    inside: tuple[int, int] | None = None
 
 
 def encode_record(headers: dict[str, object], block: bytes) -> bytes:
@@ -64,7 +69,7 @@ def _count(value: str | None) -> int | None:
 def _plain(data, at: int, longest: int | None = None) -> tuple[dict[str, str], bytes, int] | None:
     """The record at ``at``, and where it ends; None unless all of it is right."""
     end = data.find(b"\r\n\r\n", at, len(data) if longest is None else at + longest)
-    if end < 0 or not data.startswith(b"WARC/1.", at):
+    if end < 0 or not data.startswith(_LINE, at):
         return None
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
@@ -93,21 +98,38 @@ def _member(data: bytes, at: int) -> tuple[bytes, int | None]:
     return b"".join(out), min(pos, len(data)) - len(unpack.unused_data) if unpack.eof else None
 
 
+def _inflated(inner: bytes) -> Iterator[tuple[dict[str, str], bytes] | tuple[int, int]]:
+    """The valid records (headers, block) of inflated bytes, and the ranges (start, length) between them."""
+    at, lost = 0, None
+    while at < len(inner):
+        if one := _plain(inner, at):
+            if lost is not None:
+                yield lost, at - lost
+                lost = None
+            yield one[:2]
+            at = one[2]
+            continue
+        lost = at if lost is None else lost
+        at = inner.find(_LINE, at + 1)
+        at = len(inner) if at < 0 else at
+    if lost is not None:
+        yield lost, len(inner) - lost
+
+
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """The valid records of an archive in order, and the byte ranges between them that hold none.
 
-    Plain and gzipped records may be mixed. A record's offset and length are those of its member or plain text.
+    Plain and gzipped records may be mixed, and a member may hold many. A record's offset and length are those of its
+    member or plain text. What a member inflates to is searched for version lines after a failed record too; in a damaged
+    member as far as it inflates (its records have length 0, the member is a gap), and beyond for the next member.
     """
     pos, lost = 0, None
     while pos < len(data):
         found, end = [], None
         if data.startswith(_GZIP, pos):
             inner, end = _member(data, pos)
-            at = 0
-            while at < len(inner) and (one := _plain(inner, at)):
-                found.append(one[:2])
-                at = one[2]
-            if end is None or at < len(inner):  # what was whole before the damage is kept, the rest is searched
+            found = list(_inflated(inner))
+            if not any(isinstance(x[0], dict) for x in found) and inner:  # a member without a record is a gap
                 end = None
         elif one := _plain(data, pos, MAX_HEADER):
             found, end = [one[:2]], one[2]
@@ -115,12 +137,12 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
             if lost is not None:
                 yield Gap(lost, pos - lost)
                 lost = None
-            yield from (Record(pos, end - pos, h, b) for h, b in found)
+            for x in found:
+                yield Record(pos, end - pos, *x) if isinstance(x[0], dict) else Gap(pos, end - pos, x)
             pos = end
             continue
         lost = pos if lost is None else lost
-        if found:
-            yield from (Record(pos, 0, h, b) for h, b in found)
+        yield from (Record(pos, 0, *x) for x in found if isinstance(x[0], dict))
         after = _START.search(data, pos + 1)
         pos = after.start() if after else len(data)
     if lost is not None:
@@ -163,9 +185,9 @@ def write_archives(pages: DataFrame, path: str, roll: int = ROLL) -> DataFrame:
             for batch in batches:
                 for page, url, html, digest, first in batch.itertuples(index=False):
                     payload, n = html.encode(), n + 1
-                    name = lambda x: "null" if pd.isna(x) else int(x)
+                    name = lambda x: "null" if x is None else x
                     headers = {
-                        "WARC-Type": "response" if pd.isna(first) else "revisit",
+                        "WARC-Type": "response" if first is None else "revisit",
                         "WARC-Record-ID": f"<urn:page:{name(page)}>",
                         "WARC-Date": _DATE,
                         "WARC-Target-URI": url or "",
@@ -173,7 +195,7 @@ def write_archives(pages: DataFrame, path: str, roll: int = ROLL) -> DataFrame:
                         "WARC-Payload-Digest": f"sha256:{digest}",
                         "X-Payload-Length": len(payload),
                     }
-                    if pd.isna(first):
+                    if first is None:
                         yield encode_record(headers, _HTTP + payload)
                     else:
                         yield encode_record(headers | {"WARC-Profile": _REVISIT, "WARC-Refers-To": f"<urn:page:{name(first)}>"}, _HTTP)
@@ -186,27 +208,27 @@ def write_archives(pages: DataFrame, path: str, roll: int = ROLL) -> DataFrame:
             before = n
         yield pd.DataFrame(rows, columns=["file", "n_records", "n_bytes"])
 
-    return marked.mapInPandas(write, "file string, n_records long, n_bytes long")
+    return as_text(marked, "page_id", "first").mapInPandas(write, "file string, n_records long, n_bytes long")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row per salvaged record or gap of the archives below ``path``.
 
     (file, offset, length, kind: record or gap, page_id, url, record_type, payload_bytes, payload_digest, refers_to,
-    payload). A record whose payload does not have the SHA-256 it
+    payload, inner_offset, inner_length). The last two say where in an inflated member a gap lies that isn't all of it. A record whose payload does not have the SHA-256 it
     states is reported as a gap; where none is stated, or another kind, it is computed. Archives without
     records give only gaps, empty ones nothing. An archive is read by one task, in memory: foreign files must be below 2 GB.
     A page id or a stated length that isn't a number in range is null.
     """
 
-    def number(urn: str | None) -> int | None:
+    def number(urn: str | None) -> str | None:
         found = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", urn or "")
-        return int(found[1]) if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
+        return found[1] if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
 
     def row(file: str, x: Record | Gap) -> tuple:
         gap = (file, x.offset, x.length, "gap", None, None, None, None, None, None, None)
         if isinstance(x, Gap):
-            return gap
+            return *gap, *(x.inside or (None, None))
         h = x.headers
         kind, page = h.get("warc-type"), number(h.get("warc-record-id"))
         algorithm, _, digest = h.get("warc-payload-digest", "").partition(":")
@@ -215,15 +237,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         if kind != "revisit":
             own = hashlib.sha256(body).hexdigest()
             if algorithm == "sha256" and own != digest:
-                return gap
+                return *gap, None, None
             digest = own
-            return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, len(body), digest, None, body
+            return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, len(body), digest, None, body, None, None
         digest = digest if algorithm == "sha256" else None
-        return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, _count(h.get("x-payload-length")), digest, number(h.get("warc-refers-to")), None
+        return file, x.offset, x.length, "record", page, h.get("warc-target-uri"), kind, _count(h.get("x-payload-length")), digest, number(h.get("warc-refers-to")), None, None, None
 
     schema = (
-        "file string, offset long, length long, kind string, page_id long, url string, record_type string, "
-        "payload_bytes long, payload_digest string, refers_to long, payload binary"
+        "file string, offset long, length long, kind string, page_id string, url string, record_type string, "
+        "payload_bytes long, payload_digest string, refers_to string, payload binary, inner_offset long, inner_length long"
     )
     names = [c.split()[0] for c in schema.split(", ")]
 
@@ -240,12 +262,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield _frame(rows, names)
 
-    return read_files(spark, path, "*.warc*").mapInPandas(read, schema)
+    return as_long(read_files(spark, path, "*.warc*").mapInPandas(read, schema), "page_id", "refers_to")
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=names)
-    return out.astype({c: "Int64" for c in ("offset", "length", "page_id", "payload_bytes", "refers_to")})
+    return out.astype({c: "Int64" for c in ("offset", "length", "payload_bytes", "inner_offset", "inner_length")})
 
 
 def op3_warc(spark, sf_dir):

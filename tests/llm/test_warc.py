@@ -122,3 +122,35 @@ def test_damaged_files_report_gaps(spark, tmp_path):
     gaps = [(r["offset"], r["length"]) for r in rows if r["kind"] == "gap" and r["length"] == len(parts[4])]
     assert gaps == [(at, len(parts[4]))]
     assert read_files(spark, f"file://{tmp_path}", "*.warc*").count() == 1  # Spark leaves empty files out
+
+
+def test_salvage_inside_members():
+    parts = [zlib.decompress(x, 31) for x in records(6)]
+    whole = b"".join(parts)
+    starts = [sum(map(len, parts[:i])) for i in range(7)]
+    pack = lambda b: (z := zlib.compressobj(6, zlib.DEFLATED, 31)).compress(b) + z.flush()
+    assert found(pack(whole)) == (list(range(6)), [])
+    for bad in ({1}, {0}, {5}, {2, 3}, {0, 4}):
+        inner = bytearray(whole)
+        for k in bad:
+            inner[starts[k + 1] - 10] ^= 0x20
+        data = pack(whole) + pack(bytes(inner)) + parts[0]
+        rows = list(warc.salvage(data))
+        ids = [int(r.headers["warc-record-id"].split(":")[-1].rstrip(">")) for r in rows if isinstance(r, warc.Record)]
+        assert ids == [*range(6), *[k for k in range(6) if k not in bad], 0]
+        gaps = [r for r in rows if isinstance(r, warc.Gap)]
+        assert {(g.offset, g.length) for g in gaps} == {(len(pack(whole)), len(pack(bytes(inner))))}
+        assert sum(g.inside[1] for g in gaps) == sum(len(parts[k]) for k in bad)
+    cut = pack(b"".join(bytes(random.Random(k).randbytes(0)) + p for k, p in enumerate(parts)))[:-9]
+    ids, gaps = found(cut + parts[3])
+    assert ids[-1] == 3 and gaps == [(0, len(cut))]
+    assert found(pack(b"no record") + parts[2])[0] == [2]
+
+
+def test_ids_beyond_doubles(spark):
+    big, text = (1 << 53) + 1, "payload " * 30
+    pages = [(big, "u", text), (big + 2, "u", text), (None, "u", "other " * 40), (-big, "u", "x"), ((1 << 63) - 1, "u", text)]
+    path = scratch(spark, "warc")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), path).collect()
+    got = {(r["page_id"], r["refers_to"]) for r in warc.read_archives(spark, path).collect()}
+    assert got == {(big, None), (big + 2, big), (None, None), (-big, None), ((1 << 63) - 1, big)}
