@@ -9,6 +9,7 @@ language with the lowest cross-entropy per letter, a confidence, and is rejected
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -266,31 +267,46 @@ def kneser_ney(counts: pd.DataFrame, order: int) -> Models:
     return Models(languages, tables, backoff, unseen, 1.0, np.full(len(languages), np.inf))
 
 
-def calibrate(m: Models, texts: list[str], langs: list[str]) -> Models:
+def calibration(m: Models, texts: DataFrame) -> pd.DataFrame:
+    """(lang, letters, sums, noise) of each of (lang, text), scored in tasks: its letters, its log likelihood in each language,
+    and the least cross-entropy of its letters in random order. Only numbers come to the driver."""
+    shared = texts.sparkSession.sparkContext.broadcast(m)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+                (n,), (sums,) = score_texts(shared.value, [text])
+                (k,), (mixed,) = score_texts(shared.value, [_shuffled(text, np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace"))))])
+                rows.append((lang, int(n), sums.astype(float), float((-mixed / k).min()) if k else float("nan")))
+            yield pd.DataFrame(rows, columns=["lang", "letters", "sums", "noise"])
+        tidy()
+
+    found = texts.mapInPandas(score, "lang string, letters long, sums array<double>, noise double").toPandas()
+    shared.unpersist()
+    return found
+
+
+def calibrate(m: Models, tried: pd.DataFrame) -> Models:
     """Sets how sharply entropies become confidences (least log loss on texts the models weren't fitted on), and for
     each language the cross-entropy beyond which a text is rejected: half-way between what WORST of its own texts keep
-    below (so that a mislabelled text doesn't lift it) and the same letters in random order."""
-    sizes, sums = score_texts(m, texts)
-    ok = sizes >= MIN_LETTERS
-    if not ok.any():
+    below (so that a mislabelled text doesn't lift it) and the same letters in random order. tried: see ``calibration``."""
+    tried = tried[tried["letters"] >= MIN_LETTERS]
+    if not len(tried):
         return m
-    own = np.array([m.languages.index(x) for x in langs])
-    entropy = -sums / np.maximum(sizes, 1)[:, None]
-    best, sharpness = np.inf, 1.0
+    own = np.array([m.languages.index(x) for x in tried["lang"]])
+    entropy = -np.stack(list(tried["sums"])) / tried["letters"].to_numpy()[:, None]
+    best, sharpness, each = np.inf, 1.0, np.arange(len(own))
     for s in (0.5, 1, 2, 4, 8, 16, 32):
-        loss = -np.log(_confidence(entropy, s)[ok, own[ok]].clip(1e-9)).mean()
+        loss = -np.log(_confidence(entropy, s)[each, own].clip(1e-9)).mean()
         if loss < best - 1e-4:
             best, sharpness = loss, float(s)
-    rng, ceiling = np.random.default_rng(7), np.full(len(m.languages), np.inf)
+    noise, ceiling = tried["noise"].to_numpy(), np.full(len(m.languages), np.inf)
     for i in range(len(m.languages)):
-        mine = np.flatnonzero(ok & (own == i))
-        if not len(mine):
-            continue
-        parts = [score_texts(m, [_shuffled(texts[j], rng)]) for j in mine]  # one by one: the driver holds one text's scores
-        n, s = (np.concatenate(x) for x in zip(*parts, strict=True))
-        noise = np.median((-s / np.maximum(n, 1)[:, None]).min(axis=1)[n > 0]) if (n > 0).any() else np.inf
-        worst = np.quantile(entropy[mine, i], WORST)
-        ceiling[i] = max(worst + 0.1, (worst + noise) / 2)
+        mine = own == i
+        if mine.any():
+            worst = np.quantile(entropy[mine, i], WORST)
+            ceiling[i] = max(worst + 0.1, (worst + np.median(noise[mine])) / 2)
     return m._replace(sharpness=sharpness, ceiling=ceiling)
 
 
@@ -321,10 +337,9 @@ def fit(docs: DataFrame, order: int = ORDER, max_fit: int = MAX_FIT, max_calibra
         return None
     models = kneser_ney(counts, order)
     first = F.when(F.col("lang").isin([k for k, n in sizes.items() if n <= max_fit]), 0).otherwise(max_fit)  # 0: no others are left
-    tried = place.filter((F.col("_place") >= first) & (F.col("_place") < first + max_calibrate)).select("text", "lang").toPandas()
-    tried = tried[tried["lang"].isin(models.languages)]
-    fitted = calibrate(models, list(tried["text"]), list(tried["lang"]))
-    del counts, tried
+    tried = place.filter((F.col("_place") >= first) & (F.col("_place") < first + max_calibrate)).select("lang", "text")
+    fitted = calibrate(models, calibration(models, tried.filter(F.col("lang").isin(models.languages))))
+    del counts
     tidy()
     return fitted
 
