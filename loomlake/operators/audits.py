@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from loomlake.functions import names as N
 from loomlake.operators.flatten import plan_flatten, walk_schema
-from loomlake.operators.merge import VersionedTable
+from loomlake.operators.keyed import KeyedTable
 
 _OF = "database string, collection string, table_name string"
 SCHEMAS = {
@@ -52,9 +52,9 @@ def audit(spark: SparkSession, sources: dict[tuple[str, str], T.StructType], vie
     return frames | {"pii": frames["pii"].dropDuplicates(["table_name", "column_name", "pii_type"])}
 
 
-def refresh(spark: SparkSession, path: str, audits: dict[str, DataFrame]) -> dict[str, VersionedTable]:
+def refresh(spark: SparkSession, path: str, audits: dict[str, DataFrame]) -> dict[str, KeyedTable]:
     """Each audit as a new version of its table: what was there is replaced whole, readers see the old or the new."""
-    tables = {k: VersionedTable(spark, f"{path.rstrip('/')}/{k}") for k in audits}
+    tables = {k: KeyedTable(spark, f"{path.rstrip('/')}/{k}") for k in audits}
     for k, df in audits.items():
         tables[k].write(df.withColumn("checked_at", F.current_timestamp()))
     return tables

@@ -20,7 +20,7 @@ from loomlake.functions.names import clean_table_name
 from loomlake.operators import flatten as FL
 from loomlake.operators import profile as P
 from loomlake.operators.events import EventLog
-from loomlake.operators.merge import VersionedTable
+from loomlake.operators.keyed import KeyedTable
 from loomlake.operators.scopes import of_batches
 from loomlake.sources import cursors, documents
 from loomlake.storage import written
@@ -124,8 +124,8 @@ class Target:
         self.table = self.table or clean_table_name(self.database, self.collection)
         self.key = self.key or KEYS.get(self.collection, "silver_row_id")
 
-    def kept(self, spark: SparkSession, name: str | None = None) -> VersionedTable:
-        return VersionedTable(spark, f"{self.root}/clean/{name or self.table}")
+    def kept(self, spark: SparkSession, name: str | None = None) -> KeyedTable:
+        return KeyedTable(spark, f"{self.root}/clean/{name or self.table}")
 
 
 @dataclass

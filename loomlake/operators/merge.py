@@ -1,15 +1,11 @@
 """Upserts without a transactional table format: a hash-gated merge as one full outer join.
 
-Used for clean tables, and with resolvers for state tables. A new version is written to a folder of its own and named
-by a small pointer table, so the version being read is never overwritten.
+Used for clean tables (see keyed.py for how they are kept), and with resolvers for state tables.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlake.functions.names import quote
@@ -28,12 +24,21 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], hash_col: str |
     A matched row is updated if either hash is null or they differ; without hash_col always. resolve: column ->
     function of (old, new) for columns that aren't just replaced. Columns of either side are kept, missing values null.
     """
+    return merge_distinct(target, distinct_source(source, keys, hash_col, order), keys, hash_col, resolve)
+
+
+def distinct_source(source: DataFrame, keys: list[str], hash_col: str | None, order: list[Column] | None = None) -> DataFrame:
+    """One row of each key, none without one."""
     known = F.lit(True)
     for k in keys:
         known = known & F.col(quote(k)).isNotNull()
-    src = latest(source.filter(known), keys, order or [F.col(hash_col).asc_nulls_last() if hash_col else F.xxhash64(*[F.col(quote(c)) for c in source.columns])])
+    return latest(source.filter(known), keys, order or [F.col(hash_col).asc_nulls_last() if hash_col else F.xxhash64(*[F.col(quote(c)) for c in source.columns])])
+
+
+def merge_distinct(target: DataFrame, source: DataFrame, keys: list[str], hash_col: str | None, resolve: dict[str, callable] | None = None) -> DataFrame:
+    """merge() of a source that has each key once."""
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    s = src.withColumn("_in_source", F.lit(True)).alias("s")
+    s = source.withColumn("_in_source", F.lit(True)).alias("s")
     match = F.lit(True)
     for k in keys:
         match = match & (F.col(f"t.{quote(k)}") == F.col(f"s.{quote(k)}"))
@@ -84,42 +89,3 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> Data
 def replace_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """All rows of ``source``, and those of the target for other keys."""
     return target.join(source.select(*keys).distinct(), keys, "left_anti").unionByName(source, allowMissingColumns=True)
-
-
-class VersionedTable:
-    """A Parquet table in versions below a folder. ``current`` names the version that readers see."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def exists(self) -> bool:
-        """Without a Spark job."""
-        fs, p = self._fs(f"{self.path}/current")
-        return bool(fs.exists(p))
-
-    def read(self) -> DataFrame:
-        version = self.spark.read.text(f"{self.path}/current").orderBy(F.desc("value")).head()[0]
-        return self.spark.read.parquet(f"{self.path}/{version}")
-
-    def write(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        """Adds a version and then its name: a run that dies between leaves the old version in place."""
-        version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{version}")
-        self.spark.range(1).select(F.lit(version).alias("value")).write.mode("append").text(f"{self.path}/current")
-
-    def upsert(self, source: DataFrame, keys: list[str], hash_col: str | None, partition_by: tuple[str, ...] = ()) -> dict[str, int]:
-        """Merges ``source`` and returns the metrics; a merge that changes nothing writes no version."""
-        target = self.read() if self.exists() else source.limit(0)
-        version = f"{self.path}/merge-{uuid.uuid4().hex}"
-        merge(target, source, keys, hash_col).write.parquet(version)
-        merged = self.spark.read.parquet(version)
-        metrics = merge_metrics(merged).head().asDict()
-        if metrics["changed"]:
-            self.write(merged.drop("_action"), partition_by)
-        fs, p = self._fs(version)
-        fs.delete(p, True)
-        return metrics

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomlake.functions import logs
 from loomlake.operators import audits, catalog, events, loops, scopes, views
 from loomlake.operators import flatten as FL
-from loomlake.operators.merge import VersionedTable
+from loomlake.operators.keyed import KeyedTable
 from loomlake.plans.analytics import SALT
 from loomlake.plans.registry import query, table
 from loomlake.plans.tables import _ENUM, _ITEMS, order_documents
@@ -204,7 +204,7 @@ def _sources(spark: SparkSession, sf_dir: str) -> dict:
     return {("shop", "purchases"): order_documents(spark, sf_dir).schema, ("shop", "clients"): c.schema}
 
 
-def _audited(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]:
+def _audited(spark: SparkSession, sf_dir: str) -> dict[str, KeyedTable]:
     """Written twice: a refresh replaces all that was there."""
     path = shared_path(spark, "audits")
     found = audits.audit(spark, _sources(spark, sf_dir), {"shop__clients_analytics": ["c_custkey", "c_name", "email_hash"]}, {"shop__purchases_items_clean": 7})

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from loomlake.functions import columns as C
 from loomlake.operators import merge as M
 from loomlake.operators import sets, state
+from loomlake.operators.keyed import KeyedTable
 from loomlake.plans.registry import query, table
 from loomlake.storage import shared_path
 from loomlake.streaming import incremental
@@ -52,13 +53,33 @@ def merge_metrics(spark, sf_dir):
 def versioned_upsert(spark, sf_dir):
     """The same through versions on disk; the delivery comes twice, the second time nothing changes."""
     target, source = _versions(spark, sf_dir)
-    kept = M.VersionedTable(spark, shared_path(spark, "orders"))
-    kept.write(target)
+    kept = KeyedTable(spark, shared_path(spark, "orders"))
+    kept.write(target, ["o_orderkey"])
     kept.upsert(source, ["o_orderkey"], "h")
     again = kept.upsert(source, ["o_orderkey"], "h")["changed"]
     return kept.read().select("o_orderkey", "o_orderstatus", F.lit(again).cast("long").alias("changed_again"))
 
 
+_FEW = "o_orderkey % 1000 = 7"
+
+
+@query(f"""
+SELECT 1::BIGINT AS number, count(*) AS rows, count(*) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS kept, true AS pruned FROM orders WHERE o_orderdate < TIMESTAMP '{_CUT}'
+UNION ALL
+SELECT 2, count(*) FILTER (WHERE old OR {_FEW}), count(*) FILTER (WHERE NOT old AND {_FEW}), count(*) FILTER (WHERE old AND {_FEW}),
+  count(*) FILTER (WHERE old AND NOT {_FEW}), true FROM (SELECT o_orderkey, o_orderdate < TIMESTAMP '{_CUT}' AS old FROM orders)
+HAVING count(*) FILTER (WHERE {_FEW}) > 0
+""")
+def keyed_history(spark, sf_dir):
+    """A delivery of a thousandth of the keys to a table of 512 buckets: its record, and that it wrote no other buckets."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    kept = KeyedTable(spark, shared_path(spark, "orders"), buckets=512)
+    kept.write(o.filter(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp_ntz")).withColumn("h", F.lit("old")), ["o_orderkey"])
+    kept.upsert(o.filter(_FEW).withColumn("h", F.lit("new")), ["o_orderkey"], "h")
+    pruned = (F.col("number") == 1) | (F.col("buckets_written") <= F.col("changed"))
+    return kept.history().select("number", "rows", "inserted", "updated", "kept", pruned.alias("pruned"))
+
+
 @query(f"""
 WITH a AS (SELECT o_custkey AS k, count(*) AS n, max(o_orderdate) AS d, min(o_orderpriority) AS p FROM orders WHERE o_orderdate < TIMESTAMP '{_CUT}' GROUP BY 1),
 b AS (SELECT o_custkey AS k, count(*) AS n, max(o_orderdate) AS d, min(o_orderpriority) AS p FROM orders WHERE o_orderdate >= TIMESTAMP '{_CUT}' GROUP BY 1)
@@ -304,7 +325,7 @@ def stream_upsert(spark, sf_dir):
     """Events as a stream of files, merged into the last event of each user; read twice, applied once."""
     schema = table(spark, sf_dir, "events").schema
     root, folder = shared_path(spark, "stream"), f"{sf_dir}"
-    kept, ledger = M.VersionedTable(spark, f"{root}/table"), incremental.Ledger(spark, f"{root}/ledger")
+    kept, ledger = KeyedTable(spark, f"{root}/table"), incremental.Ledger(spark, f"{root}/ledger")
     for _ in range(2):
         stream = incremental.read_files(spark, folder, schema, "events.parquet").select("user_id", "event_id", "event_type")
         incremental.upsert_stream(stream, kept, ledger, ["user_id"], f"{root}/checkpoint", ["event_id"]).awaitTermination()

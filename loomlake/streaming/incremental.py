@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from loomlake.functions.columns import stable_hash
-from loomlake.operators.merge import VersionedTable, latest
+from loomlake.operators.keyed import KeyedTable
+from loomlake.operators.merge import latest
 from loomlake.sources.documents import exists
 
 
@@ -41,7 +42,7 @@ class Ledger:
         self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
 
-def upsert_stream(stream: DataFrame, table: VersionedTable, ledger: Ledger, keys: list[str], checkpoint: str, order: list[str], transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, table: KeyedTable, ledger: Ledger, keys: list[str], checkpoint: str, order: list[str], transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merges all that is there into ``table`` and stops: of several rows of a key in a batch the last by ``order``
     counts, and a row with the same content as the table's changes nothing."""
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlake.operators import flatten as FL
-from loomlake.operators import merge as M
 from loomlake.operators import profile as P
+from loomlake.operators.keyed import KeyedTable
 from loomlake.sources import bronze, cursors, documents
 
 OID = ["%024x" % i for i in range(5)]
@@ -122,7 +122,7 @@ def test_flatten_plan(spark):
 
 
 def test_schema_evolution_and_upserts(spark, tmp_path):
-    table = M.VersionedTable(spark, f"file://{tmp_path}/users")
+    table = KeyedTable(spark, f"file://{tmp_path}/users")
     day1 = spark.createDataFrame([("1", "a", "h1"), ("2", "b", "h2"), (None, "x", "h0"), ("1", "a", "h1")], "id string, v string, h string")
     assert not table.exists() and table.upsert(day1, ["id"], "h")["inserted"] == 2
     assert table.upsert(day1, ["id"], "h") == {"inserted": 0, "updated": 0, "kept": 2, "changed": 0, "total": 2}

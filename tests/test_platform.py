@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomlake.operators import charts, lineage, matching, merge, reports, state, views
+from loomlake.operators import charts, lineage, matching, reports, state, views
 from loomlake.operators import profile as P
+from loomlake.operators.keyed import KeyedTable
 from loomlake.streaming import incremental
 
 VIEWS = {
@@ -113,7 +114,7 @@ def test_pii_hashes_join_and_hide(spark):
 def test_streams_apply_each_batch_once(spark, tmp_path):
     schema, folder = "id long, v string, at timestamp_ntz", f"file://{tmp_path}/in"
     day = lambda d: datetime.datetime(2024, 1, d)
-    table, ledger = merge.VersionedTable(spark, f"file://{tmp_path}/t"), incremental.Ledger(spark, f"file://{tmp_path}/l")
+    table, ledger = KeyedTable(spark, f"file://{tmp_path}/t"), incremental.Ledger(spark, f"file://{tmp_path}/l")
 
     def deliver(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
