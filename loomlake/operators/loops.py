@@ -12,18 +12,19 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomlake.functions.logs import mask_text
-from loomlake.functions.names import clean_table_name
+from loomlake.functions.names import clean_table_name, quote
 from loomlake.operators import flatten as FL
 from loomlake.operators import profile as P
 from loomlake.operators.events import EventLog
 from loomlake.operators.keyed import KeyedTable
 from loomlake.operators.scopes import of_batches
+from loomlake.operators.state import pending
 from loomlake.sources import cursors, documents
-from loomlake.storage import written
+from loomlake.storage import discard, shared_path
 
 GROUP = 50
 #: Says before each batch whether to go on: run, pause or cancel.
@@ -49,6 +50,7 @@ class State:
         return self.spark.read.schema(self.schema).parquet(self.path) if documents.exists(self.spark, self.path) else self.spark.createDataFrame([], self.schema)
 
     def add(self, rows: list[tuple]) -> None:
+        """Driver's own notes, some at a time."""
         self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.path)
 
 
@@ -69,44 +71,94 @@ def raw_batches(spark: SparkSession, root: str) -> State:
 
 def collect(
     spark: SparkSession, docs: DataFrame, plan: cursors.CursorPlan, root: str, database: str, collection: str, run_id: str, at: Column,
-    size: int = cursors.BATCH, id_col: str = "_id", control: Control = go_on, log: EventLog | None = None,
+    size: int = cursors.BATCH, id_col: str = "_id", control: Control = go_on, log: EventLog | None = None, ahead: int | None = None,
 ) -> Collected:
-    """Reads ``docs`` page by page into <root>/raw/<database>/<collection>/batch=<n>, after the last page that is in.
+    """Reads what ``docs`` has beyond the last pages into <root>/raw/<database>/<collection>/batch=<n>, ``size`` a page.
 
-    A page whose content is that of an earlier one is skipped. A source without a cursor is one page. A page is a
-    filter on the cursor that the scan gets, not a walk over the pages before it.
+    All pages are made in one pass: one scan with the cursor's predicate, one range sort, one write by batch, whatever their
+    number. ``control`` is asked before each pass; with ``ahead`` a pass makes so many pages at most, and there are more.
+    Documents without a cursor value have pages of their own, by id, after the others; they have a token of their own,
+    too, so later documents of either kind are found. A page whose content is that of an earlier one is skipped. A source
+    without a cursor is one page. Pages are noted when they are in place; those of a pass that died are written again.
     """
     state, path = raw_batches(spark, root), documents.raw_path(f"{root}/raw", database, collection)
-    mine = state.read().filter((F.col("database") == database) & (F.col("collection") == collection) & F.col("status").isin("success", "skipped"))
-    last = mine.orderBy(F.desc("batch_no")).head(1)
-    token, n = (last[0]["token"], last[0]["batch_no"]) if last else (None, 0)
-    whole = plan.strategy == cursors.SNAPSHOT
     out = Collected("success", 0, 0, 0)
+    tokens = None
     while True:
         said = control()
         if said != "run":
             out.status = ENDS[said]
             break
-        n += 1
-        page = written(docs if whole else cursors.next_page(docs, plan, token, size, id_col), "page")
-        found = cursors.fingerprints(page.withColumn("batch_no", F.lit(n)), plan, ["batch_no"], id_col).head(1)
-        if not found:
-            break
-        seen = bool(mine.filter(F.col("checksum") == found[0]["checksum"]).head(1))
-        if seen:
-            out.skipped += 1
-        else:
-            documents.write_raw(documents.enveloped(page, database, database, database, collection, at), f"{path}/batch={n}", at, mode="overwrite")
-            out.batches, out.rows = out.batches + 1, out.rows + found[0]["row_count"]
-        token = found[0]["max_cursor"]
-        state.add([(database, collection, run_id, n, found[0]["row_count"], token, found[0]["checksum"], "skipped" if seen else "success")])
-        if log:
-            log.add(run_id, "raw_batch", "skipped" if seen else "success", f"{database}.{collection} batch {n}: {found[0]['row_count']} rows")
-        if whole:
+        mine = state.read().filter((F.col("database") == database) & (F.col("collection") == collection) & F.col("status").isin("success", "skipped"))
+        n, before = _last(mine, plan)
+        if before == tokens and tokens != (None, None):
+            break  # the tokens haven't moved
+        tokens, scratch = before, shared_path(spark, "pages")
+        try:
+            found = _pass(spark, docs, plan, scratch, path, at, size, id_col, ahead, mine, n, tokens, (database, collection))
+            if found is not None:
+                states = found.select("database", "collection", F.lit(run_id).alias("run_id"), "batch_no", "row_count", "token", "checksum", "status")
+                states.coalesce(1).write.mode("append").parquet(state.path)
+                good = F.col("status") == "success"
+                made = found.agg(F.count_if(good).alias("n"), F.sum(F.when(good, F.col("row_count"))).alias("rows"), F.count_if(~good).alias("skipped")).head()
+                out.batches, out.rows, out.skipped = out.batches + made["n"], out.rows + (made["rows"] or 0), out.skipped + made["skipped"]
+                if log:
+                    log.add(run_id, "raw_batch", "success", f"{database}.{collection}: {made['n']} batches, {made['rows'] or 0} rows, {made['skipped']} skipped")
+        finally:
+            discard(spark, scratch)
+        if found is None or ahead is None or plan.strategy == cursors.SNAPSHOT:
             break
     return out
 
 
+def _last(mine: DataFrame, plan: cursors.CursorPlan) -> tuple[int, tuple[str | None, str | None]]:
+    """The last page's number, and the last tokens of pages with and without cursor values."""
+    valued = F.get_json_object("token", "$.value").isNotNull() | ~F.col("token").startswith("{") if plan.strategy == cursors.TIMESTAMP else F.lit(True)
+    last = mine.agg(F.max("batch_no").alias("n"), F.max_by("token", F.when(valued, F.col("batch_no"))).alias("dated"), F.max_by("token", F.when(~valued, F.col("batch_no"))).alias("undated")).head()
+    return last["n"] or 0, (last["dated"], last["undated"])
+
+
+def _pass(
+    spark: SparkSession, docs: DataFrame, plan: cursors.CursorPlan, scratch: str, path: str, at: Column, size: int, id_col: str,
+    ahead: int | None, mine: DataFrame, n: int, tokens: tuple[str | None, str | None], names: tuple[str, str],
+) -> DataFrame | None:
+    """Writes the next pages and gives their state rows (in ``scratch``); None if nothing is waiting."""
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+    batch, whole = "_batch", plan.strategy == cursors.SNAPSHOT
+    rows = docs.withColumn("_undated", F.lit(False)) if whole else cursors.waiting(docs, plan, *tokens, id_col)
+    order = [plan.field, id_col] if plan.strategy == cursors.TIMESTAMP else [id_col]
+    if ahead is not None and not whole:
+        rows = rows.orderBy("_undated", *[quote(c) for c in order]).limit(ahead * size)
+    rows = kept(rows, "rows")  # the one scan of the source
+    counts = {r["_undated"]: r["n"] for r in rows.groupBy("_undated").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return None
+    if whole:
+        pages = rows.drop("_undated").withColumn(batch, F.lit(n + 1).cast("long"))
+        prints = cursors.snapshot_fingerprint(rows.drop("_undated"), id_col).withColumn("batch_no", F.lit(n + 1).cast("long"))
+    else:
+        made = []
+        for undated, first in ((False, n), (True, n + -(-counts.get(False, 0) // size))):
+            if counts.get(undated):
+                some = cursors.numbered(rows.filter(F.col("_undated") == undated).drop("_undated"), [quote(c) for c in (order if not undated else [id_col])], size)
+                made.append(some.withColumn(batch, F.col("batch_no") + first).drop("batch_no"))
+        pages = kept(made[0] if len(made) == 1 else made[0].unionByName(made[1]), "pages")
+        prints = cursors.fingerprints(pages, plan, [batch], id_col).withColumnRenamed(batch, "batch_no")
+    known = mine.select("checksum").distinct().withColumn("_known", F.lit(True))
+    again = F.row_number().over(Window.partitionBy("checksum").orderBy("batch_no")) > 1
+    judged = prints.withColumn("_again", again).join(known, "checksum", "left")
+    status = F.when(F.col("_again") | F.col("_known").isNotNull(), "skipped").otherwise("success")
+    states = kept(judged.select(F.lit(names[0]).alias("database"), F.lit(names[1]).alias("collection"), "batch_no", "row_count", F.col("max_cursor").alias("token"), "checksum", status.alias("status")), "states")
+    fresh = pages.join(states.filter("status = 'success'").select(F.col("batch_no").alias(batch)), batch, "left_semi")
+    envelope = documents.enveloped(fresh.withColumnRenamed(batch, "batch"), names[0], names[0], names[0], names[1], at)
+    documents.write_raw_batches(envelope, path, at)
+    return states
+
+
 # Raw batches to a clean table
 
 
@@ -157,8 +209,9 @@ def process(
     the key is measured. ``file_ids`` are metadata: some thousands at most.
     """
     out, state, known = Processed(found=len(file_ids)), clean_states(spark, target.root), target.collection in FL.DOMAIN
-    ready = {r["file_id"] for r in state.read().filter((F.col("table_name") == target.table) & (F.col("status") == "success")).select("file_id").collect()}
-    waiting = [f for f in file_ids if f not in ready]
+    done = state.read().filter((F.col("table_name") == target.table) & (F.col("status") == "success"))
+    asked = spark.createDataFrame([(i, f) for i, f in enumerate(file_ids)], "place long, file_id string")
+    waiting = [r["file_id"] for r in pending(asked, done).orderBy("place").collect()]
     out.skipped = len(file_ids) - len(waiting)
     make = transform or (lambda rows: FL.transform(rows, target.collection, target.table))
     for first in range(0, len(waiting), size):

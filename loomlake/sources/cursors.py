@@ -100,10 +100,13 @@ def token_column(plan: CursorPlan, id_col: str = "_id") -> Column:
 
 def after(plan: CursorPlan, token: str | None, id_col: str = "_id") -> Column:
     """Rows beyond a token: later cursor, or the same and a larger id. Snapshots and first reads take all rows. Rows
-    without a cursor value are never beyond a token (see without_cursor)."""
+    without a cursor value are never beyond a token that has one; beyond one without are such rows with a larger id."""
     value, doc = decode_token(token)
-    if value is None or plan.strategy == SNAPSHOT:
+    if not token or plan.strategy == SNAPSHOT:
         return F.lit(True)
+    if value is None:
+        one = F.col(quote(id_col))
+        return F.col(quote(plan.field)).isNull() & (one > F.lit(doc) if doc is not None else one.isNotNull())
     if plan.strategy == OBJECT_ID:
         return F.col(quote(id_col)) > F.lit(value)
     c = F.col(quote(plan.field))
@@ -117,11 +120,20 @@ def without_cursor(docs: DataFrame, plan: CursorPlan) -> DataFrame:
 
 
 def next_page(docs: DataFrame, plan: CursorPlan, token: str | None, size: int = BATCH, id_col: str = "_id") -> DataFrame:
-    """The next rows in cursor order."""
-    order = [quote(plan.field), quote(id_col)] if plan.strategy == TIMESTAMP else [quote(id_col)]
+    """The next rows in cursor order; documents without a cursor value come after all others only, to a token without one."""
+    order = [F.col(quote(plan.field)).asc_nulls_last(), quote(id_col)] if plan.strategy == TIMESTAMP else [quote(id_col)]
     return docs.filter(after(plan, token, id_col)).orderBy(*order).limit(size)
 
 
+def waiting(docs: DataFrame, plan: CursorPlan, dated: str | None, undated: str | None, id_col: str = "_id") -> DataFrame:
+    """What is beyond two tokens, with a column ``_undated``: documents with a cursor value beyond the one, and those without
+    beyond the other, which are passed by id. Both parts are predicates that reach the scan."""
+    if plan.strategy != TIMESTAMP:
+        return docs.filter(after(plan, dated, id_col)).withColumn("_undated", F.lit(False))
+    none = F.col(quote(plan.field)).isNull()
+    return docs.filter((~none & after(plan, dated, id_col)) | (none & after(plan, undated, id_col))).withColumn("_undated", none)
+
+
 # Batches
 
 
@@ -156,3 +168,15 @@ def fingerprints(docs: DataFrame, plan: CursorPlan, batch: list[str], id_col: st
         *batch, F.size("r").cast("long").alias("row_count"), F.col("r")[0]["t"].alias("min_cursor"), F.element_at("r", -1)["t"].alias("max_cursor"),
         list_hash(F.transform("r", lambda x: x["h"])).alias("checksum"),
     )
+
+
+def snapshot_fingerprint(docs: DataFrame, id_col: str = "_id") -> DataFrame:
+    """row_count, max_cursor and checksum of a source that is taken whole, if it has rows; the checksum is of its rows in no
+    order, from sums that tasks take."""
+    text = F.to_json(F.struct(*[quote(c) for c in sorted(docs.columns)]))
+    last = F.max(F.col(quote(id_col)).cast("string")) if id_col in docs.columns else F.lit(None).cast("string")
+    sums = docs.select("*", F.xxhash64(text).alias("_a"), F.xxhash64(text, F.lit(1)).alias("_b")).agg(
+        F.count(F.lit(1)).alias("row_count"), last.alias("max_cursor"), F.sum(F.col("_a").cast("decimal(38,0)")).alias("_a"), F.sum(F.col("_b").cast("decimal(38,0)")).alias("_b")
+    )
+    whole = F.md5(F.concat_ws("|", "row_count", "_a", "_b"))
+    return sums.filter("row_count > 0").select("row_count", "max_cursor", whole.alias("checksum"))

@@ -18,13 +18,15 @@ def enveloped(docs: DataFrame, source_id: str, source_name: str, database: str,
     return docs.select("*", *[v.alias(n) for n, v in zip(ENVELOPE, values, strict=True)])
 
 
-def serialised(docs: DataFrame) -> DataFrame:
-    """One JSON text per document: times in ISO form, binary as text, decimals as numbers."""
+def serialised(docs: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON text per document: times in ISO form, binary as text, decimals as numbers. Columns ``beside`` stay columns."""
     cols = []
     for f in docs.schema.fields:
+        if f.name in beside:
+            continue
         c = F.col(quote(f.name))
         cols.append((c.cast("string") if isinstance(f.dataType, T.BinaryType) else c.cast("double") if isinstance(f.dataType, T.DecimalType) else c).alias(f.name))
-    return docs.select(F.to_json(F.struct(*cols), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("value"))
+    return docs.select(*beside, F.to_json(F.struct(*cols), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("value"))
 
 
 def raw_path(root: str, database: str, collection: str) -> str:
@@ -37,6 +39,12 @@ def write_raw(docs: DataFrame, path: str, at: Column, mode: str = "append") -> N
     rows.write.mode(mode).partitionBy("dt", "hr").option("compression", "gzip").text(path)
 
 
+def write_raw_batches(docs: DataFrame, path: str, at: Column, batch: str = "batch") -> None:
+    """Adds documents below batch=<n>/dt=YYYY-MM-DD/hr=HH by their column ``batch``; what a batch held before is replaced."""
+    rows = serialised(docs, (batch,)).withColumns({"dt": F.date_format(at, "yyyy-MM-dd"), "hr": F.date_format(at, "HH")})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch, "dt", "hr").option("compression", "gzip").text(path)
+
+
 def read_raw(spark: SparkSession, path: str, schema: T.StructType | str | None = None, strict: bool = True) -> DataFrame:
     """Documents with dt and hr. strict: a line that isn't JSON fails the read; else it is in _corrupt."""
     reader = spark.read.option("mode", "FAILFAST") if strict else spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
