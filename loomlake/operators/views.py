@@ -62,7 +62,7 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame], salt: str,
     rows = []
     for table, df in tables.items():
         plan, name = plan_view(df.columns, certified), view_name(table)
-        safe_projection(df, salt, certified).createOrReplaceTempView(name)
+        safe_projection(df.alias(table), salt, certified).createOrReplaceTempView(name)
         rows.append((name, table, list(plan.passed), list(plan.hashed), plan.blocked, "ok", not any(map(is_pii_column, plan.passed))))
     schema = "view_name string, source_table string, passed array<string>, hashed array<string>, blocked array<string>, status string, pii_safe boolean"
     return spark.createDataFrame(rows, schema).withColumn("validated_at", F.current_timestamp())

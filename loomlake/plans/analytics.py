@@ -222,3 +222,33 @@ SELECT * FROM (VALUES ('silver.shop__customer_clean', 'c_name', 'pii'), ('view.s
 """)
 def catalog_tags(spark, sf_dir):
     return lineage.tags(spark, {"shop__customer_clean": table(spark, sf_dir, "customer").columns}).withColumnRenamed("column", "col")
+
+
+_VIEW = """SELECT 'shop__{0}_clean' AS upstream, column_name AS upstream_column, 'shop__{0}_analytics' AS downstream,
+  column_name || CASE WHEN column_name IN ('c_name', 's_name', 'p_name') THEN '_hash' ELSE '' END AS downstream_column, column_name IN ('c_name', 's_name', 'p_name') AS derived FROM (DESCRIBE {0})"""
+_REPORT = """SELECT cc.c_custkey, c_name_hash AS who, sum(o_totalprice) + max(c_acctbal) AS worth, count(*) AS n,
+  row_number() OVER (ORDER BY max(o_orderdate)) AS place, (SELECT max(p_size) FROM shop__part_analytics) AS largest
+FROM shop__orders_analytics JOIN shop__customer_analytics cc ON o_custkey = cc.c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2"""
+
+
+@query(f"""
+{_VIEW.format('customer')} UNION ALL {_VIEW.format('orders')} UNION ALL {_VIEW.format('part')} UNION ALL
+SELECT * FROM (VALUES ('shop__customer_analytics', 'c_custkey', 'report', 'c_custkey', false), ('shop__customer_analytics', 'c_name_hash', 'report', 'who', false),
+  ('shop__orders_analytics', 'o_totalprice', 'report', 'worth', true), ('shop__customer_analytics', 'c_acctbal', 'report', 'worth', true),
+  ('shop__orders_analytics', 'o_orderdate', 'report', 'place', true), ('shop__part_analytics', 'p_size', 'report', 'largest', true)) v(upstream, upstream_column, downstream, downstream_column, derived)
+WHERE upstream_column IN (SELECT column_name || CASE WHEN column_name = 'c_name' THEN '_hash' ELSE '' END FROM (FROM (DESCRIBE customer) UNION ALL FROM (DESCRIBE orders) UNION ALL FROM (DESCRIBE part)))
+""")
+def lineage_columns(spark, sf_dir):
+    """From which columns of tables those of safe views come, and from which of views those of a report."""
+    tables = register(spark, sf_dir)
+    made = {f"shop__{n}_analytics": spark.table(f"shop__{n}_analytics") for n in ("customer", "orders", "part")} | {"report": spark.sql(_REPORT)}
+    return lineage.column_edges(spark, made, {*tables, *VIEWS})
+
+
+@query("""
+SELECT asset, distance FROM (VALUES ('shop__customer_clean.c_name', 0), ('shop__customer_analytics.c_name_hash', 1), ('report.who', 2)) v(asset, distance)
+WHERE 'c_name' IN (SELECT column_name FROM (DESCRIBE customer))
+""")
+def lineage_of_personal_data(spark, sf_dir):
+    """How far a column with personal data reaches."""
+    return lineage.reachable(lineage.column_graph(lineage_columns(spark, sf_dir)), "shop__customer_clean.c_name")

@@ -96,6 +96,48 @@ def test_lineage(spark):
     assert "source.shop.orders" in up and "silver.shop__orders_items_clean" not in up
 
 
+def test_lineage_of_a_thousand_steps(spark):
+    n = 1000
+    chain = spark.range(n).select(F.concat(F.lit("a"), F.col("id")).alias("upstream"), F.concat(F.lit("a"), F.col("id") + 1).alias("downstream"))
+    cycle = spark.createDataFrame([("a5", "a3"), ("a3", "b"), ("x", "y"), ("a1", "a900"), ("b", "b")], "upstream string, downstream string")
+    got = {r["asset"]: r["distance"] for r in lineage.reachable(chain.union(cycle), "a0").collect()}
+    assert got == {f"a{i}": min(i, 2 + abs(i - 900) if i >= 900 else i) for i in range(n + 1)} | {"b": 4}
+    assert {r["asset"]: r["distance"] for r in lineage.reachable(chain, "a2", down=False).collect()} == {"a2": 0, "a1": 1, "a0": 2}
+    assert [tuple(r) for r in lineage.reachable(chain, "nowhere").collect()] == [("nowhere", 0)]
+
+
+def test_lineage_of_columns(spark):
+    t = spark.createDataFrame([(1, "a", [1, 2], 5)], "id int, name string, xs array<int>, w int")
+    t.createOrReplaceTempView("lt")
+    t.withColumnRenamed("id", "key").createOrReplaceTempView("lu")
+    other = "SELECT 1 AS z"
+    made = {
+        "plain": spark.sql("SELECT id, upper(name) AS name, w + id AS s, w AS v FROM lt WHERE xs IS NOT NULL"),
+        "joined": spark.sql("SELECT a.id, b.key AS k, coalesce(a.w, b.w) AS w FROM lt a JOIN lu b ON a.id = b.key"),
+        "stacked": spark.sql("SELECT id, w FROM lt UNION ALL SELECT key, key + 1 FROM lu"),
+        "grouped": spark.sql("WITH c AS (SELECT name, id FROM lt) SELECT name, count(DISTINCT id) AS n FROM c GROUP BY name"),
+        "burst": spark.sql("SELECT id, x FROM lt LATERAL VIEW explode(xs) e AS x"),
+        "ranked": spark.sql("SELECT id, rank() OVER (PARTITION BY name ORDER BY w) AS r FROM lt"),
+        "nested": spark.sql("SELECT id, (SELECT max(w) FROM lu WHERE lu.key = lt.id) AS m FROM lt"),
+        "outside": spark.sql(f"SELECT z FROM ({other})"),
+        "cubed": spark.sql("SELECT name, sum(w) AS w FROM lt GROUP BY CUBE (name)"),
+    }
+    got = {}
+    for r in lineage.column_edges(spark, made, {"lt", "lu"}).collect():
+        got.setdefault((r["downstream"], r["downstream_column"]), set()).add((f"{r['upstream']}.{r['upstream_column']}", r["derived"]))
+    assert got == {
+        ("plain", "id"): {("lt.id", False)}, ("plain", "name"): {("lt.name", True)}, ("plain", "s"): {("lt.w", True), ("lt.id", True)}, ("plain", "v"): {("lt.w", False)},
+        ("joined", "id"): {("lt.id", False)}, ("joined", "k"): {("lu.key", False)}, ("joined", "w"): {("lt.w", True), ("lu.w", True)},
+        ("stacked", "id"): {("lt.id", False), ("lu.key", False)}, ("stacked", "w"): {("lt.w", False), ("lu.key", True)},
+        ("grouped", "name"): {("lt.name", False)}, ("grouped", "n"): {("lt.id", True)},
+        ("burst", "id"): {("lt.id", False)}, ("burst", "x"): {("lt.xs", True)},
+        ("ranked", "id"): {("lt.id", False)}, ("ranked", "r"): {("lt.name", True), ("lt.w", True)},
+        ("nested", "id"): {("lt.id", False)}, ("nested", "m"): {("lu.w", True), ("lt.id", True)},
+        ("cubed", "name"): got["cubed", "name"], ("cubed", "w"): {("lt.w", True)},
+    }
+    assert {x for x, _ in got["cubed", "name"]} >= {"lt.name"}
+
+
 def test_orphan_views_are_dropped_only_if_allowed(spark):
     spark.range(1).createOrReplaceTempView("old_analytics")
     found = spark.createDataFrame([("old_analytics", "orphan"), ("x_analytics", "present")], "view_name string, status string")
