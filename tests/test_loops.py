@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomlake.operators import loops
-from loomlake.sources import cursors
+from loomlake.sources import cursors, documents
 from loomlake.storage import shared_path
 
 PLAN = cursors.CursorPlan(cursors.TIMESTAMP, "at")
@@ -80,15 +80,13 @@ def test_one_scan_and_as_many_jobs_for_any_number_of_pages(spark):
     assert jobs[1] <= jobs[0] + 6, jobs  # folders beyond a few are listed by a job
 
 
-def test_repeated_pages_are_skipped_and_no_scratch_stays(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
-    try:
-        root = f"file://{tmp_path}/lake"
-        snapshot = cursors.CursorPlan(cursors.SNAPSHOT, None, "snapshot")
-        once = docs(spark, [(1, 1), (2, None)])
-        take = lambda df: loops.collect(spark, df, snapshot, root, "d", "c", "r", at())
-        assert [(g.batches, g.skipped) for g in (take(once), take(once.orderBy(F.desc("_id"))), take(once.limit(1)), take(once.limit(0)))] == [(1, 0), (0, 1), (1, 0), (0, 0)]
-        assert raw(spark, root) == {1: [1, 2], 3: [1]}
-        assert list((tmp_path / "shared").glob("*")) == []
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_repeated_pages_are_skipped_and_no_scratch_stays(spark, monkeypatch):
+    scratch = []
+    monkeypatch.setattr(loops, "shared_path", lambda *a: scratch.append(shared_path(*a)) or scratch[-1])
+    root = shared_path(spark, "lake")
+    snapshot = cursors.CursorPlan(cursors.SNAPSHOT, None, "snapshot")
+    once = docs(spark, [(1, 1), (2, None)])
+    take = lambda df: loops.collect(spark, df, snapshot, root, "d", "c", "r", at())
+    assert [(g.batches, g.skipped) for g in (take(once), take(once.orderBy(F.desc("_id"))), take(once.limit(1)), take(once.limit(0)))] == [(1, 0), (0, 1), (1, 0), (0, 0)]
+    assert raw(spark, root) == {1: [1, 2], 3: [1]}
+    assert len(scratch) == 4 and not any(documents.exists(spark, p) for p in scratch)
