@@ -11,6 +11,7 @@ from loomlake.operators import merge as M
 from loomlake.operators import sets, state
 from loomlake.operators.keyed import KeyedTable
 from loomlake.plans.registry import query, table
+from loomlake.sources.keyset import KeysetSource
 from loomlake.storage import shared_path
 from loomlake.streaming import incremental
 
@@ -339,3 +340,27 @@ def stream_append_new(spark, sf_dir):
     stream = incremental.read_files(spark, sf_dir, schema, "events.parquet").select("user_id", "event_type")
     incremental.append_new(stream, f"{root}/rows", ["user_id", "event_type"], f"{root}/checkpoint").awaitTermination()
     return spark.read.option("basePath", f"{root}/rows").schema(T._parse_datatype_string("user_id long, event_type string, batch int")).parquet(f"{root}/rows").drop("batch")
+
+
+_LATER = "TIMESTAMP '2024-02-15'"
+
+
+@query("SELECT event_type, event_id % 5 = 0 AS undated, count(*) AS rows, sum(event_id)::BIGINT AS ids, 0::BIGINT AS again FROM events GROUP BY 1, 2")
+def keyset_stream(spark, sf_dir):
+    """A table that grows, as a stream by cursor and id: two deliveries, a run after each, and one with nothing new."""
+    spark.dataSource.register(KeysetSource)
+    root = shared_path(spark, "keyset")
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("ts"), "event_type")
+    e = e.withColumn("late", F.coalesce(F.col("ts") >= F.expr(_LATER), F.col("event_id") > 1000))
+
+    def run() -> int:
+        stream = spark.readStream.format("keyset").options(path=f"{root}/table", cursor="ts", id="event_id").schema("event_id long, ts timestamp_ntz, event_type string").load()
+        stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/mark").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(f"{root}/out").count()
+
+    for late in (False, True):
+        e.filter(F.col("late") == late).drop("late").write.mode("append").parquet(f"{root}/table")
+        last = run()
+    again = run() - last
+    rows = spark.read.parquet(f"{root}/out").groupBy("event_type", (F.col("event_id") % 5 == 0).alias("undated"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")).withColumn("again", F.lit(again).cast("long"))
