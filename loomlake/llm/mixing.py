@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import stored, unused, word_array
+from loomlake.llm.shared import stored, sweep, unused, word_array
 
 DOMAINS = ("clean", "low_quality", "toxic")
 #: Target share of tokens by domain, and the most copies of a document.
@@ -71,6 +71,7 @@ def _weighted(rows: DataFrame, idf: IDFModel) -> DataFrame:
 
 def fit_domains(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Classifier:
     """A logistic regression over hashed words. Without labelled documents, or with one class only, no model."""
+    sweep(docs.sparkSession)
     chosen = label_domains(labels).orderBy(F.xxhash64(F.lit("domain"), "doc_id"), "doc_id").limit(max_labelled)
     rows = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
     classes = sorted(r["domain"] for r in rows.select("domain").distinct().collect())
@@ -79,6 +80,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABE
     tf = _features(rows)
     idf = IDF(inputCol="_tf", outputCol="_idf", minDocFreq=2).fit(tf)
     model = LogisticRegression(labelCol="domain", family="multinomial", regParam=1e-3, maxIter=40).fit(_weighted(tf, idf).select("domain", "features"))
+    sweep(docs.sparkSession)  # each step of the fit leaves a broadcast of all weights on the driver
     return Classifier(idf, model, classes)
 
 
