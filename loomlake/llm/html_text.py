@@ -209,7 +209,8 @@ def walk(page: str, to: Visitor) -> None:
 
 
 # Wrappers: a node is [symbol, pages, repeated, kids, text, characters, characters in links, stories]; text slots have
-# the symbol "#" and as text the one they always have, or None. A node is optional if it has fewer pages than its parent.
+# the symbol "#" and as text the one they always have, or None; an element has a hash of the text that it always has, or
+# None. A node is optional if it has fewer pages than its parent.
 # stories tells pages apart that aren't copies of one another: hashes of the longest texts of up to MIN_PAGES of them.
 # A page's tree that is to be placed in a wrapper also has the places of the elements and slots that a node was made of.
 S, N, REP, KIDS, TEXT, CHARS, LINK, STORIES, PLACES = range(9)
@@ -231,6 +232,7 @@ class _Tree(Visitor):
     def leave(self, name: str) -> None:
         self.clock += 1
         node = self.stack.pop()
+        node[TEXT] = hash_text("\n".join(kid[TEXT] for kid in node[KIDS])) if node[KIDS] else ""
         node[KIDS] = fold(node[KIDS])
 
     def text(self, text: str, linked: bool) -> None:
@@ -354,7 +356,9 @@ def align_pages(wrapper: list | None, other: list) -> list:
 
 def furniture(wrapper: list) -> tuple[list[str], str | None]:
     """Paths of the host's furniture: slots with the same text on all of MIN_PAGES or more pages while others differ,
-    and elements that are made of links. Pages with the same longest text count once. Headings of an article stay.
+    and elements that are made of links; within an article or main element only those with the same text on all pages
+    (its own lists of links, such as references, stay). Pages with the same longest text count once. Headings of an
+    article stay.
 
     Where siblings of one symbol share a path and some of them are content, the path is left out; pages of the host
     are to be placed in the second value then, the wrapper as JSON of nodes [symbol, furniture, kids].
@@ -362,22 +366,24 @@ def furniture(wrapper: list) -> tuple[list[str], str | None]:
     found: dict[str, set[bool]] = {}
     varies = False
 
-    def visit(node: list, path: str) -> tuple[int, int, list]:
+    def visit(node: list, path: str, inside: bool) -> tuple[int, int, list]:
         nonlocal varies
+        inside = inside or node[S].split(".")[0] in ("article", "main")
         enough = len(node[STORIES]) >= MIN_PAGES
         chars, link, kids = node[CHARS], node[LINK], []
         for kid in node[KIDS]:
-            c, k, place = visit(kid, f"{path}/{kid[S]}")
+            c, k, place = visit(kid, f"{path}/{kid[S]}", inside)
             chars, link = chars + c, link + k
             kids.append(place)
         if node[S] == "#":
             varies = varies or node[TEXT] is None
             bad = node[TEXT] is not None and not node[REP] and enough and not _HEADING.search(path)
         else:
-            bad = bool(enough and chars and link >= LINKS * chars and node[S].split(".")[0] in ("ul", "ol", "div", "table", "dl"))
+            menu = enough and chars and link >= LINKS * chars and node[S].split(".")[0] in ("ul", "ol", "div", "table", "dl")
+            bad = bool(menu and (not inside or node[TEXT] is not None))
         return chars, link, [node[S], bad, kids]
 
-    root = visit(wrapper, "")[2]
+    root = visit(wrapper, "", False)[2]
 
     def settle(node: list, path: str) -> bool:
         """Gathers the verdicts of each path; whether anything in the node is furniture."""

@@ -190,3 +190,16 @@ def test_many_siblings_keep_their_order(spark):
     page = lambda i: "<body>" + "".join(f"<div class='k{chr(97 + j % 26)}{chr(97 + j // 26)}'><p>{'Rights' if j == 200 else f'part {j} of {i}'}</p></div>" for j in range(300))
     got = texts_of(spark, [page(i) for i in range(6)])
     assert all(t.split("\n") == [f"part {j} of {i}" for j in range(300) if j != 200] for i, t in enumerate(got))
+
+
+@pytest.mark.parametrize("n", [3, 7])
+def test_an_articles_own_lists_of_links_stay(spark, n):
+    """References differ from page to page; a menu within the article is the same on all, and lists outside are as before."""
+    references = lambda i: "<h2>References</h2><ul>" + "".join(f"<li><a href='/r{i}{j}'>Source {j} of story {i}</a></li>" for j in range(1 + i % 3)) + "</ul>"
+    menu = "<ol><li><a href='/a'>First part</a></li><li><a href='/b'>Second part</a></li></ol>"
+    page = lambda i: f"<body><div><a href='/{i}'>Latest {i}</a></div><article><h1>Story {i}</h1>{menu}<p>Text of story {i}, and more of it {'again ' * i}.</p>{references(i)}</article>"
+    for i, got in enumerate(texts_of(spark, [page(i) for i in range(n)])):
+        want = [f"Story {i}", f"Text of story {i}, and more of it {'again ' * i}.", "References", *[f"Source {j} of story {i}" for j in range(1 + i % 3)]]
+        if n < H.MIN_PAGES:
+            want[1:1] = ["First part", "Second part"]
+        assert got.split("\n") == want
