@@ -13,7 +13,7 @@ from loomlake.operators.keyed import KeyedTable
 from loomlake.plans.registry import query, table
 from loomlake.sources.keyset import KeysetSource
 from loomlake.storage import shared_path
-from loomlake.streaming import incremental
+from loomlake.streaming import batches, incremental
 
 _CUT, _FROM = "1999-01-01", "1998-01-01"
 
@@ -364,3 +364,37 @@ def keyset_stream(spark, sf_dir):
     again = run() - last
     rows = spark.read.parquet(f"{root}/out").groupBy("event_type", (F.col("event_id") % 5 == 0).alias("undated"))
     return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")).withColumn("again", F.lit(again).cast("long"))
+
+
+_WANTED = {"view": "running", "click": "success", "error": "failed", "purchase": "retrying", "signup": "skipped"}
+
+
+@query(f"""
+WITH RECURSIVE e AS (SELECT user_id, epoch_ms(ts) AS t, CASE WHEN event_type <> 'view' THEN event_id END AS counted,
+    CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _WANTED.items())} END AS wanted,
+    row_number() OVER (PARTITION BY user_id // 3 ORDER BY epoch_ms(ts), event_id) AS n, user_id // 3 AS batch FROM events WHERE event_type <> 'signup' OR user_id % 7 = 0),
+f AS (SELECT batch, 0::BIGINT AS n, 'queued' AS status, NULL::BIGINT AS rows, 0 AS retry_count, false AS retryable, NULL::BIGINT AS since FROM (SELECT DISTINCT batch FROM e)
+  UNION ALL
+  SELECT batch, n, CASE WHEN ok THEN wanted ELSE s END, CASE WHEN ok THEN coalesce(counted, rows) ELSE rows END, retry_count + (ok AND wanted = 'retrying')::INTEGER,
+    CASE WHEN ok AND wanted IN ('running', 'retrying') THEN false ELSE retryable OR late END,
+    CASE WHEN ok THEN CASE WHEN wanted IN ('running', 'retrying') THEN t END WHEN late THEN NULL ELSE since END
+  FROM (SELECT *, coalesce((s = 'queued' AND wanted IN ('running', 'skipped')) OR (s IN ('running', 'retrying') AND wanted IN ('success', 'failed', 'skipped')) OR (s = 'failed' AND wanted = 'retrying'), false) AS ok
+    FROM (SELECT e.batch, e.n, e.t, e.wanted, e.counted, f.rows, f.retry_count, f.retryable, f.since, coalesce(e.t > f.since + 1800000, false) AS late,
+      CASE WHEN e.t > f.since + 1800000 THEN 'failed' ELSE f.status END AS s FROM f JOIN e ON e.batch = f.batch AND e.n = f.n + 1)))
+SELECT batch::VARCHAR AS batch_id, CASE WHEN late THEN 'failed' ELSE status END AS status, rows, retry_count, retryable OR late AS retryable
+FROM (SELECT *, coalesce((SELECT max(t) FROM e) > since + 1800000, false) AS late, row_number() OVER (PARTITION BY batch ORDER BY n DESC) AS r FROM f) WHERE r = 1
+""")
+def batch_state_stream(spark, sf_dir):
+    """Events as those of batches, on a stream: each batch's state, and which were interrupted after half an hour."""
+    key, root = "spark.sql.streaming.stateStore.providerClass", shared_path(spark, "states")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        e = incremental.read_files(spark, sf_dir, table(spark, sf_dir, "events").schema, "events.parquet").filter("event_type <> 'signup' OR user_id % 7 = 0")
+        wanted = F.create_map(*[F.lit(x) for kv in _WANTED.items() for x in kv])[F.col("event_type")]
+        rows = e.select(F.expr("user_id div 3").alias("batch_id"), F.col("ts").alias("at"), F.col("event_id").alias("seq"), wanted.alias("status"), F.when(F.col("event_type") != "view", F.col("event_id")).alias("rows"))
+        put = lambda df, i: df.write.mode("overwrite").parquet(f"{root}/said/run={i}")
+        batches.batch_states(rows).writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", f"{root}/mark").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    return batches.latest_states(spark.read.parquet(f"{root}/said"))
