@@ -339,7 +339,7 @@ def stream_append_new(spark, sf_dir):
     root, schema = shared_path(spark, "stream"), table(spark, sf_dir, "events").schema
     stream = incremental.read_files(spark, sf_dir, schema, "events.parquet").select("user_id", "event_type")
     incremental.append_new(stream, f"{root}/rows", ["user_id", "event_type"], f"{root}/checkpoint").awaitTermination()
-    return spark.read.option("basePath", f"{root}/rows").schema(T._parse_datatype_string("user_id long, event_type string, batch int")).parquet(f"{root}/rows").drop("batch")
+    return spark.read.option("basePath", f"{root}/rows").schema(T._parse_datatype_string("user_id long, event_type string, batch int, part int")).parquet(f"{root}/rows").drop("batch", "part")
 
 
 _LATER = "TIMESTAMP '2024-02-15'"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlake.functions import columns as C
-from loomlake.operators import audits
+from loomlake.operators import audits, census, contents, partials
 from loomlake.operators import flatten as FL
 from loomlake.operators import profile as P
 from loomlake.plans.registry import query, table
@@ -337,3 +337,56 @@ def batch_fingerprint(spark, sf_dir):
 @query("SELECT conv_id, turn, role, regexp_replace(regexp_replace(text, '://[^/@\\s:]+:[^/@\\s]+@', '://***:***@', 'g'), '\\b(password|passwd|secret|token|api_key|access_key)\\s*[=:]\\s*[^\\s,;&]+', '\\1=***', 'gi') AS text FROM conversations")
 def mask_text(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", C.masked(F.col("text")).alias("text"))
+
+
+_FIELDS = {"event_id": True, "ts": False, "user_id": True, "event_type": False, "value": True, "props": False}
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS field_path, count({c}) AS occurrence_count, count(*) AS total_rows, {f'min({c})' if n else 'NULL'}::DOUBLE AS least,
+  {f'max({c})' if n else 'NULL'}::DOUBLE AS most, true AS distinct_within, true AS median_within FROM events""" for c, n in _FIELDS.items()))
+def profile_by_batch(spark, sf_dir):
+    """Profiles of seven batches, one delivered twice, merged: counts as of the whole table, estimates within their bounds."""
+    e = table(spark, sf_dir, "events")
+    store = partials.ProfileStore(spark, shared_path(spark, "profiles"))
+    for some in ("event_id % 7 < 4", "event_id % 7 >= 3"):
+        store.add(e.filter(some).withColumn("part", F.col("event_id") % 7), "part")
+    true = e.agg(*[F.struct(F.count_distinct(c).alias("n"), F.percentile(c, F.array(F.lit(0.45), F.lit(0.55))).alias("q") if n else F.lit(None).alias("q")).alias(c) for c, n in _FIELDS.items()])
+    exact = true.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field_path"), F.col(c)["n"].alias("n"), F.col(c)["q"].cast("array<double>").alias("q")) for c in _FIELDS])))
+    got = store.read().join(exact, "field_path")
+    near = F.abs(F.col("distinct_estimate") - F.col("n")) <= 0.08 * F.col("n")
+    middle = F.col("q").isNull() | F.col("quantiles")[1].between(F.col("q")[0], F.col("q")[1])
+    return got.select("field_path", "occurrence_count", "total_rows", "least", "most", near.alias("distinct_within"), middle.alias("median_within"))
+
+
+_MIXED = """'{"k":' || o_orderkey || ',"p":' || CASE o_orderkey % 5 WHEN 0 THEN '"' || o_orderpriority || '"' WHEN 1 THEN '[1,"a",{"z":null}]'
+  WHEN 2 THEN '{"q":{"r":true}}' WHEN 3 THEN '2.5' ELSE '[]' END || '}'"""
+
+
+@query(f"""
+WITH d AS (SELECT o_orderkey, {_MIXED} AS j FROM orders UNION ALL SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 11 = 0),
+t AS (SELECT o_orderkey, CASE WHEN fullkey = '$' THEN '$' ELSE regexp_replace(fullkey, '\[[0-9]+\]', '[]', 'g') END AS path,
+  CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'DOUBLE' THEN 'number' ELSE 'integer' END AS type
+  FROM d, json_tree(j) WHERE json_valid(j))
+SELECT path, type, count(*) AS count, count(DISTINCT o_orderkey) AS documents FROM t GROUP BY ALL
+UNION ALL SELECT '$', 'invalid', count(*), count(*) FROM d WHERE NOT json_valid(j) HAVING count(*) > 0
+""")
+def document_paths(spark, sf_dir):
+    """Paths and types over lines of mixed documents, some of which aren't JSON."""
+    o = table(spark, sf_dir, "orders")
+    bad = o.filter("o_orderkey % 11 = 0").select(F.col("o_orderpriority").alias("value"))
+    return census.path_census(o.select(F.expr(_MIXED).alias("value")).union(bad))
+
+
+@query("""
+SELECT o_orderkey + CASE kind WHEN 'extra' THEN 1000000000 ELSE 0 END AS key, kind AS status, CASE kind WHEN 'extra' THEN 0 ELSE 1 END::BIGINT AS left_rows,
+  CASE kind WHEN 'missing' THEN 0 WHEN 'repeated' THEN 2 ELSE 1 END::BIGINT AS right_rows
+FROM (SELECT o_orderkey, unnest(list_filter([CASE WHEN o_orderkey % 3000 = 7 THEN 'changed' WHEN o_orderkey % 3000 = 3 THEN 'missing' WHEN o_orderkey % 3000 = 33 THEN 'repeated' END,
+  CASE WHEN o_orderkey % 3000 = 5 THEN 'extra' END], lambda x: x IS NOT NULL)) AS kind FROM orders)
+""")
+def content_differences(spark, sf_dir):
+    """Orders and a copy of them with a few rows changed, missing, doubled and added: each is named."""
+    o, r = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 3000
+    moved = o.filter(r == 5).withColumn("o_orderkey", F.col("o_orderkey") + 1000000000)
+    copy = o.filter(r != 3).withColumn("o_totalprice", F.when(r == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    found = contents.differences(o, copy.union(o.filter(r == 33)).union(moved), "o_orderkey")
+    return found.select("key", "status", F.col("left_rows").cast("long").alias("left_rows"), F.col("right_rows").cast("long").alias("right_rows"))

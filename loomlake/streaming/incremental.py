@@ -17,6 +17,7 @@ from loomlake.functions.columns import stable_hash
 from loomlake.operators.keyed import KeyedTable
 from loomlake.operators.merge import latest
 from loomlake.sources.documents import exists
+from loomlake.streaming.seen import BITS, PARTS, SeenKeys
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", per_batch: int = 1000) -> DataFrame:
@@ -58,16 +59,8 @@ def upsert_stream(stream: DataFrame, table: KeyedTable, ledger: Ledger, keys: li
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def append_new(stream: DataFrame, path: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Appends rows whose keys haven't been seen (no lateness bound): an anti-join with what is there, per batch. A batch
-    writes a folder of its own, so one that runs again replaces its rows."""
-    spark = stream.sparkSession
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(keys)
-        if exists(spark, path):
-            old = spark.read.option("basePath", path).parquet(path)
-            fresh = fresh.join(old.filter(F.col("batch") != batch_id).select(*keys).distinct(), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def append_new(stream: DataFrame, path: str, keys: list[str], checkpoint: str, bits: int = BITS, parts: int = PARTS) -> StreamingQuery:
+    """Appends rows whose keys haven't been seen, without a bound on lateness (see seen.py): old keys are read only in the
+    parts where a batch has a hit. A batch that runs again replaces its rows."""
+    seen = SeenKeys(stream.sparkSession, path, keys, bits, parts)
+    return stream.writeStream.foreachBatch(seen.append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
