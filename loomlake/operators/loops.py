@@ -21,7 +21,8 @@ from loomlake.operators import flatten as FL
 from loomlake.operators import profile as P
 from loomlake.operators.events import EventLog
 from loomlake.operators.keyed import KeyedTable
-from loomlake.operators.scopes import of_batches
+from loomlake.operators.partials import ProfileStore
+from loomlake.operators.scopes import batch_id, of_batches
 from loomlake.operators.state import pending
 from loomlake.sources import cursors, documents
 from loomlake.storage import discard, shared_path
@@ -205,8 +206,9 @@ def process(
 
     Files that were merged before are skipped. A group is read, transformed, merged by hash, its child tables too
     (those of documents without a typed table), and only then noted. A group that fails is noted with its error and the
-    next one follows. After the last group the field profile is renewed if the schema has changed, and the quality of
-    the key is measured. ``file_ids`` are metadata: some thousands at most.
+    next one follows. Each group adds the partial profiles of its files; after the last group the field profile is their sum,
+    and the quality of the key is what the table's own record says: nothing is read again. ``file_ids`` are metadata: some
+    thousands at most.
     """
     out, state, known = Processed(found=len(file_ids)), clean_states(spark, target.root), target.collection in FL.DOMAIN
     done = state.read().filter((F.col("table_name") == target.table) & (F.col("status") == "success"))
@@ -222,6 +224,7 @@ def process(
         group = waiting[first : first + size]
         try:
             metrics = _timed(out, "merge", lambda g=group: target.kept(spark).upsert(make(of_batches(bronze, g)), [target.key], "silver_record_hash"))
+            _timed(out, "profile", lambda g=group: _profiles(spark, target).add(of_batches(bronze, g).withColumn("_batch", batch_id(bronze)), "_batch"))
             if not known and transform is None:
                 out.children += _timed(out, "children", lambda g=group: _merge_children(spark, target, of_batches(bronze, g)))
         except PySparkException as e:
@@ -255,9 +258,14 @@ def _merge_children(spark: SparkSession, target: Target, rows: DataFrame) -> int
     return changed
 
 
+def _profiles(spark: SparkSession, target: Target) -> ProfileStore:
+    return ProfileStore(spark, f"{target.root}/profiles/{target.table}")
+
+
 def _describe(spark: SparkSession, target: Target, bronze: DataFrame) -> None:
+    facts = spark.createDataFrame(P.field_facts(bronze.schema), "field_path string, detected_type string, depth int, flattening_strategy string, pii_detected boolean")
     signature = P.metadata_signature({"schema": bronze.schema.jsonValue()})
-    profiles = target.kept(spark, f"{target.table}_profile")
-    if not profiles.exists() or profiles.read().select("signature").head(1) != [(signature,)]:
-        profiles.write(P.field_profile(bronze).withColumn("signature", F.lit(signature)))
-    target.kept(spark, f"{target.table}_quality").write(P.key_quality(target.kept(spark).read(), F.col(target.key)))
+    counted = _profiles(spark, target).read().drop("depth").join(facts, ["field_path", "detected_type"])
+    target.kept(spark, f"{target.table}_profile").write(counted.withColumn("signature", F.lit(signature)))
+    rows = target.kept(spark).rows()  # a merged table has each key once, and none that is null
+    target.kept(spark, f"{target.table}_quality").write(spark.createDataFrame([(rows, 0, rows, 0)], "total_rows long, null_keys long, distinct_keys long, duplicate_keys long"))

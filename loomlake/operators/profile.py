@@ -18,15 +18,10 @@ PAYMENT_STATES = ("captured", "authorized", "pending", "failed", "refunded")
 SILVER_AUDIT = {"silver_record_hash", "silver_processed_at", "silver_ingestion_date"}
 
 
-def field_profile(df: DataFrame, plan: FlattenPlan | None = None, most: int = MAX_PROFILED) -> DataFrame:
-    """A row per field: path, type, depth, occurrences, percent, strategy, pii; all counted in one pass."""
-    plan = plan or plan_flatten(df.schema)
-    fields = walk_schema(df.schema)[:most]
-    schema = "field_path string, detected_type string, depth int, occurrence_count long, total_rows long, flattening_strategy string, pii_detected boolean"
-    if not fields:
-        return df.sparkSession.createDataFrame([], schema).withColumn("occurrence_percent", F.lit(None).cast("double"))
+def field_facts(schema: T.StructType, plan: FlattenPlan | None = None, most: int = MAX_PROFILED) -> list[tuple]:
+    """(path, type, depth, strategy, pii) of each field, from the schema alone."""
+    plan = plan or plan_flatten(schema)
     extracted = {p for p, how in plan.columns.values() if how == "scalar"}
-    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f.column)).alias(f"c{i}") for i, f in enumerate(fields)])
 
     def strategy(path: str, kind: T.DataType) -> str:
         if path in plan.children:
@@ -35,11 +30,20 @@ def field_profile(df: DataFrame, plan: FlattenPlan | None = None, most: int = MA
             return "raw_json_fallback"
         return "column" if path in extracted else "container" if isinstance(kind, T.StructType) else "ignored"
 
+    return [(f.path, f.kind.simpleString(), f.depth, strategy(f.path, f.kind), N.is_pii_path(f.path)) for f in walk_schema(schema)[:most]]
+
+
+def field_profile(df: DataFrame, plan: FlattenPlan | None = None, most: int = MAX_PROFILED) -> DataFrame:
+    """A row per field: path, type, depth, occurrences, percent, strategy, pii; all counted in one pass."""
+    fields = walk_schema(df.schema)[:most]
+    schema = "field_path string, detected_type string, depth int, occurrence_count long, total_rows long, flattening_strategy string, pii_detected boolean"
+    if not fields:
+        return df.sparkSession.createDataFrame([], schema).withColumn("occurrence_percent", F.lit(None).cast("double"))
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f.column)).alias(f"c{i}") for i, f in enumerate(fields)])
     entries = [
-        F.struct(F.lit(f.path).alias("field_path"), F.lit(f.kind.simpleString()).alias("detected_type"), F.lit(f.depth).alias("depth"),
-                 F.col(f"c{i}").alias("occurrence_count"), F.col("n").alias("total_rows"),
-                 F.lit(strategy(f.path, f.kind)).alias("flattening_strategy"), F.lit(N.is_pii_path(f.path)).alias("pii_detected"))
-        for i, f in enumerate(fields)
+        F.struct(F.lit(path).alias("field_path"), F.lit(kind).alias("detected_type"), F.lit(depth).alias("depth"), F.col(f"c{i}").alias("occurrence_count"),
+                 F.col("n").alias("total_rows"), F.lit(strategy).alias("flattening_strategy"), F.lit(pii).alias("pii_detected"))
+        for i, (path, kind, depth, strategy, pii) in enumerate(field_facts(df.schema, plan, most))
     ]
     rows = counts.select(F.inline(F.array(*entries)))
     return rows.withColumn("occurrence_percent", F.when(F.col("total_rows") > 0, F.bround(F.col("occurrence_count") / F.col("total_rows") * 100, 2)).otherwise(F.lit(0.0)))

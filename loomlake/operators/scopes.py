@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,12 @@ def in_scope(tables: DataFrame, scope: str | None = "all_pending", database: str
     return tables
 
 
+def batch_id(bronze: DataFrame) -> Column:
+    """The raw file that a row is from, as text; empty where the table doesn't say."""
+    field = field_of(bronze.schema, "_raw_file_id")
+    return F.coalesce(F.col(quote(field.name)).cast("string"), F.lit("")) if field else F.lit("")
+
+
 def of_batches(bronze: DataFrame, file_ids: list[str] = (), object_keys: list[str] = ()) -> DataFrame:
     """Rows of the given raw files, by id or by object key; all rows where there is nothing to go by. The lists are a
     group of batches, so they reach the scan as a filter."""

@@ -60,7 +60,8 @@ def test_clean_loop_goes_on_after_a_failure(spark):
     assert (then.status, then.processed, then.skipped, then.children) == ("success", 1, 2, 6)
     assert target.kept(spark).read().count() == 9 == then.total_rows
     assert target.kept(spark, "shop__notes_clean_quality").read().head()["distinct_keys"] == 9
-    assert target.kept(spark, "shop__notes_clean_profile").read().count() > 0
+    profile = {r["field_path"]: (r["occurrence_count"], r["total_rows"]) for r in target.kept(spark, "shop__notes_clean_profile").read().collect()}
+    assert profile["amount"] == (9, 9) and profile["tags"] == (9, 9)
     assert {r["status"] for r in log.read().collect()} == {"success", "failed"}
 
 
