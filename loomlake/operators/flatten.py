@@ -12,6 +12,7 @@ from loomlake.functions import columns as C
 from loomlake.functions.names import child_table_name, is_pii_path, quote, safe_identifier, unique_names
 
 DEPTH, MAX_COLUMNS, MAX_CHILDREN, MAX_PROFILED = 4, 250, 30, 120
+# The audit columns of bronze tables, and which of them clean tables keep under other names.
 AUDIT_COLUMNS = (
     "_bronze_ingested_at", "_raw_bucket", "_raw_object_key", "_source_id", "_source_name", "_source_db", "_source_collection",
     "_raw_run_id", "_raw_file_id", "_schema_version", "_record_hash", "_column_sanitized", "_column_mapping_version", "bronze_ingestion_date",

@@ -143,6 +143,17 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def fuzzy(pairs: DataFrame) -> DataFrame:
+    """(field_no, view, column, _fuzzy): the larger ratio of the normalised names and of their cores. Only pairs that no
+    rule has placed need it, and every two texts are compared once, however many views have such a column."""
+    named = pairs.select("field_no", "view", "column", F.col("f_norm").alias("a"), F.col("norm").alias("b"))
+    cores = pairs.filter("f_core <> '' AND core <> ''").select("field_no", "view", "column", F.col("f_core").alias("a"), F.col("core").alias("b"))
+    both = named.union(cores)
+    texts = written(both.select("a", "b").distinct().withColumn("_ratio", ratio("a", "b")), "match-ratios")
+    same = both["a"].eqNullSafe(texts["a"]) & both["b"].eqNullSafe(texts["b"])
+    return both.join(texts, same).groupBy("field_no", "view", "column").agg(F.max("_ratio").alias("_fuzzy"))
+
+
 # Confidence
 
 
@@ -164,7 +175,6 @@ def score(fields: DataFrame, columns: DataFrame, historical: DataFrame | None =
     p = p.withColumns({
         "_wide": similarity(F.col("f_wide"), F.col("wide")), "_words": similarity(F.col("f_words"), F.col("words")),
         "_part": partial_words(F.col("f_words"), F.col("words")), "_view": similarity(F.col("f_wide"), F.col("about")),
-        "_fuzzy": F.greatest(ratio("f_norm", "norm"), F.when((F.col("f_core") != "") & (F.col("core") != ""), ratio("f_core", "core")).otherwise(0.0)),
     })
     p = written(p, "match-features")  # else every rule below would hold the features' expressions again
     token = F.greatest("_words", "_wide")
@@ -175,9 +185,11 @@ def score(fields: DataFrame, columns: DataFrame, historical: DataFrame | None =
         .when((F.col("_words") >= 0.85) | (F.col("_wide") >= 0.82), tier("token", F.least(F.lit(0.89), 0.72 + token * 0.19)))
         .when(F.col("_part") >= 0.67, tier("partial_word", F.least(F.lit(0.84), 0.64 + F.col("_part") * 0.22)))
         .when(F.col("_wide") >= 0.56, tier("token", F.least(F.lit(0.79), 0.53 + F.col("_wide") * 0.30)))
-        .when(F.col("_fuzzy") >= CANDIDATE, tier("fuzzy", F.least(F.lit(0.62), F.col("_fuzzy")))).otherwise(tier("weak", F.col("_fuzzy")))
     )
-    p = written(p.withColumn("_best", best).withColumn("match_type", F.col("_best.kind")), "match-kinds")
+    p = written(p.withColumn("_best", best), "match-tiers")
+    p = p.join(fuzzy(p.filter("_best IS NULL")), ["field_no", "view", "column"], "left")
+    last = F.when(F.col("_fuzzy") >= CANDIDATE, tier("fuzzy", F.least(F.lit(0.62), F.col("_fuzzy")))).otherwise(tier("weak", F.col("_fuzzy")))
+    p = written(p.withColumn("_best", F.coalesce("_best", last)).withColumn("match_type", F.col("_best.kind")), "match-kinds")
     relevant = F.when(F.col("_view") >= 0.28, F.least(F.lit(0.05), F.col("_view") * 0.08)).otherwise(0.0)
     strong = F.col("match_type").isin(*PRIORITY)
     liked = F.lit(0.0) if preferred_view is None else F.when(F.col("view") != preferred_view, -0.03).when(strong, 0.025).otherwise(0.0)

@@ -10,6 +10,7 @@ from loomlake.operators import flatten as FL
 from loomlake.plans import gate
 from loomlake.plans.registry import query, table
 from loomlake.plans.tables import order_documents
+from loomlake.storage import shared_path
 
 SALT = "example-salt"
 _HASH = "CASE WHEN trim({0}) <> '' THEN sha256('example-salt|' || {0}) END"
@@ -77,13 +78,16 @@ def safe_view_check(spark, sf_dir):
 
 
 @query("""
-SELECT * FROM (VALUES ('shop__orders_analytics', 'present'), ('shop__part_analytics', 'stale'), ('shop__events_analytics', 'missing'), ('old_analytics', 'orphan')) v(view_name, status)
+SELECT 'shop__' || event_type || '_analytics' AS view_name, CASE WHEN event_type = 'error' THEN 'orphan' WHEN event_type = 'view' THEN 'missing'
+  WHEN event_type = 'click' OR max(ts) < TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 1440 MINUTE THEN 'stale' ELSE 'present' END AS status FROM events GROUP BY event_type
 """)
 def view_reconciliation(spark, sf_dir):
-    tables = spark.createDataFrame([("shop__orders_clean",), ("shop__part_clean",), ("shop__events_clean",), ("notes",)], "table_name string")
-    visible = spark.createDataFrame([("shop__orders_analytics",), ("shop__part_analytics",), ("old_analytics",)], "view_name string")
-    metadata = spark.sql("SELECT 'shop__orders_analytics' AS view_name, timestamp '2024-01-02 10:00:00' AS validated_at UNION ALL SELECT 'shop__part_analytics', timestamp '2024-01-01 09:00:00'")
-    return views.reconcile_views(metadata, tables, visible, F.lit("2024-01-02 12:00:00").cast("timestamp"))
+    """A table for each type of event but one, a view for each but another, validated when its last event was."""
+    last = table(spark, sf_dir, "events").groupBy("event_type").agg(F.max("ts").cast("timestamp").alias("validated_at"))
+    named = lambda end: F.concat(F.lit("shop__"), "event_type", F.lit(end))
+    tables, visible = last.filter("event_type <> 'error'").select(named("_clean").alias("table_name")), last.filter("event_type <> 'view'").select(named("_analytics").alias("view_name"))
+    metadata = last.filter("event_type <> 'click'").select(named("_analytics").alias("view_name"), "validated_at")
+    return views.reconcile_views(metadata, tables, visible, F.lit("2024-01-31 12:00:00").cast("timestamp"))
 
 
 @query("""
@@ -252,3 +256,20 @@ WHERE 'c_name' IN (SELECT column_name FROM (DESCRIBE customer))
 def lineage_of_personal_data(spark, sf_dir):
     """How far a column with personal data reaches."""
     return lineage.reachable(lineage.column_graph(lineage_columns(spark, sf_dir)), "shop__customer_clean.c_name")
+
+
+@query("""
+WITH o AS (SELECT count(*) AS rows, count(*) FILTER (WHERE o_clerk IS NULL) AS n FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS o_clerk FROM orders))
+SELECT 'pf__orders_analytics' AS view_name, 'ok' AS status, rows, least(rows, 25)::INTEGER AS preview_rows, n::BIGINT AS nulls, 2::BIGINT AS runs FROM o
+UNION ALL SELECT 'pf__nation_analytics', 'ok', count(*), least(count(*), 25)::INTEGER, 0, 2 FROM nation
+UNION ALL SELECT 'pf__gone_analytics', 'failed', NULL, NULL, NULL, 2 WHERE EXISTS (SELECT 1 FROM orders)
+""")
+def view_performance(spark, sf_dir):
+    """Two runs over safe views, one of which isn't there: rows, nulls and previews, each view in one job."""
+    marked = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority"))
+    views.register_views(spark, {"pf__orders_clean": table(spark, sf_dir, "orders").withColumn("o_clerk", marked), "pf__nation_clean": table(spark, sf_dir, "nation")}, SALT)
+    names, path = ["pf__orders_analytics", "pf__nation_analytics", "pf__gone_analytics"], shared_path(spark, "performance")
+    views.performance(spark, names, path)
+    history = views.performance(spark, names, path)
+    total = F.aggregate(F.map_values("nulls"), F.lit(0).cast("long"), lambda a, x: a + x)
+    return history.withColumn("nulls", total).groupBy("view_name", "status", "rows", "preview_rows", "nulls").agg(F.count(F.lit(1)).alias("runs"))

@@ -165,6 +165,23 @@ def clean_orders(spark, sf_dir):
     return clean.select("silver_row_id", "id", "customerid", "status", F.col("items_count").alias("n_items"))
 
 
+@query("""
+WITH c AS (SELECT *, md5(c_custkey::VARCHAR) AS h, 'f' || (c_custkey % 3) AS f, '2024-03-01 05:30:00' AS t FROM customer)
+SELECT h AS silver_row_id, 'src' AS source_id, f AS raw_file_id, h AS bronze_record_hash, t AS bronze_ingested_at, true AS dated,
+  sha256(concat_ws('||', h, 'src', '', '', '', '', f, '', h, t, c_custkey::VARCHAR, c_nationkey::VARCHAR, trim(c_mktsegment))) AS silver_record_hash FROM c
+""")
+def clean_audit_columns(spark, sf_dir):
+    """Row id, lineage, hash and times of processing of a clean table."""
+    c = table(spark, sf_dir, "customer")
+    docs = c.select(
+        "c_custkey", "c_nationkey", "c_mktsegment", F.lit("src").alias("_source_id"), F.concat(F.lit("f"), F.col("c_custkey") % 3).alias("_raw_file_id"),
+        F.md5(F.col("c_custkey").cast("string")).alias("_record_hash"), F.lit("2024-03-01 05:30:00").cast("timestamp").alias("_bronze_ingested_at"),
+    )
+    clean = FL.clean_table(docs, "shop__customers_clean")
+    dated = (F.to_date("silver_processed_at") == F.col("silver_ingestion_date")) & (F.col("silver_processed_at") > F.col("bronze_ingested_at"))
+    return clean.select("silver_row_id", "source_id", "raw_file_id", "bronze_record_hash", F.col("bronze_ingested_at").cast("string").alias("bronze_ingested_at"), dated.alias("dated"), "silver_record_hash")
+
+
 # Profiles and quality
 
 
@@ -235,13 +252,18 @@ def readiness_scores(spark, sf_dir):
 
 
 @query("""
-SELECT * FROM (VALUES ('email', 'email', 'column_name_contains_email', 0.98::DOUBLE, 'exposed'), ('mobilePhone', 'phone', 'column_name_contains_phone', 0.85, 'hashed'),
-  ('profile.passportNo', 'passport', 'column_name_contains_passport', 0.85, 'excluded')) v(field_path, pii_type, rule, confidence, protection)
+SELECT v.*, CASE field_path WHEN 'email' THEN a WHEN 'mobilePhone' THEN b ELSE c END AS filled
+FROM (VALUES ('email', 'email', 'column_name_contains_email', 0.98::DOUBLE, 'exposed'), ('mobilePhone', 'phone', 'column_name_contains_phone', 0.85, 'hashed'),
+  ('profile.passportNo', 'passport', 'column_name_contains_passport', 0.85, 'excluded')) v(field_path, pii_type, rule, confidence, protection),
+  (SELECT count(c_name) AS a, count(c_name) FILTER (WHERE c_custkey % 3 = 0) AS b, count(c_name) FILTER (WHERE c_custkey % 7 = 0) AS c FROM customer)
 """)
 def pii_audit(spark, sf_dir):
-    schema = T._parse_datatype_string("email string, mobilePhone string, age int, profile struct<passportNo string, city string>")
-    found = [x[1:6] for x in audits.pii_rows(schema, ["email", "mobilephone_hash", "age"])]
-    return spark.createDataFrame(found, "field_path string, pii_type string, rule string, confidence double, protection string")
+    """Fields with personal data of nested documents, how a view protects them, and in how many documents they are filled."""
+    some = lambda n: F.when(F.col("c_custkey") % n == 0, F.col("c_name"))
+    docs = table(spark, sf_dir, "customer").select(F.col("c_name").alias("email"), some(3).alias("mobilePhone"), F.col("c_acctbal").alias("age"), F.struct(some(7).alias("passportNo"), F.col("c_mktsegment").alias("city")).alias("profile"))
+    found = [x[1:6] for x in audits.pii_rows(docs.schema, ["email", "mobilephone_hash", "age"])]
+    rows = spark.createDataFrame(found, "field_path string, pii_type string, rule string, confidence double, protection string")
+    return rows.join(P.field_profile(docs).select("field_path", F.col("occurrence_count").alias("filled")), "field_path")
 
 
 # Files and bronze tables
