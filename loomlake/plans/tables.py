@@ -384,7 +384,7 @@ _MIXED = """'{"k":' || o_orderkey || ',"p":' || CASE o_orderkey % 5 WHEN 0 THEN
   WHEN 2 THEN '{"q":{"r":true}}' WHEN 3 THEN '2.5' ELSE '[]' END || '}'"""
 
 
-@query(f"""
+@query(rf"""
 WITH d AS (SELECT o_orderkey, {_MIXED} AS j FROM orders UNION ALL SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 11 = 0),
 t AS (SELECT o_orderkey, CASE WHEN fullkey = '$' THEN '$' ELSE regexp_replace(fullkey, '\[[0-9]+\]', '[]', 'g') END AS path,
   CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'DOUBLE' THEN 'number' ELSE 'integer' END AS type
