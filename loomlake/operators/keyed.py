@@ -23,7 +23,7 @@ from loomlake.operators.merge import distinct_source, merge_distinct
 from loomlake.storage import discard, shared_path
 
 #: Buckets of a new table. About a bucket for each 256 MB is right: ``resize`` deals the rows anew.
-BUCKETS = 64
+BUCKETS = 16
 #: Versions that are kept, and how often a refused writer tries again.
 KEEP, TRIES = 10, 8
 _WRITE, _BUCKET = "_write", "_bucket"

@@ -197,25 +197,3 @@ def test_readiness(spark):
     assert good["status"] == "ready" and bad["bi_readiness"] < good["bi_readiness"] and P.layer_difference(nested, nested)["copy_suspected"]
     assert P.readiness(nested, T.StructType(), "x")["status"] == "failed"
     assert P.type_warnings(T._parse_datatype_string("paid_at string, amount string, is_x int, ok_date date"))[2][0] == "is_x"
-
-
-def test_ratios_are_computed_only_where_they_matter(spark, sf, monkeypatch):
-    import loomlake.plans.analytics  # noqa: F401  registers the query
-    from loomlake.plans.registry import QUERIES
-
-    compared, pairs = [], []
-    real, all_pairs = matching.fuzzy, matching.pairs
-
-    def counted(p):
-        compared.append(p.select("f_norm", "norm").union(p.select("f_core", "core")).distinct().count())
-        return real(p)
-
-    def seen(*a):
-        found = all_pairs(*a)
-        pairs.append(found.count())
-        return found
-
-    monkeypatch.setattr(matching, "fuzzy", counted)
-    monkeypatch.setattr(matching, "pairs", seen)
-    QUERIES["smart_match_scores"](spark, sf).collect()
-    assert 0 < compared[0] < 0.75 * 2 * pairs[0]
