@@ -6,6 +6,7 @@ A cursor is a position in the order (cursor, id). Reads are keyset predicates th
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from loomlake.functions.columns import field_of, list_hash
 from loomlake.functions.names import quote
+from loomlake.storage import written
 
 # Time columns that are tried in this order, and the names of the strategies.
 CANDIDATES = ("updatedAt", "updated_at", "modifiedAt", "modified_at", "lastModified", "last_modified", "createdAt", "created_at")
@@ -137,10 +139,15 @@ def waiting(docs: DataFrame, plan: CursorPlan, dated: str | None, undated: str |
 # Batches
 
 
-def numbered(docs: DataFrame, order: list[str], size: int = BATCH) -> DataFrame:
+def numbered(docs: DataFrame, order: list[str], size: int = BATCH, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``docs`` with batch_no from 1 in the given total order, without a window over all rows: rows are range
-    partitioned and sorted once, and a partition's offset is the number of rows in those before it."""
-    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
+    partitioned and sorted once, and a partition's offset is the number of rows in those before it.
+
+    The sorted rows are stored by ``keep`` (default: below the shared folder) with their places. Evaluated twice, a range
+    partitioning has other bounds and other merged partitions each time, and offsets wouldn't fit the places.
+    """
+    placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
+    ordered = keep(placed) if keep else written(placed, "numbered")
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ordered.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
     offsets = sizes.select("_p", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -152,22 +159,25 @@ def batch_count(rows: int, size: int = BATCH) -> int:
     return max(1, -(-rows // size))
 
 
-def fingerprints(docs: DataFrame, plan: CursorPlan, batch: list[str], id_col: str = "_id") -> DataFrame:
+def fingerprints(docs: DataFrame, plan: CursorPlan, batch: list[str], id_col: str = "_id", resume: bool = False) -> DataFrame:
     """Per batch: row_count, min_cursor and max_cursor (tokens of the first and last row), checksum.
 
-    The checksum covers id, cursor and content of each row, in the order of cursor and id. Only row hashes are
-    gathered, a batch is bounded by its size.
+    The checksum covers id, cursor and content of each row, in the order of cursor and id as text. Only row hashes are
+    gathered, a batch is bounded by its size. With ``resume`` there is one more token, of the last row in the order of cursor
+    and id itself, which reads go by: as text 9 comes after 10, and a read from there would find rows of the batch again.
     """
     doc = F.col(quote(id_col)).cast("string")
     cursor = [F.col(quote(plan.field))] if plan.strategy == TIMESTAMP else []
     content = F.to_json(F.struct(*[quote(c) for c in sorted(docs.columns) if c not in batch]))
     part = F.md5(F.concat_ws("|", doc, *[c.cast("string") for c in cursor], content))
-    rows = docs.select(*batch, F.struct(*[c.alias("c") for c in cursor], doc.alias("i"), part.alias("h"), token_column(plan, id_col).alias("t")).alias("r"))
-    ordered = rows.groupBy(*batch).agg(F.array_sort(F.collect_list("r")).alias("r"))
+    last = F.struct(*[c.alias("c") for c in cursor], F.col(quote(id_col)).alias("i"))
+    rows = docs.select(*batch, F.struct(*[c.alias("c") for c in cursor], doc.alias("i"), part.alias("h")).alias("r"), token_column(plan, id_col).alias("t"), last.alias("last"))
+    ordered = rows.groupBy(*batch).agg(
+        F.array_sort(F.collect_list("r")).alias("r"), F.min_by("t", "r").alias("min_cursor"), F.max_by("t", "r").alias("max_cursor"), *([F.max_by("t", "last").alias("resume")] if resume else [])
+    )
     return ordered.select(
-        *batch, F.size("r").cast("long").alias("row_count"), F.col("r")[0]["t"].alias("min_cursor"), F.element_at("r", -1)["t"].alias("max_cursor"),
-        list_hash(F.transform("r", lambda x: x["h"])).alias("checksum"),
-    )
+        *batch, F.size("r").cast("long").alias("row_count"), "min_cursor", "max_cursor", *(["resume"] if resume else []), list_hash(F.transform("r", lambda x: x["h"])).alias("checksum")
+    )
 
 
 def snapshot_fingerprint(docs: DataFrame, id_col: str = "_id") -> DataFrame:

@@ -50,6 +50,20 @@ def test_pages_cover_everything_once(spark):
     assert cursors.numbered(docs.filter("at IS NOT NULL"), ["at", "_id"], 9).groupBy("batch_no").count().count() == 5
 
 
+def test_numbers_fit_where_shuffles_are_merged_anew(spark):
+    """A wide table: sorted once with its texts and once without them, its partitions would be merged in other ways."""
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(f"/{i}")), 256) for i in range(20)])
+    docs = spark.range(6000).select(((F.col("id") * 7919) % 6000).alias("_id"), text.alias("v"))
+    least = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(least)
+    try:
+        spark.conf.set(least, "32")
+        got = cursors.numbered(docs, ["_id"], 100).select("_id", "batch_no", F.length("v")).collect()
+    finally:
+        spark.conf.set(least, before)
+    assert sorted((r["_id"], r["batch_no"]) for r in got) == [(i, i // 100 + 1) for i in range(6000)]
+
+
 def test_fingerprints_follow_content(spark):
     docs = spark.createDataFrame([(i, T1, f"v{i}", i // 2) for i in range(4)], "_id long, at timestamp_ntz, v string, b int")
     plan = cursors.CursorPlan(cursors.TIMESTAMP, "at")
