@@ -140,20 +140,21 @@ def _pass(
         return None
     if whole:
         pages = rows.drop("_undated").withColumn(batch, F.lit(n + 1).cast("long"))
-        prints = cursors.snapshot_fingerprint(rows.drop("_undated"), id_col).withColumn("batch_no", F.lit(n + 1).cast("long"))
+        prints = cursors.snapshot_fingerprint(rows.drop("_undated"), id_col).withColumn("batch_no", F.lit(n + 1).cast("long")).withColumnRenamed("max_cursor", "token")
     else:
         made = []
         for undated, first in ((False, n), (True, n + -(-counts.get(False, 0) // size))):
             if counts.get(undated):
-                some = cursors.numbered(rows.filter(F.col("_undated") == undated).drop("_undated"), [quote(c) for c in (order if not undated else [id_col])], size)
+                part, by = rows.filter(F.col("_undated") == undated).drop("_undated"), [quote(c) for c in (order if not undated else [id_col])]
+                some = cursors.numbered(part, by, size, lambda df, name=f"sorted-{undated}": kept(df, name))
                 made.append(some.withColumn(batch, F.col("batch_no") + first).drop("batch_no"))
-        pages = kept(made[0] if len(made) == 1 else made[0].unionByName(made[1]), "pages")
-        prints = cursors.fingerprints(pages, plan, [batch], id_col).withColumnRenamed(batch, "batch_no")
+        pages = made[0] if len(made) == 1 else made[0].unionByName(made[1])
+        prints = cursors.fingerprints(pages, plan, [batch], id_col, resume=True).withColumnsRenamed({batch: "batch_no", "resume": "token"})
     known = mine.select("checksum").distinct().withColumn("_known", F.lit(True))
     again = F.row_number().over(Window.partitionBy("checksum").orderBy("batch_no")) > 1
     judged = prints.withColumn("_again", again).join(known, "checksum", "left")
     status = F.when(F.col("_again") | F.col("_known").isNotNull(), "skipped").otherwise("success")
-    states = kept(judged.select(F.lit(names[0]).alias("database"), F.lit(names[1]).alias("collection"), "batch_no", "row_count", F.col("max_cursor").alias("token"), "checksum", status.alias("status")), "states")
+    states = kept(judged.select(F.lit(names[0]).alias("database"), F.lit(names[1]).alias("collection"), "batch_no", "row_count", "token", "checksum", status.alias("status")), "states")
     fresh = pages.join(states.filter("status = 'success'").select(F.col("batch_no").alias(batch)), batch, "left_semi")
     envelope = documents.enveloped(fresh.withColumnRenamed(batch, "batch"), names[0], names[0], names[0], names[1], at)
     documents.write_raw_batches(envelope, path, at)

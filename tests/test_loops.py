@@ -90,3 +90,11 @@ def test_repeated_pages_are_skipped_and_no_scratch_stays(spark, monkeypatch):
     assert [(g.batches, g.skipped) for g in (take(once), take(once.orderBy(F.desc("_id"))), take(once.limit(1)), take(once.limit(0)))] == [(1, 0), (0, 1), (1, 0), (0, 0)]
     assert raw(spark, root) == {1: [1, 2], 3: [1]}
     assert len(scratch) == 4 and not any(documents.exists(spark, p) for p in scratch)
+
+
+def test_ids_of_more_digits_are_read_once(spark):
+    """Many rows with the last cursor value, whose ids have one digit or two: as texts 9 is the last, as numbers 12 is."""
+    root = shared_path(spark, "lake")
+    rows = docs(spark, [(i, 1) for i in range(1, 13)] + [(i, None) for i in range(95, 106)])
+    assert read(spark, rows, root, size=6).rows == 23
+    assert read(spark, rows, root, size=6).rows == 0
