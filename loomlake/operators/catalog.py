@@ -75,9 +75,9 @@ def live_views(spark: SparkSession, names: Iterable[str]) -> DataFrame:
 
 
 def data_size(c: Column) -> Column:
-    """A number of bytes as a literal of whole GB, MB, KB or B, at least 1."""
+    """A number of bytes as a literal of whole GB, MB, KB or B, at least 1; also of decimals, for numbers beyond a long."""
     out = F.concat(F.greatest(F.lit(1), c).cast("string"), F.lit("B"))
     for power, unit in ((10, "KB"), (20, "MB"), (30, "GB")):
-        size = F.greatest(F.lit(1), F.bround(c / (1 << power)).cast("long"))
+        size = F.greatest(F.lit(1), F.bround(c.cast("double") / (1 << power)).cast("decimal(38,0)"))
         out = F.when(c >= 1 << power, F.concat(size.cast("string"), F.lit(unit))).otherwise(out)
     return out

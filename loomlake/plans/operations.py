@@ -108,7 +108,7 @@ SELECT o_orderkey, CASE WHEN b >= 1073741824 THEN greatest(1, round_even(b / 107
   WHEN b >= 1024 THEN greatest(1, round_even(b / 1024, 0))::BIGINT || 'KB' ELSE greatest(1, b) || 'B' END AS size FROM (SELECT o_orderkey, {_BYTES} AS b FROM orders)
 """)
 def data_sizes(spark, sf_dir):
-    k = F.col("o_orderkey").cast("long")
+    k = F.col("o_orderkey").cast("decimal(38,0)")  # cubes of keys beyond 2,097,151 are no longs
     return table(spark, sf_dir, "orders").select("o_orderkey", catalog.data_size(k * k * k).alias("size"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from loomlake.functions import logs
 from loomlake.operators import audits, catalog, events, loops, scopes
 from loomlake.operators import flatten as FL
-from loomlake.plans import gate
+from loomlake.plans import gate, operations
 from loomlake.sources import cursors
 from loomlake.storage import shared_path
 
@@ -35,6 +35,13 @@ def test_data_sizes(spark):
     assert [r["s"] for r in rows] == ["1B", "1B", "1023B", "1KB", "2KB", "2KB", "1MB", "3GB"]
 
 
+def test_data_sizes_of_large_keys(spark, tmp_path):
+    """The cube of a key beyond 2,097,151 is no long."""
+    spark.createDataFrame([(1,), (1025,), (2097152,), (9000000,), (100000000,)], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    got = {r["o_orderkey"]: r["size"] for r in operations.data_sizes(spark, str(tmp_path)).collect()}
+    assert got == {1: "1B", 1025: "1GB", 2097152: "8589934592GB", 9000000: f"{round(9000000**3 / 2**30)}GB", 100000000: f"{round(100000000**3 / 2**30)}GB"}
+
+
 def test_registered_tables_follow_their_folder(spark):
     paths = [shared_path(spark, "t") for _ in range(2)]
     for n, p in enumerate(paths):
