@@ -1,6 +1,7 @@
 """What the SQL gate lets through, and what it doesn't."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomlake.plans import gate
 
@@ -75,3 +76,20 @@ def test_long_queries_are_cancelled(spark):
 def test_fingerprints():
     assert gate.fingerprint("SELECT  1 -- x\nFROM t") == gate.fingerprint("select 1 from /* y */ T")
     assert gate.fingerprint("SELECT 1") != gate.fingerprint("SELECT 2") and len(gate.fingerprint("x")) == 24
+
+
+def test_scans_count_the_columns_that_are_read(spark, tmp_path):
+    """One column of nine: about a ninth of the file's bytes, not all; jobs over whole tables have no bound."""
+    path = str(tmp_path / "wide")
+    spark.range(20000).select(*[F.xxhash64("id", F.lit(i)).alias(f"c{i}") for i in range(9)]).coalesce(1).write.parquet(path)
+    whole = sum(f.stat().st_size for f in (tmp_path / "wide").glob("*.parquet"))
+    spark.read.parquet(path).createOrReplaceTempView("shop__orders_analytics")
+    one, every = "SELECT max(c3) AS m FROM shop__orders_analytics", "SELECT * FROM shop__orders_analytics"
+    try:
+        assert whole // 10 < gate.scan_bytes(spark.sql(one)) < whole // 8 and gate.scan_bytes(spark.sql(every)) == whole
+        assert gate.gated(spark, one, ALLOWED, max_bytes=whole // 2).count() == 1
+        with pytest.raises(gate.Refused, match="would scan"):
+            gate.gated(spark, every, ALLOWED, max_bytes=whole // 2)
+        assert gate.gated(spark, every, ALLOWED, max_bytes=None).count() == gate.MAX_ROWS
+    finally:
+        spark.catalog.dropTempView("shop__orders_analytics")
