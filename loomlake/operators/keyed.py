@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlake.functions.names import quote
-from loomlake.operators.merge import distinct_source, merge_distinct
-from loomlake.storage import discard, shared_path
+from loomlake.operators.merge import merge_distinct
+from loomlake.storage import discard
 
 #: Buckets of a new table. About a bucket for each 256 MB is right: ``resize`` deals the rows anew.
 BUCKETS = 16
 #: Versions that are kept, and how often a refused writer tries again.
 KEEP, TRIES = 10, 8
-_WRITE, _BUCKET = "_write", "_bucket"
+#: Parts of a bucket that a merge may sort in tasks of their own.
+SHARES = 8
+_WRITE, _BUCKET, _SHARE = "_write", "_bucket", "_share"
 
 
 class Refused(RuntimeError):
@@ -201,36 +203,44 @@ class KeyedTable:
         delivery and its buckets. A delivery that changes nothing, or has no row with a key, makes no version. A column
         whose type changes has all buckets written again.
         """
-        at = shared_path(self.spark, "delivery")
-        rows = distinct_source(source, keys, hash_col, order)
-        rows.write.parquet(at)
-        delivery = self.spark.read.schema(rows.schema).parquet(at)
-        try:
-            for _ in range(TRIES):
-                old = self.version()
-                if old and old.keys != keys:
-                    raise ValueError(f"{self.path} is laid out by {old.keys}, not by {keys}")
-                metrics = self._merged(delivery, keys, hash_col, old)
-                if metrics is not None:
-                    return metrics
-            raise Refused(f"{self.path}: refused {TRIES} times")
-        finally:
-            discard(self.spark, at)
-
-    def _merged(self, delivery: DataFrame, keys: list[str], hash_col: str | None, old: Version | None) -> dict[str, int] | None:
+        for _ in range(TRIES):
+            old = self.version()
+            if old and old.keys != keys:
+                raise ValueError(f"{self.path} is laid out by {old.keys}, not by {keys}")
+            metrics = self._merged(source, keys, hash_col, order, old)
+            if metrics is not None:
+                return metrics
+        raise Refused(f"{self.path}: refused {TRIES} times")
+
+    def _merged(self, source: DataFrame, keys: list[str], hash_col: str | None, order: list[Column] | None, old: Version | None) -> dict[str, int] | None:
         """One try; None if another writer changed what this one read."""
         buckets, before = (old.buckets, old.rows) if old else (self.buckets, 0)
-        touched = {str(r[0]) for r in delivery.select(bucket_of(keys, buckets)).distinct().collect()}  # as many as there are buckets
-        if not touched:
-            return {"inserted": 0, "updated": 0, "kept": before, "changed": 0, "total": before}
-        there = old.struct() if old else delivery.schema
-        merged = merge_distinct(self._rows(old, touched) if old else self.spark.createDataFrame([], there), delivery, keys, hash_col)
-        schema = T.StructType([f for f in merged.schema.fields if f.name != "_action"])
+        nothing = {"inserted": 0, "updated": 0, "kept": before, "changed": 0, "total": before}
+        known = F.lit(True)
+        for k in keys:
+            known = known & F.col(quote(k)).isNotNull()
+        # as many as there are buckets; a new table has none to read
+        touched = {str(r[0]) for r in source.filter(known).select(bucket_of(keys, buckets)).distinct().collect()} if old else set()
+        if old and not touched:
+            return nothing
+        there = old.struct() if old else source.schema
+        share = F.pmod(F.xxhash64(F.lit("share"), *[F.col(quote(k)).cast("string") for k in keys]), F.lit(SHARES)).cast("int")
+        parts = {_BUCKET: bucket_of(keys, buckets), _SHARE: share}
+        with_rows_of = lambda some: merge_distinct(self._rows(old, some) if old else self.spark.createDataFrame([], there), source, keys, hash_col, None, parts, order)
+        merged = with_rows_of(touched)
+        schema = _nullable(T.StructType([f for f in merged.schema.fields if f.name not in ("_action", *parts)]))
+        there = _nullable(there)
         retyped = old is not None and any(schema[f.name].dataType != f.dataType for f in there.fields)
         if retyped:
             touched |= set(old.parts)
-            merged = merge_distinct(self._rows(old), delivery, keys, hash_col)
-        write, seen = self._written(merged, keys, buckets)
+            merged = with_rows_of(None)
+        write, seen = self._written(merged.drop(_SHARE), keys, buckets)
+        if not seen["buckets"]:
+            discard(self.spark, self._folder(write))
+            return nothing
+        if old and not {str(b) for b in seen["buckets"]} <= touched:  # the source gave other keys when it was read again
+            discard(self.spark, self._folder(write))
+            return None
         changed = seen["inserted"] + seen["updated"]
         fresh = {str(b) for b in (seen["buckets"] if retyped and changed else seen["changed"])}
         if not fresh:
@@ -246,7 +256,7 @@ class KeyedTable:
             if not fresh or self._tried(new):
                 return counts | {"total": total}
             newer = self.version()
-            alike = newer and old and newer.buckets == buckets and newer.struct() == there == schema
+            alike = newer and old and newer.buckets == buckets and _nullable(newer.struct()) == there == schema
             if not alike or any(newer.parts.get(b) != old.parts.get(b) for b in touched):
                 break  # what was read is no longer so
             base = newer
@@ -254,14 +264,17 @@ class KeyedTable:
         return None
 
     def _written(self, df: DataFrame, keys: list[str], buckets: int) -> tuple[str, dict]:
-        """Writes rows (with _action) by bucket and counts them in the same job, behind its last shuffle: a task that runs
+        """Writes rows (with _action; with their bucket, if they are dealt already) by bucket and counts them in the same job, behind its last shuffle: a task that runs
         again counts once. Gives the write and inserted, updated, and the buckets with rows and with changes."""
         write, seen = uuid.uuid4().hex, Observation()
-        dealt = df.withColumn(_BUCKET, bucket_of(keys, buckets)).repartition(_BUCKET) if keys else df.withColumn(_BUCKET, F.lit(0))
+        if _BUCKET in df.columns:
+            dealt = df
+        else:
+            dealt = df.withColumn(_BUCKET, bucket_of(keys, buckets)).repartition(_BUCKET) if keys else df.withColumn(_BUCKET, F.lit(0))
         is_ = lambda x: F.count_if(F.col("_action") == x)
         changed = F.collect_set(F.when(F.col("_action") != "keep", F.col(_BUCKET)))
         counted = dealt.observe(seen, is_("insert").alias("inserted"), is_("update").alias("updated"), changed.alias("changed"), F.collect_set(_BUCKET).alias("buckets"))
-        counted.drop("_action").write.partitionBy(_BUCKET).parquet(self._folder(write))
+        counted.drop("_action").write.partitionBy(_BUCKET).option("compression", "zstd").parquet(self._folder(write))
         return write, seen.get
 
     def _tried(self, new: Version) -> bool:
@@ -281,3 +294,11 @@ def _after(old: Version | None) -> int:
 
 def _parts(buckets, write: str) -> dict[str, str]:
     return {str(b): write for b in buckets}
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    """As files give it back."""
+    text = json.dumps(schema.jsonValue())
+    for flag in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{flag}": false', f'"{flag}": true')
+    return T.StructType.fromJson(json.loads(text))

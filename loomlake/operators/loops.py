@@ -223,17 +223,21 @@ def process(
             out.status = ENDS[said]
             break
         group = waiting[first : first + size]
+        scratch = shared_path(spark, "group")
         try:
-            metrics = _timed(out, "merge", lambda g=group: target.kept(spark).upsert(make(of_batches(bronze, g)), [target.key], "silver_record_hash"))
-            _timed(out, "profile", lambda g=group: _profiles(spark, target).add(of_batches(bronze, g).withColumn("_batch", batch_id(bronze)), "_batch"))
+            rows = _group(spark, of_batches(bronze, group).withColumn("_batch", batch_id(bronze)), scratch)
+            metrics = _timed(out, "merge", lambda r=rows: target.kept(spark).upsert(make(r.drop("_batch")), [target.key], "silver_record_hash"))
+            _timed(out, "profile", lambda r=rows: _profiles(spark, target).add(r, "_batch"))
             if not known and transform is None:
-                out.children += _timed(out, "children", lambda g=group: _merge_children(spark, target, of_batches(bronze, g)))
+                out.children += _timed(out, "children", lambda r=rows: _merge_children(spark, target, r.drop("_batch")))
         except PySparkException as e:
             state.add([(target.table, f, "failed", 0, mask_text(str(e))[:500]) for f in group])
             out.failed, out.status = out.failed + len(group), "failed"
             if log:
                 log.add(run_id, "clean_batch", "failed", str(e)[:500])
             continue
+        finally:
+            discard(spark, scratch)
         state.add([(target.table, f, "success", metrics["changed"], None) for f in group])
         out.processed, out.rows, out.total_rows = out.processed + len(group), out.rows + metrics["changed"], metrics["total"]
         if log:
@@ -243,6 +247,14 @@ def process(
     return out
 
 
+def _group(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """A group's rows, read from their source once: the merge, the profiles and the child tables take them from here."""
+    if "void" in rows.schema.simpleString():  # files can't hold it
+        return rows
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _timed(out: Processed, name: str, do: Callable):
     began = time.monotonic()
     try:

@@ -35,8 +35,13 @@ def distinct_source(source: DataFrame, keys: list[str], hash_col: str | None, or
     return latest(source.filter(known), keys, order or [F.col(hash_col).asc_nulls_last() if hash_col else F.xxhash64(*[F.col(quote(c)) for c in source.columns])])
 
 
-def merge_distinct(target: DataFrame, source: DataFrame, keys: list[str], hash_col: str | None, resolve: dict[str, callable] | None = None) -> DataFrame:
-    """merge() of a source that has each key once."""
+def merge_distinct(
+    target: DataFrame, source: DataFrame, keys: list[str], hash_col: str | None, resolve: dict[str, callable] | None = None,
+    parts: dict[str, Column] | None = None, order: list[Column] | None = None,
+) -> DataFrame:
+    """merge() of a source that has each key once; with ``parts`` of any source, by one shuffle (see merge_by_parts)."""
+    if parts:
+        return merge_by_parts(target, source, keys, hash_col, parts, order)
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
     match = F.lit(True)
@@ -58,6 +63,34 @@ def merge_distinct(target: DataFrame, source: DataFrame, keys: list[str], hash_c
     return joined.select(*out, action.alias("_action"))
 
 
+def merge_by_parts(target: DataFrame, source: DataFrame, keys: list[str], hash_col: str | None, parts: dict[str, Column], order: list[Column] | None = None) -> DataFrame:
+    """merge() by one shuffle of both sides instead of one for the choice in the source, one for the join and one for what
+    follows: rows are dealt by ``parts`` (columns that keys decide, kept in the result), and a key's rows meet in their sort."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(quote(k)).isNotNull()
+    sides = [df.withColumns(parts | {"_new": F.lit(new)}) for df, new in ((target, False), (source.filter(known), True))]
+    rows = sides[0].unionByName(sides[1], allowMissingColumns=True).repartition(*parts)
+    chosen = order or [F.col(quote(hash_col)).asc_nulls_last() if hash_col else F.xxhash64(*[F.col(quote(c)) for c in source.columns])]
+    key = Window.partitionBy(*parts, *[F.col(quote(k)) for k in keys]).orderBy("_new", *chosen)
+    names = [*target.columns, *[c for c in source.columns if c not in target.columns]]
+    gone = [c for c in target.columns if c not in source.columns]  # an update leaves them as they were
+    hashed = hash_col and hash_col in target.columns
+    beside = {"_before": F.lag("_new").over(key), "_after": F.lead("_new").over(key)} | {f"_old_{i}": F.lag(quote(c)).over(key) for i, c in enumerate(gone)}
+    if hashed:
+        beside |= {"_hash_before": F.lag(quote(hash_col)).over(key), "_hash_after": F.lead(quote(hash_col)).over(key)}
+    rows = rows.withColumns(beside)
+
+    def differs(other: str) -> Column:
+        return ~F.coalesce(F.col(quote(hash_col)) == F.col(other), F.lit(False)) if hashed else F.lit(True)
+
+    insert, update = F.col("_new") & F.col("_before").isNull(), F.col("_new") & ~F.col("_before") & differs("_hash_before")
+    keep = ~F.col("_new") & ~(F.coalesce("_after", F.lit(False)) & differs("_hash_after"))
+    action = F.when(insert, "insert").when(update, "update").when(keep, "keep")
+    old = {c: F.when(F.col("_action") == "update", F.col(f"_old_{i}")).otherwise(F.col(quote(c))).alias(c) for i, c in enumerate(gone)}
+    return rows.withColumn("_action", action).filter("_action IS NOT NULL").select(*[old.get(c, F.col(quote(c))) for c in names], *parts, "_action")
+
+
 def merge_metrics(merged: DataFrame) -> DataFrame:
     """inserted, updated, kept, changed, total."""
     is_ = lambda x: F.count_if(F.col("_action") == x)

@@ -49,6 +49,22 @@ def test_metrics_and_rows_are_those_of_a_merge(spark, tmp_path):
         t.upsert(new, ["v"], "h")
 
 
+def test_a_merge_shuffles_rows_once_and_keeps_what_only_the_table_has(spark, tmp_path):
+    old = rows(spark, range(30), "a").withColumn("mine", F.col("id") + 0.5)
+    new = rows(spark, [*range(20, 40), 25, 25], "b").union(rows(spark, range(10, 15), "a"))
+    bucket = {"_bucket": keyed.bucket_of(["id"], 4)}
+    for hashed in ("h", None):
+        want, got = merge.merge(old, new, ["id"], hashed), merge.merge_distinct(old, new, ["id"], hashed, None, bucket)
+        assert sorted(map(repr, got.drop("_bucket").collect())) == sorted(map(repr, want.collect()))
+        assert got._jdf.queryExecution().sparkPlan().toString().count("Window") == 1
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    t = KeyedTable(spark, f"file://{tmp_path}/t", buckets=4)
+    t.write(old, ["id"])
+    t.upsert(new, ["id"], "h")
+    assert {r["id"]: r["mine"] for r in t.read().collect()} == {i: i + 0.5 if i < 30 else None for i in range(40)}
+
+
 def test_types_that_change_reach_every_bucket(spark, tmp_path):
     t = KeyedTable(spark, f"file://{tmp_path}/t", buckets=9)
     t.write(spark.createDataFrame([(str(i), i, "a") for i in range(30)], "id string, n int, h string"), ["id"])

@@ -72,6 +72,20 @@ def test_clean_loop_goes_on_after_a_failure(spark):
     assert {r["status"] for r in log.read().collect()} == {"success", "failed"}
 
 
+def test_clean_loop_reads_a_group_once(spark):
+    seen, schema = spark.sparkContext.accumulator(0), "_id string, xs array<string>, _raw_file_id string"
+
+    def passing(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(f"i{i}", ["a", "b"], str(i % 2)) for i in range(40)], schema).mapInPandas(passing, schema)
+    target = loops.Target("shop", "things", shared_path(spark, "lake"))
+    got = loops.process(spark, target, rows, ["0", "1"], "r", 2)
+    assert (got.status, got.processed, got.rows, got.children) == ("success", 2, 40, 80) and seen.value == 40
+
+
 def test_raw_loop_of_a_source_without_cursor(spark):
     root, plan, at = shared_path(spark, "lake"), cursors.CursorPlan(cursors.SNAPSHOT, "_id"), F.lit("2024-01-01 00:00:00").cast("timestamp")
     docs = spark.createDataFrame([(i, "x") for i in range(5)], "_id long, t string")
