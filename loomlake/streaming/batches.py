@@ -6,9 +6,11 @@ was left running for too long at any time counts as interrupted from then on. Ti
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -19,7 +21,9 @@ from loomlake.operators.state import TRANSITIONS
 MINUTES = 30
 #: The rows that say what a batch's state is. ``events`` grows with each event of a batch: the last row of a batch counts.
 STATES = "batch_id string, status string, rows long, retry_count int, retryable boolean, events int, as_of long"
-_EVENT = T.StructType().add("at", "long").add("seq", "long").add("status", "string").add("rows", "long")
+#: What a run adds to a batch's events: one text, a JSON list of [at, seq, [status], rows]. Events come to the workers as such
+#: texts, too: a row of values for each, in the state or on the way, would cost several times as much.
+_CHUNK = T.StructType().add("events", "string")
 _RUNS = ("running", "retrying")
 
 
@@ -49,31 +53,43 @@ def fold(events: Iterable[tuple], now: int | None, minutes: int = MINUTES) -> tu
     return status, rows, retries, retryable, since
 
 
+def _list(events: Iterable[str]) -> str:
+    return f"[{','.join(events)}]"
+
+
+def _events(chunk: str) -> list[tuple]:
+    return [(at, seq, status, rows) for at, seq, (status,), rows in json.loads(chunk)]
+
+
 class _States(StatefulProcessor):
     def __init__(self, minutes: int):
         self.minutes = minutes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", _EVENT)
+        self.events = handle.getListState("events", _CHUNK)
+
+    def _known(self) -> list[tuple]:
+        return [e for (chunk,) in self.events.get() for e in _events(chunk)]
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = {tuple(e) for e in self.events.get()}
-        fresh = list(dict.fromkeys(e for r in rows if (e := (r["at"], r["seq"], r["status"], r["rows"])) not in known))
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self._known()
+        old, texts = set(known), dict.fromkeys(e for some in rows for e in some["event"].tolist())
+        fresh = {e: t for t, e in zip(texts, _events(_list(texts)), strict=True) if e not in old}
         if fresh:
-            self.events.appendList(fresh)
-        yield from self._said(key, [*known, *fresh], timerValues.getCurrentWatermarkInMs())
+            self.events.appendValue((_list(fresh.values()),))
+        yield self._said(key, [*known, *fresh], timerValues.getCurrentWatermarkInMs())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._said(key, [tuple(e) for e in self.events.get()], timerValues.getCurrentWatermarkInMs())
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._said(key, self._known(), timerValues.getCurrentWatermarkInMs())
 
-    def _said(self, key, events: list[tuple], now: int) -> Iterator[Row]:
+    def _said(self, key, events: list[tuple], now: int) -> pd.DataFrame:
         status, rows, retries, retryable, since = fold(events, now, self.minutes)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if since is not None:
             self.handle.registerTimer(max(since + self.minutes * 60_000, now) + 1)
-        yield Row(batch_id=key[0], status=status, rows=rows, retry_count=retries, retryable=retryable, events=len(events), as_of=now)
+        return pd.DataFrame({"batch_id": [key[0]], "status": [status], "rows": pd.array([rows], dtype="Int64"), "retry_count": [retries], "retryable": [retryable], "events": [len(events)], "as_of": [now]})
 
     def close(self) -> None: ...
 
@@ -87,8 +103,10 @@ def batch_states(events: DataFrame, clock: str = "at", delay: str = "0 seconds",
     """
     whole = events.filter("batch_id IS NOT NULL AND at IS NOT NULL AND status IS NOT NULL")
     ms = F.unix_millis(F.col("at").cast("timestamp"))
-    rows = whole.select(F.col("batch_id").cast("string").alias("batch_id"), ms.alias("at"), F.col("seq").cast("long").alias("seq"), "status", F.col("rows").cast("long").alias("rows"), F.col(clock).cast("timestamp").alias("clock"))
-    return rows.withWatermark("clock", delay).groupBy("batch_id").transformWithState(_States(minutes), STATES, "Update", "eventTime")
+    number = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit("null"))
+    event = F.concat(F.lit("["), ms.cast("string"), F.lit(","), number("seq"), F.lit(","), F.to_json(F.array("status")), F.lit(","), number("rows"), F.lit("]"))
+    rows = whole.select(F.col("batch_id").cast("string").alias("batch_id"), event.alias("event"), F.col(clock).cast("timestamp").alias("clock"))
+    return rows.withWatermark("clock", delay).groupBy("batch_id").transformWithStateInPandas(_States(minutes), STATES, "Update", "eventTime")
 
 
 def latest_states(said: DataFrame) -> DataFrame:

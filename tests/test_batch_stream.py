@@ -3,6 +3,7 @@
 import datetime
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +68,25 @@ def test_stream_equals_the_fold_in_any_order(rocks, tmp_path):
     assert any(v[3] for v in got.values()) and any(v[0] == "success" for v in got.values())
 
 
+def test_a_run_adds_one_state_row_whatever_its_events():
+    class Kept:
+        rows, timers = [], []
+        getListState = lambda self, *a: self
+        get = lambda self: iter(self.rows)
+        appendValue = lambda self, row: self.rows.append(row)
+        listTimers = lambda self: iter(())
+        registerTimer = lambda self, at: self.timers.append(at)
+        getCurrentWatermarkInMs = lambda self: 0
+
+    kept, big = Kept(), 2**53 + 1
+    states = batches._States(30)
+    states.init(kept)
+    events = pd.DataFrame({"event": [f'[{i},null,["running"],null]' for i in range(300)] + [f'[300,{big},["success"],{big}]'] * 2})
+    for n in (1, 1):  # the same events again add nothing
+        (said,) = states.handleInputRows(("b",), iter([events]), kept)
+        assert said.iloc[0].tolist() == ["b", "success", big, 0, False, 301, 0] and len(kept.rows) == n
+
+
 def test_fold_is_what_the_batch_operators_say(spark):
     old = spark.createDataFrame([(s, s, 1, 0) for s in state.TRANSITIONS], "batch_id string, status string, rows int, retry_count int")
     for wanted in ("running", "success", "failed", "skipped", "cancelled", "retrying"):
