@@ -4,8 +4,10 @@ A line is the set of its words. A line goes if an earlier line (by doc_id, then
 of THRESHOLD or more. Words are ordered by rarity (their number in a fixed count of hash buckets, then their hash; any
 fixed order gives the same result, rare words first makes it fast). Two such lines share a word among the first words
 of each (prefix filter: fewer for the shorter line), so lines are joined on those words only. Length and position
-bounds, and the bound that the parities of both word sets give for their difference, are applied in the join; each
-pair that is left is verified with all words. Lines with equal word sets are one line throughout.
+bounds, and the bound that the parities of both word sets give for their difference, are applied in the join. In 64 bits
+the parities of long lines say little: a second one, of half of their words, goes with the sets and is applied to the
+pairs before any text is read. Each pair that is left is verified with all words. Lines with equal word sets are one
+line throughout.
 
 Where many lines share one of their rarest words (near copies of a passage), they are first compared with the earliest
 of them only. A line that goes by that isn't compared as the later one again: a crowd costs its size, not its square.
@@ -31,6 +33,8 @@ MAX_BROADCAST = 300_000
 _HASH_BITS = 57
 #: So many lines with a word among their FIRST rarest are a crowd.
 CROWD, FIRST = 32, 3
+#: Sets of more words have a second parity.
+LONG = 48
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -75,11 +79,11 @@ def _needed(n: str, share: float) -> str:
 
 
 def word_sets(docs: DataFrame, threshold: float, buckets: int, within: str | None = None) -> DataFrame:
-    """(doc_id, row, line_no, set_key, check, n, parity, prefix) of all lines; n is 0 for those without a word.
+    """(doc_id, row, line_no, set_key, check, n, parity, half, prefix) of all lines; n is 0 for those without a word.
 
     set_key and check: two hashes of the set. parity has a bit for each value of a word's hash mod 64: whether an odd
-    number of words has it. A set of fewer than threshold / (1 - threshold) words resembles only its equals: its prefix
-    is empty.
+    number of words has it; half is the same of those words whose hash has its next bit set, null for sets of at most
+    LONG words. A set of fewer than threshold / (1 - threshold) words resembles only its equals: its prefix is empty.
     """
     most = f"size(c) - {_needed('size(c)', threshold)} + 1" if threshold < 1 else "0"
     least = f"{threshold / (1 - threshold)}D" if threshold < 1 else "1D"
@@ -89,6 +93,7 @@ def word_sets(docs: DataFrame, threshold: float, buckets: int, within: str | Non
     return lines.select(
         "doc_id", "row", "line_no", F.xxhash64("c").alias("set_key"), F.xxhash64(F.lit("check"), "c").alias("check"), F.size("c").alias("n"),
         F.expr("aggregate(c, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63L as int)))").alias("parity"),
+        F.expr(f"if(size(c) > {LONG}, aggregate(c, 0L, (a, x) -> a ^ shiftleft(shiftright(x, 6) & 1L, cast(x & 63L as int))), null)").alias("half"),
         F.expr(f"transform(slice(c, 1, if(size(c) + 1e-9D >= {least}, {most}, 0)), x -> cast(shiftright(x, 32) as int))").alias("prefix"),
     )
 
@@ -110,10 +115,10 @@ def _repeated(docs: DataFrame, threshold: float, buckets: int, within: str) -> D
     placed = whole.filter("n > 0")
     grouped = placed.groupBy("set_key", "check").agg(
         F.min(F.struct("doc_id", "row", "line_no", "tie")).alias("first"), F.count(F.lit(1)).alias("times"),
-        F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"),
+        F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("half").alias("half"), F.first("prefix").alias("prefix"),
     )
     at = F.struct("first.doc_id", "first.row", "first.line_no").alias("at")
-    firsts = stored(grouped.select(F.col("first.tie").alias("sid"), at, "set_key", "check", "times", "n", "parity", "prefix"), "sets", within)
+    firsts = stored(grouped.select(F.col("first.tie").alias("sid"), at, "set_key", "check", "times", "n", "parity", "half", "prefix"), "sets", within)
 
     # Within equal sets: all but the first place goes.
     twice = firsts.filter("times > 1").select("set_key", "check", "at")
@@ -177,6 +182,12 @@ def _close_pairs(firsts: DataFrame, gone: DataFrame, threshold: float) -> DataFr
     return index.join(other, F.expr(f"code = code2 AND {close}")).select("sid", "sid2", _gap()).distinct()
 
 
+def _half_bound(threshold: float) -> str:
+    """The same by the parities of both halves of the words, where both sets have them."""
+    other = "(bit_count(half ^ half2) + bit_count(parity ^ half ^ parity2 ^ half2))"
+    return f"coalesce((n + n2 - {other}) * 0.5D >= {threshold / (1 + threshold)}D * (n + n2) - 1e-9, true)"
+
+
 def later_sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float, within: str) -> DataFrame:
     """(sid): of each pair (sid, sid2, gap) whose words have the similarity, the set that comes later.
 
@@ -184,28 +195,32 @@ def later_sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold:
     are nearest to, and only those that stay are compared with all the others.
     """
     pairs = stored(pairs, "line-pairs", within)
-    slim = firsts.select("sid", "at")
-    placed = pairs.join(slim, "sid").join(slim.toDF("sid2", "at2"), "sid2")
-    swap = F.col("at") < F.col("at2")
-    ordered = placed.select(F.when(swap, F.col("sid2")).otherwise(F.col("sid")).alias("later"), F.when(swap, F.col("sid")).otherwise(F.col("sid2")).alias("earlier"), "gap")
-    ordered = stored(ordered, "line-order", within)
     sweep(docs.sparkSession)
+    ordered = stored(_ordered_pairs(firsts, pairs, threshold), "line-order", within)
+    sweep(docs.sparkSession)
+    words = _whole_lines(docs, firsts, ordered, within)
     nearest = ordered.groupBy("later").agg(F.min(F.struct("gap", "earlier")).alias("x")).select("later", "x.earlier")
-    found = _alike(docs, firsts, stored(nearest, "line-nearest", within), threshold, within)
+    found = stored(_alike(nearest, words, threshold), "later", within)
     rest = ordered.select("later", "earlier").join(_small(found), ordered["later"] == found["sid"], "left_anti")
-    return found.union(_alike(docs, firsts, stored(rest, "line-rest", within), threshold, within)).distinct()
+    more = stored(_alike(rest, words, threshold), "later", within)
+    sweep(docs.sparkSession)
+    return found.union(more)
 
 
-def _alike(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float, within: str) -> DataFrame:
+def _ordered_pairs(firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(later, earlier, gap) of the pairs (sid, sid2, gap) that the parities of halves leave."""
+    slim = firsts.select("sid", "at", "n", "parity", "half")
+    placed = pairs.join(slim, "sid").join(slim.toDF("sid2", "at2", "n2", "parity2", "half2"), "sid2").filter(_half_bound(threshold))
+    swap = F.col("at") < F.col("at2")
+    return placed.select(F.when(swap, F.col("sid2")).otherwise(F.col("sid")).alias("later"), F.when(swap, F.col("sid")).otherwise(F.col("sid2")).alias("earlier"), "gap")
+
+
+def _alike(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """(sid): the later sets of the pairs (later, earlier) whose words have the similarity."""
-    lines = _whole_lines(docs, firsts, pairs, within)
-    both = pairs.join(lines.toDF("later", "line"), "later").join(lines.toDF("earlier", "line2"), "earlier")
-    both = both.select("later", _distinct_words("line").alias("words"), _distinct_words("line2").alias("words2"))
+    both = pairs.join(words.toDF("later", "words"), "later").join(words.toDF("earlier", "words2"), "earlier")
     common = F.size(F.array_intersect("words", "words2"))
     alike = both.filter(common >= F.lit(threshold) * (F.size("words") + F.size("words2") - common) - 1e-9)
-    later = stored(alike.select(F.col("later").alias("sid")).distinct(), "later", within)
-    sweep(docs.sparkSession)
-    return later
+    return alike.select(F.col("later").alias("sid")).distinct()
 
 
 def _distinct_words(line: str) -> Column:
@@ -213,7 +228,7 @@ def _distinct_words(line: str) -> Column:
 
 
 def _whole_lines(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, within: str) -> DataFrame:
-    """(sid, line): the line at the first place of each set in ``pairs``."""
+    """(sid, words): the different words of the line at the first place of each set in ``pairs``."""
     keys = pairs.select(F.col("later").alias("sid")).union(pairs.select("earlier")).distinct()
     found = firsts.select("sid", "at").join(keys, "sid")
     wanted = found.groupBy(F.col("at.row").alias("_row"), F.col("at.doc_id").alias("_doc")).agg(F.collect_list(F.struct("sid", "at")).alias("_sets"))
@@ -224,7 +239,7 @@ def _whole_lines(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, within: s
     matched = rows.join(wanted, (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     lines = matched.select(F.split("text", "\n").alias("lines"), F.explode("_sets").alias("s"))
     found = lines.select("s.sid", F.get("lines", F.col("s.at.line_no")).alias("line"))
-    return stored(found.dropDuplicates(["sid"]), "whole-lines", within)
+    return stored(found.dropDuplicates(["sid"]).select("sid", _distinct_words("line").alias("words")), "whole-lines", within)
 
 
 def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

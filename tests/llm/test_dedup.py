@@ -246,6 +246,23 @@ def test_line_crowds_and_the_way_beyond_broadcast(spark, monkeypatch, broadcast)
     assert got == {d: gone[d] for d, _ in rows} and sum(map(len, got.values())) > 70
 
 
+def test_long_lines_are_parted_before_texts_are_read(spark, monkeypatch):
+    """Long lines that share a word and little else, by whose parities in 64 bits they could be alike: of each pair of
+    which texts are read, half of the words are shared at least, and what goes is as by force."""
+    rng, tables = random.Random(20), {}
+    lines = [[f"v{rng.randrange(4000)}" for _ in range(140)] for _ in range(160)]
+    lines += [[*x[: -(4 + 9 * i)], *(f"n{i}x{j}" for j in range(4))] for i, x in enumerate(lines[:6])]
+    rows = [(d, " ".join(x)) for d, x in enumerate(lines)]
+    keep = lambda df, name, within=None, of=line_dedup.stored: tables.setdefault(name, []).append(of(df, name)) or tables[name][-1]
+    monkeypatch.setattr(line_dedup, "stored", keep)
+    gone = lines_by_force(rows)
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_report(table(spark, rows)).collect()}
+    assert got == {d: gone[d] for d, _ in rows} and sum(map(len, got.values())) > 2
+    words = {r["sid"]: set(r["words"]) for r in tables["whole-lines"][-1].collect()}
+    pairs = [(words[r["later"]], words[r["earlier"]]) for r in tables["line-order"][-1].collect()]
+    assert tables["line-pairs"][-1].count() > 100 > len(pairs) and all(len(a & b) / len(a | b) > 0.5 for a, b in pairs)
+
+
 def test_recall_of_near_duplicates(spark):
     """All pairs of different texts of a whole table that resemble each other by 0.8 or more end in one class: measured."""
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
