@@ -12,8 +12,10 @@ from __future__ import annotations
 import json
 import re
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -32,6 +34,8 @@ MAGIC = b"LLTOK1\n"
 END_ID = 2
 #: Characters of texts that are encoded together, and stems that the tokenizer gets in one call.
 TOGETHER, LEARN = 8 << 20, 100_000
+#: Stems whose ids an encoder keeps; beyond that it begins anew.
+KNOWN = 1 << 20
 #: A chunk that ends with ASCII punctuation (no apostrophe) after a Latin letter.
 _STEM = r"(?s)^(?P<stem>.*[A-Za-zÀ-ÖØ-öø-ɏ])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
 _LOW = np.uint64(1 << 31)
@@ -193,7 +197,8 @@ class Encoder:
     """A tokenizer that encodes each different chunk of some texts once. A single space or line feed between two
     characters that aren't white space always starts a token, so texts are cut there: a line feed before a space is a
     token of its own, and so is one before a word. Punctuation that ends a chunk after a Latin letter is apart from the
-    letter too: stems and tails of chunks are encoded apart. Other texts are encoded whole. Nothing is kept between calls."""
+    letter too: stems and tails of chunks are encoded apart. Other texts are encoded whole. The ids of at most KNOWN
+    stems, and of those of one more group of texts, are kept between calls."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -204,6 +209,11 @@ class Encoder:
         parts = [self._ids(x) for x in ("a", " b", "c")]
         joined = np.concatenate([parts[0], feed, parts[1], feed, parts[2]])
         self.feed = int(feed[0]) if len(feed) == 1 and np.array_equal(self._ids("a\n b\nc"), joined) else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.flat = pa.array([], pa.large_string()), np.zeros(0, np.uint32)
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -217,18 +227,37 @@ class Encoder:
             raise ValueError("the tokenizer joins line feeds with words")
         return flat, first, np.diff(first, append=len(flat))
 
+    def _places(self, stems: pa.Array) -> np.ndarray:
+        """Where the ids of different stems are among those kept, after those not yet known were encoded."""
+        if len(self.known) > KNOWN:
+            self._forget()
+        found = pc.index_in(stems, value_set=self.known)
+        new = stems.filter(pc.is_null(found))
+        place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(new))
+        if len(new):
+            flat, first, size = self._stems(new)
+            self.first, self.size = np.append(self.first, first + len(self.flat)), np.append(self.size, size)
+            self.known, self.flat = pa.concat_arrays([self.known, new]), np.append(self.flat, flat)
+        return place
+
+    def _stems(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of stems; one that starts with a carriage return begins a text."""
+        opens = pc.match_substring_regex(stems, "^[\r\n]")
+        begins = pc.starts_with(stems, "\r").to_numpy(zero_copy_only=False)
+        words = pc.replace_substring_regex(stems, "^[^\r\n]", "\n \\0")
+        words = pc.replace_substring(words, "\r", "\n", max_replacements=1)
+        flat, first, size = self._by_feeds(words)
+        skip = 1 - (opens.to_numpy(zero_copy_only=False) & ~begins)  # the feed is put in, but for chunks of their own feed
+        return flat, first + skip, size - skip
+
     def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same of different chunks; one that starts with a carriage return begins a text."""
+        """The ids of different chunks in one, where those of each begin, and how many there are."""
         found = pc.extract_regex(chunks, _STEM)
         stems = pc.coalesce(pc.struct_field(found, "stem"), chunks).dictionary_encode()
         tails = pc.fill_null(pc.struct_field(found, "tail"), "").dictionary_encode()
-        opens = pc.match_substring_regex(stems.dictionary, "^[\r\n]")
-        begins = pc.starts_with(stems.dictionary, "\r").to_numpy(zero_copy_only=False)
-        words = pc.replace_substring_regex(stems.dictionary, "^[^\r\n]", "\n \\0")
-        words = pc.replace_substring(words, "\r", "\n", max_replacements=1)
-        flat, first, size = self._by_feeds(words)
-        skip = 1 - (opens.to_numpy(zero_copy_only=False) & ~begins)  # the feed is put in, but for chunks of their own feed
-        first, size = first + skip, size - skip
+        place = self._places(stems.dictionary)
+        flat, first, size = self.flat, self.first[place], self.size[place]
         ends = [self._ids(x) if x else np.zeros(0, np.uint32) for x in tails.dictionary.to_pylist()]
         n = np.array([len(x) for x in ends], np.int64)
         stem, tail = (x.indices.to_numpy(zero_copy_only=False) for x in (stems, tails))
@@ -268,9 +297,15 @@ class Encoder:
         return [out[x] for x in texts]
 
 
+@lru_cache(maxsize=1)
+def _encoder(spec: str, job: str) -> Encoder:
+    """The encoder of a Python worker, which runs many tasks of a job; another job begins without known stems."""
+    return Encoder(spec)
+
+
 def token_ids(docs: DataFrame, spec: str) -> DataFrame:
     """(doc_id, n_tokens, crc, packed): the ids of whole texts and END_ID, packed with zstd. A null text is empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
+    shared, job = docs.sparkSession.sparkContext.broadcast(spec), uuid.uuid4().hex
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
@@ -278,7 +313,7 @@ def token_ids(docs: DataFrame, spec: str) -> DataFrame:
         import zstandard
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(shared.value)
+        encoder = _encoder(shared.value, job)
         packer, end = zstandard.ZstdCompressor(1), np.array([END_ID], np.uint32).tobytes()
         for batch in batches:
             rows, texts = [], [x or "" for x in batch["text"]]

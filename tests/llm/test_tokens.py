@@ -76,6 +76,24 @@ def test_encoder_equals_the_library(tokenizer):
             assert np.frombuffer(raw, np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("known", [K.KNOWN, 20])
+def test_known_stems_are_kept(tokenizer, monkeypatch, known):
+    """Chunks of earlier calls aren't encoded again, and ids stay the library's, also where what is kept is full."""
+    monkeypatch.setattr(K, "KNOWN", known)
+    rng, encoder, seen = random.Random(8), K.Encoder(SPEC), []
+    monkeypatch.setattr(K.Encoder, "_ids", lambda self, text, of=K.Encoder._ids: seen.append(len(text)) or of(self, text))
+    word = lambda: "".join(rng.choice("aeiourstnl\u00e9") for _ in range(rng.randint(1, 7))) + rng.choice(["", "", ",", "%%"])
+    texts = [rng.choice([" ", "\n"]).join(word() for _ in range(40)) for _ in range(30)]
+    sizes = []
+    for part in (texts[:15], texts[10:], texts):
+        seen.clear()
+        for text, raw in zip(part, encoder.encode(part), strict=True):
+            assert np.frombuffer(raw, np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        sizes.append(sum(seen))
+    if known > 20:
+        assert sizes[2] < 10 < sizes[1]  # the tails only
+
+
 def test_special_tokens_are_the_librarys(spark, tokenizer):
     texts = ["hello <|endoftext|> world", "<|endoftext|>", "a <|endoftext|>"]
     for text, raw in zip(texts, K.Encoder(SPEC).encode(texts), strict=True):
