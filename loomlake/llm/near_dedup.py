@@ -33,6 +33,8 @@ AGREE = int(REGISTERS * (THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / REGISTER
 PAIRED = 32
 #: Texts, and bytes of shingle hashes, that a block holds when the texts of a larger bucket are compared.
 BLOCK_TEXTS, BLOCK_BYTES = 2000, 8 << 20
+#: Numbers in an array that a comparison of a block makes at a time.
+GRID = 1 << 20
 #: Texts to be read for verification whose ids may be broadcast.
 MAX_BROADCAST = 500_000
 _WORD = re.compile(r"[^\W_]+")
@@ -210,28 +212,43 @@ def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 def compare_all(keys: list[bytes], groups: list[bytes], bags: list[bytes], query: np.ndarray) -> list[tuple[bytes, bytes]]:
     """Links from queries to rows of other groups, exact; for each query one link to each group that it resembles.
 
-    A product of incidence matrices, some columns at a time; elements that one row alone has are left out.
+    A product of incidence matrices, some columns at a time; elements that one row alone has are left out. Beside the
+    hashes themselves (once as they come, once sorted) a block takes a few arrays of GRID numbers and the products.
     """
     sets = [np.frombuffer(b, _U) for b in bags]
     size = np.array([len(x) for x in sets])
-    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row, kept = np.repeat(np.arange(len(sets)), size), times[code] > 1
-    row, code = row[kept], np.unique(code[kept], return_inverse=True)[1]
     q, m = np.flatnonzero(query), np.flatnonzero(~query)
+    place = np.empty(len(sets), np.int32)  # a row's place among the queries or among the others
+    place[q], place[m] = np.arange(len(q)), np.arange(len(m))
+    every = np.concatenate(sets)
+    order = np.argsort(every)
+    every = every[order]
+    same = every[1:] == every[:-1]
+    kept = (np.append(same, False) | np.append(False, same))[: len(every)]
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), size)[order[kept]]
+    every = every[kept]
+    del order, same, kept
+    code = np.cumsum(np.append(False, every[1:] != every[:-1])[: len(every)], dtype=np.int32)
+    del every
     shared = np.zeros((len(q), len(m)), np.float32)
-    step = max(1, (1 << 23) // len(sets))
-    order = np.argsort(code, kind="stable")
-    row, code = row[order], code[order]
+    step = max(1, min(GRID // len(sets), int(code[-1]) + 1 if len(code) else 0))
+    asked, given = np.zeros((len(q), step), np.float32), np.zeros((len(m), step), np.float32)
     for first in range(0, int(code[-1]) + 1 if len(code) else 0, step):
         lo, hi = np.searchsorted(code, [first, first + step])
-        grid = np.zeros((len(sets), step), np.float32)
-        grid[row[lo:hi], code[lo:hi] - first] = 1
-        shared += grid[q] @ grid[m].T
+        r, c = row[lo:hi], code[lo:hi] - first
+        for grid, of in ((asked, query[r]), (given, ~query[r])):
+            grid[:] = 0
+            grid[place[r[of]], c[of]] = 1
+        shared += asked @ given.T
     _, group = np.unique(np.array(groups, dtype=object), return_inverse=True)
-    hit = (shared > 0) & (shared >= THRESHOLD * (size[q][:, None] + size[m][None] - shared) - 1e-4) & (group[q][:, None] != group[m][None])
-    i, j = np.nonzero(hit)
-    _, one = np.unique(np.stack([i, group[m][j]]), axis=1, return_index=True)
-    return [(keys[q[i[x]]], keys[m[j[x]]]) for x in one]
+    links, some = [], max(1, GRID // max(1, len(m)))
+    for first in range(0, len(q), some):
+        rows, x = q[first : first + some], shared[first : first + some]
+        hit = (x > 0) & (x >= THRESHOLD * (size[rows][:, None] + size[m][None] - x) - 1e-4) & (group[rows][:, None] != group[m][None])
+        i, j = np.nonzero(hit)
+        _, one = np.unique(np.stack([i, group[m][j]]), axis=1, return_index=True)
+        links += [(keys[rows[i[y]]], keys[m[j[y]]]) for y in one]
+    return links
 
 
 def links_across(split: DataFrame, bags: DataFrame) -> DataFrame:
@@ -255,6 +272,7 @@ def links_across(split: DataFrame, bags: DataFrame) -> DataFrame:
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         query = pdf["query"].to_numpy(bool)
         found = compare_all(list(pdf["text_key"]), list(pdf["component"]), list(pdf["elements"]), query) if query.any() and not query.all() else []
+        tidy()
         return pd.DataFrame(found, columns=["a", "b"])
 
     return asked.union(given).groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -191,6 +192,19 @@ def test_block_comparison_is_exact():
     assert want and {(a[0], groups[b[0]]) for a, b in found} == want and len(found) == len(want)
 
 
+def test_block_comparison_is_bounded():
+    """A full block takes a few arrays beside its hashes (5 MB here): 110 MB before."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 180).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[n:], rng.integers(0, 2**63, n).astype(np.uint64)])) for n in rng.integers(0, 90, 3450)]
+    groups, query = [bytes([g]) for g in rng.integers(0, 9, 3450)], rng.random(3450) < 0.5
+    tracemalloc.start()
+    found = near_dedup.compare_all([i.to_bytes(2, "big") for i in range(3450)], groups, [x.tobytes() for x in sets], query)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and peak < 64 << 20
+
+
 @pytest.mark.parametrize("block", [2000, 7])
 def test_crowded_buckets(spark, monkeypatch, block):
     """A crowd of near copies whose members resemble some others only: the same classes as by force."""
