@@ -10,7 +10,8 @@ pairs before any text is read. Each pair that is left is verified with all words
 line throughout.
 
 Where many lines share one of their rarest words (near copies of a passage), they are first compared with the earliest
-of them only. A line that goes by that isn't compared as the later one again: a crowd costs its size, not its square.
+of them only, in a large crowd with the earliest of each of LEADS parts. A line that goes by that isn't compared as the
+later one again.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ MAX_BROADCAST = 300_000
 _HASH_BITS = 57
 #: So many lines with a word among their FIRST rarest are a crowd.
 CROWD, FIRST = 32, 3
+#: A crowd of so many lines has so many lines that the others are compared with first.
+LARGE, LEADS = 256, 4
 #: Sets of more words have a second parity.
 LONG = 48
 
@@ -141,15 +144,21 @@ def _class_of(code: str) -> Column:
 
 
 def _crowd_pairs(firsts: DataFrame, threshold: float, within: str) -> DataFrame:
-    """Each set in a crowd with the earliest set of that crowd."""
+    """Each set in a crowd with the earliest set of that crowd, in a large one with the earliest of each of its parts."""
     rows = firsts.select("sid", "at", "n", "parity", F.explode(F.slice("prefix", 1, FIRST)).alias("code"))
     rows = rows.filter(_class_of("code") >= CROWD.bit_length())  # a bucket of fewer words: no crowd
     crowds = stored(rows.groupBy("code").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") >= CROWD).select("code"), "crowds", within)
-    lead = {"_lead": (F.min(F.struct("at", "sid", "n", "parity")), F.min("_lead"))}
-    members = with_group(rows.join(_small(crowds), "code", "left_semi"), ["code"], ["sid"], lead, F.lit(True))
-    pairs = members.select("sid", "n", "parity", *[F.col(f"_lead.{c}").alias(f"{c}2") for c in ("sid", "n", "parity")])
-    possible = f"sid <> sid2 AND least(n, n2) >= {threshold}D * greatest(n, n2) - 1e-9 AND {_parity_bound(threshold)}"
-    return pairs.filter(possible).select("sid", "sid2", _gap()).distinct()
+    members = rows.join(_small(crowds), "code", "left_semi")
+    place, part = F.struct("at", "sid", "n", "parity"), F.pmod(F.xxhash64("sid"), F.lit(LEADS))
+    lead = {"_size": (F.count(F.lit(1)), F.sum("_size")), "_lead": (F.min(place), F.min("_lead"))}
+    lead |= {f"_lead{i}": (F.min(F.when(part == i, place)), F.min(f"_lead{i}")) for i in range(LEADS)}
+    members = with_group(members, ["code"], ["sid"], lead, F.lit(True))
+    leads = F.when(F.col("_size") >= LARGE, F.array(*[f"_lead{i}" for i in range(LEADS)])).otherwise(F.array("_lead"))
+    pairs = members.select("sid", "at", "n", "parity", F.explode(leads).alias("x"))
+    pairs = pairs.filter("x.at < at")  # a part's first line may come later than one of another part
+    pairs = pairs.select("sid", "n", "parity", *[F.col(f"x.{c}").alias(f"{c}2") for c in ("sid", "n", "parity")])
+    possible = f"least(n, n2) >= {threshold}D * greatest(n, n2) - 1e-9 AND {_parity_bound(threshold)}"
+    return pairs.filter(possible).select("sid", "sid2", _gap(), F.lit(True).alias("open"), F.lit(True).alias("open2")).distinct()
 
 
 def _gap() -> Column:
@@ -163,7 +172,10 @@ def _parity_bound(threshold: float) -> str:
 
 
 def _close_pairs(firsts: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
-    """The pairs of sets that all filters leave, the larger set first; pairs of two sets in ``gone`` are left out."""
+    """The pairs of sets that all filters leave, the larger set first; pairs of two sets in ``gone`` are left out.
+
+    open and open2: whether a set of the pair isn't in ``gone``.
+    """
     marked = firsts.select("sid", "n", "parity", "prefix").join(_small(gone.withColumn("_gone", F.lit(True))), "sid", "left")
     index = marked.select("sid", "n", "parity", F.col("_gone").isNull().alias("open"), F.posexplode("prefix").alias("p", "code"))
     index = index.filter(_class_of("code") > 1)  # a bucket with one word: no other line has it
@@ -179,7 +191,8 @@ def _close_pairs(firsts: DataFrame, gone: DataFrame, threshold: float) -> DataFr
         close = re.sub(rf"\bn{x}\b", f"cast(shiftright(place{x}, 32) as int)", close)
         close = re.sub(rf"\bp{x}\b", f"cast(shiftright(place{x} & 4294967295L, 1) as int)", close)
     other = index.select(*[F.col(c).alias(f"{c}2") for c in index.columns])
-    return index.join(other, F.expr(f"code = code2 AND {close}")).select("sid", "sid2", _gap()).distinct()
+    opened = [F.expr(f"place{x} & 1L = 1L").alias(f"open{x}") for x in ("", "2")]
+    return index.join(other, F.expr(f"code = code2 AND {close}")).select("sid", "sid2", _gap(), *opened).distinct()
 
 
 def _half_bound(threshold: float) -> str:
@@ -189,7 +202,8 @@ def _half_bound(threshold: float) -> str:
 
 
 def later_sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold: float, within: str) -> DataFrame:
-    """(sid): of each pair (sid, sid2, gap) whose words have the similarity, the set that comes later.
+    """(sid): of each pair (sid, sid2, gap, open, open2) whose words have the similarity, the set that comes later, if it
+    is open.
 
     One earlier set is enough for a later one to go: each later set is compared with the earlier one that its parities
     are nearest to, and only those that stay are compared with all the others.
@@ -208,10 +222,11 @@ def later_sets(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, threshold:
 
 
 def _ordered_pairs(firsts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """(later, earlier, gap) of the pairs (sid, sid2, gap) that the parities of halves leave."""
+    """(later, earlier, gap) of the pairs whose later set is open and that the parities of halves leave."""
     slim = firsts.select("sid", "at", "n", "parity", "half")
     placed = pairs.join(slim, "sid").join(slim.toDF("sid2", "at2", "n2", "parity2", "half2"), "sid2").filter(_half_bound(threshold))
     swap = F.col("at") < F.col("at2")
+    placed = placed.filter(F.when(swap, F.col("open2")).otherwise(F.col("open")))
     return placed.select(F.when(swap, F.col("sid2")).otherwise(F.col("sid")).alias("later"), F.when(swap, F.col("sid")).otherwise(F.col("sid2")).alias("earlier"), "gap")
 
 

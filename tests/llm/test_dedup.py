@@ -260,6 +260,43 @@ def test_line_crowds_and_the_way_beyond_broadcast(spark, monkeypatch, broadcast)
     assert got == {d: gone[d] for d, _ in rows} and sum(map(len, got.values())) > 70
 
 
+def test_lines_that_are_gone_arent_compared_again(spark, monkeypatch):
+    """After the crowds no pair is verified whose later line is gone; of a large crowd several leads leave fewer lines."""
+    monkeypatch.setattr(line_dedup, "CROWD", 8)
+    rng = random.Random(5)
+    rows = []
+    for d in range(60):
+        line = [f"w{i}" for i in range(24)]
+        for _ in range(rng.choice((0, 1, 2, 3))):
+            line[rng.randrange(6, 24)] = rng.choice("and or the of".split())
+        rows.append((d, " ".join(line)))
+    seen, whole = [], line_dedup._ordered_pairs
+
+    def ordered(*args):
+        pairs = whole(*args)
+        seen.append({(r["later"], r["earlier"]) for r in pairs.collect()})
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "_ordered_pairs", ordered)
+    found, alike = [], line_dedup.later_sets
+
+    def later(*args):
+        sids = alike(*args)
+        found.append({r["sid"] for r in sids.collect()})
+        return sids
+
+    monkeypatch.setattr(line_dedup, "later_sets", later)
+    gone, left = lines_by_force(rows), []
+    for large in (1000, 16):
+        monkeypatch.setattr(line_dedup, "LARGE", large)
+        seen.clear(), found.clear()
+        got = {r["doc_id"]: r["removed"] for r in line_dedup.line_report(table(spark, rows)).collect()}
+        assert got == {d: gone[d] for d, _ in rows}
+        assert found[0] and not found[0] & {later for later, _ in seen[1]}
+        left.append(len(seen[1]))
+    assert left[1] <= left[0]
+
+
 def test_long_lines_are_parted_before_texts_are_read(spark, monkeypatch):
     """Long lines that share a word and little else, by whose parities in 64 bits they could be alike: of each pair of
     which texts are read, half of the words are shared at least, and what goes is as by force."""
