@@ -9,7 +9,7 @@ the parities of long lines say little: a second one, of half of their words, goe
 pairs before any text is read. Each pair that is left is verified with all words. Lines with equal word sets are one
 line throughout.
 
-Where many lines share one of their rarest words (near copies of a passage), they are first compared with the earliest
+Where many lines share two words of their prefixes (near copies of a passage), they are first compared with the earliest
 of them only, in a large crowd with the earliest of each of LEADS parts. A line that goes by that isn't compared as the
 later one again.
 """
@@ -21,7 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.shared import discard, stored, sweep, unused, with_group, word_array, workspace
+from loomlake.llm.shared import discard, stored, sweep, unused, with_group, workspace
 
 THRESHOLD = 0.8
 #: Hash buckets in which words are counted (a power of two); their counts travel as one array of so many small numbers.
@@ -29,13 +29,14 @@ BUCKETS = 1 << 22
 _ROW_BITS = 11
 #: Rows of what is looked up that may be broadcast; more are joined by a shuffle.
 MAX_BROADCAST = 300_000
-#: A word is a 64-bit code: its rarity class in the upper 6 bits (sign unused), its hash below. Lines are joined on the
-#: upper half of codes.
-_HASH_BITS = 57
-#: So many lines with a word among their FIRST rarest are a crowd.
-CROWD, FIRST = 32, 3
+#: A word of a prefix is a 32-bit code: its rarity class in the upper 6 bits (sign unused), its hash below. Words with
+#: equal codes are only compared for nothing.
+_HASH_BITS = 25
+#: So many lines that share two of the FIRST words, by their hashes, of those of their prefixes that so many lines have
+#: (one, where they have only one) are a crowd.
+CROWD, FIRST = 32, 4
 #: A crowd of so many lines has so many lines that the others are compared with first.
-LARGE, LEADS = 256, 4
+LARGE, LEADS = 256, 16
 #: Sets of more words have a second parity.
 LONG = 48
 
@@ -47,8 +48,9 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _text_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line_no, line): all lines; row is a hash of id and text, which tells rows with equal ids apart."""
-    lines = F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line")
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), lines)
+    lines = F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), lines)  # texts are hashed here, not for each line
+    return rows.select("doc_id", "row", F.posexplode_outer("lines").alias("line_no", "line"))
 
 
 def _split(text: str) -> str:
@@ -56,51 +58,61 @@ def _split(text: str) -> str:
     return f"split(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+')"
 
 
-def rarity_classes(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row: rank, for each hash bucket of words (the upper bits of their hash) the binary length of its number of words."""
-    words = docs.select(F.explode_outer(F.expr(_split("text"))).alias("w")).filter("w <> ''")
-    place = F.shiftrightunsigned(F.xxhash64("w"), 65 - buckets.bit_length())
-    counts = words.groupBy(place.alias("b")).agg(F.length(F.bin(F.count(F.lit(1)))).cast("tinyint").alias("c"))
-    every = counts.union(docs.sparkSession.range(buckets).select("id", F.lit(0).cast("tinyint")))
-    low = F.col("b").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).cast("int")
-    rows = every.groupBy(F.shiftright("b", _ROW_BITS).alias("high")).agg(F.sort_array(F.collect_list(F.struct(low.alias("low"), "c"))).alias("x"))
-    last = "filter(x, (e, i) -> i = size(x) - 1 OR x[i + 1].low <> e.low)"  # the counted class where there is one
-    rows = rows.select("high", F.expr(f"transform({last}, e -> e.c)").alias("x"))
-    return rows.groupBy().agg(F.sort_array(F.collect_list(F.struct("high", "x"))).alias("x")).select(F.expr("flatten(transform(x, e -> e.x))").alias("rank"))
-
+def rarity_classes(lines: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """One row: rank, for each hash bucket of words (the upper bits of ids) the binary length of its number of words.
 
-def _codes(buckets: int) -> str:
-    """SQL for the distinct words of a line as codes in order of rarity, by the column rank."""
-    rarity = f"cast(get(rank, cast(shiftrightunsigned(h, {65 - buckets.bit_length()}) as int)) as bigint)"
-    code = f"shiftleft({rarity}, {_HASH_BITS}) | shiftrightunsigned(h, {64 - _HASH_BITS})"
-    hashes = f"transform({_split('line')}, w -> xxhash64(w))"
-    return f"sort_array(array_distinct(transform(array_remove({hashes}, xxhash64('')), h -> {code})))"
+    A bucket of one word, or none, has 1: only the others are gathered.
+    """
+    width = min(buckets, 1 << _ROW_BITS)
+    ids = lines.select(F.explode("ids").alias("id"))
+    counts = ids.groupBy(F.shiftrightunsigned("id", 33 - buckets.bit_length()).alias("b")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    entry = F.struct(F.col("b").bitwiseAND(F.lit(width - 1)).alias("low"), F.length(F.bin("c")).cast("tinyint").alias("c"))
+    every = counts.select(F.shiftright("b", _ROW_BITS).alias("high"), entry.alias("e"))
+    every = every.union(lines.sparkSession.range(buckets // width).select(F.col("id").cast("int"), F.lit(None)))
+    rows = every.groupBy("high").agg(F.sort_array(F.collect_list("e")).alias("x"))
+    gaps = "transform(x, (e, i) -> concat(array_repeat(1Y, e.low - if(i = 0, 0, x[i - 1].low + 1)), array(e.c)))"
+    rest = f"array_repeat(1Y, {width} - if(size(x) = 0, 0, element_at(x, -1).low + 1))"
+    rows = rows.select("high", F.expr(f"concat(flatten({gaps}), {rest})").alias("x"))
+    return rows.groupBy().agg(F.sort_array(F.collect_list(F.struct("high", "x"))).alias("x")).select(F.expr("flatten(transform(x, e -> e.x))").alias("rank"))
 
 
 def _needed(n: str, share: float) -> str:
     return f"cast(ceil({n} * {share}D - 1e-9) as int)"
 
 
-def word_sets(docs: DataFrame, threshold: float, buckets: int, within: str | None = None) -> DataFrame:
-    """(doc_id, row, line_no, set_key, check, n, parity, half, prefix) of all lines; n is 0 for those without a word.
+def line_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, line_no, set_key, check, n, parity, half, ids) of all lines; n is 0 for those without a word.
 
     set_key and check: two hashes of the set. parity has a bit for each value of a word's hash mod 64: whether an odd
     number of words has it; half is the same of those words whose hash has its next bit set, null for sets of at most
-    LONG words. A set of fewer than threshold / (1 - threshold) words resembles only its equals: its prefix is empty.
+    LONG words. ids: the upper halves of the words' hashes. A text's words are parted and hashed here only.
     """
-    most = f"size(c) - {_needed('size(c)', threshold)} + 1" if threshold < 1 else "0"
-    least = f"{threshold / (1 - threshold)}D" if threshold < 1 else "1D"
-    # The rank is a scalar subquery: it is evaluated once and read in place, as long as only projections stand between.
-    rank = stored(rarity_classes(docs, buckets), "rarity", within).scalar()
-    lines = _text_lines(docs).withColumn("rank", rank).select("doc_id", "row", "line_no", F.expr(_codes(buckets)).alias("c"))
+    hashes = f"transform({_split('line')}, w -> xxhash64(w))"
+    lines = _text_lines(docs).select("doc_id", "row", "line_no", F.expr(f"sort_array(array_distinct(array_remove({hashes}, xxhash64(''))))").alias("c"))
     return lines.select(
         "doc_id", "row", "line_no", F.xxhash64("c").alias("set_key"), F.xxhash64(F.lit("check"), "c").alias("check"), F.size("c").alias("n"),
         F.expr("aggregate(c, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63L as int)))").alias("parity"),
         F.expr(f"if(size(c) > {LONG}, aggregate(c, 0L, (a, x) -> a ^ shiftleft(shiftright(x, 6) & 1L, cast(x & 63L as int))), null)").alias("half"),
-        F.expr(f"transform(slice(c, 1, if(size(c) + 1e-9D >= {least}, {most}, 0)), x -> cast(shiftright(x, 32) as int))").alias("prefix"),
+        F.expr("transform(c, x -> cast(shiftright(x, 32) as int))").alias("ids"),
     )
 
 
+def with_prefix(lines: DataFrame, threshold: float, buckets: int, within: str | None = None) -> DataFrame:
+    """``lines`` of line_words with prefix, the codes of the rarest words, instead of ids.
+
+    A set of fewer than threshold / (1 - threshold) words resembles only its equals: its prefix is empty.
+    """
+    most = f"n - {_needed('n', threshold)} + 1" if threshold < 1 else "0"
+    least = f"{threshold / (1 - threshold)}D" if threshold < 1 else "1D"
+    # The rank is a scalar subquery: it is evaluated once and read in place, as long as only projections stand between.
+    rank = stored(rarity_classes(lines, buckets), "rarity", within).scalar()
+    rarity = f"cast(get(rank, shiftrightunsigned(x, {33 - buckets.bit_length()})) as int)"
+    code = f"coalesce(shiftleft({rarity}, {_HASH_BITS}) | shiftrightunsigned(x, {32 - _HASH_BITS}), 0)"  # no nulls: sorted as plain numbers
+    codes = f"slice(sort_array(transform(ids, x -> {code})), 1, {most})"
+    prefix = F.expr(f"if(n + 1e-9D >= {least}, {codes}, cast(array() as array<int>))")
+    return lines.withColumn("rank", rank).withColumn("prefix", prefix).drop("rank", "ids")
+
+
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """(doc_id, row, line_no) of the lines that an earlier line resembles; input columns doc_id and text.
 
@@ -114,9 +126,9 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, buckets: int =
 def _repeated(docs: DataFrame, threshold: float, buckets: int, within: str) -> DataFrame:
     # A set is known by its first line (a number that no other line has): hashes only bring lines together.
     # Lines without a word are left out when the table is read: a filter before would compute the words twice.
-    whole = stored(word_sets(docs, threshold, buckets, within).withColumn("tie", F.monotonically_increasing_id()), "lines", f"{within}/lines")
+    whole = stored(line_words(docs).withColumn("tie", F.monotonically_increasing_id()), "lines", f"{within}/lines")
     placed = whole.filter("n > 0")
-    grouped = placed.groupBy("set_key", "check").agg(
+    grouped = with_prefix(placed, threshold, buckets, within).groupBy("set_key", "check").agg(
         F.min(F.struct("doc_id", "row", "line_no", "tie")).alias("first"), F.count(F.lit(1)).alias("times"),
         F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("half").alias("half"), F.first("prefix").alias("prefix"),
     )
@@ -140,15 +152,20 @@ def _repeated(docs: DataFrame, threshold: float, buckets: int, within: str) -> D
 
 
 def _class_of(code: str) -> Column:
-    return F.shiftright(code, _HASH_BITS - 32)
+    return F.shiftright(code, _HASH_BITS)
 
 
 def _crowd_pairs(firsts: DataFrame, threshold: float, within: str) -> DataFrame:
     """Each set in a crowd with the earliest set of that crowd, in a large one with the earliest of each of its parts."""
-    rows = firsts.select("sid", "at", "n", "parity", F.explode(F.slice("prefix", 1, FIRST)).alias("code"))
-    rows = rows.filter(_class_of("code") >= CROWD.bit_length())  # a bucket of fewer words: no crowd
+    # A bucket of fewer words is no crowd's. By hashes alone, as a crowd's own words are less rare than those that its copies have for others.
+    rare = f"filter(prefix, x -> shiftright(x, {_HASH_BITS}) >= {CROWD.bit_length()})"
+    rare = F.expr(f"slice(sort_array(transform({rare}, x -> x & {(1 << _HASH_BITS) - 1})), 1, {FIRST})")
+    one = F.when(F.size("rare") == 1, F.get("rare", F.lit(0)).cast("long"))
+    two = [F.expr(f"shiftleft(cast(get(rare, {i}) as bigint), 32) | get(rare, {j})") for i in range(FIRST) for j in range(i + 1, FIRST)]
+    rows = firsts.select("sid", "at", "n", "parity", F.explode(F.array(rare)).alias("rare"))  # exploded: evaluated once
+    rows = rows.select("sid", "at", "n", "parity", F.explode(F.array(one, *two)).alias("code")).filter("code IS NOT NULL")
     crowds = stored(rows.groupBy("code").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") >= CROWD).select("code"), "crowds", within)
-    members = rows.join(_small(crowds), "code", "left_semi")
+    members = stored(rows.join(_small(crowds), "code", "left_semi"), "crowd-members", within)
     place, part = F.struct("at", "sid", "n", "parity"), F.pmod(F.xxhash64("sid"), F.lit(LEADS))
     lead = {"_size": (F.count(F.lit(1)), F.sum("_size")), "_lead": (F.min(place), F.min("_lead"))}
     lead |= {f"_lead{i}": (F.min(F.when(part == i, place)), F.min(f"_lead{i}")) for i in range(LEADS)}
@@ -239,7 +256,7 @@ def _alike(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
 
 
 def _distinct_words(line: str) -> Column:
-    return F.array_distinct(F.expr(word_array(line)))
+    return F.array_distinct(F.array_remove(F.expr(_split(line)), ""))
 
 
 def _whole_lines(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, within: str) -> DataFrame:
@@ -252,8 +269,8 @@ def _whole_lines(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, within: s
         wanted = F.broadcast(wanted)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     matched = rows.join(wanted, (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-    lines = matched.select(F.split("text", "\n").alias("lines"), F.explode("_sets").alias("s"))
-    found = lines.select("s.sid", F.get("lines", F.col("s.at.line_no")).alias("line"))
+    lines = matched.select(F.split("text", "\n").alias("lines"), "_sets")
+    found = lines.select(F.explode(F.expr("transform(_sets, s -> struct(s.sid AS sid, get(lines, s.at.line_no) AS line))")).alias("s")).select("s.sid", "s.line")
     return stored(found.dropDuplicates(["sid"]).select("sid", _distinct_words("line").alias("words")), "whole-lines", within)
 
 

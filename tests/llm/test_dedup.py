@@ -297,6 +297,28 @@ def test_lines_that_are_gone_arent_compared_again(spark, monkeypatch):
     assert left[1] <= left[0]
 
 
+def test_copies_whose_own_words_are_rarer_are_a_crowd(spark, monkeypatch):
+    """Near copies of a passage in which words stand for others that are rarer than the passage's, but as common as a
+    crowd's: they are compared with few lines, not each with all. Words are parted and hashed in one pass over the texts."""
+    monkeypatch.setattr(line_dedup, "CROWD", 8)
+    monkeypatch.setattr(line_dedup, "LARGE", 16)
+    rng, rows, tables, parted = random.Random(9), [], {}, []
+    for d in range(90):
+        line = [f"w{i}" for i in range(40)]
+        for _ in range(rng.choice((2, 3, 3, 4, 4))):
+            line[rng.randrange(40)] = f"o{rng.randrange(12)}"
+        rows.append((d, " ".join(line)))
+    keep = lambda df, name, within=None, of=line_dedup.stored: tables.setdefault(name, []).append(of(df, name)) or tables[name][-1]
+    split = lambda text, of=line_dedup._split: parted.append(text) or of(text)
+    monkeypatch.setattr(line_dedup, "stored", keep)
+    gone = lines_by_force(rows)
+    monkeypatch.setattr(line_dedup, "_split", split)
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_report(table(spark, rows)).collect()}
+    assert got == {d: gone[d] for d, _ in rows} and sum(map(len, got.values())) > 60
+    assert tables["line-order"][1].count() < 400  # of 4005 pairs
+    assert "text" not in parted
+
+
 def test_long_lines_are_parted_before_texts_are_read(spark, monkeypatch):
     """Long lines that share a word and little else, by whose parities in 64 bits they could be alike: of each pair of
     which texts are read, half of the words are shared at least, and what goes is as by force."""
